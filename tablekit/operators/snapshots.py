@@ -1,0 +1,198 @@
+"""Versioned snapshot tables on plain Parquet.
+
+Layout under ``path``::
+
+    v=0/ v=1/ ...        one immutable Parquet directory per version
+    _history/            one small Parquet file per commit
+
+A version becomes visible only once its history row is written (the last
+step of a commit), so a job killed mid-write leaves an invisible directory
+that the next commit to that number overwrites. Every version is a full
+copy (copy-on-write of the whole table, O(table) per change); there is one
+writer at a time. Reads go through storage, so chains of DML never build
+up lineage.
+
+Each DML step is a pure function from :mod:`tablekit.operators.dml`.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+import json
+import math
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tablekit.operators import dml
+
+HISTORY_SCHEMA = T.StructType([
+    T.StructField("version", T.LongType(), False),
+    T.StructField("timestamp", T.TimestampType(), False),
+    T.StructField("operation", T.StringType(), False),
+    T.StructField("params", T.MapType(T.StringType(), T.StringType()), True),
+    T.StructField("metrics", T.MapType(T.StringType(), T.LongType()), True),
+    T.StructField("schema_json", T.StringType(), True),
+])
+
+
+class VersionNotFound(LookupError):
+    pass
+
+
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(conf), p, jvm
+
+
+class SnapshotTable:
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark = spark
+        self.path = path.rstrip("/")
+        self.history_path = f"{self.path}/_history"
+
+    # ---- reading ---------------------------------------------------------
+    def exists(self) -> bool:
+        fs, p, jvm = _fs(self.spark, self.history_path)
+        return bool(fs.exists(p))
+
+    def history(self) -> DataFrame:
+        """DESCRIBE HISTORY: one row per commit, newest first."""
+        if not self.exists():
+            return self.spark.createDataFrame([], HISTORY_SCHEMA)
+        return self.spark.read.schema(HISTORY_SCHEMA).parquet(self.history_path) \
+            .orderBy(F.desc("version"))
+
+    def latest_version(self) -> int | None:
+        if not self.exists():
+            return None
+        r = self.spark.read.schema(HISTORY_SCHEMA).parquet(self.history_path) \
+            .agg(F.max("version")).first()[0]
+        return None if r is None else int(r)
+
+    def version_path(self, version: int) -> str:
+        return f"{self.path}/v={version}"
+
+    def _schema_of(self, version: int) -> T.StructType | None:
+        row = (self.spark.read.schema(HISTORY_SCHEMA).parquet(self.history_path)
+               .where(F.col("version") == version).select("schema_json").first())
+        if row is None:
+            raise VersionNotFound(f"{self.path} has no version {version}")
+        return T.StructType.fromJson(json.loads(row[0])) if row[0] else None
+
+    def read(self, version: int | None = None, as_of: dt.datetime | str | None = None) -> DataFrame:
+        """Latest version, ``VERSION AS OF n`` or ``TIMESTAMP AS OF t``."""
+        if as_of is not None:
+            ts = F.lit(as_of).cast("timestamp")
+            r = (self.spark.read.schema(HISTORY_SCHEMA).parquet(self.history_path)
+                 .where(F.col("timestamp") <= ts).agg(F.max("version")).first()[0])
+            if r is None:
+                raise VersionNotFound(f"{self.path} has no version at or before {as_of}")
+            version = int(r)
+        if version is None:
+            version = self.latest_version()
+            if version is None:
+                raise VersionNotFound(f"{self.path} is not a snapshot table")
+        schema = self._schema_of(version)
+        fs, p, _ = _fs(self.spark, self.version_path(version))
+        if not fs.exists(p):
+            raise VersionNotFound(f"version {version} of {self.path} was expired")
+        r = self.spark.read
+        if schema is not None:
+            r = r.schema(schema)
+        return r.parquet(self.version_path(version))
+
+    def detail(self) -> DataFrame:
+        """DESCRIBE DETAIL: format, location, version, file count, bytes, rows.
+        File sizes come from the scan's ``_metadata`` column (distributed)."""
+        v = self.latest_version()
+        df = self.read(v)
+        files = df.select("_metadata.file_path", "_metadata.file_size").distinct()
+        return files.agg(
+            F.lit("parquet").alias("format"),
+            F.lit(self.version_path(v)).alias("location"),
+            F.lit(v).cast("long").alias("version"),
+            F.count(F.lit(1)).alias("num_files"),
+            F.sum("file_size").cast("long").alias("size_in_bytes"),
+        )
+
+    # ---- writing ---------------------------------------------------------
+    def _commit(self, df: DataFrame, operation: str, params: Mapping[str, object] | None = None,
+                rebalance: bool = False) -> int:
+        latest = self.latest_version()
+        v = 0 if latest is None else latest + 1
+        out = df.hint("rebalance") if rebalance else df
+        out.write.mode("overwrite").parquet(self.version_path(v))
+        n_rows = self.spark.read.parquet(self.version_path(v)).count()  # footers only
+        row = (v, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None), operation,
+               {k: str(x) for k, x in (params or {}).items()},
+               {"num_output_rows": int(n_rows)}, df.schema.json())
+        (self.spark.createDataFrame([row], HISTORY_SCHEMA).coalesce(1)
+         .write.mode("append").parquet(self.history_path))
+        return v
+
+    def create(self, df: DataFrame, operation: str = "CREATE TABLE AS SELECT") -> int:
+        if self.exists():
+            raise FileExistsError(f"{self.path} already exists")
+        return self._commit(df, operation)
+
+    def overwrite(self, df: DataFrame) -> int:
+        return self._commit(df, "WRITE", {"mode": "Overwrite"})
+
+    def append(self, rows: DataFrame, evolve: bool = False) -> int:
+        """INSERT INTO / append. Extra columns raise unless ``evolve``."""
+        cur = self.read()
+        return self._commit(dml.append(cur, rows, evolve), "WRITE",
+                            {"mode": "Append", "mergeSchema": evolve})
+
+    def delete_where(self, cond: Column | str) -> int:
+        return self._commit(dml.delete_where(self.read(), cond), "DELETE",
+                            {"predicate": str(cond)})
+
+    def update_where(self, cond: Column | str, assignments: Mapping[str, object]) -> int:
+        return self._commit(dml.update_where(self.read(), cond, assignments), "UPDATE",
+                            {"predicate": str(cond)})
+
+    def merge(self, source: DataFrame, keys: Sequence[str]) -> int:
+        return self._commit(dml.merge_upsert(self.read(), source, keys), "MERGE",
+                            {"keys": ",".join(keys)})
+
+    def restore(self, version: int) -> int:
+        """RESTORE ... VERSION AS OF n: publish version n again (rows and schema)."""
+        return self._commit(self.read(version), "RESTORE", {"version": version})
+
+    def compact(self, cluster_by: str | None = None, target_file_bytes: int = 128 << 20) -> int:
+        """OPTIMIZE [ZORDER BY col]: rewrite into files of ~target size; with
+        ``cluster_by`` rows are range-partitioned and sorted on that column so
+        each file covers a narrow key range (min/max stats then skip files)."""
+        size = self.detail().first()["size_in_bytes"] or 0
+        n = max(1, math.ceil(size / target_file_bytes))
+        cur = self.read()
+        if cluster_by:
+            out = cur.repartitionByRange(n, cluster_by).sortWithinPartitions(cluster_by)
+        else:
+            out = cur.repartition(n)
+        return self._commit(out, "OPTIMIZE", {"zOrderBy": cluster_by or "", "numFiles": n})
+
+    def expire(self, keep_last: int = 1) -> list[int]:
+        """VACUUM: delete data of versions older than the last ``keep_last``
+        (the latest is always kept). History rows stay; reading an expired
+        version raises."""
+        latest = self.latest_version()
+        if latest is None:
+            return []
+        removed = []
+        for v in range(0, max(0, latest - keep_last + 1)):
+            fs, p, _ = _fs(self.spark, self.version_path(v))
+            if fs.exists(p):
+                fs.delete(p, True)
+                removed.append(v)
+        return removed
+
+    def diff(self, a: int, b: int) -> DataFrame:
+        """Rows deleted / inserted between versions ``a`` and ``b``."""
+        return dml.diff(self.read(a), self.read(b))
