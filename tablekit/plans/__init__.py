@@ -8,6 +8,7 @@ from tablekit.plans import registry  # noqa: F401
 from tablekit.plans import (  # noqa: F401
     q_functions,
     q_relational,
+    q_sources,
     q_tables,
 )
 

@@ -7,4 +7,5 @@ from tablekit.sources.files import (  # noqa: F401
     read_parquet,
     table,
 )
-from tablekit.sources.sinks import ctas, save_table, write_parquet  # noqa: F401
+from tablekit.sources.generate import items, skewed_sales  # noqa: F401
+from tablekit.sources.sinks import ctas, save_table, write_jdbc, write_parquet  # noqa: F401

@@ -33,3 +33,15 @@ def ctas(spark: SparkSession, name: str, select_sql: str, using: str = "parquet"
     loc = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE TABLE {name} USING {using}{loc} AS {select_sql}")
     return spark.table(name)
+
+
+def write_jdbc(df: DataFrame, url: str, dbtable: str, *, driver: str | None = None,
+               mode: str = "overwrite", batchsize: int = 10000, **options) -> str:
+    w = df.write.format("jdbc").option("url", url).option("dbtable", dbtable) \
+        .option("batchsize", str(batchsize)).mode(mode)
+    if driver:
+        w = w.option("driver", driver)
+    for k, v in options.items():
+        w = w.option(k, v)
+    w.save()
+    return dbtable
