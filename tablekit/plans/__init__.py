@@ -7,6 +7,7 @@ Importing this package imports every ``q_*`` module, which fill
 from tablekit.plans import registry  # noqa: F401
 from tablekit.plans import (  # noqa: F401
     q_functions,
+    q_ml,
     q_relational,
     q_sources,
     q_streaming,
