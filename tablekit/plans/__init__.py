@@ -9,6 +9,7 @@ from tablekit.plans import (  # noqa: F401
     q_functions,
     q_ml,
     q_relational,
+    q_skew,
     q_sources,
     q_streaming,
     q_tables,
