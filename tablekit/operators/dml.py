@@ -111,9 +111,20 @@ def _all_not_null(keys: Sequence[str]) -> Column:
 
 def diff(before: DataFrame, after: DataFrame) -> DataFrame:
     """Row-level change between two states: ``change = 'delete'`` rows left
-    ``before``, ``'insert'`` rows arrived in ``after`` (multiset semantics)."""
-    cols = [c for c in before.columns]
-    b = before.select(*cols)
-    a = after.select(*cols)
-    return (b.exceptAll(a).withColumn("change", F.lit("delete"))
-            .unionByName(a.exceptAll(b).withColumn("change", F.lit("insert"))))
+    ``before``, ``'insert'`` rows arrived in ``after`` (multiset semantics,
+    NULLs compare equal -- the same rows as EXCEPT ALL both ways).
+
+    One shuffle instead of two: tag rows -1 / +1, sum the tags per distinct
+    row (partially aggregated map-side, so a row repeated a million times
+    ships one partial count per task), keep non-zero nets and emit |net|
+    copies.
+    """
+    cols = list(before.columns)
+    tagged = (before.select(*cols, F.lit(-1).alias("__d"))
+              .unionByName(after.select(*cols, F.lit(1).alias("__d"))))
+    net = tagged.groupBy(*cols).agg(F.sum("__d").alias("__n")).where(F.col("__n") != 0)
+    return net.select(
+        *cols,
+        F.when(F.col("__n") > 0, F.lit("insert")).otherwise(F.lit("delete")).alias("change"),
+        F.explode(F.sequence(F.lit(1), F.abs(F.col("__n")))).alias("__i"),
+    ).drop("__i")

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablekit.operators.relational import label01
+from tablekit.session import shared_dir
 
 CUTOFF = "2001-01-01"   # orders before: features; none on or after: churned
 FEATURES = ["c_acctbal", "n_orders", "spend", "n_urgent", "avg_price", "c_nationkey"]
@@ -66,7 +67,9 @@ def split(df: DataFrame, key: str, test_fraction: float = 0.1, seed: int = 12345
 
 def fit_churn(train: DataFrame, features: Sequence[str] = FEATURES, label: str = "label",
               max_depth: int = 5, max_iter: int = 20, seed: int = 7) -> PipelineModel:
-    """VectorAssembler + GBTClassifier pipeline."""
+    """VectorAssembler + GBTClassifier pipeline. Tree-ensemble checkpoints
+    (every 10 iterations, cutting lineage) go to the shared checkpoint dir."""
+    shared_dir(train.sparkSession)
     asm = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
     gbt = GBTClassifier(labelCol=label, featuresCol="features", maxDepth=max_depth,
                         maxIter=max_iter, seed=seed, checkpointInterval=10)

@@ -31,14 +31,14 @@ def key_counts(df: DataFrame, key: str | Column) -> DataFrame:
 def hot_keys(df: DataFrame, key: str | Column, min_share: float = 0.01) -> DataFrame:
     """key, n, share for keys with share >= min_share (at most 1/min_share rows).
 
-    Two distributed aggregates: counts per key (partially aggregated before
-    the shuffle, so a key with a third of the rows costs one row per task) and
-    the total, which comes back to the driver as a single number.
+    The total is a plain count (no shuffle) that comes back to the driver as
+    one number; the per-key counts are partially aggregated before their
+    shuffle, so a key with a third of the rows costs one row per task.
     """
     if not 0 < min_share <= 1:
         raise ValueError("min_share must be in (0, 1]")
+    total = df.count()
     counts = key_counts(df, key)
-    total = counts.agg(F.sum("n")).first()[0] or 0
     if total == 0:
         return counts.withColumn("share", F.lit(0.0)).where(F.lit(False))
     return (counts.where(F.col("n") >= F.lit(min_share * total))

@@ -193,7 +193,7 @@ def _train_and_log(spark, data, version_tag, depth, runs_path, model_dir, max_it
     return path
 
 
-@register("gbt_churn_scores", ids=("ML2", "ML3", "ML4", "ML7", "ML9", "RUN1", "SNK3"))
+@register("gbt_churn_scores", ids=("ML2", "ML3", "ML4", "ML7", "ML9", "RUN1", "SNK3", "FN4"))
 def gbt_churn_scores(spark, d):
     base = shared_dir(spark, "ml", "churn", unique=True)
     path = _train_and_log(spark, churn(spark, d), "v0", 4, f"{base}/runs", f"{base}/models")
@@ -205,7 +205,7 @@ def gbt_churn_scores(spark, d):
     return t.read()
 
 
-@register("gbt_compare_versions", ids=("ML8", "VER2", "EDA2", "RUN2", "RUN3"))
+@register("gbt_compare_versions", ids=("ML8", "VER2", "EDA2", "RUN2", "RUN3", "SRC14"))
 def gbt_compare_versions(spark, d):
     base = shared_dir(spark, "ml", "compare", unique=True)
     t = SnapshotTable(spark, f"{base}/churn_table")

@@ -24,12 +24,12 @@ A_TYPES = ("click", "view", "error")
 TS_MICROS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
 
-def _events_files(spark, d, n_files=4, where=None, fmt="parquet", path=None):
+def _events_files(spark, d, where=None, fmt="parquet", path=None):
     ev = table(spark, d, "events")
     if where is not None:
         ev = ev.where(where)
     path = path or shared_dir(spark, "landing", "events", unique=True)
-    w = ev.repartition(n_files).write.mode("append").format(fmt)
+    w = ev.write.mode("append").format(fmt)      # one file per input split, no shuffle
     if fmt == "json":
         w = w.options(**TS_MICROS)
     w.save(path)

@@ -115,6 +115,15 @@ def time_travel(spark, d):
     return t.read(version=1)
 
 
+@register("time_travel_timestamp", ids=("VER3", "VER4"), sql=DELETED_SQL)
+def time_travel_timestamp(spark, d):
+    t = _fresh_table(spark, d)
+    t.delete_where(DELETE_COND)                          # v1
+    ts = t.history().where("version = 1").first()["timestamp"]
+    t.update_where(UPDATE_COND, {"c_acctbal": 0.0})      # v2, committed after ts
+    return t.read(as_of=ts)
+
+
 @register("time_travel_latest", ids=("VER2", "DML3"), sql=MERGED_SQL)
 def time_travel_latest(spark, d):
     t = _fresh_table(spark, d)
