@@ -58,15 +58,21 @@ def sum_of_squares(col: str | Column) -> Column:
                        lambda acc, x: acc + x.cast("double") * x.cast("double"))
 
 
-def explode_collect(df: DataFrame, key: str, col: str, fn, alias: str) -> DataFrame:
+def explode_collect(df: DataFrame, keep: str | list[str], col: str, fn, alias: str) -> DataFrame:
     """The explode -> compute -> collect spelling of ``transform``.
 
+    Each input row gets a row id first (taken right after the input's scan,
+    where it is stable across task retries), so every group is exactly one
+    input array, whatever the ``keep`` columns' duplicates or skew.
     ``posexplode`` keeps each element's position so the rebuilt array has the
     original order (plain collect_list would not guarantee it). Costs a
-    shuffle on ``key``; prefer :func:`plus_one`-style ``transform``.
+    shuffle on the row id; prefer :func:`plus_one`-style ``transform``.
+    Empty / NULL arrays produce no row (explode drops them).
     """
-    exploded = df.select(key, F.posexplode(col).alias("pos", "v"))
-    return (exploded.groupBy(key)
+    keep = [keep] if isinstance(keep, str) else list(keep)
+    tagged = df.select(F.monotonically_increasing_id().alias("__rid"), *keep, col)
+    exploded = tagged.select("__rid", *keep, F.posexplode(col).alias("pos", "v"))
+    return (exploded.groupBy("__rid", *keep)
             .agg(F.array_sort(F.collect_list(F.struct("pos", fn(F.col("v")).alias("v"))))
                  .alias("__pairs"))
-            .select(key, F.transform("__pairs", lambda p: p["v"]).alias(alias)))
+            .select(*keep, F.transform("__pairs", lambda p: p["v"]).alias(alias)))
