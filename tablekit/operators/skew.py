@@ -13,6 +13,8 @@ explicit and engine-setting independent:
 * ``broadcast_if_small``: broadcast a side only after a row-count bound on it
   is proven (``limit(max_rows + 1).count()``); otherwise leave the choice
   to the planner / AQE.
+* ``skew_join``: the entry point -- broadcast when provably small, else salt
+  the hot keys, else a plain join.
 """
 
 from __future__ import annotations
@@ -46,10 +48,17 @@ def hot_keys(df: DataFrame, key: str | Column, min_share: float = 0.01) -> DataF
             .orderBy(F.desc("n"), "key"))
 
 
-def hot_key_list(df: DataFrame, key: str | Column, min_share: float = 0.01) -> list:
-    """Hot keys as a Python list; bounded by 1/min_share entries."""
+def hot_key_list(df: DataFrame, key: str | Column, min_share: float = 0.01,
+                 sample_fraction: float | None = None, seed: int = 17) -> list:
+    """Hot keys as a Python list; bounded by 1/min_share entries.
+
+    ``sample_fraction`` finds them on a sample (one cheap pass instead of a
+    full group-by). That only decides which keys get salted -- the join that
+    uses the list stays exact for every row whichever keys are in it.
+    """
     limit = int(1 / min_share) + 1
-    return [r["key"] for r in hot_keys(df, key, min_share).select("key").limit(limit).collect()]
+    src = df.sample(fraction=sample_fraction, seed=seed) if sample_fraction else df
+    return [r["key"] for r in hot_keys(src, key, min_share).select("key").limit(limit).collect()]
 
 
 def salted_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str,
@@ -78,7 +87,28 @@ def salted_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str,
     return joined.drop(b["__salt"]).drop(s["__salt"])
 
 
+def is_small(df: DataFrame, max_rows: int) -> bool:
+    """Proven bound: reads at most max_rows + 1 rows of ``df``."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     """``F.broadcast(df)`` only when df provably has <= max_rows rows."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if is_small(df, max_rows) else df
+
+
+def skew_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str,
+              how: str = "inner", broadcast_rows: int = 1_000_000, min_share: float = 0.05,
+              salts: int = 64, sample_fraction: float | None = 0.01) -> DataFrame:
+    """Join a large, possibly skewed side to a smaller one, exactly.
+
+    1. small side provably under ``broadcast_rows`` -> broadcast hash join; the
+       big side is never shuffled, so its skew does not matter.
+    2. otherwise salt the keys that hold >= ``min_share`` of the big side
+       (found on a sample) and shuffle-join on (key, salt).
+    3. no hot key -> plain join (AQE still splits skewed partitions).
+    """
+    if is_small(small, broadcast_rows):
+        return big.join(F.broadcast(small), big[big_key] == small[small_key], how)
+    hot = hot_key_list(big, big_key, min_share, sample_fraction=sample_fraction)
+    return salted_join(big, small, big_key, small_key, hot, salts=salts, how=how)

@@ -44,3 +44,17 @@ def test_broadcast_only_with_proven_bound(spark):
         .analyzed().toString()
     assert "ResolvedHint" not in SK.broadcast_if_small(big, 100)._jdf.queryExecution() \
         .analyzed().toString()
+
+
+def test_skew_join_paths_are_exact(spark):
+    s = skewed_sales(spark, 30000, 3000, seed=21)
+    i = items(spark, 3000)
+    cols = ["s_item_id", "s_quantity", "s_date", "i_item_id", "i_price"]
+    plain = sorted(map(tuple, s.join(i, s.s_item_id == i.i_item_id).select(cols).collect()))
+    bc = SK.skew_join(s, i, "s_item_id", "i_item_id", broadcast_rows=10_000)
+    assert "BroadcastHashJoin" in bc._jdf.queryExecution().executedPlan().toString()
+    salted = SK.skew_join(s, i, "s_item_id", "i_item_id", broadcast_rows=100,
+                          sample_fraction=0.2, salts=4)
+    assert "__salt" in salted._jdf.queryExecution().analyzed().toString()
+    assert sorted(map(tuple, bc.select(cols).collect())) == plain
+    assert sorted(map(tuple, salted.select(cols).collect())) == plain
