@@ -56,7 +56,7 @@ def array_collect(spark, d):
 
 @register("array_transform", ids=("FN12", "UDF2"), sql=f"""
     SELECT l_orderkey, l_linenumber,
-           list_transform("values", lambda t: ((t * 9) // 5) + 32) AS fahrenheit,
+           list_transform("values", lambda t: CAST(((t * 9) // 5) + 32 AS BIGINT)) AS fahrenheit,
            list_transform("values", lambda x: x + 1) AS plus_one
     FROM {READINGS_SQL} t""")
 def array_transform(spark, d):
@@ -84,7 +84,7 @@ def array_exists(spark, d):
 
 @register("array_reduce", ids=("FN15", "FN10", "FN8"), sql=f"""
     SELECT l_orderkey, l_linenumber,
-           ((list_sum("values") // len("values")) * 9 // 5) + 32 AS avg_fahrenheit,
+           CAST(((list_sum("values") // len("values")) * 9 // 5) + 32 AS BIGINT) AS avg_fahrenheit,
            CAST(len("values") AS INTEGER) AS n
     FROM {READINGS_SQL} t""")
 def array_reduce(spark, d):

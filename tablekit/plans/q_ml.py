@@ -39,8 +39,8 @@ CHURN_SQL = f"""(
       AS tenure_days
   FROM customer c LEFT JOIN per p ON c.c_custkey = p.c_custkey)"""
 
-RULE_SQL = f"""(SELECT *, CASE WHEN churn THEN 1.0 ELSE 0.0 END AS label,
-                CASE WHEN n_orders < {RULE_MAX_ORDERS} THEN 1.0 ELSE 0.0 END AS prediction
+RULE_SQL = f"""(SELECT *, CASE WHEN churn THEN 1.0 ELSE 0.0 END::DOUBLE AS label,
+                CASE WHEN n_orders < {RULE_MAX_ORDERS} THEN 1.0 ELSE 0.0 END::DOUBLE AS prediction
                 FROM {CHURN_SQL} ct)"""
 
 RUNS_SQL = f"""(
