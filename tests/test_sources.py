@@ -81,3 +81,24 @@ def test_jdbc_partitioned_read(spark):
     plan = plain.where("N_REGIONKEY = 1").select("N_NAME")._jdf.queryExecution() \
         .executedPlan().toString()
     assert "*EqualTo(n_regionkey,1)" in plan and "ReadSchema: struct<n_name:string>" in plan
+
+
+def test_bucketed_tables_join_without_exchange(spark, scratch):
+    from tablekit.sources import save_table
+    sf = "/root/testdata/sf0.001"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS tk_test LOCATION '{scratch}/wh'")
+    o = spark.read.parquet(f"{sf}/orders.parquet")
+    li = spark.read.parquet(f"{sf}/lineitem.parquet")
+    save_table(o, "tk_test.orders_b", mode="overwrite", bucket_by=(8, ["o_orderkey"]))
+    save_table(li, "tk_test.lineitem_b", mode="overwrite", bucket_by=(8, ["l_orderkey"]))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        a, b = spark.table("tk_test.orders_b"), spark.table("tk_test.lineitem_b")
+        j = a.join(b, a.o_orderkey == b.l_orderkey).groupBy("o_orderstatus").count()
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        join_part = plan.split("SortMergeJoin")[1]
+        assert "Exchange hashpartitioning(o_orderkey" not in join_part
+        assert "Exchange hashpartitioning(l_orderkey" not in join_part
+        assert j.agg({"count": "sum"}).first()[0] == li.join(o, li.l_orderkey == o.o_orderkey).count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
