@@ -166,7 +166,7 @@ class SnapshotTable:
         return self._commit(self.read(version), "RESTORE", {"version": version})
 
     def compact(self, cluster_by: str | None = None, target_file_bytes: int = 128 << 20) -> int:
-        """OPTIMIZE [ZORDER BY col]: rewrite into files of ~target size; with
+        """Compaction: rewrite into files of ~target size; with
         ``cluster_by`` rows are range-partitioned and sorted on that column so
         each file covers a narrow key range (min/max stats then skip files)."""
         size = self.detail().first()["size_in_bytes"] or 0
@@ -176,7 +176,7 @@ class SnapshotTable:
             out = cur.repartitionByRange(n, cluster_by).sortWithinPartitions(cluster_by)
         else:
             out = cur.repartition(n)
-        return self._commit(out, "OPTIMIZE", {"zOrderBy": cluster_by or "", "numFiles": n})
+        return self._commit(out, "OPTIMIZE", {"clusterBy": cluster_by or "", "numFiles": n})
 
     def expire(self, keep_last: int = 1) -> list[int]:
         """VACUUM: delete data of versions older than the last ``keep_last``
