@@ -35,6 +35,44 @@ def tune(spark: SparkSession, overwrite: bool = False) -> SparkSession:
     return spark
 
 
+def scale_confs(input_bytes: int, total_cores: int, executor_mem_per_core: int = 4 << 30,
+                target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Sizes for a job that reads ``input_bytes`` on ``total_cores`` cores.
+
+    * shuffle partitions: enough that each holds ~``target_partition_bytes``
+      of the input (an upper bound on what a shuffle carries), at least 2x the
+      cores so every core has work, capped where per-task overhead dominates.
+      AQE then coalesces small ones and splits skewed ones at run time.
+    * scan split: large files are read in splits that keep ~4 tasks per core
+      per wave without going over ~1 GiB or below 128 MiB.
+    * advisory size / skew threshold follow the partition target; the
+      broadcast threshold stays a small slice of per-core memory, since every
+      executor holds the whole broadcast side.
+    """
+    cores = max(1, int(total_cores))
+    shuffle = max(2 * cores, min(200_000, -(-int(input_bytes) // target_partition_bytes)))
+    split = int(min(1 << 30, max(128 << 20, input_bytes // (4 * cores) if input_bytes else 0)))
+    broadcast = int(min(256 << 20, max(10 << 20, executor_mem_per_core // 16)))
+    return {
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(min(target_partition_bytes, 256 << 20)),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(broadcast),
+        "spark.sql.autoBroadcastJoinThreshold": str(broadcast),
+    }
+
+
+def tune_for(spark: SparkSession, input_bytes: int, total_cores: int | None = None,
+             **kw) -> SparkSession:
+    """``tune`` plus :func:`scale_confs` for an expected input size."""
+    tune(spark)
+    cores = total_cores or spark.sparkContext.defaultParallelism
+    for k, v in scale_confs(input_bytes, cores, **kw).items():
+        spark.conf.set(k, v)
+    return spark
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "tablekit", extra: dict | None = None) -> SparkSession:
     """Local session for tests / bench. UI off, event log off, UTC."""

@@ -77,3 +77,15 @@ def test_udf_paths(spark, name, needle, absent):
 def test_key_lookup_pushed(spark):
     plan = Q["key_lookup"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(o_orderkey,4420)" in plan
+
+
+def test_scale_confs_sizes():
+    from tablekit.session import scale_confs
+    big = scale_confs(100 * (1 << 40), total_cores=8000)         # 100 TB, 1000 x 8 cores
+    assert int(big["spark.sql.shuffle.partitions"]) == 200_000
+    assert int(big["spark.sql.files.maxPartitionBytes"]) == 1 << 30
+    small = scale_confs(20 << 20, total_cores=8)                  # sf0.1 locally
+    assert int(small["spark.sql.shuffle.partitions"]) == 16
+    assert int(small["spark.sql.files.maxPartitionBytes"]) == 128 << 20
+    mid = scale_confs(1 << 40, total_cores=800)                   # 1 TB
+    assert int(mid["spark.sql.shuffle.partitions"]) == 4096
