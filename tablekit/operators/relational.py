@@ -4,7 +4,7 @@ calls -- Catalyst sees the whole plan and pushes filters / prunes columns.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -60,27 +60,41 @@ def top_n_per_group(df: DataFrame, partition_by: Sequence[str], order_by: Sequen
 
 
 def pivot(df: DataFrame, group_by: Sequence[str], pivot_col: str | Column,
-          values: Mapping[object, str], aggs: Mapping[str, Column]) -> DataFrame:
+          values: Mapping[object, str], aggs: Mapping[str, Column | Callable[[Column], Column]],
+          value_col: str | Column | None = None) -> DataFrame:
     """Pivot with listed values and value aliases.
 
     ``values`` maps a pivot value to its alias (``{1: "JAN"}``), ``aggs`` maps
-    an aggregate alias to the aggregate column. Output columns are
+    an aggregate alias to the aggregate. Output columns are
     ``<value alias>_<agg alias>`` (or just ``<value alias>`` for a single
-    aggregate, as SQL PIVOT names them). Listing values avoids the extra
-    distinct job, and the pivot is one hash aggregate with partial agg.
+    aggregate, as SQL PIVOT names them).
+
+    * ``aggs`` as functions (``{"MaxDelay": F.max}``) with ``value_col``: one
+      conditional aggregate per (value, agg) -- ``max(CASE WHEN p = v THEN x
+      END)`` -- so the pivot is a single partially-aggregated shuffle.
+    * ``aggs`` as aggregate Columns: Spark's ``pivot`` (a two-phase aggregate
+      that stays compact for long value lists).
     """
     pc = F.col(pivot_col) if isinstance(pivot_col, str) else pivot_col
+    single = len(aggs) == 1
+
+    def name(valias: str, aalias: str) -> str:
+        return valias if single else f"{valias}_{aalias}"
+
+    if all(callable(a) and not isinstance(a, Column) for a in aggs.values()):
+        if value_col is None:
+            raise ValueError("aggregate functions need value_col")
+        x = F.col(value_col) if isinstance(value_col, str) else value_col
+        cols = [fn(F.when(pc == F.lit(v), x)).alias(name(valias, aalias))
+                for v, valias in values.items() for aalias, fn in aggs.items()]
+        return df.groupBy(*group_by).agg(*cols)
     keyed = df.withColumn("__pv", pc)
-    vals = list(values.keys())
-    out = keyed.groupBy(*group_by).pivot("__pv", vals).agg(
-        *[a.alias(name) for name, a in aggs.items()])
+    out = keyed.groupBy(*group_by).pivot("__pv", list(values.keys())).agg(
+        *[a.alias(n) for n, a in aggs.items()])
     renames = {}
     for v, valias in values.items():
-        if len(aggs) == 1:
-            renames[str(v)] = valias
-        else:
-            for name in aggs:
-                renames[f"{v}_{name}"] = f"{valias}_{name}"
+        for aalias in aggs:
+            renames[str(v) if single else f"{v}_{aalias}"] = name(valias, aalias)
     return out.withColumnsRenamed(renames)
 
 
