@@ -22,7 +22,7 @@ import json
 import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -67,44 +67,45 @@ class SnapshotTable:
         return self.spark.read.schema(HISTORY_SCHEMA).parquet(self.history_path) \
             .orderBy(F.desc("version"))
 
-    def latest_version(self) -> int | None:
+    def _hist(self) -> DataFrame:
+        return self.spark.read.schema(HISTORY_SCHEMA).parquet(self.history_path)
+
+    def _version_row(self, version: int | None = None, as_of=None):
+        """(version, schema_json) of the requested version in one small job:
+        the latest, a given number, or the newest committed at or before
+        ``as_of``."""
         if not self.exists():
             return None
-        r = self.spark.read.schema(HISTORY_SCHEMA).parquet(self.history_path) \
-            .agg(F.max("version")).first()[0]
-        return None if r is None else int(r)
+        h = self._hist()
+        if version is not None:
+            h = h.where(F.col("version") == version)
+        if as_of is not None:
+            h = h.where(F.col("timestamp") <= F.lit(as_of).cast("timestamp"))
+        r = h.agg(F.max_by(F.struct("version", "schema_json"), F.col("version")).alias("m")).first()
+        return None if r is None or r["m"] is None else r["m"]
+
+    def latest_version(self) -> int | None:
+        r = self._version_row()
+        return None if r is None else int(r["version"])
 
     def version_path(self, version: int) -> str:
         return f"{self.path}/v={version}"
 
-    def _schema_of(self, version: int) -> T.StructType | None:
-        row = (self.spark.read.schema(HISTORY_SCHEMA).parquet(self.history_path)
-               .where(F.col("version") == version).select("schema_json").first())
-        if row is None:
-            raise VersionNotFound(f"{self.path} has no version {version}")
-        return T.StructType.fromJson(json.loads(row[0])) if row[0] else None
-
     def read(self, version: int | None = None, as_of: dt.datetime | str | None = None) -> DataFrame:
         """Latest version, ``VERSION AS OF n`` or ``TIMESTAMP AS OF t``."""
-        if as_of is not None:
-            ts = F.lit(as_of).cast("timestamp")
-            r = (self.spark.read.schema(HISTORY_SCHEMA).parquet(self.history_path)
-                 .where(F.col("timestamp") <= ts).agg(F.max("version")).first()[0])
-            if r is None:
-                raise VersionNotFound(f"{self.path} has no version at or before {as_of}")
-            version = int(r)
-        if version is None:
-            version = self.latest_version()
-            if version is None:
-                raise VersionNotFound(f"{self.path} is not a snapshot table")
-        schema = self._schema_of(version)
-        fs, p, _ = _fs(self.spark, self.version_path(version))
+        r = self._version_row(version, as_of)
+        if r is None:
+            what = (f"version {version}" if version is not None else
+                    f"a version at or before {as_of}" if as_of is not None else "a version")
+            raise VersionNotFound(f"{self.path} has no {what}")
+        v = int(r["version"])
+        fs, p, _ = _fs(self.spark, self.version_path(v))
         if not fs.exists(p):
-            raise VersionNotFound(f"version {version} of {self.path} was expired")
-        r = self.spark.read
-        if schema is not None:
-            r = r.schema(schema)
-        return r.parquet(self.version_path(version))
+            raise VersionNotFound(f"version {v} of {self.path} was expired")
+        rd = self.spark.read
+        if r["schema_json"]:
+            rd = rd.schema(T.StructType.fromJson(json.loads(r["schema_json"])))
+        return rd.parquet(self.version_path(v))
 
     def detail(self) -> DataFrame:
         """DESCRIBE DETAIL: format, location, version, file count, bytes, rows.
@@ -126,8 +127,11 @@ class SnapshotTable:
         latest = self.latest_version()
         v = 0 if latest is None else latest + 1
         out = df.hint("rebalance") if rebalance else df
-        out.write.mode("overwrite").parquet(self.version_path(v))
-        n_rows = self.spark.read.parquet(self.version_path(v)).count()  # footers only
+        # the row count comes from the write job itself (no second pass)
+        seen = Observation(f"commit_{v}")
+        out.observe(seen, F.count(F.lit(1)).alias("rows")) \
+            .write.mode("overwrite").parquet(self.version_path(v))
+        n_rows = seen.get["rows"]
         row = (v, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None), operation,
                {k: str(x) for k, x in (params or {}).items()},
                {"num_output_rows": int(n_rows)}, df.schema.json())
