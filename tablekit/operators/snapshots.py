@@ -107,6 +107,13 @@ class SnapshotTable:
             rd = rd.schema(T.StructType.fromJson(json.loads(r["schema_json"])))
         return rd.parquet(self.version_path(v))
 
+    def as_view(self, name: str, version: int | None = None,
+                as_of: dt.datetime | str | None = None) -> DataFrame:
+        """Expose a version to SQL: ``SELECT ... FROM name`` reads that snapshot."""
+        df = self.read(version, as_of)
+        df.createOrReplaceTempView(name)
+        return df
+
     def detail(self) -> DataFrame:
         """DESCRIBE DETAIL: format, location, version, file count, bytes, rows.
         File sizes come from the scan's ``_metadata`` column (distributed)."""

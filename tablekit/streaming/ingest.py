@@ -58,10 +58,13 @@ def stream_files(spark: SparkSession, fmt: str, path: str, schema: StructType |
     return r.load(path)
 
 
-def start(stream: DataFrame, target: str, checkpoint: str, fmt: str = "parquet",
+def start(stream: DataFrame, target: str | None, checkpoint: str, fmt: str = "parquet",
           available_now: bool = False, processing_time: str | None = None,
-          partition_by: list[str] | None = None, name: str | None = None) -> StreamingQuery:
-    """Stream into a file table with a checkpoint (append, exactly once)."""
+          partition_by: list[str] | None = None, name: str | None = None,
+          table: str | None = None) -> StreamingQuery:
+    """Stream into a file table with a checkpoint (append, exactly once).
+    With ``table`` the sink is that catalog table (``toTable``) instead of a
+    path."""
     w = stream.writeStream.format(fmt).option("checkpointLocation", checkpoint).outputMode("append")
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -71,7 +74,7 @@ def start(stream: DataFrame, target: str, checkpoint: str, fmt: str = "parquet",
         w = w.trigger(availableNow=True)
     elif processing_time:
         w = w.trigger(processingTime=processing_time)
-    return w.start(target)
+    return w.toTable(table) if table else w.start(target)
 
 
 def rows_written(q: StreamingQuery) -> int:

@@ -95,3 +95,13 @@ def test_rate_loans_two_writers(spark, scratch):
     ST.write_result(counts, scratch + "/live", scratch + "/ck_live").awaitTermination()
     live = {r["type"]: r["n"] for r in spark.read.parquet(scratch + "/live").collect()}
     assert live == got
+
+
+def test_stream_into_catalog_table(spark, scratch):
+    src = scratch + "/src"
+    spark.range(20).withColumnRenamed("id", "k").write.parquet(src)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS tk_stream LOCATION '{scratch}/wh'")
+    s = ingest.stream_files(spark, "parquet", src, "k long")
+    q = ingest.start(s, None, scratch + "/ck", available_now=True, table="tk_stream.ks")
+    q.awaitTermination()
+    assert spark.table("tk_stream.ks").count() == 20

@@ -121,3 +121,13 @@ def test_snapshot_repair_merge_vacuum_compact(spark, scratch):
     assert all(r["n"] <= 2 for r in files)
     det = t.detail().first()
     assert det["version"] == v and det["num_files"] >= 1 and det["size_in_bytes"] > 0
+
+
+def test_snapshot_as_sql_view(spark, scratch):
+    t = SnapshotTable(spark, scratch + "/loans_sql")
+    t.create(loans(spark))
+    t.delete_where("loan_id = 4420")
+    t.as_view("loans_v0", version=0)
+    t.as_view("loans_now")
+    got = spark.sql("SELECT (SELECT COUNT(*) FROM loans_v0) AS a, (SELECT COUNT(*) FROM loans_now) AS b").first()
+    assert (got["a"], got["b"]) == (4, 3)
