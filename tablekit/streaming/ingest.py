@@ -78,6 +78,9 @@ def start(stream: DataFrame, target: str | None, checkpoint: str, fmt: str = "pa
 
 
 def rows_written(q: StreamingQuery) -> int:
+    """Rows read by the query's micro-batches, from its progress history
+    (``spark.sql.streaming.numRecentProgressUpdates`` batches, 100 by default;
+    an ``availableNow`` run over a file source is usually one batch)."""
     return int(sum(p.get("numInputRows", 0) for p in q.recentProgress))
 
 

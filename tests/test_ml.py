@@ -4,7 +4,6 @@ trip, run selection with ties, latest model in a stage."""
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from tablekit.operators import ml as M
 from tablekit.operators import runs as RU
@@ -86,4 +85,3 @@ def test_class_balance(spark):
     df = spark.createDataFrame([(True,), (False,), (None,), (True,)], "churn boolean")
     r = class_balance(df, "churn").first()
     assert (r["n_total"], r["n_pos"], r["n_neg"]) == (4, 2, 2)
-    assert F is not None
