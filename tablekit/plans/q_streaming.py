@@ -55,7 +55,7 @@ def stream_tumbling_counts(spark, d):
     out = shared_dir(spark, "results", "tumbling", unique=True)
     q = ST.write_result(agg, out, out + "_ckpt", mode="complete")
     q.awaitTermination()
-    return _ntz(spark.read.parquet(out), "window_start", "window_end")
+    return _ntz(ST.read_result(spark, out), "window_start", "window_end")
 
 
 @register("stream_watermark_counts", ids=("STR7",), sql=TUMBLING_SQL)
@@ -87,7 +87,7 @@ def stream_live_counts(spark, d):
     agg = ST.live_counts(ingest.stream_files(spark, "parquet", src, schema), "event_type")
     out = shared_dir(spark, "results", "live", unique=True)
     ST.write_result(agg, out, out + "_ckpt").awaitTermination()
-    return spark.read.parquet(out).orderBy("event_type")
+    return ST.read_result(spark, out).orderBy("event_type")
 
 
 @register("stream_total", ids=("STR9",), sql="SELECT COUNT(*) AS record_count FROM events")
@@ -96,7 +96,7 @@ def stream_total(spark, d):
     agg = ST.live_total(ingest.stream_files(spark, "parquet", src, schema))
     out = shared_dir(spark, "results", "total", unique=True)
     ST.write_result(agg, out, out + "_ckpt").awaitTermination()
-    return spark.read.parquet(out)
+    return ST.read_result(spark, out)
 
 
 @register("copy_into_twice", ids=("STR5", "SRC6"), sql="SELECT * FROM events")

@@ -59,13 +59,46 @@ def live_total(df: DataFrame) -> DataFrame:
     return df.selectExpr("COUNT(*) AS record_count")
 
 
+def _result_batches(spark: SparkSession, target: str) -> list[tuple[int, bool]]:
+    """(batch id, complete?) of the result folders under ``target``."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(target)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    out = []
+    for st in fs.listStatus(path):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith("batch="):
+            done = fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS"))
+            out.append((int(name.split("=", 1)[1]), bool(done)))
+    return sorted(out)
+
+
+def _drop_result_batches(spark: SparkSession, target: str, below: int) -> None:
+    jvm = spark.sparkContext._jvm
+    for b, _ in _result_batches(spark, target):
+        if b < below:
+            p = jvm.org.apache.hadoop.fs.Path(f"{target}/batch={b}")
+            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def write_result(agg: DataFrame, target: str, checkpoint: str, mode: str = "complete",
-                 available_now: bool = True, processing_time: str | None = None) -> StreamingQuery:
+                 available_now: bool = True, processing_time: str | None = None,
+                 keep: int = 2) -> StreamingQuery:
     """Keep the current result of a stateful aggregate in ``target``.
-    Each micro-batch overwrites it (complete mode carries the whole,
-    key-bounded result; a re-run batch rewrites the same content)."""
+
+    Each micro-batch writes its complete (key-bounded) result to its own
+    ``batch=<id>`` folder; a replayed batch rewrites the same folder. Readers
+    (:func:`read_result`) take the newest folder whose write committed, so they
+    never see a half-written result; older folders beyond ``keep`` are
+    removed after each commit.
+    """
+    spark = agg.sparkSession
+
     def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(target)
+        batch.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+        _drop_result_batches(spark, target, batch_id - keep + 1)
 
     w = agg.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(sink)
     w = w.trigger(availableNow=True) if available_now else \
@@ -73,6 +106,14 @@ def write_result(agg: DataFrame, target: str, checkpoint: str, mode: str = "comp
     return w.start()
 
 
+def read_result(spark: SparkSession, target: str) -> DataFrame:
+    """The newest committed result written by :func:`write_result`."""
+    done = [b for b, ok in _result_batches(spark, target) if ok]
+    if not done:
+        raise FileNotFoundError(f"no committed result under {target}")
+    return spark.read.parquet(f"{target}/batch={done[-1]}")
+
+
 def multi_writer(streams: Mapping[str, DataFrame], target: str, checkpoint_base: str,
                  available_now: bool = True, processing_time: str | None = None
                  ) -> list[StreamingQuery]:

@@ -63,10 +63,11 @@ def test_window_counts_stream_equals_batch(spark, scratch):
     out = scratch + "/out"
     ST.write_result(ST.window_counts(stream, "type", "ts", "10 seconds"), out,
                     scratch + "/ck").awaitTermination()
-    key = lambda r: (r["type"], r["window_start"])
-    assert sorted(map(tuple, spark.read.parquet(out).collect()), key=str) == \
+    assert sorted(map(tuple, ST.read_result(spark, out).collect()), key=str) == \
         sorted(map(tuple, batch.collect()), key=str)
     assert batch.count() == 8
+    # one file per trigger -> three batches; only the last two results are kept
+    assert [b for b, _ in ST._result_batches(spark, out)] == [1, 2]
 
 
 def test_rate_loans_two_writers(spark, scratch):
@@ -93,7 +94,7 @@ def test_rate_loans_two_writers(spark, scratch):
     # read the loans table as a stream (running counts by type)
     counts = ST.live_counts(ST.read_table_stream(spark, target), "type")
     ST.write_result(counts, scratch + "/live", scratch + "/ck_live").awaitTermination()
-    live = {r["type"]: r["n"] for r in spark.read.parquet(scratch + "/live").collect()}
+    live = {r["type"]: r["n"] for r in ST.read_result(spark, scratch + "/live").collect()}
     assert live == got
 
 
