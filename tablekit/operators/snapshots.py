@@ -2,15 +2,24 @@
 
 Layout under ``path``::
 
-    v=0/ v=1/ ...        one immutable Parquet directory per version
+    v=0/ v=1/ ...        immutable Parquet folders, one written per commit that adds data
     _history/            one small Parquet file per commit
 
+Every history row names the folders that make up its version
+(``data_dirs``) and that version's schema:
+
+* append writes only the new rows into a new folder; the version is the
+  previous folders plus it -- O(new rows), not O(table);
+* delete / update / merge / compaction are copy-on-write: the new state is
+  written to one new folder (O(table));
+* restore writes nothing: the new version points at the old version's
+  folders and schema;
+* expire deletes only folders no retained version points at.
+
 A version becomes visible only once its history row is written (the last
-step of a commit), so a job killed mid-write leaves an invisible directory
-that the next commit to that number overwrites. Every version is a full
-copy (copy-on-write of the whole table, O(table) per change); there is one
-writer at a time. Reads go through storage, so chains of DML never build
-up lineage.
+step of a commit), so a job killed mid-write leaves a folder no version
+names, which the retry overwrites. One writer at a time. Reads go through
+storage, so chains of DML never build up lineage.
 
 Each DML step is a pure function from :mod:`tablekit.operators.dml`.
 """
@@ -35,6 +44,7 @@ HISTORY_SCHEMA = T.StructType([
     T.StructField("params", T.MapType(T.StringType(), T.StringType()), True),
     T.StructField("metrics", T.MapType(T.StringType(), T.LongType()), True),
     T.StructField("schema_json", T.StringType(), True),
+    T.StructField("data_dirs", T.ArrayType(T.StringType()), True),
 ])
 
 
@@ -60,20 +70,18 @@ class SnapshotTable:
         fs, p, jvm = _fs(self.spark, self.history_path)
         return bool(fs.exists(p))
 
+    def _hist(self) -> DataFrame:
+        return self.spark.read.schema(HISTORY_SCHEMA).parquet(self.history_path)
+
     def history(self) -> DataFrame:
         """DESCRIBE HISTORY: one row per commit, newest first."""
         if not self.exists():
             return self.spark.createDataFrame([], HISTORY_SCHEMA)
-        return self.spark.read.schema(HISTORY_SCHEMA).parquet(self.history_path) \
-            .orderBy(F.desc("version"))
-
-    def _hist(self) -> DataFrame:
-        return self.spark.read.schema(HISTORY_SCHEMA).parquet(self.history_path)
+        return self._hist().orderBy(F.desc("version"))
 
     def _version_row(self, version: int | None = None, as_of=None):
-        """(version, schema_json) of the requested version in one small job:
-        the latest, a given number, or the newest committed at or before
-        ``as_of``."""
+        """The history row of the latest version, version ``version``, or the
+        newest committed at or before ``as_of`` -- one small job."""
         if not self.exists():
             return None
         h = self._hist()
@@ -81,7 +89,8 @@ class SnapshotTable:
             h = h.where(F.col("version") == version)
         if as_of is not None:
             h = h.where(F.col("timestamp") <= F.lit(as_of).cast("timestamp"))
-        r = h.agg(F.max_by(F.struct("version", "schema_json"), F.col("version")).alias("m")).first()
+        r = h.agg(F.max_by(F.struct(*HISTORY_SCHEMA.fieldNames()), F.col("version")).alias("m")) \
+            .first()
         return None if r is None or r["m"] is None else r["m"]
 
     def latest_version(self) -> int | None:
@@ -89,23 +98,30 @@ class SnapshotTable:
         return None if r is None else int(r["version"])
 
     def version_path(self, version: int) -> str:
+        """Folder written by commit ``version`` (if that commit wrote data)."""
         return f"{self.path}/v={version}"
 
-    def read(self, version: int | None = None, as_of: dt.datetime | str | None = None) -> DataFrame:
-        """Latest version, ``VERSION AS OF n`` or ``TIMESTAMP AS OF t``."""
+    def _require(self, version: int | None = None, as_of=None):
         r = self._version_row(version, as_of)
         if r is None:
             what = (f"version {version}" if version is not None else
                     f"a version at or before {as_of}" if as_of is not None else "a version")
             raise VersionNotFound(f"{self.path} has no {what}")
-        v = int(r["version"])
-        fs, p, _ = _fs(self.spark, self.version_path(v))
-        if not fs.exists(p):
-            raise VersionNotFound(f"version {v} of {self.path} was expired")
-        rd = self.spark.read
-        if r["schema_json"]:
-            rd = rd.schema(T.StructType.fromJson(json.loads(r["schema_json"])))
-        return rd.parquet(self.version_path(v))
+        return r
+
+    def _frame(self, row) -> DataFrame:
+        dirs = [f"{self.path}/{d}" for d in row["data_dirs"]]
+        for d in dirs:
+            fs, p, _ = _fs(self.spark, d)
+            if not fs.exists(p):
+                raise VersionNotFound(f"version {row['version']} of {self.path} was expired")
+        schema = T.StructType.fromJson(json.loads(row["schema_json"]))
+        # one schema for all folders: columns a folder lacks read as NULL
+        return self.spark.read.schema(schema).parquet(*dirs)
+
+    def read(self, version: int | None = None, as_of: dt.datetime | str | None = None) -> DataFrame:
+        """Latest version, ``VERSION AS OF n`` or ``TIMESTAMP AS OF t``."""
+        return self._frame(self._require(version, as_of))
 
     def as_view(self, name: str, version: int | None = None,
                 as_of: dt.datetime | str | None = None) -> DataFrame:
@@ -115,33 +131,41 @@ class SnapshotTable:
         return df
 
     def detail(self) -> DataFrame:
-        """DESCRIBE DETAIL: format, location, version, file count, bytes, rows.
+        """DESCRIBE DETAIL: format, location, version, file count, bytes.
         File sizes come from the scan's ``_metadata`` column (distributed)."""
-        v = self.latest_version()
-        df = self.read(v)
-        files = df.select("_metadata.file_path", "_metadata.file_size").distinct()
+        row = self._require()
+        files = self._frame(row).select("_metadata.file_path", "_metadata.file_size").distinct()
         return files.agg(
             F.lit("parquet").alias("format"),
-            F.lit(self.version_path(v)).alias("location"),
-            F.lit(v).cast("long").alias("version"),
+            F.lit(self.path).alias("location"),
+            F.lit(int(row["version"])).cast("long").alias("version"),
             F.count(F.lit(1)).alias("num_files"),
             F.sum("file_size").cast("long").alias("size_in_bytes"),
         )
 
     # ---- writing ---------------------------------------------------------
-    def _commit(self, df: DataFrame, operation: str, params: Mapping[str, object] | None = None,
+    def _commit(self, df: DataFrame | None, operation: str,
+                params: Mapping[str, object] | None = None, keep_dirs: Sequence[str] = (),
+                keep_rows: int = 0, schema: T.StructType | None = None,
                 rebalance: bool = False) -> int:
+        """Write ``df`` (if any) into a new folder and publish a version made
+        of ``keep_dirs`` + that folder."""
         latest = self.latest_version()
         v = 0 if latest is None else latest + 1
-        out = df.hint("rebalance") if rebalance else df
-        # the row count comes from the write job itself (no second pass)
-        seen = Observation(f"commit_{v}")
-        out.observe(seen, F.count(F.lit(1)).alias("rows")) \
-            .write.mode("overwrite").parquet(self.version_path(v))
-        n_rows = seen.get["rows"]
+        dirs = list(keep_dirs)
+        n_rows = keep_rows
+        if df is not None:
+            out = df.hint("rebalance") if rebalance else df
+            # the row count comes from the write job itself (no second pass)
+            seen = Observation(f"commit_{v}")
+            out.observe(seen, F.count(F.lit(1)).alias("rows")) \
+                .write.mode("overwrite").parquet(self.version_path(v))
+            n_rows += int(seen.get["rows"])
+            dirs.append(f"v={v}")
+            schema = schema or df.schema
         row = (v, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None), operation,
                {k: str(x) for k, x in (params or {}).items()},
-               {"num_output_rows": int(n_rows)}, df.schema.json())
+               {"num_output_rows": int(n_rows)}, schema.json(), dirs)
         (self.spark.createDataFrame([row], HISTORY_SCHEMA).coalesce(1)
          .write.mode("append").parquet(self.history_path))
         return v
@@ -155,10 +179,17 @@ class SnapshotTable:
         return self._commit(df, "WRITE", {"mode": "Overwrite"})
 
     def append(self, rows: DataFrame, evolve: bool = False) -> int:
-        """INSERT INTO / append. Extra columns raise unless ``evolve``."""
-        cur = self.read()
-        return self._commit(dml.append(cur, rows, evolve), "WRITE",
-                            {"mode": "Append", "mergeSchema": evolve})
+        """INSERT INTO / append. Extra columns raise unless ``evolve``; only the
+        new rows are written (the version reuses the previous folders)."""
+        cur = self._require()
+        schema = T.StructType.fromJson(json.loads(cur["schema_json"]))
+        dml.check_schema(schema, rows.schema, evolve)
+        have = {f.name.lower() for f in schema.fields}
+        merged = T.StructType(list(schema.fields) +
+                              [f for f in rows.schema.fields if f.name.lower() not in have])
+        return self._commit(rows, "WRITE", {"mode": "Append", "mergeSchema": evolve},
+                            keep_dirs=cur["data_dirs"],
+                            keep_rows=int(cur["metrics"]["num_output_rows"]), schema=merged)
 
     def delete_where(self, cond: Column | str) -> int:
         return self._commit(dml.delete_where(self.read(), cond), "DELETE",
@@ -173,11 +204,17 @@ class SnapshotTable:
                             {"keys": ",".join(keys)})
 
     def restore(self, version: int) -> int:
-        """RESTORE ... VERSION AS OF n: publish version n again (rows and schema)."""
-        return self._commit(self.read(version), "RESTORE", {"version": version})
+        """RESTORE ... VERSION AS OF n: publish version n again (rows and
+        schema) by pointing at its folders -- nothing is copied."""
+        old = self._require(version)
+        self._frame(old)                                   # fails if n was expired
+        return self._commit(None, "RESTORE", {"version": version},
+                            keep_dirs=old["data_dirs"],
+                            keep_rows=int(old["metrics"]["num_output_rows"]),
+                            schema=T.StructType.fromJson(json.loads(old["schema_json"])))
 
     def compact(self, cluster_by: str | None = None, target_file_bytes: int = 128 << 20) -> int:
-        """Compaction: rewrite into files of ~target size; with
+        """Compaction: rewrite the version into files of ~target size; with
         ``cluster_by`` rows are range-partitioned and sorted on that column so
         each file covers a narrow key range (min/max stats then skip files)."""
         size = self.detail().first()["size_in_bytes"] or 0
@@ -190,19 +227,23 @@ class SnapshotTable:
         return self._commit(out, "OPTIMIZE", {"clusterBy": cluster_by or "", "numFiles": n})
 
     def expire(self, keep_last: int = 1) -> list[int]:
-        """VACUUM: delete data of versions older than the last ``keep_last``
-        (the latest is always kept). History rows stay; reading an expired
-        version raises."""
+        """VACUUM: delete data folders that none of the last ``keep_last``
+        versions uses (the latest is always kept). History rows stay;
+        reading a version whose folders are gone raises."""
         latest = self.latest_version()
         if latest is None:
             return []
+        keep_from = max(0, latest - max(1, keep_last) + 1)
+        live = {r[0] for r in self._hist().where(F.col("version") >= keep_from)
+                .select(F.explode("data_dirs")).distinct().collect()}
+        fs, root, jvm = _fs(self.spark, self.path)
         removed = []
-        for v in range(0, max(0, latest - keep_last + 1)):
-            fs, p, _ = _fs(self.spark, self.version_path(v))
-            if fs.exists(p):
-                fs.delete(p, True)
-                removed.append(v)
-        return removed
+        for st in fs.listStatus(root):
+            name = st.getPath().getName()
+            if st.isDirectory() and name.startswith("v=") and name not in live:
+                fs.delete(st.getPath(), True)
+                removed.append(int(name[2:]))
+        return sorted(removed)
 
     def diff(self, a: int, b: int) -> DataFrame:
         """Rows deleted / inserted between versions ``a`` and ``b``."""

@@ -131,3 +131,23 @@ def test_snapshot_as_sql_view(spark, scratch):
     t.as_view("loans_now")
     got = spark.sql("SELECT (SELECT COUNT(*) FROM loans_v0) AS a, (SELECT COUNT(*) FROM loans_now) AS b").first()
     assert (got["a"], got["b"]) == (4, 3)
+
+
+def test_append_writes_only_new_rows_and_restore_copies_nothing(spark, scratch):
+    import os
+    t = SnapshotTable(spark, scratch + "/loans3")
+    base = scratch.replace("file:", "") + "/loans3"
+    t.create(loans(spark))                                   # v0: 4 rows
+    extra = spark.createDataFrame([(99997, 1, 1.0, "CA", "batch", None, 700)],
+                                  LOAN_SCHEMA + ", credit_score int")
+    t.append(extra, evolve=True)                             # v1: folder with 1 row
+    assert spark.read.parquet(t.version_path(1)).count() == 1
+    h1 = t.history().where("version = 1").first()
+    assert list(h1["data_dirs"]) == ["v=0", "v=1"] and h1["metrics"]["num_output_rows"] == 5
+    assert t.read().where("credit_score IS NULL").count() == 4
+    t.delete_where("loan_id = 10")                           # v2: copy-on-write
+    assert t.restore(0) == 3                                 # v3 -> v=0, no new folder
+    assert not os.path.exists(base + "/v=3")
+    assert rows(t.read()) == rows(t.read(0)) and t.read().schema == t.read(0).schema
+    assert t.expire(keep_last=1) == [1, 2]                   # v=0 still used by v3
+    assert rows(t.read()) == rows(loans(spark))
