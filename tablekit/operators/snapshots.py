@@ -10,8 +10,9 @@ Every history row names the folders that make up its version
 
 * append writes only the new rows into a new folder; the version is the
   previous folders plus it -- O(new rows), not O(table);
-* delete / update / merge / compaction are copy-on-write: the new state is
-  written to one new folder (O(table));
+* delete / update / merge rewrite only the folders holding affected rows
+  (found with one pushed-down scan of ``_metadata.file_path``) into one new
+  folder and keep the others -- O(touched folders); compaction rewrites all;
 * restore writes nothing: the new version points at the old version's
   folders and schema;
 * expire deletes only folders no retained version points at.
@@ -191,17 +192,68 @@ class SnapshotTable:
                             keep_dirs=cur["data_dirs"],
                             keep_rows=int(cur["metrics"]["num_output_rows"]), schema=merged)
 
+    # Row-level changes rewrite only the folders that hold affected rows; the
+    # other folders of the version are kept as they are.
+    @staticmethod
+    def _with_folder(scan: DataFrame) -> DataFrame:
+        """Tag each scanned row with its folder (``v=N``), taken from the file
+        path; must be applied to the scan itself (before any join)."""
+        return scan.withColumn(
+            "__folder", F.regexp_extract(F.col("_metadata.file_path"), r"/(v=[0-9]+)/[^/]*$", 1))
+
+    @staticmethod
+    def _folders_with(rows: DataFrame) -> list[str]:
+        """Distinct ``__folder`` values of ``rows``: at most one entry per
+        folder comes back to the driver."""
+        return sorted(r[0] for r in rows.select("__folder").distinct().collect())
+
+    def _rewrite(self, cur, touched: list[str], change, operation: str,
+                 params: Mapping[str, object]) -> int:
+        schema = T.StructType.fromJson(json.loads(cur["schema_json"]))
+        keep = [d for d in cur["data_dirs"] if d not in touched]
+        if not touched:                                    # nothing matched: same folders
+            return self._commit(None, operation, params, keep_dirs=keep,
+                                keep_rows=int(cur["metrics"]["num_output_rows"]), schema=schema)
+        kept_rows = (self.spark.read.schema(schema)
+                     .parquet(*[f"{self.path}/{d}" for d in keep]).count() if keep else 0)
+        part = self.spark.read.schema(schema).parquet(*[f"{self.path}/{d}" for d in touched])
+        return self._commit(change(part), operation, params, keep_dirs=keep,
+                            keep_rows=kept_rows, schema=schema)
+
     def delete_where(self, cond: Column | str) -> int:
-        return self._commit(dml.delete_where(self.read(), cond), "DELETE",
-                            {"predicate": str(cond)})
+        cur = self._require()
+        touched = self._folders_with(self._with_folder(self._frame(cur)).where(dml._cond(cond)))
+        return self._rewrite(cur, touched, lambda df: dml.delete_where(df, cond), "DELETE",
+                             {"predicate": str(cond)})
 
     def update_where(self, cond: Column | str, assignments: Mapping[str, object]) -> int:
-        return self._commit(dml.update_where(self.read(), cond, assignments), "UPDATE",
-                            {"predicate": str(cond)})
+        cur = self._require()
+        touched = self._folders_with(self._with_folder(self._frame(cur)).where(dml._cond(cond)))
+        return self._rewrite(cur, touched,
+                             lambda df: dml.update_where(df, cond, assignments), "UPDATE",
+                             {"predicate": str(cond)})
 
     def merge(self, source: DataFrame, keys: Sequence[str]) -> int:
-        return self._commit(dml.merge_upsert(self.read(), source, keys), "MERGE",
-                            {"keys": ",".join(keys)})
+        """Upsert. Folders holding a matched key are rewritten with the merge;
+        unmatched source rows (inserts) go to the same new folder."""
+        cur = self._require()
+        keys = list(keys)
+        dml.check_schema(T.StructType.fromJson(json.loads(cur["schema_json"])), source.schema,
+                         evolve=False)
+        dml.assert_unique_keys(source, keys)
+        target = self._frame(cur)
+        src_keys = source.select(*keys).where(dml._all_not_null(keys))
+        touched = self._folders_with(
+            self._with_folder(target).join(src_keys, on=keys, how="left_semi"))
+        params = {"keys": ",".join(keys)}
+        if not touched:                                    # all inserts: an append
+            return self._commit(source.select(*target.columns), "MERGE", params,
+                                keep_dirs=cur["data_dirs"],
+                                keep_rows=int(cur["metrics"]["num_output_rows"]),
+                                schema=T.StructType.fromJson(json.loads(cur["schema_json"])))
+        return self._rewrite(cur, touched,
+                             lambda df: dml.merge_upsert(df, source, keys, check_unique=False),
+                             "MERGE", params)
 
     def restore(self, version: int) -> int:
         """RESTORE ... VERSION AS OF n: publish version n again (rows and

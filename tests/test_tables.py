@@ -110,8 +110,10 @@ def test_snapshot_repair_merge_vacuum_compact(spark, scratch):
     assert rows(t.read()) == rows(t.read(0))
     src = spark.createDataFrame([(4420, 22000, 1.0, "CA", "x", None)], LOAN_SCHEMA)
     t.merge(src, ["loan_id"])
+    # the merge rewrote only v=2 (the folder holding key 4420): latest = v=1 + v=3
+    assert list(t.history().first()["data_dirs"]) == ["v=1", "v=3"]
     removed = t.expire(keep_last=1)
-    assert removed == [0, 1, 2]
+    assert removed == [0, 2]
     with pytest.raises(VersionNotFound):
         t.read(0).count()
     assert t.read().where("loan_id = 4420").first()["funded_amnt"] == 22000
@@ -151,3 +153,23 @@ def test_append_writes_only_new_rows_and_restore_copies_nothing(spark, scratch):
     assert rows(t.read()) == rows(t.read(0)) and t.read().schema == t.read(0).schema
     assert t.expire(keep_last=1) == [1, 2]                   # v=0 still used by v3
     assert rows(t.read()) == rows(loans(spark))
+
+
+def test_dml_rewrites_only_touched_folders(spark, scratch):
+    t = SnapshotTable(spark, scratch + "/loans4")
+    t.create(loans(spark))                                           # v=0
+    more = spark.createDataFrame([(20, 1, 1.0, "CA", "x", None), (21, 2, 2.0, "TX", "x", None)],
+                                 LOAN_SCHEMA)
+    t.append(more)                                                   # v=1
+    t.delete_where("loan_id = 21")                                   # touches v=1 only
+    h = t.history().first()
+    assert list(h["data_dirs"]) == ["v=0", "v=2"] and h["metrics"]["num_output_rows"] == 5
+    t.update_where("loan_id = 999", {"funded_amnt": 1})              # matches nothing
+    assert list(t.history().first()["data_dirs"]) == ["v=0", "v=2"]
+    t.merge(spark.createDataFrame([(30, 3, 3.0, "NY", "new", None)], LOAN_SCHEMA), ["loan_id"])
+    assert list(t.history().first()["data_dirs"]) == ["v=0", "v=2", "v=4"]   # pure insert
+    t.merge(spark.createDataFrame([(10, 9, 9.0, "NY", "upd", None)], LOAN_SCHEMA), ["loan_id"])
+    h = t.history().first()
+    assert list(h["data_dirs"]) == ["v=2", "v=4", "v=5"] and h["metrics"]["num_output_rows"] == 6
+    got = {r["loan_id"]: r["type"] for r in t.read().collect()}
+    assert got == {4420: "batch", 10: "upd", 11: "batch", 12: "batch", 20: "x", 30: "new"}
