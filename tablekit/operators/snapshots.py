@@ -179,17 +179,35 @@ class SnapshotTable:
     def overwrite(self, df: DataFrame) -> int:
         return self._commit(df, "WRITE", {"mode": "Overwrite"})
 
-    def append(self, rows: DataFrame, evolve: bool = False) -> int:
+    def committed_batch(self, app_id: str) -> int:
+        """Highest stream batch id of ``app_id`` already committed (-1 if none)."""
+        if not self.exists():
+            return -1
+        r = (self._hist().where(F.col("params")["txnAppId"] == app_id)
+             .agg(F.max(F.col("params")["txnVersion"].cast("long"))).first()[0])
+        return -1 if r is None else int(r)
+
+    def append(self, rows: DataFrame, evolve: bool = False,
+               txn: tuple[str, int] | None = None) -> int | None:
         """INSERT INTO / append. Extra columns raise unless ``evolve``; only the
-        new rows are written (the version reuses the previous folders)."""
+        new rows are written (the version reuses the previous folders).
+
+        ``txn=(app_id, batch_id)`` makes a stream's appends idempotent: a batch
+        id at or below the last one committed for ``app_id`` is skipped
+        (returns None), so a replayed micro-batch is not written twice.
+        """
+        params = {"mode": "Append", "mergeSchema": evolve}
+        if txn is not None:
+            if txn[1] <= self.committed_batch(txn[0]):
+                return None
+            params.update({"txnAppId": txn[0], "txnVersion": txn[1]})
         cur = self._require()
         schema = T.StructType.fromJson(json.loads(cur["schema_json"]))
         dml.check_schema(schema, rows.schema, evolve)
         have = {f.name.lower() for f in schema.fields}
         merged = T.StructType(list(schema.fields) +
                               [f for f in rows.schema.fields if f.name.lower() not in have])
-        return self._commit(rows, "WRITE", {"mode": "Append", "mergeSchema": evolve},
-                            keep_dirs=cur["data_dirs"],
+        return self._commit(rows, "WRITE", params, keep_dirs=cur["data_dirs"],
                             keep_rows=int(cur["metrics"]["num_output_rows"]), schema=merged)
 
     # Row-level changes rewrite only the folders that hold affected rows; the
@@ -297,6 +315,23 @@ class SnapshotTable:
                 removed.append(int(name[2:]))
         return sorted(removed)
 
+    def stream_into(self, stream: DataFrame, checkpoint: str, app_id: str | None = None,
+                    evolve: bool = False, available_now: bool = False,
+                    processing_time: str | None = None):
+        """``writeStream ... .table(t)`` for a snapshot table: every micro-batch
+        becomes one append version (O(batch)), exactly once across restarts
+        and replays (batch ids are recorded with the commit). The table must
+        exist (``create`` it, e.g. from ``empty_like``). One writer per table."""
+        app = app_id or f"stream:{checkpoint}"
+
+        def sink(batch: DataFrame, batch_id: int) -> None:
+            self.append(batch, evolve=evolve, txn=(app, batch_id))
+
+        w = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(sink)
+        w = w.trigger(availableNow=True) if available_now else \
+            w.trigger(processingTime=processing_time or "5 seconds")
+        return w.start()
+
     def diff(self, a: int, b: int) -> DataFrame:
         """Rows deleted / inserted between versions ``a`` and ``b``."""
         return dml.diff(self.read(a), self.read(b))

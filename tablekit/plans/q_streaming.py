@@ -8,9 +8,10 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tablekit.operators.snapshots import SnapshotTable
 from tablekit.plans.registry import register
 from tablekit.session import shared_dir
-from tablekit.sources import table
+from tablekit.sources import empty_like, table
 from tablekit.streaming import ingest
 from tablekit.streaming import streams as ST
 
@@ -154,3 +155,16 @@ def multi_writer_counts(spark, d):
     t = spark.read.parquet(target)               # batch read of what both committed
     return t.groupBy("type").agg(F.count(F.lit(1)).alias("n"),
                                  F.count_distinct("loan_id").alias("n_loans"))
+
+
+@register("stream_into_table", ids=("STR3", "SNK3", "SRC7"), sql="SELECT * FROM events")
+def stream_into_table(spark, d):
+    # writeStream into a versioned table: one append version per micro-batch,
+    # exactly once (batch ids are recorded with each commit)
+    src, schema = _events_files(spark, d)
+    t = SnapshotTable(spark, shared_dir(spark, "tables", "events_versioned", unique=True))
+    t.create(empty_like(table(spark, d, "events")))
+    stream = ingest.stream_files(spark, "parquet", src, schema)
+    t.stream_into(stream, t.path + "_ckpt", app_id="events", available_now=True) \
+        .awaitTermination()
+    return t.read()

@@ -173,3 +173,23 @@ def test_dml_rewrites_only_touched_folders(spark, scratch):
     assert list(h["data_dirs"]) == ["v=2", "v=4", "v=5"] and h["metrics"]["num_output_rows"] == 6
     got = {r["loan_id"]: r["type"] for r in t.read().collect()}
     assert got == {4420: "batch", 10: "upd", 11: "batch", 12: "batch", 20: "x", 30: "new"}
+
+
+def test_stream_into_snapshot_is_exactly_once(spark, scratch):
+    from tablekit.sources import empty_like
+    src = scratch + "/landing"
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    ev.repartition(3).write.parquet(src)
+    t = SnapshotTable(spark, scratch + "/events_tbl")
+    t.create(empty_like(ev))
+    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    t.stream_into(stream, scratch + "/ck", app_id="ev", available_now=True).awaitTermination()
+    assert t.read().count() == ev.count()
+    assert t.committed_batch("ev") == 2                        # three batches, one file each
+    assert t.history().first()["metrics"]["num_output_rows"] == ev.count()
+    # a replayed batch (same app id, same batch id) is skipped
+    assert t.append(ev.limit(5), txn=("ev", 2)) is None
+    # restart from the checkpoint: nothing new
+    t.stream_into(stream, scratch + "/ck", app_id="ev", available_now=True).awaitTermination()
+    assert t.read().count() == ev.count()
+    assert t.read().select("event_id").distinct().count() == ev.count()
