@@ -32,6 +32,7 @@ import json
 import math
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,6 +50,9 @@ HISTORY_SCHEMA = T.StructType([
 ])
 
 
+HISTORY_COMPACT_EVERY = 100   # commits between history compactions
+
+
 class VersionNotFound(LookupError):
     pass
 
@@ -78,7 +82,24 @@ class SnapshotTable:
         """DESCRIBE HISTORY: one row per commit, newest first."""
         if not self.exists():
             return self.spark.createDataFrame([], HISTORY_SCHEMA)
-        return self._hist().orderBy(F.desc("version"))
+        # a history compaction that died half-way can leave a row twice
+        return self._hist().dropDuplicates(["version"]).orderBy(F.desc("version"))
+
+    def compact_history(self) -> int:
+        """Rewrite the history (one small file per commit) as one file.
+        The new file is added first and the old ones deleted after, so a
+        reader in between sees every row (duplicates are dropped on read)."""
+        fs, root, jvm = _fs(self.spark, self.history_path)
+        old = [st.getPath() for st in fs.listStatus(root)
+               if st.getPath().getName().endswith(".parquet")]
+        # the input listing is fixed when the job is planned, so the file this
+        # job appends is not read back by it
+        seen = Observation("history_rows")
+        (self._hist().dropDuplicates(["version"]).observe(seen, F.count(F.lit(1)).alias("n"))
+         .coalesce(1).write.mode("append").parquet(self.history_path))
+        for p in old:
+            fs.delete(p, False)
+        return int(seen.get["n"])
 
     def _version_row(self, version: int | None = None, as_of=None):
         """The history row of the latest version, version ``version``, or the
@@ -112,13 +133,16 @@ class SnapshotTable:
 
     def _frame(self, row) -> DataFrame:
         dirs = [f"{self.path}/{d}" for d in row["data_dirs"]]
-        for d in dirs:
-            fs, p, _ = _fs(self.spark, d)
-            if not fs.exists(p):
-                raise VersionNotFound(f"version {row['version']} of {self.path} was expired")
         schema = T.StructType.fromJson(json.loads(row["schema_json"]))
-        # one schema for all folders: columns a folder lacks read as NULL
-        return self.spark.read.schema(schema).parquet(*dirs)
+        # one schema for all folders: columns a folder lacks read as NULL. The
+        # reader checks the paths itself (in parallel for many folders).
+        try:
+            return self.spark.read.schema(schema).parquet(*dirs)
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" in str(e):
+                raise VersionNotFound(
+                    f"version {row['version']} of {self.path} was expired") from e
+            raise
 
     def read(self, version: int | None = None, as_of: dt.datetime | str | None = None) -> DataFrame:
         """Latest version, ``VERSION AS OF n`` or ``TIMESTAMP AS OF t``."""
@@ -169,6 +193,8 @@ class SnapshotTable:
                {"num_output_rows": int(n_rows)}, schema.json(), dirs)
         (self.spark.createDataFrame([row], HISTORY_SCHEMA).coalesce(1)
          .write.mode("append").parquet(self.history_path))
+        if v and v % HISTORY_COMPACT_EVERY == 0:
+            self.compact_history()
         return v
 
     def create(self, df: DataFrame, operation: str = "CREATE TABLE AS SELECT") -> int:

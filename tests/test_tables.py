@@ -193,3 +193,18 @@ def test_stream_into_snapshot_is_exactly_once(spark, scratch):
     t.stream_into(stream, scratch + "/ck", app_id="ev", available_now=True).awaitTermination()
     assert t.read().count() == ev.count()
     assert t.read().select("event_id").distinct().count() == ev.count()
+
+
+def test_history_compaction_keeps_every_version(spark, scratch, monkeypatch):
+    import os
+    from tablekit.operators import snapshots as S
+    monkeypatch.setattr(S, "HISTORY_COMPACT_EVERY", 3)
+    t = SnapshotTable(spark, scratch + "/hist")
+    t.create(loans(spark))
+    for i in range(4):
+        t.append(loans(spark).withColumn("loan_id", F.col("loan_id") + 100 * (i + 1)))
+    files = [f for f in os.listdir(scratch.replace("file:", "") + "/hist/_history")
+             if f.endswith(".parquet")]
+    assert len(files) == 2                     # compacted at v3, plus the v4 commit
+    assert [r["version"] for r in t.history().collect()] == [4, 3, 2, 1, 0]
+    assert t.read().count() == 20 and t.read(2).count() == 12
