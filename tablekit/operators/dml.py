@@ -22,20 +22,21 @@ class DuplicateMergeKeys(ValueError):
     """A merge source carries the same key more than once."""
 
 
-def _cond(cond: Column | str) -> Column:
+def predicate(cond: Column | str) -> Column:
+    """``cond`` as a two-valued predicate: NULL counts as false."""
     c = F.expr(cond) if isinstance(cond, str) else cond
     return F.coalesce(c, F.lit(False))
 
 
 def delete_where(df: DataFrame, cond: Column | str) -> DataFrame:
     """DELETE ... WHERE cond. A row whose predicate is NULL is kept."""
-    return df.where(~_cond(cond))
+    return df.where(~predicate(cond))
 
 
 def update_where(df: DataFrame, cond: Column | str,
                  assignments: Mapping[str, Column | object]) -> DataFrame:
     """UPDATE ... SET col = value WHERE cond (types of the table are kept)."""
-    m = _cond(cond)
+    m = predicate(cond)
     types = {f.name: f.dataType for f in df.schema.fields}
     new = {}
     for col, v in assignments.items():
@@ -75,7 +76,7 @@ def append(df: DataFrame, new_rows: DataFrame, evolve: bool = False) -> DataFram
 def assert_unique_keys(source: DataFrame, keys: Sequence[str]) -> None:
     """Distributed check: any key with two rows -> error. Only a count of at
     most one row comes back to the driver."""
-    dup = (source.where(_all_not_null(keys))
+    dup = (source.where(all_not_null(keys))
            .groupBy(*keys).count().where(F.col("count") > 1).limit(1).count())
     if dup:
         raise DuplicateMergeKeys(f"merge source has duplicate keys on {list(keys)}")
@@ -97,12 +98,13 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
         raise SchemaMismatch("UPDATE SET * / INSERT * need the same columns on both sides")
     if check_unique:
         assert_unique_keys(source, keys)
-    src_keys = source.select(*keys).where(_all_not_null(keys))
+    src_keys = source.select(*keys).where(all_not_null(keys))
     kept = target.join(src_keys, on=keys, how="left_anti")
     return kept.unionByName(source.select(*target.columns))
 
 
-def _all_not_null(keys: Sequence[str]) -> Column:
+def all_not_null(keys: Sequence[str]) -> Column:
+    """True when none of ``keys`` is NULL (NULL keys never match in a merge)."""
     c = F.lit(True)
     for k in keys:
         c = c & F.col(k).isNotNull()

@@ -266,13 +266,15 @@ class SnapshotTable:
 
     def delete_where(self, cond: Column | str) -> int:
         cur = self._require()
-        touched = self._folders_with(self._with_folder(self._frame(cur)).where(dml._cond(cond)))
+        scan = self._with_folder(self._frame(cur))
+        touched = self._folders_with(scan.where(dml.predicate(cond)))
         return self._rewrite(cur, touched, lambda df: dml.delete_where(df, cond), "DELETE",
                              {"predicate": str(cond)})
 
     def update_where(self, cond: Column | str, assignments: Mapping[str, object]) -> int:
         cur = self._require()
-        touched = self._folders_with(self._with_folder(self._frame(cur)).where(dml._cond(cond)))
+        scan = self._with_folder(self._frame(cur))
+        touched = self._folders_with(scan.where(dml.predicate(cond)))
         return self._rewrite(cur, touched,
                              lambda df: dml.update_where(df, cond, assignments), "UPDATE",
                              {"predicate": str(cond)})
@@ -286,7 +288,7 @@ class SnapshotTable:
                          evolve=False)
         dml.assert_unique_keys(source, keys)
         target = self._frame(cur)
-        src_keys = source.select(*keys).where(dml._all_not_null(keys))
+        src_keys = source.select(*keys).where(dml.all_not_null(keys))
         touched = self._folders_with(
             self._with_folder(target).join(src_keys, on=keys, how="left_semi"))
         params = {"keys": ",".join(keys)}
