@@ -23,6 +23,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def key_counts(df: DataFrame, key: str | Column) -> DataFrame:
@@ -76,8 +77,9 @@ def salted_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str,
     if not hot:
         return big.join(small, big[big_key] == small[small_key], how)
     is_hot_b = F.col(big_key).isin(hot)
-    salt_b = F.when(is_hot_b, F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), F.lit(salts))) \
-        .otherwise(F.lit(0))
+    # hash of the row's hashable columns (map columns cannot be hashed)
+    cols = [F.col(f.name) for f in big.schema.fields if not _has_map(f.dataType)]
+    salt_b = F.when(is_hot_b, F.pmod(F.xxhash64(*cols), F.lit(salts))).otherwise(F.lit(0))
     b = big.withColumn("__salt", salt_b.cast("int"))
     is_hot_s = F.col(small_key).isin(hot)
     s = small.withColumn(
@@ -87,6 +89,16 @@ def salted_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str,
     return joined.drop(b["__salt"]).drop(s["__salt"])
 
 
+def _has_map(t: T.DataType) -> bool:
+    if isinstance(t, T.MapType):
+        return True
+    if isinstance(t, T.ArrayType):
+        return _has_map(t.elementType)
+    if isinstance(t, T.StructType):
+        return any(_has_map(f.dataType) for f in t.fields)
+    return False
+
+
 def is_small(df: DataFrame, max_rows: int) -> bool:
     """Proven bound: reads at most max_rows + 1 rows of ``df``."""
     return df.limit(max_rows + 1).count() <= max_rows

@@ -58,3 +58,11 @@ def test_skew_join_paths_are_exact(spark):
     assert "__salt" in salted._jdf.queryExecution().analyzed().toString()
     assert sorted(map(tuple, bc.select(cols).collect())) == plain
     assert sorted(map(tuple, salted.select(cols).collect())) == plain
+
+
+def test_salted_join_with_map_column(spark):
+    big = spark.createDataFrame([(100, {"a": 1}), (100, {"b": 2}), (7, {"c": 3})],
+                                "k int, m map<string,int>")
+    small = spark.createDataFrame([(100, "hot"), (7, "cold")], "k2 int, label string")
+    got = SK.salted_join(big, small, "k", "k2", [100], salts=4)
+    assert sorted(r["label"] for r in got.collect()) == ["cold", "hot", "hot"]
