@@ -10,7 +10,10 @@
 
 from __future__ import annotations
 
+import sys
+
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
@@ -26,6 +29,11 @@ def register_sql_functions(spark: SparkSession) -> None:
               "RETURNS ARRAY<INT> RETURN transform(v, x -> x + 1)")
 
 
+# Python workers need not import this package to run the UDFs defined here:
+# their functions travel by value with the plan.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 def _cubed(a: pd.Series) -> pd.Series:
     return a * a * a
 

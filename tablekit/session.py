@@ -97,6 +97,30 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return tune(spark)
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tablekit`` importable on the executors' Python workers
+    (``--py-files`` at run time): the package is zipped once on the driver and
+    added with ``addPyFile``, which Spark copies to every executor."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    import zipfile
+
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="tk-pyfiles-"), "tablekit.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _dirs, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(out)
+    _SHIPPED.add(sc.applicationId)
+
+
 def shared_dir(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     """A folder under the cluster's shared checkpoint location.
 

@@ -30,3 +30,33 @@ def test_shared_dir_uses_configured_checkpoint_dir(tmp_path):
 def test_scale_confs_are_strings():
     from tablekit.session import scale_confs
     assert all(isinstance(v, str) for v in scale_confs(1 << 30, 16).values())
+
+
+def test_udfs_run_when_workers_cannot_import_the_package(tmp_path):
+    """From another working directory the Python workers do not see the repo:
+    the pandas UDF still runs (pickled by value), and after ship_package a
+    worker can import tablekit."""
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = textwrap.dedent(f"""
+        import sys
+        sys.path.insert(0, {repo!r})
+        from pyspark.sql import SparkSession, functions as F
+        s = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+        from tablekit.plans import QUERIES
+        print("CUBED", QUERIES["pandas_cubed"](s, "/root/testdata/sf0.001").count())
+        from tablekit.session import ship_package
+        ship_package(s)
+
+        @F.udf("string")
+        def version(x):
+            import tablekit
+            return tablekit.__version__
+
+        print("SHIPPED", s.range(2).select(version("id")).first()[0])
+        s.stop()
+    """)
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True,
+                         timeout=300, cwd=str(tmp_path), env=env)
+    assert "CUBED 6000" in out.stdout, out.stderr[-3000:]
+    assert "SHIPPED 0.1.0" in out.stdout, out.stderr[-3000:]
