@@ -104,7 +104,10 @@ def ship_package(spark: SparkSession) -> None:
     """Make ``tablekit`` importable on the executors' Python workers
     (``--py-files`` at run time): the package is zipped once on the driver and
     added with ``addPyFile``, which Spark copies to every executor."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - no context (e.g. a Connect session): nothing to ship
+        return
     if sc.applicationId in _SHIPPED:
         return
     import zipfile
