@@ -172,11 +172,15 @@ class SnapshotTable:
     def _commit(self, df: DataFrame | None, operation: str,
                 params: Mapping[str, object] | None = None, keep_dirs: Sequence[str] = (),
                 keep_rows: int = 0, schema: T.StructType | None = None,
-                rebalance: bool = False) -> int:
+                rebalance: bool = False, base=None) -> int:
         """Write ``df`` (if any) into a new folder and publish a version made
-        of ``keep_dirs`` + that folder."""
-        latest = self.latest_version()
-        v = 0 if latest is None else latest + 1
+        of ``keep_dirs`` + that folder. ``base`` is the history row the change
+        was computed from (saves looking the latest version up again)."""
+        if base is not None:
+            v = int(base["version"]) + 1
+        else:
+            latest = self.latest_version()
+            v = 0 if latest is None else latest + 1
         dirs = list(keep_dirs)
         n_rows = keep_rows
         if df is not None:
@@ -233,7 +237,7 @@ class SnapshotTable:
         have = {f.name.lower() for f in schema.fields}
         merged = T.StructType(list(schema.fields) +
                               [f for f in rows.schema.fields if f.name.lower() not in have])
-        return self._commit(rows, "WRITE", params, keep_dirs=cur["data_dirs"],
+        return self._commit(rows, "WRITE", params, keep_dirs=cur["data_dirs"], base=cur,
                             keep_rows=int(cur["metrics"]["num_output_rows"]), schema=merged)
 
     # Row-level changes rewrite only the folders that hold affected rows; the
@@ -256,12 +260,12 @@ class SnapshotTable:
         schema = T.StructType.fromJson(json.loads(cur["schema_json"]))
         keep = [d for d in cur["data_dirs"] if d not in touched]
         if not touched:                                    # nothing matched: same folders
-            return self._commit(None, operation, params, keep_dirs=keep,
+            return self._commit(None, operation, params, keep_dirs=keep, base=cur,
                                 keep_rows=int(cur["metrics"]["num_output_rows"]), schema=schema)
         kept_rows = (self.spark.read.schema(schema)
                      .parquet(*[f"{self.path}/{d}" for d in keep]).count() if keep else 0)
         part = self.spark.read.schema(schema).parquet(*[f"{self.path}/{d}" for d in touched])
-        return self._commit(change(part), operation, params, keep_dirs=keep,
+        return self._commit(change(part), operation, params, keep_dirs=keep, base=cur,
                             keep_rows=kept_rows, schema=schema)
 
     def delete_where(self, cond: Column | str) -> int:
@@ -294,7 +298,7 @@ class SnapshotTable:
         params = {"keys": ",".join(keys)}
         if not touched:                                    # all inserts: an append
             return self._commit(source.select(*target.columns), "MERGE", params,
-                                keep_dirs=cur["data_dirs"],
+                                keep_dirs=cur["data_dirs"], base=cur,
                                 keep_rows=int(cur["metrics"]["num_output_rows"]),
                                 schema=T.StructType.fromJson(json.loads(cur["schema_json"])))
         return self._rewrite(cur, touched,
