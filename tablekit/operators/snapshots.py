@@ -249,6 +249,13 @@ class SnapshotTable:
         return scan.withColumn(
             "__folder", F.regexp_extract(F.col("_metadata.file_path"), r"/(v=[0-9]+)/[^/]*$", 1))
 
+    def _touched(self, cur, rows_of) -> list[str]:
+        """Folders holding rows the change affects. A one-folder version is
+        rewritten as a whole anyway, so no scan is spent finding out."""
+        if len(cur["data_dirs"]) <= 1:
+            return list(cur["data_dirs"])
+        return self._folders_with(rows_of(self._with_folder(self._frame(cur))))
+
     @staticmethod
     def _folders_with(rows: DataFrame) -> list[str]:
         """Distinct ``__folder`` values of ``rows``: at most one entry per
@@ -270,15 +277,13 @@ class SnapshotTable:
 
     def delete_where(self, cond: Column | str) -> int:
         cur = self._require()
-        scan = self._with_folder(self._frame(cur))
-        touched = self._folders_with(scan.where(dml.predicate(cond)))
+        touched = self._touched(cur, lambda scan: scan.where(dml.predicate(cond)))
         return self._rewrite(cur, touched, lambda df: dml.delete_where(df, cond), "DELETE",
                              {"predicate": str(cond)})
 
     def update_where(self, cond: Column | str, assignments: Mapping[str, object]) -> int:
         cur = self._require()
-        scan = self._with_folder(self._frame(cur))
-        touched = self._folders_with(scan.where(dml.predicate(cond)))
+        touched = self._touched(cur, lambda scan: scan.where(dml.predicate(cond)))
         return self._rewrite(cur, touched,
                              lambda df: dml.update_where(df, cond, assignments), "UPDATE",
                              {"predicate": str(cond)})
@@ -293,8 +298,8 @@ class SnapshotTable:
         dml.assert_unique_keys(source, keys)
         target = self._frame(cur)
         src_keys = source.select(*keys).where(dml.all_not_null(keys))
-        touched = self._folders_with(
-            self._with_folder(target).join(src_keys, on=keys, how="left_semi"))
+        touched = self._touched(
+            cur, lambda scan: scan.join(src_keys, on=keys, how="left_semi"))
         params = {"keys": ",".join(keys)}
         if not touched:                                    # all inserts: an append
             return self._commit(source.select(*target.columns), "MERGE", params,
