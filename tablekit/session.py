@@ -48,6 +48,9 @@ def scale_confs(input_bytes: int, total_cores: int, executor_mem_per_core: int =
     * advisory size / skew threshold follow the partition target; the
       broadcast threshold stays a small slice of per-core memory, since every
       executor holds the whole broadcast side.
+    * runtime Bloom filters: a filtered join side of up to 1 GiB (default
+      10 MiB) may build a filter (up to 32 MiB) that prunes the big side
+      before its shuffle, once that side's scan is over 10 GiB.
     """
     cores = max(1, int(total_cores))
     shuffle = max(2 * cores, min(200_000, -(-int(input_bytes) // target_partition_bytes)))
@@ -60,6 +63,8 @@ def scale_confs(input_bytes: int, total_cores: int, executor_mem_per_core: int =
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
         "spark.sql.adaptive.autoBroadcastJoinThreshold": str(broadcast),
         "spark.sql.autoBroadcastJoinThreshold": str(broadcast),
+        "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": str(1 << 30),
+        "spark.sql.optimizer.runtime.bloomFilter.maxNumBits": str(256 << 20),
     }
 
 
