@@ -8,6 +8,8 @@ under a new name is loaded again, and a re-run loads nothing twice.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -21,11 +23,11 @@ def remember_schema(spark: SparkSession, fmt: str, path: str, schema_location: s
     fields (schema evolution)."""
     loc = schema_location.rstrip("/") + "/schema"
     old = None
-    try:
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(loc)
+    if path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
         txt = spark.read.text(loc).first()
-        old = StructType.fromJson(__import__("json").loads(txt[0])) if txt else None
-    except Exception:  # noqa: BLE001 - nothing remembered yet
-        old = None
+        old = StructType.fromJson(json.loads(txt[0])) if txt else None
     if old is not None and not refresh:
         return old
     r = spark.read.format(fmt)
