@@ -24,8 +24,8 @@ def remember_schema(spark: SparkSession, fmt: str, path: str, schema_location: s
     loc = schema_location.rstrip("/") + "/schema"
     old = None
     jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(loc)
-    if path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+    stored = jvm.org.apache.hadoop.fs.Path(loc)
+    if stored.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(stored):
         txt = spark.read.text(loc).first()
         old = StructType.fromJson(json.loads(txt[0])) if txt else None
     if old is not None and not refresh:
