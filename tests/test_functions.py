@@ -110,3 +110,9 @@ def test_sum_of_squares_on_floats(spark):
     df = spark.createDataFrame([([3.0, 4.0],)], T.StructType([T.StructField(
         "e", T.ArrayType(T.FloatType()))]))
     assert df.select(F.sqrt(A.sum_of_squares("e"))).first()[0] == 5.0
+
+
+def test_pandas_udf_registered_for_sql(spark):
+    U.register_pandas_cubed(spark, "cubed_vec")
+    got = [r[0] for r in spark.sql("SELECT cubed_vec(id) FROM range(1, 4) ORDER BY id").collect()]
+    assert got == [1, 8, 27]
