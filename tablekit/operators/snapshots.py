@@ -333,6 +333,28 @@ class SnapshotTable:
             out = cur.repartition(n)
         return self._commit(out, "OPTIMIZE", {"clusterBy": cluster_by or "", "numFiles": n})
 
+    def compact_small(self, target_file_bytes: int = 128 << 20, min_folders: int = 8) -> int | None:
+        """Merge the version's small folders (each under ``target_file_bytes``,
+        e.g. one per stream batch) into one folder of ~target-size files and
+        keep the large folders as they are: O(small data), not O(table). The
+        small files are combined with ``coalesce`` (no shuffle). Returns the
+        new version, or None when fewer than ``min_folders`` are small."""
+        cur = self._require()
+        fs, root, jvm = _fs(self.spark, self.path)
+        sizes = {d: int(fs.getContentSummary(jvm.org.apache.hadoop.fs.Path(root, d)).getLength())
+                 for d in cur["data_dirs"]}
+        small = [d for d in cur["data_dirs"] if sizes[d] < target_file_bytes]
+        if len(small) < max(2, min_folders):
+            return None
+        keep = [d for d in cur["data_dirs"] if d not in small]
+        schema = T.StructType.fromJson(json.loads(cur["schema_json"]))
+        part = self.spark.read.schema(schema).parquet(*[f"{self.path}/{d}" for d in small])
+        n = max(1, math.ceil(sum(sizes[d] for d in small) / target_file_bytes))
+        kept_rows = (self.spark.read.schema(schema)
+                     .parquet(*[f"{self.path}/{d}" for d in keep]).count() if keep else 0)
+        return self._commit(part.coalesce(n), "OPTIMIZE", {"smallFolders": len(small)},
+                            keep_dirs=keep, keep_rows=kept_rows, schema=schema, base=cur)
+
     def expire(self, keep_last: int = 1) -> list[int]:
         """VACUUM: delete data folders that none of the last ``keep_last``
         versions uses (the latest is always kept). History rows stay;
@@ -354,15 +376,18 @@ class SnapshotTable:
 
     def stream_into(self, stream: DataFrame, checkpoint: str, app_id: str | None = None,
                     evolve: bool = False, available_now: bool = False,
-                    processing_time: str | None = None):
+                    processing_time: str | None = None, compact_every: int | None = None):
         """``writeStream ... .table(t)`` for a snapshot table: every micro-batch
         becomes one append version (O(batch)), exactly once across restarts
         and replays (batch ids are recorded with the commit). The table must
-        exist (``create`` it, e.g. from ``empty_like``). One writer per table."""
+        exist (``create`` it, e.g. from ``empty_like``). One writer per table.
+        ``compact_every=k`` merges the small batch folders every k batches."""
         app = app_id or f"stream:{checkpoint}"
 
         def sink(batch: DataFrame, batch_id: int) -> None:
-            self.append(batch, evolve=evolve, txn=(app, batch_id))
+            if self.append(batch, evolve=evolve, txn=(app, batch_id)) is not None \
+                    and compact_every and (batch_id + 1) % compact_every == 0:
+                self.compact_small(min_folders=2)
 
         w = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(sink)
         w = w.trigger(availableNow=True) if available_now else \

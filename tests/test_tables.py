@@ -208,3 +208,32 @@ def test_history_compaction_keeps_every_version(spark, scratch, monkeypatch):
     assert len(files) == 2                     # compacted at v3, plus the v4 commit
     assert [r["version"] for r in t.history().collect()] == [4, 3, 2, 1, 0]
     assert t.read().count() == 20 and t.read(2).count() == 12
+
+
+def test_compact_small_merges_only_small_folders(spark, scratch):
+    t = SnapshotTable(spark, scratch + "/small")
+    big = spark.range(200000).select(F.col("id").alias("loan_id"))
+    t.create(big)                                                    # v=0, large
+    for i in range(4):
+        t.append(spark.range(i * 10, i * 10 + 10).select(F.col("id").alias("loan_id")))
+    assert len(t.history().first()["data_dirs"]) == 5
+    v = t.compact_small(target_file_bytes=100_000, min_folders=3)
+    h = t.history().first()
+    assert h["version"] == v and list(h["data_dirs"]) == ["v=0", f"v={v}"]
+    assert h["metrics"]["num_output_rows"] == 200040
+    assert rows(t.read()) == rows(t.read(v - 1))
+    assert t.compact_small(target_file_bytes=100_000, min_folders=3) is None
+
+
+def test_stream_into_with_compaction(spark, scratch):
+    from tablekit.sources import empty_like
+    src = scratch + "/landing2"
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    ev.repartition(4).write.parquet(src)
+    t = SnapshotTable(spark, scratch + "/ev2")
+    t.create(empty_like(ev))
+    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    t.stream_into(stream, scratch + "/ck2", app_id="ev", available_now=True,
+                  compact_every=2).awaitTermination()
+    assert t.read().count() == ev.count()
+    assert len(t.history().first()["data_dirs"]) <= 3
