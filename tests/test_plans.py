@@ -89,3 +89,13 @@ def test_scale_confs_sizes():
     assert int(small["spark.sql.files.maxPartitionBytes"]) == 128 << 20
     mid = scale_confs(1 << 40, total_cores=800)                   # 1 TB
     assert int(mid["spark.sql.shuffle.partitions"]) == 4096
+
+
+def test_aqe_coalesces_small_post_aggregation_shuffle(spark):
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        df = Q["daily_quantity"](spark, SF)
+        final = plan_after_run(df)
+        assert "AQEShuffleRead coalesced" in final
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
