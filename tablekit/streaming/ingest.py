@@ -107,3 +107,24 @@ def copy_into(spark: SparkSession, target: str, source: str, fmt: str,
         schema_location = target.rstrip("/") + "/_copy_into_schema"
     s = stream_files(spark, fmt, source, schema, schema_location, **options)
     return run_once(s, target, ck)
+
+
+def copy_into_table(spark: SparkSession, table, source: str, fmt: str,
+                    schema: StructType | str | None = None, schema_location: str | None = None,
+                    checkpoint: str | None = None, **options) -> int:
+    """``COPY INTO`` a versioned table (``SnapshotTable``): new files only,
+    each micro-batch one append version (so every load is in the table's
+    history), exactly once. The table is created empty with the input's
+    schema on first use. Returns the rows added by this call."""
+    from tablekit.operators.snapshots import SnapshotTable  # avoid an import cycle
+
+    t = table if isinstance(table, SnapshotTable) else SnapshotTable(spark, table)
+    ck = checkpoint or t.path + "_copy_into_checkpoint"
+    if schema is None and schema_location is None:
+        schema_location = t.path + "_copy_into_schema"
+    s = stream_files(spark, fmt, source, schema, schema_location, **options)
+    if not t.exists():
+        t.create(s.sparkSession.createDataFrame([], s.schema))
+    before = int(t.history().first()["metrics"]["num_output_rows"])
+    t.stream_into(s, ck, app_id=f"copy_into:{ck}", available_now=True).awaitTermination()
+    return int(t.history().first()["metrics"]["num_output_rows"]) - before

@@ -106,3 +106,19 @@ def test_stream_into_catalog_table(spark, scratch):
     q = ingest.start(s, None, scratch + "/ck", available_now=True, table="tk_stream.ks")
     q.awaitTermination()
     assert spark.table("tk_stream.ks").count() == 20
+
+
+def test_copy_into_versioned_table_keeps_history(spark, scratch):
+    from tablekit.operators.snapshots import SnapshotTable
+    src = scratch + "/in_v"
+    rows = [{"device_id": i, "reading": i * 1.0, "ts": "2021-01-01T00:00:00"} for i in range(4)]
+    drop_file(spark, src, "a.json", rows)
+    target = scratch + "/iot_versioned"
+    assert ingest.copy_into_table(spark, target, src, "json", schema=IOT_SCHEMA) == 4
+    assert ingest.copy_into_table(spark, target, src, "json", schema=IOT_SCHEMA) == 0
+    drop_file(spark, src, "b.json", rows[:2])
+    assert ingest.copy_into_table(spark, target, src, "json", schema=IOT_SCHEMA) == 2
+    t = SnapshotTable(spark, target)
+    assert t.read().count() == 6
+    ops = [r["operation"] for r in t.history().collect()]
+    assert ops[-1] == "CREATE TABLE AS SELECT" and ops.count("WRITE") == 2
