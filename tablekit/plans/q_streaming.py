@@ -168,3 +168,14 @@ def stream_into_table(spark, d):
     t.stream_into(stream, t.path + "_ckpt", app_id="events", available_now=True) \
         .awaitTermination()
     return t.read()
+
+
+@register("copy_into_versioned", ids=("STR5", "VER1", "VER4"), sql="SELECT * FROM events")
+def copy_into_versioned(spark, d):
+    src, schema = _events_files(spark, d, fmt="json")
+    target = shared_dir(spark, "tables", "events_copy_versioned", unique=True)
+    first = ingest.copy_into_table(spark, target, src, "json", schema=schema, **TS_MICROS)
+    second = ingest.copy_into_table(spark, target, src, "json", schema=schema, **TS_MICROS)
+    if second != 0:
+        raise AssertionError(f"COPY INTO loaded {second} rows again (first run {first})")
+    return SnapshotTable(spark, target).read()
