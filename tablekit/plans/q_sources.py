@@ -151,3 +151,17 @@ def jdbc_group_sum(spark, d):
     df = df.toDF(*[x.lower() for x in df.columns])
     return df.groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("n_customers"),
                                          F.round(F.sum("c_acctbal"), 2).alias("total_balance"))
+
+
+@register("partition_pruned_scan", ids=("SNK1", "SRC5", "FLT8"), sql="""
+    SELECT l_returnflag, COUNT(*) AS n_lines, CAST(SUM(l_quantity) AS DOUBLE) AS total_qty
+    FROM lineitem WHERE year(l_shipdate) = 1998 GROUP BY l_returnflag""")
+def partition_pruned_scan(spark, d):
+    # written partitioned by ship year; the year filter becomes a partition
+    # filter, so only that year's folder is listed and read
+    path = shared_dir(spark, "parquet", "lineitem_by_year", unique=True)
+    li = table(spark, d, "lineitem").withColumn("ship_year", F.year("l_shipdate"))
+    write_parquet(li, path, partition_by=["ship_year"])
+    df = read_parquet(spark, path).where(F.col("ship_year") == 1998)
+    return df.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n_lines"),
+                                          F.sum("l_quantity").alias("total_qty"))

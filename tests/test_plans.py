@@ -99,3 +99,10 @@ def test_aqe_coalesces_small_post_aggregation_shuffle(spark):
         assert "AQEShuffleRead coalesced" in final
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_partition_filter_prunes_folders(spark):
+    df = Q["partition_pruned_scan"](spark, SF)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(ship_year" in plan and "(ship_year#" in plan
+    assert "= 1998)" in plan.split("PartitionFilters:")[1].split("]")[0]
