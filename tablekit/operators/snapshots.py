@@ -131,13 +131,23 @@ class SnapshotTable:
             raise VersionNotFound(f"{self.path} has no {what}")
         return r
 
+    def _read_dirs(self, folders: Sequence[str], schema: T.StructType,
+                   partitioned: bool) -> DataFrame:
+        """Read some of the table's folders with one schema (columns a folder
+        lacks read as NULL). Partitioned folders are read from the table root
+        so the column directories below each v=N folder are discovered (v
+        itself is dropped) and filters on them prune directories."""
+        dirs = [f"{self.path}/{d}" for d in folders]
+        if partitioned:
+            return (self.spark.read.schema(schema).option("basePath", self.path)
+                    .parquet(*dirs).drop("v"))
+        return self.spark.read.schema(schema).parquet(*dirs)
+
     def _frame(self, row) -> DataFrame:
-        dirs = [f"{self.path}/{d}" for d in row["data_dirs"]]
         schema = T.StructType.fromJson(json.loads(row["schema_json"]))
-        # one schema for all folders: columns a folder lacks read as NULL. The
-        # reader checks the paths itself (in parallel for many folders).
+        # the reader checks the paths itself (in parallel for many folders)
         try:
-            return self.spark.read.schema(schema).parquet(*dirs)
+            return self._read_dirs(row["data_dirs"], schema, bool(self._partition_cols(row)))
         except AnalysisException as e:
             if "PATH_NOT_FOUND" in str(e):
                 raise VersionNotFound(
@@ -172,28 +182,33 @@ class SnapshotTable:
     def _commit(self, df: DataFrame | None, operation: str,
                 params: Mapping[str, object] | None = None, keep_dirs: Sequence[str] = (),
                 keep_rows: int = 0, schema: T.StructType | None = None,
-                rebalance: bool = False, base=None) -> int:
+                rebalance: bool = False, base=None,
+                partition_by: Sequence[str] | None = None) -> int:
         """Write ``df`` (if any) into a new folder and publish a version made
         of ``keep_dirs`` + that folder. ``base`` is the history row the change
-        was computed from (saves looking the latest version up again)."""
-        if base is not None:
-            v = int(base["version"]) + 1
-        else:
-            latest = self.latest_version()
-            v = 0 if latest is None else latest + 1
+        was computed from (saves looking the latest version up again). The
+        table's partition columns (fixed at ``create``) carry over."""
+        if base is None:
+            base = self._version_row()
+        v = 0 if base is None else int(base["version"]) + 1
+        pcols = list(partition_by) if partition_by is not None else self._partition_cols(base)
         dirs = list(keep_dirs)
         n_rows = keep_rows
         if df is not None:
             out = df.hint("rebalance") if rebalance else df
             # the row count comes from the write job itself (no second pass)
             seen = Observation(f"commit_{v}")
-            out.observe(seen, F.count(F.lit(1)).alias("rows")) \
-                .write.mode("overwrite").parquet(self.version_path(v))
+            w = out.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+            if pcols:
+                w = w.partitionBy(*pcols)
+            w.parquet(self.version_path(v))
             n_rows += int(seen.get["rows"])
             dirs.append(f"v={v}")
             schema = schema or df.schema
-        row = (v, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None), operation,
-               {k: str(x) for k, x in (params or {}).items()},
+        params = {k: str(x) for k, x in (params or {}).items()}
+        if pcols:
+            params["partitionBy"] = ",".join(pcols)
+        row = (v, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None), operation, params,
                {"num_output_rows": int(n_rows)}, schema.json(), dirs)
         (self.spark.createDataFrame([row], HISTORY_SCHEMA).coalesce(1)
          .write.mode("append").parquet(self.history_path))
@@ -201,10 +216,23 @@ class SnapshotTable:
             self.compact_history()
         return v
 
-    def create(self, df: DataFrame, operation: str = "CREATE TABLE AS SELECT") -> int:
+    @staticmethod
+    def _partition_cols(row) -> list[str]:
+        if row is None or not row["params"]:
+            return []
+        spec = row["params"].get("partitionBy") or ""
+        return [c for c in spec.split(",") if c]
+
+    def create(self, df: DataFrame, operation: str = "CREATE TABLE AS SELECT",
+               partition_by: Sequence[str] | None = None) -> int:
+        """New table from ``df``. ``partition_by`` lays every folder out by
+        those columns, so filters on them prune directories when reading (and
+        when a change looks for the folders it touches)."""
         if self.exists():
             raise FileExistsError(f"{self.path} already exists")
-        return self._commit(df, operation)
+        if partition_by and "v" in [c.lower() for c in df.columns]:
+            raise ValueError("a partitioned snapshot table cannot have a column named 'v'")
+        return self._commit(df, operation, partition_by=list(partition_by or []))
 
     def overwrite(self, df: DataFrame) -> int:
         return self._commit(df, "WRITE", {"mode": "Overwrite"})
@@ -247,7 +275,8 @@ class SnapshotTable:
         """Tag each scanned row with its folder (``v=N``), taken from the file
         path; must be applied to the scan itself (before any join)."""
         return scan.withColumn(
-            "__folder", F.regexp_extract(F.col("_metadata.file_path"), r"/(v=[0-9]+)/[^/]*$", 1))
+            "__folder", F.regexp_extract(F.col("_metadata.file_path"),
+                                         r"/(v=[0-9]+)/(?:[^/]+=[^/]*/)*[^/]+$", 1))
 
     def _touched(self, cur, rows_of) -> list[str]:
         """Folders holding rows the change affects. A one-folder version is
@@ -269,9 +298,9 @@ class SnapshotTable:
         if not touched:                                    # nothing matched: same folders
             return self._commit(None, operation, params, keep_dirs=keep, base=cur,
                                 keep_rows=int(cur["metrics"]["num_output_rows"]), schema=schema)
-        kept_rows = (self.spark.read.schema(schema)
-                     .parquet(*[f"{self.path}/{d}" for d in keep]).count() if keep else 0)
-        part = self.spark.read.schema(schema).parquet(*[f"{self.path}/{d}" for d in touched])
+        partitioned = bool(self._partition_cols(cur))
+        kept_rows = self._read_dirs(keep, schema, partitioned).count() if keep else 0
+        part = self._read_dirs(touched, schema, partitioned)
         return self._commit(change(part), operation, params, keep_dirs=keep, base=cur,
                             keep_rows=kept_rows, schema=schema)
 
@@ -348,10 +377,10 @@ class SnapshotTable:
             return None
         keep = [d for d in cur["data_dirs"] if d not in small]
         schema = T.StructType.fromJson(json.loads(cur["schema_json"]))
-        part = self.spark.read.schema(schema).parquet(*[f"{self.path}/{d}" for d in small])
+        partitioned = bool(self._partition_cols(cur))
+        part = self._read_dirs(small, schema, partitioned)
         n = max(1, math.ceil(sum(sizes[d] for d in small) / target_file_bytes))
-        kept_rows = (self.spark.read.schema(schema)
-                     .parquet(*[f"{self.path}/{d}" for d in keep]).count() if keep else 0)
+        kept_rows = self._read_dirs(keep, schema, partitioned).count() if keep else 0
         return self._commit(part.coalesce(n), "OPTIMIZE", {"smallFolders": len(small)},
                             keep_dirs=keep, keep_rows=kept_rows, schema=schema, base=cur)
 

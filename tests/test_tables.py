@@ -237,3 +237,25 @@ def test_stream_into_with_compaction(spark, scratch):
                   compact_every=2).awaitTermination()
     assert t.read().count() == ev.count()
     assert len(t.history().first()["data_dirs"]) <= 3
+
+
+def test_partitioned_snapshot_table(spark, scratch):
+    li = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet") \
+        .withColumn("ship_year", F.year("l_shipdate"))
+    t = SnapshotTable(spark, scratch + "/li_part")
+    t.create(li, partition_by=["ship_year"])
+    assert t.read().columns == li.columns and t.read().count() == li.count()
+    plan = t.read().where("ship_year = 1998")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(ship_year" in plan
+    t.append(li.where("ship_year = 2000"))                   # v=1
+    t.delete_where("ship_year = 1998")                       # only v=0 holds 1998 rows
+    h = t.history().first()
+    assert list(h["data_dirs"]) == ["v=1", "v=2"] and h["params"]["partitionBy"] == "ship_year"
+    want = li.count() + li.where("ship_year = 2000").count() - li.where("ship_year = 1998").count()
+    assert t.read().count() == want == h["metrics"]["num_output_rows"]
+    assert rows(t.read(0)) == rows(li)
+    t.restore(0)
+    assert rows(t.read()) == rows(li)
+    with pytest.raises(ValueError):
+        SnapshotTable(spark, scratch + "/bad").create(li.withColumn("v", F.lit(1)),
+                                                      partition_by=["ship_year"])
