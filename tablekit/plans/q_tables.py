@@ -187,3 +187,17 @@ def vacuum_keeps_latest(spark, d):
     t.update_where(UPDATE_COND, {"c_acctbal": 0.0, "c_mktsegment": "REVIEW"})
     t.expire(keep_last=1)
     return t.read()
+
+
+@register("partitioned_table_dml", ids=("VER1", "DML1", "DML2", "SRC5"), sql=f"""
+    SELECT c_custkey, c_name, c_nationkey,
+           CASE WHEN coalesce({UPDATE_COND}, false) THEN 0.0 ELSE c_acctbal END AS c_acctbal,
+           c_mktsegment
+    FROM customer WHERE c_mktsegment <> 'BUILDING'""")
+def partitioned_table_dml(spark, d):
+    # partitioned by segment: the delete finds its folder through a pruned scan
+    t = SnapshotTable(spark, shared_dir(spark, "snapshots", "customer_by_segment", unique=True))
+    t.create(customers(spark, d), partition_by=["c_mktsegment"])
+    t.delete_where("c_mktsegment = 'BUILDING'")
+    t.update_where(UPDATE_COND, {"c_acctbal": 0.0})
+    return t.read()
