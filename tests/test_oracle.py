@@ -44,4 +44,5 @@ def test_entry_smoke(spark):
 
 def test_every_query_has_a_survey_id():
     from tablekit.plans.registry import IDS
-    assert all(IDS[n] for n in QUERIES), [n for n in QUERIES if not IDS[n]]
+    from tablekit.plans.registry import QUERIES as PLANS
+    assert all(IDS[n] for n in PLANS), [n for n in PLANS if not IDS[n]]
