@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tablekit.llm import line_dedup
+from tablekit.llm import line_dedup, quality_llr
 
 QUERIES = {
+    "op1_quality_llr": quality_llr.op1,
     "op9_line_dedup": line_dedup.op9,
 }
 
