@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,3 +63,48 @@ def words(text: str | None) -> list[bytes]:
     """Words ``[^\\x20\\x09-\\x0D]+`` as UTF-8 (bytes.split() cuts at exactly
     these bytes, which never occur inside a longer UTF-8 sequence)."""
     return text.encode("utf-8", "surrogatepass").split() if text else []
+
+
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+_SHIFT = np.uint64(29)
+_MEMO_LIMIT = 500_000
+
+
+class WordHashes(dict):
+    """63-bit hash of each word, remembered."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > _MEMO_LIMIT:
+            self.clear()
+        h = self[word] = xxhash.xxh64_intdigest(word) >> 1
+        return h
+
+    def of(self, ws: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, ws), dtype=np.int64, count=len(ws)).view(np.uint64)
+
+
+def mix(x: np.ndarray) -> np.ndarray:
+    """Scrambles 64-bit integers (wraps around)."""
+    x = (x ^ (x >> _SHIFT)) * _STEP
+    return x ^ (x >> _SHIFT)
+
+
+def window_hashes(h: np.ndarray, size: int) -> np.ndarray:
+    """One hash for every window of ``size`` consecutive hashes."""
+    n = len(h) - size + 1
+    if n < 1:
+        return h[:0]
+    key = mix(h[:n])
+    for j in range(1, size):
+        key = mix(key * _STEP + h[j:j + n])
+    return key
+
+
+#: Rows of a few numbers each (under 100 bytes) that may be broadcast: 10 MB.
+BROADCAST_ROWS = 100_000
+
+
+def join_few(big: DataFrame, few: DataFrame, on: list[str], rows: int) -> DataFrame:
+    """Inner join of wide rows with ``rows`` narrow ones: without moving the
+    wide ones if the narrow side is small, else a shuffled hash join."""
+    return big.join(F.broadcast(few) if rows <= BROADCAST_ROWS else few.hint("shuffle_hash"), on)

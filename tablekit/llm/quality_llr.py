@@ -26,11 +26,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablekit.llm.common import WS, packed, table, unpacked, words
+from tablekit.llm.common import WS, WordHashes, mix, packed, table, unpacked, window_hashes, words
 
 SYMBOLS = "#*$%&|<>"
 #: Log-likelihood ratio per n-gram below which a text is rejected.
@@ -42,34 +41,9 @@ PRIOR = 10.0
 #: Bound on the labelled documents the target model is fitted on.
 MAX_TRUSTED = 20_000
 WINDOW = 5
-_STEP = np.uint64(0x9E3779B97F4A7C15)
-_SHIFT = np.uint64(29)
-_MEMO_LIMIT = 500_000
-
-
-class _WordHashes(dict):
-    """63-bit hash of each word, remembered."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > _MEMO_LIMIT:
-            self.clear()
-        h = self[word] = xxhash.xxh64_intdigest(word) >> 1
-        return h
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> _SHIFT)) * _STEP
-    return x ^ (x >> _SHIFT)
-
-
-def word_hashes(ws: list[bytes], memo: _WordHashes) -> np.ndarray:
-    return np.fromiter(map(memo.__getitem__, ws), dtype=np.int64, count=len(ws)).view(np.uint64)
-
-
 def ngram_buckets(h: np.ndarray, buckets: int) -> np.ndarray:
     """Bucket (of a power of two) of every word and of every pair of neighbouring words."""
-    pairs = _mix(h[:-1] * _STEP + h[1:])
-    return (np.concatenate([_mix(h), pairs]) & np.uint64(buckets - 1)).view(np.int64)
+    return (np.concatenate([mix(h), window_hashes(h, 2)]) & np.uint64(buckets - 1)).view(np.int64)
 
 
 def repeated_words(h: np.ndarray, window: int = WINDOW) -> int:
@@ -77,9 +51,7 @@ def repeated_words(h: np.ndarray, window: int = WINDOW) -> int:
     n = len(h) - window + 1
     if n < 2:
         return 0
-    key = h[:n].copy()
-    for j in range(1, window):
-        key = _mix(key) * _STEP + h[j:j + n]
+    key = window_hashes(h, window)
     _, at, times = np.unique(key, return_inverse=True, return_counts=True)
     starts = np.flatnonzero(times[at] > 1)
     if not len(starts):
@@ -120,11 +92,11 @@ def fit(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS,
              .select("text", F.coalesce("trusted", F.lit(False)).alias("trusted")))
 
     def count(batches):
-        memo, total = _WordHashes(), np.zeros((2, buckets), dtype=np.int64)
+        memo, total = WordHashes(), np.zeros((2, buckets), dtype=np.int64)
         for batch in batches:
             found = [[], []]
             for text, trusted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                found[trusted].append(ngram_buckets(word_hashes(words(text), memo), buckets))
+                found[trusted].append(ngram_buckets(memo.of(words(text)), buckets))
                 if len(found[trusted]) == 500:
                     _add(found, total)
             _add(found, total)
@@ -153,12 +125,12 @@ def score(docs: DataFrame, ratio: np.ndarray, threshold: float = THRESHOLD, min_
     buckets = len(ratio)
 
     def run(batches):
-        memo = _WordHashes()
+        memo = WordHashes()
         for batch in batches:
             out = []
             for text in batch.column("text").to_pylist():
                 ws = words(text)
-                h = word_hashes(ws, memo)
+                h = memo.of(ws)
                 counts = base_counts(text, ws, h)
                 failed = counts[0] < min_words or 100 * counts[4] > max_repeat_pct * counts[0]
                 llr = float(ratio[ngram_buckets(h, buckets)].mean()) if ws else 0.0
