@@ -115,7 +115,7 @@ def part_keys(s: np.ndarray, index: int, high: int, percent: int) -> np.ndarray:
     tokens = np.bincount(at, minlength=parts)
     chosen = np.lexsort((content, tokens))[spare:]
     return mix(content[chosen] + chosen.astype(np.uint64) * np.uint64(0x632BE59BD9B4E019)
-               + np.uint64(index) * np.uint64(0xD1342543DE82EF95) + tokens[chosen].astype(np.uint64)) & _LOW48
+               + np.uint64(index * 0xD1342543DE82EF95 % 2**64) + tokens[chosen].astype(np.uint64)) & _LOW48
 
 
 def bucket_keys(s: np.ndarray, percent: int) -> np.ndarray:

@@ -1,0 +1,31 @@
+import pytest
+
+from pyspark.sql import types as T
+
+DOCS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()),
+                     T.StructField("lang", T.StringType()), T.StructField("source", T.StringType()),
+                     T.StructField("n_chars", T.LongType())])
+
+
+@pytest.fixture(scope="session")
+def make_docs(spark):
+    """A documents table from (doc_id, text) or (doc_id, text, lang, source) rows,
+    with columns whose names an operator might use itself."""
+    def make(rows, extra=()):
+        rows = [(*r, None, "s")[:4] if len(r) == 2 else r for r in rows]
+        full = [(i, t, lang, src, None if t is None else len(t)) for i, t, lang, src in rows]
+        df = spark.createDataFrame(full, DOCS)
+        from pyspark.sql import functions as F
+        for name in extra:
+            df = df.withColumn(name, F.lit("x"))
+        return df
+
+    return make
+
+
+@pytest.fixture(scope="session")
+def make_labels(spark):
+    def make(rows):
+        return spark.createDataFrame(rows, "doc_id long, quality int, toxic int")
+
+    return make
