@@ -175,6 +175,8 @@ def set_rows(docs: DataFrame, size: int, percent: int) -> DataFrame:
 def shared_buckets(sets: DataFrame, parts: int) -> DataFrame:
     """(key, d) of the buckets with two classes or more; d: 48 bits of the digest."""
     def pack(p, key, d):
+        if not len(p):
+            return [], []
         order = np.argsort(p, kind="stable")
         p, both = p[order], np.concatenate([six_bytes(key[order]), six_bytes(d[order])], axis=1)
         cut = np.flatnonzero(np.r_[True, p[1:] != p[:-1]])
