@@ -2,14 +2,24 @@
 
 from __future__ import annotations
 
-from tablekit.llm import bestfit_pack, line_dedup, quality_llr, signature_join, temperature_mix
+from tablekit.llm import (
+    bestfit_pack,
+    compress_quality,
+    line_dedup,
+    ppm_langid,
+    quality_llr,
+    signature_join,
+    temperature_mix,
+)
 
 QUERIES = {
     "op1_quality_llr": quality_llr.op1,
     "op3_bestfit_pack": bestfit_pack.op3,
     "op4_signature_join": signature_join.op4,
     "op5_temperature_mix": temperature_mix.op5,
+    "op6_compress_quality": compress_quality.op6,
     "op9_line_dedup": line_dedup.op9,
+    "op10_ppm_langid": ppm_langid.op10,
 }
 
 #: DuckDB SQL where it can express the operator.
