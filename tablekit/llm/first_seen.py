@@ -1,0 +1,33 @@
+"""Which occurrences of a key come first, over any number of rows.
+
+Rows of one key are compared in one streaming window pass after a shuffle by
+key. Keys that are frequent in a hash sample never enter that shuffle: their
+first occurrence is an exact, partially aggregated minimum over all rows, and
+the rows are judged where they are. The sample only steers the layout."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from tablekit.llm.common import stored
+
+#: One row group in so many is looked at; a key is frequent from so many sampled
+#: rows; at most so many keys are handled apart (about 50 KB when broadcast).
+SAMPLE_ONE_IN, HOT_ROWS, MAX_HOT = 64, 16, 2048
+
+
+def not_first(rows: DataFrame, key: list[str], order: list[Column], sample_by: str) -> DataFrame:
+    """The rows whose ``order`` is not the least among the rows of their key;
+    rows that tie with the least are all first. ``rows`` should be stored."""
+    hot = (rows.where(F.pmod(F.xxhash64(sample_by), F.lit(SAMPLE_ONE_IN)) == 0)
+           .groupBy(*key).agg(F.count("*").alias("c")).where(F.col("c") >= HOT_ROWS)
+           .orderBy(F.desc("c"), *key).limit(MAX_HOT).select(*key))
+    hot = stored(hot, "hot_keys")
+    at = F.struct(*order)
+    firsts = rows.join(F.broadcast(hot), key).groupBy(*key).agg(F.min(at).alias("least"))
+    in_hot = rows.join(F.broadcast(firsts), key).where(at != F.col("least")).select(rows.columns)
+    seen = Window.partitionBy(*key).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rest = (rows.join(F.broadcast(hot), key, "left_anti").withColumn("least", F.first(at).over(seen))
+            .where(at != F.col("least")).select(rows.columns))
+    return in_hot.union(rest)

@@ -5,24 +5,32 @@ from __future__ import annotations
 from tablekit.llm import (
     bestfit_pack,
     compress_quality,
+    kd_topk,
+    license_scan,
     line_dedup,
     ppm_langid,
     quality_llr,
     signature_join,
+    span_dedup,
     temperature_mix,
 )
 
 QUERIES = {
     "op1_quality_llr": quality_llr.op1,
+    "op2_kd_topk": kd_topk.op2,
     "op3_bestfit_pack": bestfit_pack.op3,
     "op4_signature_join": signature_join.op4,
     "op5_temperature_mix": temperature_mix.op5,
     "op6_compress_quality": compress_quality.op6,
+    "op7_license_scan": license_scan.op7,
+    "op8_span_dedup": span_dedup.op8,
     "op9_line_dedup": line_dedup.op9,
     "op10_ppm_langid": ppm_langid.op10,
 }
 
 #: DuckDB SQL where it can express the operator.
 ORACLE = {
+    "op2_kd_topk": kd_topk.OP2_SQL,
+    "op7_license_scan": license_scan.OP7_SQL,
     "op9_line_dedup": line_dedup.OP9_SQL,
 }
