@@ -49,7 +49,9 @@ def runs(text: str, min_words: int, lone_words: int):
     """(first, end, h1, h2) arrays of the distinct runs; sentences first..end-1."""
     starts = sentence_starts(text)
     pieces = [words(text[a:b]) for a, b in zip(starts, [*starts[1:], len(text)])]
-    n = np.array([len(p) for p in pieces])
+    filled = np.array([k for k, p in enumerate(pieces) if p], dtype=np.int64)
+    pieces = [p for p in pieces if p]                       # sentences without words bind nothing
+    n = np.array([len(p) for p in pieces], dtype=np.int64)
     before = np.concatenate([[0], np.cumsum(n)])
     if before[-1] < min_words:
         return None
@@ -80,7 +82,7 @@ def runs(text: str, min_words: int, lone_words: int):
             on = a + step < b
             key[on] = mix(key[on] * base + h[a[on] + step])
         out.append(key)
-    return a, b, out[0], out[1]
+    return filled[a], filled[b - 1] + 1, out[0], out[1]
 
 
 def run_rows(docs: DataFrame, min_words: int, lone_words: int) -> DataFrame:

@@ -1,0 +1,39 @@
+from tablekit.llm import license_scan as L
+
+
+def scan(spark, docs, known=None):
+    return {r.doc_id: r for r in L.scan(docs, L.known_digests(spark, known)).collect()}
+
+
+def test_variants_have_one_digest(spark, make_docs):
+    mit = L.KNOWN["MIT"][-1]
+    rows = [(1, mit), (2, "Copyright (c) 2020 Some Body\n\n" + mit.upper().replace(" ", "\n  ")),
+            (3, "(C) Other 1999\n" + mit.replace("sublicense", "sub-license").replace("\"", "“")),
+            (4, mit + " And more."), (5, "Some prose.\nReleased under the MIT Licence!\nreleased under the mit license"),
+            (6, "copyright 2001 A\nRELEASED UNDER THE MIT LICENSE\n© B")]
+    got = scan(spark, make_docs(rows, extra=("th", "digest", "license_id")))
+    assert [got[i].license_id for i in range(1, 7)] == ["MIT", "MIT", "MIT", None, None, "MIT"]
+    assert len({got[i].text_digest for i in (1, 2, 3)}) == 1
+    assert (got[5].n_license_lines, got[5].line_licenses) == (2, "MIT")
+    assert got[4].n_license_lines == 0
+
+
+def test_edge_rows(spark, make_docs):
+    rows = [(1, None), (2, ""), (3, "\n \n!!"), (4, "Copyright me"), (None, "Released under the MIT License."),
+            (5, "Licensed under CC BY-NC 4.0.\nLicensed under the Apache License, Version 2.0."),
+            (5, "Licensed under CC BY-NC 4.0.\nLicensed under the Apache License, Version 2.0."),
+            (6, "prose " * 100_000)]
+    out = L.scan(make_docs(rows), L.known_digests(spark)).collect()
+    assert len(out) == len(rows)
+    got = {r.doc_id: r for r in out}
+    assert len({got[i].text_digest for i in (1, 2, 3, 4)}) == 1
+    assert all(got[i].license_id is None and got[i].n_license_lines == 0 for i in (1, 2, 3, 4, 6))
+    assert got[None].license_id == "MIT"
+    assert [(r.n_license_lines, r.line_licenses) for r in out if r.doc_id == 5] == [(2, "Apache-2.0,CC-BY-NC-4.0")] * 2
+    assert L.scan(make_docs(rows).limit(0), L.known_digests(spark)).count() == 0
+
+
+def test_known_licences_may_be_given(spark, make_docs):
+    got = scan(spark, make_docs([(1, "House  rules, apply."), (2, "x\nhouse rules apply")]),
+               {"b": ["House rules apply"], "a": ["HOUSE RULES APPLY!"], "nothing": ["!!"]})
+    assert got[1].license_id == "a" and got[2].line_licenses == "a"

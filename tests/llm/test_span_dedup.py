@@ -1,0 +1,115 @@
+import random
+import re
+
+from tablekit.llm import span_dedup as S
+
+
+def brute_runs(text, min_words, lone):
+    """Shortest runs from and up to each sentence, by trying all."""
+    starts = S.sentence_starts(text)
+    pieces = [text[a:b] for a, b in zip(starts, [*starts[1:], len(text)])]
+    w = [[x.lower() if x.isascii() else "".join(c.lower() if "A" <= c <= "Z" else c for c in x)
+          for x in re.findall(r"[^\x20\x09-\x0D]+", p)] for p in pieces]
+    n = len(w)
+
+    def fits(a, b):
+        total = sum(len(x) for x in w[a:b])
+        return total >= min_words and (sum(1 for x in w[a:b] if x) > 1 or total >= lone)
+
+    out = set()
+    for i in (k for k in range(n) if w[k]):
+        b = next((b for b in range(i + 1, n + 1) if fits(i, b)), None)
+        if b:
+            out.add((i, b))
+        a = next((a for a in range(i, -1, -1) if fits(a, i + 1)), None)
+        if a is not None:
+            out.add((a, i + 1))
+    return {(a, b): tuple(tuple(x) for x in w[a:b]) for a, b in out}, pieces
+
+
+def brute(rows, min_words=S.MIN_WORDS, lone=S.LONE_WORDS):
+    first = {}
+    for i, t in rows:
+        for (a, _), key in brute_runs(t, min_words, lone)[0].items() if t else ():
+            at = (i is None, i or 0, a)
+            first[key] = min(first.get(key, at), at)
+    out = []
+    for i, t in rows:
+        if not t:
+            out.append((i, 0, 0, t))
+            continue
+        found, pieces = brute_runs(t, min_words, lone)
+        gone = set()
+        for (a, b), key in found.items():
+            if first[key] != (i is None, i or 0, a):
+                gone |= set(range(a, b))
+        out.append((i, len(pieces), len(gone), "".join(p for k, p in enumerate(pieces) if k not in gone)))
+    return sorted(out, key=repr)
+
+
+def result(df):
+    return sorted(((r.doc_id, r._n_sentences, r._n_removed, r.text) for r in df.collect()), key=repr)
+
+
+def make_text(rng, n):
+    return " ".join(" ".join(f"w{rng.randrange(5000)}" for _ in range(rng.choice([1, 4, 9, 14, 35]))).capitalize()
+                    + rng.choice([".", "!", "?", ".\n", "..."]) for _ in range(n))
+
+
+def planted(seed, n):
+    rng = random.Random(seed)
+    shared = [make_text(rng, 8) for _ in range(5)]
+    rows = []
+    for i in range(n):
+        parts = [make_text(rng, rng.randrange(6)) for _ in range(3)]
+        for _ in range(rng.choice([0, 0, 1, 2])):
+            parts.insert(rng.randrange(len(parts) + 1), rng.choice(shared))
+        rows.append((i, " ".join(p for p in parts if p)))
+    return rows, shared
+
+
+def test_equals_brute_force(spark, make_docs):
+    rows, _ = planted(3, 250)
+    assert result(S.dedup_spans(make_docs(rows))) == brute(rows)
+
+
+def test_repeated_passages_go_and_clean_texts_stay(spark, make_docs):
+    rng = random.Random(9)
+    passage = " ".join(" ".join(f"p{j}x{k}" for k in range(13)) + "." for j in range(4))       # 52 words
+    rows = [(i, f"{make_text(rng, 4)} {passage} {make_text(rng, 4)}") for i in range(20)]
+    clean = [(100 + i, make_text(rng, 12)) for i in range(50)]
+    got = {r.doc_id: r for r in S.dedup_spans(make_docs(rows + clean)).collect()}
+    assert passage in got[0].text and got[0]._n_removed == 0
+    assert all("p1x" not in got[i].text and got[i]._n_removed for i in range(1, 20))
+    assert all(got[i].text == t and got[i]._n_removed == 0 for i, t in clean)
+
+
+def test_span_in_very_many_documents(spark, make_docs):
+    rng = random.Random(4)
+    passage = make_text(rng, 8)
+    rows = [(i, f"{passage} Own words of document {i} end here." if i % 3 else f"Document {i} has no more.")
+            for i in range(3000)]
+    assert result(S.dedup_spans(make_docs(rows))) == brute(rows)
+
+
+def test_edge_rows(spark, make_docs):
+    long = ". ".join(f"sentence {i} of a long text with some words" for i in range(8000))
+    one = " ".join(f"q{i}" for i in range(45))
+    rows = [(1, None), (2, ""), (3, " \n\n "), (4, one), (5, one.upper()), (6, "Short. One. Two."), (7, "Short. One. Two."),
+            (8, long), (9, "x y. " + long), (None, one), (10, one), (10, one), (10, "other " + one + ".\n\n" + one)]
+    docs = make_docs(rows, extra=("a", "b", "spans", "removed", "hash"))
+    out = S.dedup_spans(docs)
+    assert out.columns == [*docs.columns, "_n_sentences", "_n_removed", "_removed"]
+    got = result(out)
+    assert len(got) == len(rows)
+    assert [r for r in got if r[0] in (4, 8, 1, 2, 6, 7)] == [r for r in brute(rows) if r[0] in (4, 8, 1, 2, 6, 7)]
+    assert S.dedup_spans(docs.limit(0)).count() == 0
+
+
+def test_sentences_keep_all_characters():
+    rng = random.Random(5)
+    for _ in range(50):
+        text = make_text(rng, 9) + rng.choice(["", "\n", " . ", "\n\n\t"])
+        starts = S.sentence_starts(text)
+        assert "".join(text[a:b] for a, b in zip(starts, [*starts[1:], len(text)])) == text
+        assert S.cut_sentences(text, [])[0] == text
