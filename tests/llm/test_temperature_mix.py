@@ -68,8 +68,9 @@ def test_quotas_are_met_by_whole_passes_and_a_part(spark, make_docs, monkeypatch
     size = {i: len(x.split()) for i, x, _, _ in rows}
     docs = make_docs(rows)
     placed = M.mix_plan(docs, **params).collect()
+    sh = M.source_shares(M.as_items(docs))
     plan = {r.source: r for r in M.quotas(
-        (sh := M.source_shares(M.as_items(docs))), M.find_exponent(sh, **{"entropy": None, "max_repetition": None, **params}),
+        sh, M.find_exponent(sh, **{"entropy": None, "max_repetition": None, **params}),
         params.get("budget_ratio")).collect()}
     got, most = defaultdict(int), max(size.values())
     per_epoch = defaultdict(list)
