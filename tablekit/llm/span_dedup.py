@@ -9,9 +9,13 @@ stays; every sentence covered by any other run is removed. A repeated passage of
 over 50 words thus goes in all documents but the first whatever surrounds it,
 while shared phrases and short boilerplate stay.
 
-Only hashes and positions are shuffled. Runs shared by very many documents are
-judged in place (see first_seen); the removed spans come back per document and
-meet the text once.
+Only hashes and positions are shuffled, and one streaming window pass per hash
+finds its first run. Hashes that are frequent in a 1/64 hash sample of the
+documents (at most MAX_HOT of them) stay out of that shuffle: their first runs
+are exact, a minimum taken over all rows within each task before it is shuffled,
+and the rows are judged where they are, with the removed runs of a document
+merged at once. The sample only steers the layout. The removed spans meet the
+text in one join.
 
 Defined cases: null or empty text has no sentence and stays as it is; repeats
 inside one document count; rows equal in id and text are one document and keep
@@ -27,13 +31,15 @@ import re
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablekit.llm.common import mix, packed, stored, table, text_hash, unpacked, words
-from tablekit.llm.first_seen import not_first
 
 MIN_WORDS, LONE_WORDS = 20, 30
+#: Layout only: the share of documents looked at for frequent hashes, the
+#: sampled runs that make one frequent, and the most handled apart.
+SAMPLE_ONE_IN, HOT_ROWS, MAX_HOT = 64, 16, 2048
 _END = re.compile(r"[.!?]+[ \t\x0b\x0c\r]+|[ \t\x0b\x0c\r]*\n\s*")
 _BASE = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 
@@ -106,6 +112,96 @@ def run_rows(docs: DataFrame, min_words: int, lone_words: int) -> DataFrame:
             .mapInArrow(run, "doc_id long, th long, a int, b int, h1 long, h2 int"))
 
 
+class _Hot:
+    """Rows of frequent hashes in a batch of run rows."""
+
+    def __init__(self, keys):
+        keys = sorted(dict(keys).items())                  # one h2 for each h1
+        self.h1 = np.array([k for k, _ in keys], dtype=np.int64)
+        self.h2 = np.array([k for _, k in keys], dtype=np.int64)
+
+    def rows(self, batch):
+        """(row number, place of its hash) of the rows with a frequent hash."""
+        h1, h2 = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("h1", "h2"))
+        if not len(self.h1) or not len(h1):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        at = np.minimum(np.searchsorted(self.h1, h1), len(self.h1) - 1)
+        hit = np.flatnonzero((self.h1[at] == h1) & (self.h2[at] == h2))
+        return hit, at[hit]
+
+
+def _places(batch, hit):
+    """(id is null, id, th, a) of the rows: what decides which run is first."""
+    part = batch.take(pa.array(hit))
+    return [(i is None, i or 0, t, a) for i, t, a in
+            zip(*(part.column(c).to_pylist() for c in ("doc_id", "th", "a")))]
+
+
+def removed_in_place(rows: DataFrame, keys) -> DataFrame:
+    """(doc_id, th, a, b): merged spans of the runs with a frequent hash that are not its first."""
+    hot = _Hot(keys)
+
+    def least(batches):
+        best = {}
+        for batch in batches:
+            hit, at = hot.rows(batch)
+            for k, place in zip(at.tolist(), _places(batch, hit)):
+                if k not in best or place < best[k]:
+                    best[k] = place
+        ks = list(best)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(ks, pa.int64()), *(pa.array([best[k][j] for k in ks], t)
+                                         for j, t in enumerate((pa.bool_(), pa.int64(), pa.int64(), pa.int32())))],
+            names=["k", "no_id", "id", "th", "a"])
+
+    firsts = {r.k: tuple(r.least) for r in
+              rows.mapInArrow(least, "k long, no_id boolean, id long, th long, a int")
+              .groupBy("k").agg(F.min(F.struct("no_id", "id", "th", "a")).alias("least")).collect()}
+
+    def judge(batches):
+        for batch in batches:
+            hit, at = hot.rows(batch)
+            ends = batch.column("b").take(pa.array(hit)).to_pylist()
+            spans = {}
+            for k, place, b in zip(at.tolist(), _places(batch, hit), ends):
+                if place != firsts[k]:
+                    spans.setdefault(place[:3], []).append((place[3], b))
+            out = [(None if null else i, th, a, b) for (null, i, th), own in spans.items()
+                   for a, b in merged(own)]
+            cols = list(zip(*out)) if out else [()] * 4
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.int32()))],
+                names=["doc_id", "th", "a", "b"])
+
+    return rows.mapInArrow(judge, "doc_id long, th long, a int, b int")
+
+
+def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The same sentences as few spans."""
+    out = []
+    for a, b in sorted(spans):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
+
+
+def removed_spans(rows: DataFrame) -> DataFrame:
+    """(doc_id, th, a, b) covering every run that is not the first of its hash."""
+    hot = (rows.where(F.pmod(F.xxhash64("th"), F.lit(SAMPLE_ONE_IN)) == 0)
+           .groupBy("h1", "h2").agg(F.count("*").alias("c")).where(F.col("c") >= HOT_ROWS)
+           .orderBy(F.desc("c"), "h1", "h2").limit(MAX_HOT).groupBy("h1").agg(F.min("h2").alias("h2")))
+    hot = stored(hot, "hot_runs")
+    keys = [(r.h1, r.h2) for r in hot.collect()]             # at most MAX_HOT
+    place = F.struct(F.col("doc_id").isNull(), "doc_id", "th", "a")
+    seen = (Window.partitionBy("h1", "h2").orderBy(F.col("doc_id").asc_nulls_last(), "th", "a")
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    rest = (rows.join(F.broadcast(hot), ["h1", "h2"], "left_anti").withColumn("least", F.first(place).over(seen))
+            .where(place != F.col("least")).select("doc_id", "th", "a", "b"))
+    return rest.union(removed_in_place(rows, keys)) if keys else rest
+
+
 def cut_sentences(text: str, spans) -> tuple[str, int, list[int]]:
     """The text without the sentences of the spans, their number and which."""
     starts = [*sentence_starts(text), len(text)]
@@ -122,8 +218,7 @@ def dedup_spans(docs: DataFrame, min_words: int = MIN_WORDS, lone_words: int = L
     """``docs`` with the kept sentences in ``text``, plus ``_n_sentences`` (before),
     ``_n_removed`` and ``_removed`` (numbers of the removed sentences)."""
     rows = stored(run_rows(docs.select("doc_id", "text"), min_words, lone_words), "runs")
-    order = [F.col("doc_id").isNull(), F.col("doc_id"), F.col("th"), F.col("a")]
-    spans = (not_first(rows, ["h1", "h2"], order, "th").groupBy("doc_id", "th")
+    spans = (removed_spans(rows).groupBy("doc_id", "th")
              .agg(F.collect_set(F.struct("a", "b")).alias("spans"))
              .select(F.col("doc_id").alias("id"), "th", "spans").hint("shuffle_hash"))
     d = packed(docs).withColumn("hash", text_hash(F.col("text")))
