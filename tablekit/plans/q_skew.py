@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tablekit.operators import skew as SK
-from tablekit.plans.q_relational import CHEAP_PRICE, r2, sales_by_day_for_cheap_parts
+from tablekit.plans.q_relational import exact_sales
 from tablekit.plans.registry import register
 from tablekit.sources import table
 
@@ -22,7 +22,7 @@ SKEWED_JOIN_SQL = f"""
 
 
 def skewed_sales(spark, d):
-    li = table(spark, d, "lineitem").select("l_partkey", "l_quantity", "l_shipdate")
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_shipdate")
     return li.withColumn("item_id", F.expr(SKEWED_KEY_SQL))
 
 
@@ -40,35 +40,21 @@ def skewed_join_sum(spark, d):
     s = skewed_sales(spark, d)
     p = table(spark, d, "part").select("p_partkey", "p_retailprice")
     return (s.join(p, s.item_id == p.p_partkey).groupBy("l_shipdate")
-            .agg(r2(F.sum(F.col("l_quantity") * F.col("p_retailprice"))).alias("total_sales"))
+            .agg(exact_sales("l_quantity").alias("total_sales"))
             .orderBy(F.desc("total_sales")))
 
 
 @register("salted_join_sum", ids=("AQE4", "JN4"), sql=SKEWED_JOIN_SQL)
 def salted_join_sum(spark, d):
     s = skewed_sales(spark, d)
-    hot = SK.hot_key_list(s, "item_id", min_share=0.05)
+    salts = SK.hot_key_salts(s, "item_id", min_share=0.05)
     p = table(spark, d, "part").select("p_partkey", "p_retailprice")
-    j = SK.salted_join(s, p, "item_id", "p_partkey", hot, salts=16)
+    j = SK.salted_join(s, p, "item_id", "p_partkey", salts, row_id=["l_orderkey", "l_linenumber"])
     return (j.groupBy("l_shipdate")
-            .agg(r2(F.sum(F.col("l_quantity") * F.col("p_retailprice"))).alias("total_sales"))
+            .agg(exact_sales("l_quantity").alias("total_sales"))
             .orderBy(F.desc("total_sales")))
 
 
-@register("flagship_broadcast_checked", ids=("JN3", "AQE2"), sql=f"""
-    SELECT l_shipdate, ROUND(SUM(l_quantity * p_retailprice), 2) AS total_sales
-    FROM lineitem JOIN part ON l_partkey = p_partkey
-    WHERE p_retailprice < {CHEAP_PRICE}
-    GROUP BY l_shipdate ORDER BY total_sales DESC""")
-def flagship_broadcast_checked(spark, d):
-    # explicit broadcast, but only behind a proven row bound on the filtered side
-    part = table(spark, d, "part")
-    cheap = SK.broadcast_if_small(
-        part.where(F.col("p_retailprice") < CHEAP_PRICE).select("p_partkey", "p_retailprice"),
-        max_rows=2_000_000)
-    return sales_by_day_for_cheap_parts(table(spark, d, "lineitem"), cheap, max_price=CHEAP_PRICE)
-
-
 @register("preagg_join_sum", ids=("JN4", "AQE4", "AGG7"), sql=SKEWED_JOIN_SQL)
 def preagg_join_sum(spark, d):
     # sum(q * price(item)) by day = sum over (item, day) of price(item) * sum(q):
@@ -80,5 +66,5 @@ def preagg_join_sum(spark, d):
     p = table(spark, d, "part").select("p_partkey", "p_retailprice")
     j = per_item_day.join(p, per_item_day.item_id == p.p_partkey)
     return (j.groupBy("l_shipdate")
-            .agg(r2(F.sum(F.col("q") * F.col("p_retailprice"))).alias("total_sales"))
+            .agg(exact_sales("q").alias("total_sales"))
             .orderBy(F.desc("total_sales")))

@@ -5,7 +5,9 @@ is part of the work, so it grows with the table."""
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,10 +19,9 @@ from tablekit.sources import (
     empty_like,
     query_path,
     read_csv,
-    read_jdbc,
     read_parquet,
+    save_table,
     table,
-    write_jdbc,
     write_parquet,
 )
 
@@ -119,38 +120,69 @@ def parquet_roundtrip(spark, d):
         F.count(F.lit(1)).alias("n_lines"), F.sum("l_quantity").alias("total_qty"))
 
 
-@register("ctas_table", ids=("SNK4", "SNK5", "SNK6", "SNK2", "SNK7", "SRC10"), sql="""
+@contextmanager
+def scratch_database(spark, name="tk_scratch"):
+    """A database of its own, in use inside the block, dropped with all its
+    tables after it; what was in use before is in use again."""
+    db = f"{name}_{uuid.uuid4().hex[:8]}"
+    before = spark.catalog.currentDatabase()
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{shared_dir(spark, 'warehouse', db, unique=True)}'")
+    spark.sql(f"USE {db}")
+    try:
+        yield db
+    finally:
+        spark.sql(f"USE {before}")
+        spark.sql(f"DROP DATABASE {db} CASCADE")
+
+
+def _kept(spark, df, name):
+    """A result written outside the scratch database, which goes with its tables."""
+    return read_parquet(spark, write_parquet(df, shared_dir(spark, "results", name, unique=True)))
+
+
+@register("ctas_table", ids=("SNK4", "SNK6", "SNK7", "SRC10"), sql="""
     SELECT o_orderpriority, COUNT(*) AS n_orders, ROUND(AVG(o_totalprice), 2) AS avg_price
     FROM orders WHERE o_orderstatus = 'F' GROUP BY o_orderpriority""")
 def ctas_table(spark, d):
-    db = "tk_scratch"
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{shared_dir(spark, 'warehouse')}'")
     table(spark, d, "orders").createOrReplaceTempView("tk_orders")
-    name = f"{db}.orders_f_{uuid.uuid4().hex[:8]}"
-    loc = shared_dir(spark, "tables", name, unique=True)
-    t = ctas(spark, name, "SELECT * FROM tk_orders WHERE o_orderstatus = 'F'", location=loc)
-    return t.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n_orders"),
-                                           F.round(F.avg("o_totalprice"), 2).alias("avg_price"))
-
-
-DERBY_DRIVER = "org.apache.derby.jdbc.EmbeddedDriver"
-
-
-@register("jdbc_group_sum", ids=("SRC8", "SRC9", "AGG6"), sql="""
-    SELECT c_nationkey, COUNT(*) AS n_customers, ROUND(SUM(c_acctbal), 2) AS total_balance
-    FROM customer GROUP BY c_nationkey""")
-def jdbc_group_sum(spark, d):
-    # Embedded in-memory Derby: a database only this JVM sees (no server,
-    # no port). Stands in for any JDBC source.
-    url = f"jdbc:derby:memory:tk_{uuid.uuid4().hex[:10]};create=true"
-    c = table(spark, d, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
-    write_jdbc(c, url, "CUSTOMER", driver=DERBY_DRIVER)
-    bounds = c.agg(F.min("c_custkey"), F.max("c_custkey")).first()
-    df = read_jdbc(spark, url, "CUSTOMER", driver=DERBY_DRIVER, partition_column="c_custkey",
-                   lower=int(bounds[0]), upper=int(bounds[1]) + 1, num_partitions=4)
-    df = df.toDF(*[x.lower() for x in df.columns])
-    return df.groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("n_customers"),
-                                         F.round(F.sum("c_acctbal"), 2).alias("total_balance"))
+    with scratch_database(spark):
+        loc = shared_dir(spark, "tables", "orders_f", unique=True)
+        t = ctas(spark, "orders_f", "SELECT * FROM tk_orders WHERE o_orderstatus = 'F'", location=loc)
+        return _kept(spark, t.groupBy("o_orderpriority").agg(
+            F.count(F.lit(1)).alias("n_orders"), F.round(F.avg("o_totalprice"), 2).alias("avg_price")), "ctas")
+
+
+@register("ctas_default_topk", ids=("SNK5", "SNK6", "WIN1", "SRT4"), sql="""
+    WITH t AS (SELECT l_suppkey, l_returnflag, CAST(SUM(l_quantity) AS DOUBLE) AS qty
+               FROM lineitem GROUP BY ALL),
+    r AS (SELECT *, CAST(dense_rank() OVER (PARTITION BY l_returnflag ORDER BY qty DESC) AS INTEGER) AS place FROM t)
+    SELECT l_returnflag, l_suppkey, qty, place FROM r WHERE place <= 3""")
+def ctas_default_topk(spark, d):
+    # CREATE TABLE ... AS without USING, then a ranking over the stored table
+    table(spark, d, "lineitem").createOrReplaceTempView("tk_lineitem_src")
+    with scratch_database(spark):
+        ctas(spark, "flag_totals", "SELECT l_suppkey, l_returnflag, SUM(l_quantity) AS qty FROM tk_lineitem_src"
+             " GROUP BY l_suppkey, l_returnflag", using=None)
+        return _kept(spark, spark.sql("""
+            SELECT * FROM (SELECT l_returnflag, l_suppkey, qty,
+                                  dense_rank() OVER (PARTITION BY l_returnflag ORDER BY qty DESC) AS place
+                           FROM flag_totals) WHERE place <= 3"""), "topk")
+
+
+@register("managed_table_modes", ids=("SNK2",), sql="""
+    SELECT c_custkey, c_mktsegment, true AS second_refused FROM customer""")
+def managed_table_modes(spark, d):
+    # a managed table: written, refused while it exists, then overwritten
+    c = table(spark, d, "customer").select("c_custkey", "c_mktsegment")
+    with scratch_database(spark):
+        save_table(table(spark, d, "supplier").select("s_suppkey"), "kept")
+        try:
+            save_table(c, "kept")
+            refused = False
+        except AnalysisException:
+            refused = True
+        save_table(c, "kept", mode="overwrite")
+        return _kept(spark, spark.table("kept").withColumn("second_refused", F.lit(refused)), "managed")
 
 
 @register("partition_pruned_scan", ids=("SNK1", "SRC5", "FLT8"), sql="""

@@ -5,13 +5,11 @@ read back as a batch table, so each query checks against plain SQL."""
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tablekit.operators.snapshots import SnapshotTable
 from tablekit.plans.registry import register
 from tablekit.session import shared_dir
-from tablekit.sources import empty_like, table
+from tablekit.sources import table
 from tablekit.streaming import ingest
 from tablekit.streaming import streams as ST
 
@@ -59,29 +57,7 @@ def stream_tumbling_counts(spark, d):
     return _ntz(ST.read_result(spark, out), "window_start", "window_end")
 
 
-@register("stream_watermark_counts", ids=("STR7",), sql=TUMBLING_SQL)
-def stream_watermark_counts(spark, d):
-    # bounded state: a watermark finalises windows; update mode emits changed
-    # windows per batch, the sink upserts them by (key, window)
-    src, schema = _events_files(spark, d)
-    stream = ST.as_event_time(ingest.stream_files(spark, "parquet", src, schema), "ts")
-    agg = ST.window_counts(stream, "event_type", "ts", WINDOW, watermark="1 hour")
-    out = shared_dir(spark, "results", "watermark", unique=True)
-
-    def sink(batch, batch_id):
-        batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
-
-    q = (agg.writeStream.outputMode("update").option("checkpointLocation", out + "_ckpt")
-         .foreachBatch(sink).trigger(availableNow=True).start())
-    q.awaitTermination()
-    res = spark.read.parquet(out)
-    # the latest emitted count of each window wins
-    w = Window.partitionBy("event_type", "window_start").orderBy(F.desc("batch"))
-    latest = res.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r", "batch")
-    return _ntz(latest, "window_start", "window_end")
-
-
-@register("stream_live_counts", ids=("STR8", "STR12"), sql="""
+@register("stream_live_counts", ids=("STR8",), sql="""
     SELECT event_type, COUNT(*) AS n FROM events GROUP BY event_type""")
 def stream_live_counts(spark, d):
     src, schema = _events_files(spark, d)
@@ -132,50 +108,57 @@ def ingest_run_once(spark, d):
                       "props")
 
 
-@register("multi_writer_counts", ids=("STR10", "STR11", "STR6", "UDF4"), sql=f"""
-    SELECT CASE WHEN event_type IN {A_TYPES} THEN 'stream A' ELSE 'stream B' END AS type,
-           COUNT(*) AS n, COUNT(DISTINCT event_id) AS n_loans
-    FROM events GROUP BY type""")
-def multi_writer_counts(spark, d):
-    in_a = F.col("event_type").isin(*A_TYPES)
-    src_a, schema = _events_files(spark, d, where=in_a)
-    src_b, _ = _events_files(spark, d, where=~in_a)
-
-    def loans(src, kind, seed):
-        s = ingest.stream_files(spark, "parquet", src, schema)
-        s = s.select(F.col("ts").cast("timestamp").alias("timestamp"),
-                     F.col("event_id").alias("value"))
-        return ST.to_loans(s, kind, seed)
-
-    target = shared_dir(spark, "tables", "loans", unique=True)
-    qs = ST.multi_writer({"A": loans(src_a, "stream A", 1), "B": loans(src_b, "stream B", 5)},
-                         target, target + "_ckpt")
-    for q in qs:
-        q.awaitTermination()
-    t = spark.read.parquet(target)               # batch read of what both committed
-    return t.groupBy("type").agg(F.count(F.lit(1)).alias("n"),
-                                 F.count_distinct("loan_id").alias("n_loans"))
+RATED_SQL = """(SELECT event_id, CASE WHEN event_type IN {types} THEN 'A' ELSE 'B' END AS origin,
+    CASE WHEN value IS NULL THEN 'none' WHEN value < 10 THEN 'small' WHEN value < 100 THEN 'medium' ELSE 'large' END
+      AS size, CAST(ROUND(value * 100) AS BIGINT) AS weight, event_id % 7 AS bucket, ts FROM events)""".format(
+    types=A_TYPES)
 
 
-@register("stream_into_table", ids=("STR3", "SNK3", "SRC7"), sql="SELECT * FROM events")
-def stream_into_table(spark, d):
-    # writeStream into a versioned table: one append version per micro-batch,
-    # exactly once (batch ids are recorded with each commit)
-    src, schema = _events_files(spark, d)
-    t = SnapshotTable(spark, shared_dir(spark, "tables", "events_versioned", unique=True))
-    t.create(empty_like(table(spark, d, "events")))
-    stream = ingest.stream_files(spark, "parquet", src, schema)
-    t.stream_into(stream, t.path + "_ckpt", app_id="events", available_now=True) \
-        .awaitTermination()
-    return t.read()
+def _two_writers(spark, d):
+    in_a = F.col("event_type").isin(*A_TYPES)
+    (src_a, schema), (src_b, _) = (_events_files(spark, d, where=w) for w in (in_a, ~in_a))
+    streams = {k: ST.rated_events(ingest.stream_files(spark, "parquet", src, schema), k)
+               for k, src in (("A", src_a), ("B", src_b))}
+    return streams, shared_dir(spark, "tables", "rated", unique=True)
 
 
-@register("copy_into_versioned", ids=("STR5", "VER1", "VER4"), sql="SELECT * FROM events")
-def copy_into_versioned(spark, d):
-    src, schema = _events_files(spark, d, fmt="json")
-    target = shared_dir(spark, "tables", "events_copy_versioned", unique=True)
-    first = ingest.copy_into_table(spark, target, src, "json", schema=schema, **TS_MICROS)
-    second = ingest.copy_into_table(spark, target, src, "json", schema=schema, **TS_MICROS)
-    if second != 0:
-        raise AssertionError(f"COPY INTO loaded {second} rows again (first run {first})")
-    return SnapshotTable(spark, target).read()
+@register("multi_writer_counts", ids=("STR10", "STR6"), sql=f"""
+    SELECT origin, size, bucket, COUNT(*) AS n, COUNT(DISTINCT event_id) AS n_events, SUM(weight) AS weight
+    FROM {RATED_SQL} r GROUP BY ALL""")
+def multi_writer_counts(spark, d):
+    streams, target = _two_writers(spark, d)
+    for q in ST.multi_writer(streams, target, target + "_ckpt"):
+        q.awaitTermination()
+    t = ST.read_writers(spark, target)            # what both writers committed
+    return t.groupBy("origin", "size", "bucket").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("event_id").alias("n_events"),
+        F.sum("weight").cast("decimal(38,0)").cast("long").alias("weight"))
+
+
+@register("batch_between_streams", ids=("STR11",), sql=f"""
+    SELECT 'after A' AS seen, COUNT(*) FILTER (WHERE origin = 'A') AS n FROM {RATED_SQL} r
+    UNION ALL SELECT 'after both', COUNT(*) FROM {RATED_SQL} r""")
+def batch_between_streams(spark, d):
+    # a batch query while a second writer is still to come: it sees exactly the
+    # batches that were committed when it was planned
+    streams, target = _two_writers(spark, d)
+    seen = []
+    for name, label in (("A", "after A"), ("B", "after both")):
+        for q in ST.multi_writer({name: streams[name]}, target, target + "_ckpt"):
+            q.awaitTermination()
+        seen.append(ST.read_writers(spark, target).agg(F.lit(label).alias("seen"), F.count(F.lit(1)).alias("n")))
+    return seen[0].unionByName(seen[1])
+
+
+@register("table_as_stream", ids=("STR12", "STR7", "STR8"), sql="""
+    SELECT event_type, time_bucket(INTERVAL '10 seconds', ts) AS window_start, COUNT(*) AS n
+    FROM events GROUP BY ALL""")
+def table_as_stream(spark, d):
+    # a stream writes a table; a second stream reads that table and counts by type and window
+    src, schema = _events_files(spark, d)
+    mid = shared_dir(spark, "tables", "events_table", unique=True)
+    ingest.run_once(ingest.stream_files(spark, "parquet", src, schema), mid, mid + "_ckpt")
+    stream = ST.as_event_time(ST.read_table_stream(spark, mid, schema), "ts")
+    out = shared_dir(spark, "results", "from_table", unique=True)
+    ST.write_result(ST.window_counts(stream, "event_type", "ts", WINDOW), out, out + "_ckpt").awaitTermination()
+    return _ntz(ST.read_result(spark, out), "window_start").drop("window_end")

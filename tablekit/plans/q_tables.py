@@ -1,19 +1,22 @@
 """DML and versioned-table queries on ``customer``.
 
-The pure DML functions are checked directly against SQL; the snapshot
-queries write real versions under the shared scratch folder and read them
-back, so time travel / restore / repair are checked end to end.
+The pure DML functions are checked directly against SQL; the versioned
+queries keep every version as rows with from_version / to_version, written
+under the shared scratch folder and read back, so time travel, restore and
+repair are checked end to end.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from tablekit.operators import dml
-from tablekit.operators.snapshots import SnapshotTable
+from tablekit.operators import versions as V
 from tablekit.plans.registry import register
 from tablekit.session import shared_dir
-from tablekit.sources import table
+from tablekit.sources import read_parquet, table, write_parquet
 
 NEW_KEY_OFFSET = 1_000_000_000   # suppliers become new customers above this key
 DELETE_COND = "c_acctbal < 0"
@@ -99,53 +102,63 @@ def snapshot_diff(spark, d):
 
 
 # --------------------------------------------------------------------------
-# Versioned tables on disk
+# Versions as data: rows with from_version / to_version, written as Parquet
 # --------------------------------------------------------------------------
-def _fresh_table(spark, d) -> SnapshotTable:
-    t = SnapshotTable(spark, shared_dir(spark, "snapshots", "customer", unique=True))
-    t.create(customers(spark, d))
-    return t
+def _saved(spark, v):
+    """The versioned rows after a change, written and read back."""
+    return read_parquet(spark, write_parquet(v, shared_dir(spark, "versions", "customer", unique=True)))
 
 
-@register("time_travel", ids=("VER1", "VER2", "DML1", "DML2", "SNK3"), sql=DELETED_SQL)
+@register("time_travel", ids=("VER1", "VER2", "DML1", "DML2"), sql=DELETED_SQL)
 def time_travel(spark, d):
-    t = _fresh_table(spark, d)
-    t.delete_where(DELETE_COND)                          # v1
-    t.update_where(UPDATE_COND, {"c_acctbal": 0.0})      # v2
-    return t.read(version=1)
+    v = V.first_version(customers(spark, d))
+    v = V.delete_where(v, 1, DELETE_COND)
+    v = V.update_where(v, 2, UPDATE_COND, {"c_acctbal": 0.0})
+    return V.as_of(_saved(spark, v), 1)
 
 
 @register("time_travel_timestamp", ids=("VER3", "VER4"), sql=DELETED_SQL)
 def time_travel_timestamp(spark, d):
-    t = _fresh_table(spark, d)
-    t.delete_where(DELETE_COND)                          # v1
-    ts = t.history().where("version = 1").first()["timestamp"]
-    t.update_where(UPDATE_COND, {"c_acctbal": 0.0})      # v2, committed after ts
-    return t.read(as_of=ts)
+    v = V.first_version(customers(spark, d))
+    v = V.delete_where(v, 1, DELETE_COND)
+    v = V.update_where(v, 2, UPDATE_COND, {"c_acctbal": 0.0})
+    commits = spark.createDataFrame([(n, dt.datetime(2024, 1, 1 + n, tzinfo=dt.timezone.utc)) for n in range(3)],
+                                    "version int, committed_at timestamp")
+    version = V.version_at(commits, dt.datetime(2024, 1, 2, 12, tzinfo=dt.timezone.utc))
+    return V.as_of(_saved(spark, v), version)
 
 
-@register("time_travel_latest", ids=("VER2", "DML3"), sql=MERGED_SQL)
+@register("time_travel_latest", ids=("VER2", "DML3", "JN6"), sql=MERGED_SQL)
 def time_travel_latest(spark, d):
-    t = _fresh_table(spark, d)
-    t.merge(merge_source(spark, d), ["c_custkey"])       # v1
-    return t.read()
+    v = V.merge(V.first_version(customers(spark, d)), 1, merge_source(spark, d), ["c_custkey"])
+    return V.latest(_saved(spark, v))
 
 
-@register("restore_version", ids=("VER6", "VER7", "VER8"), sql="SELECT * FROM customer")
+@register("restore_version", ids=("VER6", "VER8"), sql="SELECT *, CAST(NULL AS INTEGER) AS credit_score FROM customer")
 def restore_version(spark, d):
-    t = _fresh_table(spark, d)
-    t.append(credit_rows(spark, d), evolve=True)         # v1 adds a column
-    t.delete_where(DELETE_COND)                          # v2
-    t.restore(0)                                         # v3 == v0, schema too
-    return t.read()
+    v = V.first_version(customers(spark, d))
+    v = V.append(v, 1, credit_rows(spark, d), evolve=True)     # adds a column
+    v = V.delete_where(v, 2, DELETE_COND)
+    v = V.restore(v, 3, to=0)
+    return V.latest(_saved(spark, v))
 
 
 @register("dml_repair", ids=("DML4", "SET2"), sql="SELECT * FROM customer")
 def dml_repair(spark, d):
-    t = _fresh_table(spark, d)
-    t.delete_where(UPDATE_COND)                          # v1
-    t.append(t.read(0).where(UPDATE_COND))               # v2: re-insert from v0
-    return t.read()
+    v = _saved(spark, V.delete_where(V.first_version(customers(spark, d)), 1, UPDATE_COND))
+    # what the delete took is put back from the version before it
+    v = V.append(v, 2, V.as_of(v, 0).where(UPDATE_COND))
+    return V.latest(v)
+
+
+@register("append_refused", ids=("VER7",), sql="SELECT *, true AS refused FROM customer")
+def append_refused(spark, d):
+    v = V.first_version(customers(spark, d))
+    try:
+        v, refused = V.append(v, 1, credit_rows(spark, d)), False
+    except dml.SchemaMismatch:
+        refused = True
+    return V.latest(v).withColumn("refused", F.lit(refused))
 
 
 @register("table_history", ids=("VER4",), sql=f"""
@@ -160,44 +173,24 @@ def dml_repair(spark, d):
                          + (SELECT COUNT(*) FROM {MERGE_SOURCE_SQL} s)
     ) m USING (version)""")
 def table_history(spark, d):
-    t = _fresh_table(spark, d)
-    t.delete_where(DELETE_COND)
-    t.update_where(UPDATE_COND, {"c_acctbal": 0.0})
-    t.merge(merge_source(spark, d), ["c_custkey"])
-    h = t.history()
-    return h.select(F.col("version").cast("int").alias("version"), "operation",
-                    F.col("metrics")["num_output_rows"].alias("num_output_rows"))
-
-
-@register("compact_cluster", ids=("MNT2",), sql="SELECT * FROM customer")
-def compact_cluster(spark, d):
-    t = _fresh_table(spark, d)
-    t.compact(cluster_by="c_nationkey", target_file_bytes=8 << 10)
-    return t.read()
-
-
-@register("table_detail", ids=("VER5",))
-def table_detail(spark, d):
-    return _fresh_table(spark, d).detail()
-
-
-@register("vacuum_keeps_latest", ids=("MNT1",), sql=UPDATED_SQL)
-def vacuum_keeps_latest(spark, d):
-    t = _fresh_table(spark, d)
-    t.update_where(UPDATE_COND, {"c_acctbal": 0.0, "c_mktsegment": "REVIEW"})
-    t.expire(keep_last=1)
-    return t.read()
+    v = V.first_version(customers(spark, d))
+    v = V.delete_where(v, 1, DELETE_COND)
+    v = V.update_where(v, 2, UPDATE_COND, {"c_acctbal": 0.0})
+    v = V.merge(v, 3, merge_source(spark, d), ["c_custkey"])
+    names = ["CREATE TABLE AS SELECT", "DELETE", "UPDATE", "MERGE"]
+    return (V.row_counts(v, range(len(names)))
+            .withColumn("operation", F.element_at(F.array(*map(F.lit, names)), F.col("version") + 1))
+            .select("version", "operation", "num_output_rows"))
 
 
-@register("partitioned_table_dml", ids=("VER1", "DML1", "DML2", "SRC5"), sql=f"""
+@register("partitioned_table_dml", ids=("DML1", "DML2", "SRC5", "SNK1"), sql=f"""
     SELECT c_custkey, c_name, c_nationkey,
            CASE WHEN coalesce({UPDATE_COND}, false) THEN 0.0 ELSE c_acctbal END AS c_acctbal,
            c_mktsegment
     FROM customer WHERE c_mktsegment <> 'BUILDING'""")
 def partitioned_table_dml(spark, d):
-    # partitioned by segment: the delete finds its folder through a pruned scan
-    t = SnapshotTable(spark, shared_dir(spark, "snapshots", "customer_by_segment", unique=True))
-    t.create(customers(spark, d), partition_by=["c_mktsegment"])
-    t.delete_where("c_mktsegment = 'BUILDING'")
-    t.update_where(UPDATE_COND, {"c_acctbal": 0.0})
-    return t.read()
+    # partitioned by segment: the delete is a partition filter, the deleted folder is never read
+    path = write_parquet(customers(spark, d), shared_dir(spark, "parquet", "customer_by_segment", unique=True),
+                         partition_by=["c_mktsegment"])
+    left = dml.delete_where(read_parquet(spark, path), "c_mktsegment = 'BUILDING'")
+    return dml.update_where(left, UPDATE_COND, {"c_acctbal": 0.0})

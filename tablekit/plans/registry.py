@@ -26,13 +26,3 @@ def register(name: str, sql: str | None = None, ids: tuple[str, ...] = ()):
         return fn
 
     return deco
-
-
-def alias(name: str, of: str, ids: tuple[str, ...] = ()) -> None:
-    """Register ``name`` as another name of query ``of`` (same plan, same SQL)."""
-    if name in QUERIES:
-        raise ValueError(f"duplicate query name {name}")
-    QUERIES[name] = QUERIES[of]
-    IDS[name] = ids or IDS[of]
-    if of in ORACLE:
-        ORACLE[name] = ORACLE[of]

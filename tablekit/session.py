@@ -30,8 +30,6 @@ def tune(spark: SparkSession, overwrite: bool = False) -> SparkSession:
     for k, v in SQL_DEFAULTS.items():
         if overwrite or spark.conf.get(k, None) is None:
             spark.conf.set(k, v)
-    # Timestamps must be compared in UTC everywhere (test tables are zone-less).
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
 
 
@@ -41,8 +39,7 @@ def scale_confs(input_bytes: int, total_cores: int, executor_mem_per_core: int =
 
     * shuffle partitions: enough that each holds ~``target_partition_bytes``
       of the input (an upper bound on what a shuffle carries), at least 2x the
-      cores so every core has work, capped where per-task overhead dominates.
-      AQE then coalesces small ones and splits skewed ones at run time.
+      cores so every core has work. AQE then coalesces small ones and splits skewed ones at run time.
     * scan split: large files are read in splits that keep ~4 tasks per core
       per wave without going over ~1 GiB or below 128 MiB.
     * advisory size / skew threshold follow the partition target; the
@@ -53,7 +50,7 @@ def scale_confs(input_bytes: int, total_cores: int, executor_mem_per_core: int =
       before its shuffle, once that side's scan is over 10 GiB.
     """
     cores = max(1, int(total_cores))
-    shuffle = max(2 * cores, min(200_000, -(-int(input_bytes) // target_partition_bytes)))
+    shuffle = max(2 * cores, -(-int(input_bytes) // target_partition_bytes))
     split = int(min(1 << 30, max(128 << 20, input_bytes // (4 * cores) if input_bytes else 0)))
     broadcast = int(min(256 << 20, max(10 << 20, executor_mem_per_core // 16)))
     return {
@@ -133,20 +130,30 @@ def shared_dir(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     """A folder under the cluster's shared checkpoint location.
 
     The location comes from ``spark.checkpoint.dir`` (or the context's
-    checkpoint dir). Only when neither is set -- local tests -- we create one
-    and register it, so later ``checkpoint()`` calls land there too.
+    checkpoint dir). Only a local master may do without: a folder is made and
+    registered then; on a cluster its executors would each write to a disk of
+    their own, so that is an error. ``unique`` folders are scratch: they are
+    removed when the application ends.
     """
     sc = spark.sparkContext
     base = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="tk-ckpt-")
+    if not sc.getCheckpointDir():
         sc.setCheckpointDir(base)
         base = sc.getCheckpointDir() or base
-    elif not sc.getCheckpointDir():
-        sc.setCheckpointDir(base)
-    path = base.rstrip("/")
-    for p in parts:
-        path = f"{path}/{p}"
-    if unique:
-        path = f"{path}-{uuid.uuid4().hex[:12]}"
-    return path
+    if not unique:
+        return "/".join([base.rstrip("/"), *parts])
+    scratch = f"{base.rstrip('/')}/scratch"
+    if scratch not in _SCRATCH:
+        hpath = sc._jvm.org.apache.hadoop.fs.Path(scratch)
+        fs = hpath.getFileSystem(sc._jsc.hadoopConfiguration())
+        fs.mkdirs(hpath)                     # only what exists is deleted on exit
+        fs.deleteOnExit(hpath)
+        _SCRATCH.add(scratch)
+    return "/".join([scratch, *parts]) + f"-{uuid.uuid4().hex[:12]}"
+
+
+_SCRATCH: set[str] = set()

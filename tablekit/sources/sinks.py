@@ -26,12 +26,15 @@ def save_table(df: DataFrame, name: str, mode: str = "errorifexists", fmt: str =
     return name
 
 
-def ctas(spark: SparkSession, name: str, select_sql: str, using: str = "parquet",
+def ctas(spark: SparkSession, name: str, select_sql: str, using: str | None = "parquet",
          location: str | None = None, replace: bool = True) -> DataFrame:
+    """CREATE TABLE ... AS; ``using=None`` leaves the format to the session's
+    default source."""
     if replace:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
+    fmt = f" USING {using}" if using else ""
     loc = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE TABLE {name} USING {using}{loc} AS {select_sql}")
+    spark.sql(f"CREATE TABLE {name}{fmt}{loc} AS {select_sql}")
     return spark.table(name)
 
 

@@ -8,38 +8,64 @@ under a new name is loaded again, and a re-run loads nothing twice.
 
 from __future__ import annotations
 
+import datetime as dt
 import json
+import time
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 
+class NewFields(ValueError):
+    """Files that arrived since the schema was remembered have fields it lacks."""
+
+
+def _load(spark: SparkSession, loc: str):
+    jvm = spark.sparkContext._jvm
+    stored = jvm.org.apache.hadoop.fs.Path(loc)
+    if not stored.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(stored):
+        return None, None
+    row = json.loads(spark.read.text(loc, wholetext=True).first()[0])
+    return StructType.fromJson(row["schema"]), row["checked"]
+
+
+def _infer(spark: SparkSession, fmt: str, path: str, read_options, since: float | None) -> StructType | None:
+    """Schema of the files in ``path`` (those modified after ``since``); None
+    if there are none."""
+    r = spark.read.format(fmt).options(**read_options)
+    if since is not None:
+        at = dt.datetime.fromtimestamp(since - 2, dt.timezone.utc)     # file times have a second's grain
+        r = r.option("modifiedAfter", at.strftime("%Y-%m-%dT%H:%M:%S")).option("timeZone", "UTC")
+    try:
+        return r.load(path).schema
+    except AnalysisException as e:
+        if since is not None and "UNABLE_TO_INFER_SCHEMA" in str(e):
+            return None
+        raise
+
+
 def remember_schema(spark: SparkSession, fmt: str, path: str, schema_location: str,
                     refresh: bool = False, **read_options) -> StructType:
-    """Infer the input schema once and keep it at ``schema_location``; later
-    runs reuse it instead of re-scanning the inputs. Keep ``schema_location``
-    outside the input directory. ``refresh=True`` re-infers and merges in new
-    fields (schema evolution)."""
+    """The input's schema, inferred once and kept at ``schema_location`` (outside
+    the input directory). Later calls infer only from files that arrived since
+    the last one. A field that the remembered schema lacks is never dropped in
+    silence: the call fails with :class:`NewFields`, or, with ``refresh=True``,
+    adds the field."""
     loc = schema_location.rstrip("/") + "/schema"
-    old = None
-    jvm = spark.sparkContext._jvm
-    stored = jvm.org.apache.hadoop.fs.Path(loc)
-    if stored.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(stored):
-        txt = spark.read.text(loc).first()
-        old = StructType.fromJson(json.loads(txt[0])) if txt else None
-    if old is not None and not refresh:
-        return old
-    r = spark.read.format(fmt)
-    for k, v in read_options.items():
-        r = r.option(k, v)
-    inferred = r.load(path).schema
-    if old is not None:
-        have = {f.name for f in old.fields}
-        merged = StructType(list(old.fields) + [f for f in inferred.fields if f.name not in have])
+    old, checked = _load(spark, loc)
+    now = time.time()
+    if old is None:
+        merged = _infer(spark, fmt, path, read_options, None)
     else:
-        merged = inferred
-    (spark.createDataFrame([(merged.json(),)], "s string").coalesce(1)
+        inferred = _infer(spark, fmt, path, read_options, checked)
+        have = {f.name for f in old.fields}
+        new = [f for f in (inferred.fields if inferred else []) if f.name not in have]
+        if new and not refresh:
+            raise NewFields(f"new fields {[f.name for f in new]} in {path}; refresh the schema to load them")
+        merged = StructType(list(old.fields) + new)
+    (spark.createDataFrame([(json.dumps({"schema": merged.jsonValue(), "checked": now}),)], "s string").coalesce(1)
      .write.mode("overwrite").text(loc))
     return merged
 
@@ -79,21 +105,26 @@ def start(stream: DataFrame, target: str | None, checkpoint: str, fmt: str = "pa
     return w.toTable(table) if table else w.start(target)
 
 
-def rows_written(q: StreamingQuery) -> int:
-    """Rows read by the query's micro-batches, from its progress history
-    (``spark.sql.streaming.numRecentProgressUpdates`` batches, 100 by default;
-    an ``availableNow`` run over a file source is usually one batch)."""
-    return int(sum(p.get("numInputRows", 0) for p in q.recentProgress))
+def _rows_in(spark: SparkSession, target: str | None, table: str | None) -> int:
+    """Rows committed to the sink so far (answered from Parquet footers)."""
+    if table:
+        return spark.table(table).count() if spark.catalog.tableExists(table) else 0
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target.rstrip("/") + "/_spark_metadata")
+    there = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+    return spark.read.parquet(target).count() if there else 0
 
 
-def run_once(stream: DataFrame, target: str, checkpoint: str, **kw) -> int:
+def run_once(stream: DataFrame, target: str | None, checkpoint: str, **kw) -> int:
     """Process every file not seen before, then stop (``trigger(once)`` in
-    its modern form). Returns the number of rows loaded by this run."""
+    its modern form). Returns the number of rows this run added to the sink,
+    over all its micro-batches."""
+    spark = stream.sparkSession
+    before = _rows_in(spark, target, kw.get("table"))
     q = start(stream, target, checkpoint, available_now=True, **kw)
     q.awaitTermination()
     if q.exception():
         raise q.exception()
-    return rows_written(q)
+    return _rows_in(spark, target, kw.get("table")) - before
 
 
 def copy_into(spark: SparkSession, target: str, source: str, fmt: str,
@@ -107,24 +138,3 @@ def copy_into(spark: SparkSession, target: str, source: str, fmt: str,
         schema_location = target.rstrip("/") + "/_copy_into_schema"
     s = stream_files(spark, fmt, source, schema, schema_location, **options)
     return run_once(s, target, ck)
-
-
-def copy_into_table(spark: SparkSession, table, source: str, fmt: str,
-                    schema: StructType | str | None = None, schema_location: str | None = None,
-                    checkpoint: str | None = None, **options) -> int:
-    """``COPY INTO`` a versioned table (``SnapshotTable``): new files only,
-    each micro-batch one append version (so every load is in the table's
-    history), exactly once. The table is created empty with the input's
-    schema on first use. Returns the rows added by this call."""
-    from tablekit.operators.snapshots import SnapshotTable  # avoid an import cycle
-
-    t = table if isinstance(table, SnapshotTable) else SnapshotTable(spark, table)
-    ck = checkpoint or t.path + "_copy_into_checkpoint"
-    if schema is None and schema_location is None:
-        schema_location = t.path + "_copy_into_schema"
-    s = stream_files(spark, fmt, source, schema, schema_location, **options)
-    if not t.exists():
-        t.create(s.sparkSession.createDataFrame([], s.schema))
-    before = int(t.history().first()["metrics"]["num_output_rows"])
-    t.stream_into(s, ck, app_id=f"copy_into:{ck}", available_now=True).awaitTermination()
-    return int(t.history().first()["metrics"]["num_output_rows"]) - before

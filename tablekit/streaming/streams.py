@@ -6,32 +6,21 @@ same code is checked in batch against SQL and run incrementally on streams.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tablekit.functions.udfs import random_state
-
-# Fixed values of the generated loan stream.
-LOAN_ID_OFFSET = 10000
-FUNDED_BASE = 5000
-FUNDED_SPREAD = 5000
-PAID_SPREAD = 2000
-
-
-def to_loans(stream: DataFrame, kind: str, seed: int = 1) -> DataFrame:
-    """(timestamp, value) rows -> loan rows
-    loan_id, funded_amnt, paid_amnt, addr_state, type, timestamp."""
-    funded = (F.rand(seed) * FUNDED_SPREAD + FUNDED_BASE).cast("int")
-    return (stream
-            .withColumn("loan_id", F.col("value") + LOAN_ID_OFFSET)
-            .withColumn("funded_amnt", funded)
-            .withColumn("paid_amnt", F.col("funded_amnt") - F.rand(seed + 1) * PAID_SPREAD)
-            .withColumn("addr_state", random_state(seed + 2))
-            .withColumn("type", F.lit(kind))
-            .select("loan_id", "funded_amnt", "paid_amnt", "addr_state", "type", "timestamp"))
+def rated_events(events: DataFrame, origin: str) -> DataFrame:
+    """Event rows -> event_id, origin, size (by value), weight (whole hundredths),
+    bucket and ts; a stateless projection, for a batch or a stream."""
+    v = F.col("value")
+    return events.select(
+        "event_id", F.lit(origin).alias("origin"),
+        F.when(v.isNull(), "none").when(v < 10, "small").when(v < 100, "medium").otherwise("large").alias("size"),
+        F.round(v * 100).cast("long").alias("weight"), (F.col("event_id") % 7).alias("bucket"), "ts")
 
 
 def as_event_time(df: DataFrame, col: str) -> DataFrame:
@@ -59,46 +48,49 @@ def live_total(df: DataFrame) -> DataFrame:
     return df.selectExpr("COUNT(*) AS record_count")
 
 
-def _result_batches(spark: SparkSession, target: str) -> list[tuple[int, bool]]:
-    """(batch id, complete?) of the result folders under ``target``."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(target)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return []
-    out = []
-    for st in fs.listStatus(path):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("batch="):
-            done = fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS"))
-            out.append((int(name.split("=", 1)[1]), bool(done)))
+def _fs(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _run_name(checkpoint: str) -> str:
+    """A checkpoint's own name: a stream that starts over from a new checkpoint
+    counts its batches from 0 again and must not meet the old folders."""
+    return f"{zlib.crc32(checkpoint.rstrip('/').encode()):08x}"
+
+
+def _committed(spark: SparkSession, target: str) -> list[tuple[int, int, str]]:
+    """(time, batch id, path) of the batch folders under ``target`` (at any
+    depth below writer= and run= folders) whose write has committed, by time."""
+    fs, path = _fs(spark, target)
+    out, todo = [], [path] if fs.exists(path) else []
+    while todo:
+        for st in fs.listStatus(todo.pop()):
+            p = st.getPath()
+            name = p.getName()
+            if not st.isDirectory():
+                continue
+            if name.startswith("batch="):
+                done = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")
+                if fs.exists(done):
+                    out.append((fs.getFileStatus(done).getModificationTime(), int(name[6:]), p.toString()))
+            elif name.startswith(("run=", "writer=")):
+                todo.append(p)
     return sorted(out)
 
 
-def _drop_result_batches(spark: SparkSession, target: str, below: int) -> None:
-    jvm = spark.sparkContext._jvm
-    for b, _ in _result_batches(spark, target):
-        if b < below:
-            p = jvm.org.apache.hadoop.fs.Path(f"{target}/batch={b}")
-            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-
-
 def write_result(agg: DataFrame, target: str, checkpoint: str, mode: str = "complete",
-                 available_now: bool = True, processing_time: str | None = None,
-                 keep: int = 2) -> StreamingQuery:
-    """Keep the current result of a stateful aggregate in ``target``.
+                 available_now: bool = True, processing_time: str | None = None) -> StreamingQuery:
+    """Keep the results of a stateful aggregate in ``target``.
 
     Each micro-batch writes its complete (key-bounded) result to its own
-    ``batch=<id>`` folder; a replayed batch rewrites the same folder. Readers
-    (:func:`read_result`) take the newest folder whose write committed, so they
-    never see a half-written result; older folders beyond ``keep`` are
-    removed after each commit.
+    ``run=<checkpoint>/batch=<id>`` folder; a replayed batch rewrites the same
+    folder. Readers (:func:`read_result`) take the newest folder whose write
+    committed, so they never see a half-written result. Nothing is deleted
+    under a reader; :func:`drop_results` clears old results when told to.
     """
-    spark = agg.sparkSession
-
     def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
-        _drop_result_batches(spark, target, batch_id - keep + 1)
+        batch.write.mode("overwrite").parquet(f"{target}/run={_run_name(checkpoint)}/batch={batch_id}")
 
     w = agg.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(sink)
     w = w.trigger(availableNow=True) if available_now else \
@@ -108,10 +100,19 @@ def write_result(agg: DataFrame, target: str, checkpoint: str, mode: str = "comp
 
 def read_result(spark: SparkSession, target: str) -> DataFrame:
     """The newest committed result written by :func:`write_result`."""
-    done = [b for b, ok in _result_batches(spark, target) if ok]
+    done = _committed(spark, target)
     if not done:
         raise FileNotFoundError(f"no committed result under {target}")
-    return spark.read.parquet(f"{target}/batch={done[-1]}")
+    return spark.read.parquet(done[-1][2])
+
+
+def drop_results(spark: SparkSession, target: str, keep: int = 2) -> int:
+    """Deletes all but the newest ``keep`` committed results."""
+    old = _committed(spark, target)[:-keep]
+    for _, _, path in old:
+        fs, p = _fs(spark, path)
+        fs.delete(p, True)
+    return len(old)
 
 
 def multi_writer(streams: Mapping[str, DataFrame], target: str, checkpoint_base: str,
@@ -119,21 +120,36 @@ def multi_writer(streams: Mapping[str, DataFrame], target: str, checkpoint_base:
                  ) -> list[StreamingQuery]:
     """Several concurrent writers into one table. Two file sinks on one path
     would share a commit log and drop batches, so each writer has its own
-    checkpoint and writes ``target/writer=<name>/batch=<id>`` with overwrite:
-    a retried batch rewrites its own folder, and readers see every writer."""
+    checkpoint and writes ``writer=<name>/run=<checkpoint>/batch=<id>`` with
+    overwrite: a retried batch rewrites its own folder, a writer that starts
+    over never touches older ones."""
     qs = []
     for name, df in streams.items():
-        def sink(batch: DataFrame, batch_id: int, _name=name) -> None:
-            batch.write.mode("overwrite").parquet(f"{target}/writer={_name}/batch={batch_id}")
+        checkpoint = f"{checkpoint_base}/{name}"
+        folder = f"{target}/writer={name}/run={_run_name(checkpoint)}"
+
+        def sink(batch: DataFrame, batch_id: int, folder=folder) -> None:
+            batch.write.mode("overwrite").parquet(f"{folder}/batch={batch_id}")
 
-        w = (df.writeStream.option("checkpointLocation", f"{checkpoint_base}/{name}")
-             .foreachBatch(sink).queryName(f"writer_{name}_{abs(hash(target)) % 10**8}"))
+        w = (df.writeStream.option("checkpointLocation", checkpoint)
+             .foreachBatch(sink).queryName(f"writer_{name}_{_run_name(checkpoint)}"))
         w = w.trigger(availableNow=True) if available_now else \
             w.trigger(processingTime=processing_time or "5 seconds")
         qs.append(w.start())
     return qs
 
 
+def read_writers(spark: SparkSession, target: str, schema=None) -> DataFrame:
+    """A batch read of what all writers of :func:`multi_writer` have committed;
+    safe while they write."""
+    paths = [p for _, _, p in _committed(spark, target)]
+    if not paths:
+        if schema is None:
+            raise FileNotFoundError(f"no committed batch under {target}")
+        return spark.createDataFrame([], schema)
+    return spark.read.parquet(*paths)
+
+
 def read_table_stream(spark: SparkSession, path: str, schema=None) -> DataFrame:
     """A Parquet table directory as a stream of its new files."""
     if schema is None:
@@ -141,12 +157,9 @@ def read_table_stream(spark: SparkSession, path: str, schema=None) -> DataFrame:
     return spark.readStream.schema(schema).parquet(path)
 
 
-def stop_all(spark: SparkSession) -> int:
-    n = 0
-    for q in spark.streams.active:
-        try:
-            q.stop()
-            n += 1
-        except Exception:  # noqa: BLE001
-            pass
-    return n
+def end_streams(spark: SparkSession, prefix: str = "") -> list[str]:
+    """Stops the active queries whose name starts with ``prefix``; their names."""
+    ended = [q for q in spark.streams.active if (q.name or "").startswith(prefix)]
+    for q in ended:
+        q.stop()
+    return [q.name or str(q.id) for q in ended]

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from pyspark.sql.types import LongType  # noqa: E402
 
 from tablekit.operators import skew as SK  # noqa: E402
-from tablekit.operators.snapshots import SnapshotTable  # noqa: E402
+from tablekit.operators import versions as V  # noqa: E402
 from tablekit.session import shared_dir, tune  # noqa: E402
 from tablekit.sources import items, skewed_sales  # noqa: E402
 from tablekit.streaming import ingest  # noqa: E402
@@ -48,24 +48,23 @@ def main():
     out = {}
     sf = "/root/testdata/sf0.01"
 
-    # 1. snapshot commit whose write job loses a task
+    # 1. a version written by a job that loses a task
     cust = spark.read.parquet(f"{sf}/customer.parquet").repartition(4)
     flaky = cust.withColumn("c_custkey", fail_first_attempt("c_custkey"))
-    t = SnapshotTable(spark, shared_dir(spark, "faults", "snap", unique=True))
-    t.create(flaky)
-    got = t.read()
-    out["snapshot_rows"] = got.count()
-    out["snapshot_distinct"] = got.select("c_custkey").distinct().count()
-    out["snapshot_history_rows"] = t.history().first()["metrics"]["num_output_rows"]
+    path = shared_dir(spark, "faults", "versions", unique=True)
+    V.delete_where(V.first_version(flaky), 1, "c_acctbal < 0").write.parquet(path)
+    got = V.as_of(spark.read.parquet(path), 0)
+    out["version_rows"] = got.count()
+    out["version_distinct"] = got.select("c_custkey").distinct().count()
     out["expected_rows"] = cust.count()
 
     # 2. salted join with a failure in the map stage that computes the salts
-    s = skewed_sales(spark, 40000, 2000, seed=3)
+    s = skewed_sales(spark, 40000, 2000, seed=3).withColumn("row_id", F.monotonically_increasing_id())
     i = items(spark, 2000)
     plain = sorted(map(tuple, s.join(i, s.s_item_id == i.i_item_id)
                        .groupBy("s_date").agg(F.sum("s_quantity").alias("q")).collect()))
     s_flaky = s.withColumn("s_quantity", fail_first_attempt(F.col("s_quantity").cast("long")))
-    salted = SK.salted_join(s_flaky, i, "s_item_id", "i_item_id", [100], salts=8)
+    salted = SK.salted_join(s_flaky, i, "s_item_id", "i_item_id", {100: 8}, ["row_id"])
     got_join = sorted(map(tuple, salted.groupBy("s_date").agg(F.sum("s_quantity").alias("q"))
                           .collect()))
     out["salted_equal"] = plain == got_join

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tablekit.operators import ml as M
 from tablekit.operators import relational as R
 from tablekit.operators import runs as RU
-from tablekit.operators.snapshots import SnapshotTable
+from tablekit.operators import versions as V
 from tablekit.sources import read_csv
 
 HEADER = ("state,account_length,international_plan,voice_mail_plan,total_day_calls,"
@@ -45,17 +45,15 @@ def test_churn_flow(spark, scratch):
     assert labelled.where("churn IS NULL AND label = 0.0").count() == \
         df.where(F.col("churn").isNull()).count()
 
-    t = SnapshotTable(spark, scratch + "/churn_tbl")
-    t.create(labelled)                                               # v0
-    t.delete_where("account_length > 220")                           # v1: outliers trimmed
-    assert t.read(0).count() - t.read(1).count() == \
-        t.read(0).where("account_length > 220").count() > 0
+    labelled = labelled.withColumn("row_id", F.monotonically_increasing_id())
+    V.delete_where(V.first_version(labelled), 1, "account_length > 220").write.parquet(scratch + "/churn_tbl")
+    t = spark.read.parquet(scratch + "/churn_tbl")                   # v1: outliers trimmed
+    assert V.as_of(t, 0).count() - V.as_of(t, 1).count() == \
+        V.as_of(t, 0).where("account_length > 220").count() > 0
 
     runs_path, models_path = scratch + "/runs", scratch + "/models"
     for version, depth in ((0, 4), (1, 2)):
-        data = t.read(version)
-        train, test = M.split(data.withColumn("row_id", F.monotonically_increasing_id()),
-                              "row_id", 0.25)
+        train, test = M.split(V.as_of(t, version), "row_id", 0.25)
         model = M.fit_churn(train, features=FEATS, max_depth=depth, max_iter=3)
         m = M.metrics(M.score(model, test)).first()
         path = M.save_model(model, f"{scratch}/model_v{version}")
@@ -68,6 +66,6 @@ def test_churn_flow(spark, scratch):
     assert best["run_id"] in ("run_v0", "run_v1")
     latest = RU.latest_model(spark.read.parquet(models_path), "churn", "Staging").first()
     assert latest["version"] == 2
-    scored = M.score_with_lineage(M.load_model(latest["source"]), t.read(), "churn",
+    scored = M.score_with_lineage(M.load_model(latest["source"]), V.latest(t), "churn",
                                   latest["version"], latest["source"], "2021-01-01 00:00:00")
-    assert scored.count() == t.read().count() and "prediction" in scored.columns
+    assert scored.count() == V.latest(t).count() and "prediction" in scored.columns

@@ -1,5 +1,5 @@
 """Task failures (first attempts raise, as after an executor loss) do not
-change results: snapshot commits, salted joins and stream ingest are
+change results: versions written, salted joins and stream ingest are
 exactly-once. Runs in a subprocess because it needs a session that retries
 tasks (master local[4,4])."""
 
@@ -16,7 +16,6 @@ def test_results_survive_task_failures():
     assert lines, p.stdout[-2000:] + p.stderr[-4000:]
     r = json.loads(lines[-1][len("RESULT "):])
     assert r["injected_failures"] >= 3          # each of the three jobs lost a task
-    assert r["snapshot_rows"] == r["snapshot_distinct"] == r["expected_rows"]
-    assert r["snapshot_history_rows"] == r["expected_rows"]
+    assert r["version_rows"] == r["version_distinct"] == r["expected_rows"]
     assert r["salted_equal"]
     assert r["stream_rows"] == r["stream_distinct"] == r["stream_expected"]

@@ -15,11 +15,13 @@ def celsius(spark):
                                  "celsius array<int>")
 
 
-def test_fahrenheit_transform_and_reduce(spark):
-    rows = celsius(spark).select(A.celsius_to_fahrenheit("celsius").alias("f"),
-                                 A.avg_fahrenheit("celsius").alias("avg")).collect()
-    assert rows[0]["f"] == [95, 96, 89, 86, 104, 107, 100]
-    assert [r["avg"] for r in rows] == [96, 105]
+def test_map_and_fold_elements(spark):
+    rows = celsius(spark).select(
+        A.map_elements("celsius", lambda x: x * x - 7 * x).alias("m"),
+        A.fold_elements("celsius", F.lit(0).cast("long"), lambda acc, x: acc + x).alias("t"),
+        A.fold_elements("celsius", F.lit(0).cast("long"), lambda acc, x: acc + x, lambda acc: -acc).alias("neg")).collect()
+    assert rows[1]["m"] == [x * x - 7 * x for x in [31, 32, 34, 55, 56]]
+    assert [(r["t"], r["neg"]) for r in rows] == [(253, -253), (208, -208)]
 
 
 def test_filter_and_exists(spark):
@@ -39,35 +41,34 @@ def test_exists_is_three_valued(spark):
 INT_ARRAYS = [(1, [1, 2, 3]), (2, [2, 3, 4]), (3, [3, 4, 5]), (4, []), (5, None), (6, [7, None])]
 
 
-def test_plus_one_three_spellings(spark):
+def test_doubling_in_three_spellings(spark):
     df = spark.createDataFrame(INT_ARRAYS, "id int, values array<int>")
     U.register_sql_functions(spark)
     df.createOrReplaceTempView("int_arrays")
-    hof = {r["id"]: r["v"] for r in df.select("id", A.plus_one("values").alias("v")).collect()}
-    sql = {r["id"]: r["v"] for r in spark.sql(
-        "SELECT id, plusOneInt(values) AS v FROM int_arrays").collect()}
+    hof = {r["id"]: r["v"] for r in df.select("id", A.map_elements("values", lambda x: 2 * x).alias("v")).collect()}
+    sql = {r["id"]: r["v"] for r in spark.sql("SELECT id, doubled_all(values) AS v FROM int_arrays").collect()}
     exploded = {r["id"]: r["v"] for r in
-                A.explode_collect(df, "id", "values", lambda v: v + 1, "v").collect()}
-    assert hof[1] == [2, 3, 4] and hof[4] == [] and hof[5] is None and hof[6] == [8, None]
+                A.explode_collect(df, "id", "values", lambda v: 2 * v, "v").collect()}
+    assert hof[1] == [2, 4, 6] and hof[4] == [] and hof[5] is None and hof[6] == [14, None]
     assert hof == sql
     # explode drops empty / NULL arrays: the reason transform is preferred
     assert {k: v for k, v in hof.items() if v} == exploded
 
 
-def test_cubed_sql_function_and_pandas_udf(spark):
+def test_scalar_functions_in_sql_and_pandas(spark):
     U.register_sql_functions(spark)
-    df = spark.range(1, 4)
-    df.createOrReplaceTempView("udf_test")
-    sql = [r[0] for r in spark.sql("SELECT cubed(id) FROM udf_test ORDER BY id").collect()]
-    vec = [r[0] for r in df.orderBy("id").select(U.pandas_cubed("id")).collect()]
-    assert sql == vec == [1, 8, 27]
-    assert U._cubed(pd.Series([1, 2, 3])).tolist() == [1, 8, 27]
+    df = spark.range(1, 5)
+    df.createOrReplaceTempView("some_numbers")
+    got = [r[0] for r in spark.sql("SELECT pair_count(id) FROM some_numbers ORDER BY id").collect()]
+    assert got == [1, 3, 6, 10]
+    assert [r[0] for r in df.orderBy("id").select(U.wheel_slot("id")).collect()] == [22, 2, 19, 36]
+    assert U._wheel_slot(pd.Series([1, 2])).tolist() == [22, 2]
 
 
 def test_sql_function_is_inlined(spark):
     U.register_sql_functions(spark)
-    spark.range(1, 9).createOrReplaceTempView("udf_test")
-    plan = spark.sql("SELECT cubed(id) AS c FROM udf_test")._jdf.queryExecution() \
+    spark.range(1, 9).createOrReplaceTempView("some_numbers")
+    plan = spark.sql("SELECT pair_count(id) AS c FROM some_numbers")._jdf.queryExecution() \
         .executedPlan().toString()
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
     assert "WholeStageCodegen" in plan or "*(" in plan
@@ -95,9 +96,17 @@ def test_decimal_overflow_is_null(spark):
     assert float(got[0]) == 99.5 and got[1] is None
 
 
-def test_random_state_values(spark):
-    vals = {r[0] for r in spark.range(2000).select(U.random_state(3)).collect()}
-    assert vals == set(U.STATES)
+def test_pick_one_uses_every_choice(spark):
+    vals = {r[0] for r in spark.range(2000).select(U.pick_one(["x", "y", "z"], 3)).collect()}
+    assert vals == {"x", "y", "z"}
+
+
+def test_stamp_is_the_clock_unless_fixed(spark):
+    import datetime as dt
+    fixed = S.stamped(spark.range(1), as_of="2020-02-03 04:05:06").first()
+    assert fixed["loaded_at"] == dt.datetime(2020, 2, 3, 4, 5, 6) and fixed["loaded_on"] == dt.date(2020, 2, 3)
+    now = S.stamped(spark.range(1)).first()["loaded_at"]
+    assert abs((now - dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)).total_seconds()) < 120
 
 
 def test_collect_sorted_is_ordered(spark):
@@ -113,6 +122,6 @@ def test_sum_of_squares_on_floats(spark):
 
 
 def test_pandas_udf_registered_for_sql(spark):
-    U.register_pandas_cubed(spark, "cubed_vec")
-    got = [r[0] for r in spark.sql("SELECT cubed_vec(id) FROM range(1, 4) ORDER BY id").collect()]
-    assert got == [1, 8, 27]
+    U.register_wheel_slot(spark, "slot_vec")
+    got = [r[0] for r in spark.sql("SELECT slot_vec(id) FROM range(1, 3) ORDER BY id").collect()]
+    assert got == [22, 2]

@@ -55,7 +55,7 @@ def test_model_roundtrip_and_scoring(spark, scratch):
 
 def test_runs_best_and_latest(spark, scratch):
     p = scratch + "/runs"
-    t0 = dt.datetime(2021, 1, 1)
+    t0 = dt.datetime(2021, 1, 1, tzinfo=dt.timezone.utc)
     RU.log_run(spark, p, "r1", {"data_version": "v0", "max_depth": 12}, {"accuracy": 0.9},
                start_time=t0)
     RU.log_run(spark, p, "r2", {"data_version": "v1", "max_depth": 5}, {"accuracy": 0.9},
@@ -66,6 +66,15 @@ def test_runs_best_and_latest(spark, scratch):
     assert "metrics" not in tidy.columns and "metrics_accuracy" in tidy.columns
     best = RU.best_run(tidy, "metrics_accuracy").first()
     assert best["run_id"] == "r2"                          # tie -> newest
+    # a run without a metric never wins
+    RU.log_run(spark, p, "r4", {"data_version": "v2"}, {"accuracy": float("nan")})
+    RU.log_run(spark, p, "r5", {"data_version": "v2"}, {"accuracy": None})
+    tidy = RU.tidy_runs(RU.read_runs(spark, p), ("accuracy",), ("data_version",))
+    assert RU.best_run(tidy, "metrics_accuracy").first()["run_id"] == "r2"
+    now = dt.datetime.now(dt.timezone.utc).timestamp()
+    logged = tidy.where("run_id = 'r4'").selectExpr("unix_timestamp(start_time) AS t").first()["t"]
+    assert abs(logged - now) < 300                         # the instant, whatever the session's zone
+    assert RU.best_run(tidy.where("run_id = 'r5'"), "metrics_accuracy").count() == 0
     m = scratch + "/models"
     RU.register_model(spark, m, "churn", 1, "Staging", "a")
     RU.register_model(spark, m, "churn", 2, "Staging", "b")
@@ -74,6 +83,22 @@ def test_runs_best_and_latest(spark, scratch):
     assert (got["version"], got["source"]) == (2, "b")
 
 
+def test_thresholds_of_five_digits_stay_apart(spark, tmp_path):
+    """Customers with 12345 and 1234 orders give two runs with their own thresholds."""
+    from tablekit.plans import q_ml
+    d = str(tmp_path)
+    spark.createDataFrame([(1, 0, 1.0, "A"), (2, 0, 1.0, "A")],
+                          "c_custkey long, c_nationkey int, c_acctbal double, c_mktsegment string") \
+        .write.parquet(d + "/customer.parquet")
+    from pyspark.sql import functions as F
+    spark.range(12345 + 1234).select(
+        F.when(F.col("id") < 12345, 1).otherwise(2).cast("long").alias("o_custkey"),
+        F.lit("2000-01-01").cast("timestamp_ntz").alias("o_orderdate"), F.lit(1.0).alias("o_totalprice"),
+        F.lit("5-LOW").alias("o_orderpriority")).write.parquet(d + "/orders.parquet")
+    got = {r["run_id"]: r["threshold"] for r in q_ml.threshold_runs(spark, d).collect()}
+    assert got == {"rule_lt_1234": 1234, "rule_lt_12345": 12345}
+
+
 def test_histogram(spark):
     df = spark.createDataFrame([(1.0,), (150.0,), (220.0,), (None,)], "x double")
     got = {r["bucket_lo"]: r["n"] for r in M.histogram(df, "x", 100).collect()}

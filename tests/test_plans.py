@@ -63,8 +63,8 @@ def test_aqe_skew_join_split(spark):
 
 
 @pytest.mark.parametrize("name,needle,absent", [
-    ("udf_cubed", None, "EvalPython"),
-    ("pandas_cubed", "ArrowEvalPython", "BatchEvalPython"),
+    ("udf_scalar_sql", None, "EvalPython"),
+    ("udf_scalar_pandas", "ArrowEvalPython", "BatchEvalPython"),
     ("random_state", None, "EvalPython"),
 ])
 def test_udf_paths(spark, name, needle, absent):
@@ -82,7 +82,7 @@ def test_key_lookup_pushed(spark):
 def test_scale_confs_sizes():
     from tablekit.session import scale_confs
     big = scale_confs(100 * (1 << 40), total_cores=8000)         # 100 TB, 1000 x 8 cores
-    assert int(big["spark.sql.shuffle.partitions"]) == 200_000
+    assert int(big["spark.sql.shuffle.partitions"]) == 100 * (1 << 40) // (256 << 20)
     assert int(big["spark.sql.files.maxPartitionBytes"]) == 1 << 30
     small = scale_confs(20 << 20, total_cores=8)                  # sf0.1 locally
     assert int(small["spark.sql.shuffle.partitions"]) == 16
@@ -106,3 +106,9 @@ def test_partition_filter_prunes_folders(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(ship_year" in plan and "(ship_year#" in plan
     assert "= 1998)" in plan.split("PartitionFilters:")[1].split("]")[0]
+
+
+@pytest.mark.parametrize("name", ["week_counts", "worst_group_avg"])
+def test_year_filter_reaches_the_scan(spark, name):
+    plan = Q[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(o_orderdate" in plan and "LessThan(o_orderdate" in plan

@@ -48,18 +48,18 @@ def test_top_n_matches_pandas_dense_rank(spark, data, n):
     assert got == want
 
 
-keys = st.lists(st.integers(0, 6), min_size=1, max_size=60)
+keys = st.lists(st.sampled_from([None, *range(7)]), min_size=1, max_size=60)
 
 
 @SETTINGS
 @given(big_keys=keys, small_keys=st.lists(st.integers(0, 8), min_size=0, max_size=9, unique=True),
-       hot=st.lists(st.integers(0, 6), max_size=3, unique=True), salts=st.integers(1, 5),
+       hot=st.lists(st.sampled_from([None, *range(7)]), max_size=3, unique=True), salts=st.integers(2, 5),
        how=st.sampled_from(["inner", "left"]))
 def test_salted_join_equals_plain_join(spark, big_keys, small_keys, hot, salts, how):
     big = spark.createDataFrame([(k, i) for i, k in enumerate(big_keys)], "k int, i int")
     small = spark.createDataFrame([(k, f"v{k}") for k in small_keys], "k2 int, v string")
     plain = big.join(small, big.k == small.k2, how)
-    salted = SK.salted_join(big, small, "k", "k2", hot, salts=salts, how=how)
+    salted = SK.salted_join(big, small, "k", "k2", {k: salts for k in hot}, ["i"], how=how)
     cols = ["k", "i", "k2", "v"]
     assert sorted(map(tuple, plain.select(cols).collect()), key=str) == \
         sorted(map(tuple, salted.select(cols).collect()), key=str)

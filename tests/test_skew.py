@@ -14,55 +14,62 @@ def test_generator_shape(spark):
 
 
 def test_salted_join_equals_plain_join(spark):
-    s = skewed_sales(spark, 50000, 2000, seed=5)
+    s = skewed_sales(spark, 50000, 2000, seed=5).withColumn("row_id", F.monotonically_increasing_id())
     i = items(spark, 2000)
-    hot = SK.hot_key_list(s, "s_item_id", 0.05)
-    assert hot == [100]
+    salts = SK.hot_key_salts(s, "s_item_id", 0.05, rows_a_task=5000)
+    assert salts == {100: -(-s.where("s_item_id = 100").count() // 5000)}
     plain = s.join(i, s.s_item_id == i.i_item_id)
-    salted = SK.salted_join(s, i, "s_item_id", "i_item_id", hot, salts=8)
+    salted = SK.salted_join(s, i, "s_item_id", "i_item_id", salts, ["row_id"])
     cols = ["s_item_id", "s_quantity", "s_date", "i_item_id", "i_price"]
     assert sorted(map(tuple, plain.select(cols).collect())) == \
         sorted(map(tuple, salted.select(cols).collect()))
-    left = SK.salted_join(s, i.where("i_item_id < 500"), "s_item_id", "i_item_id", hot,
-                          salts=8, how="left")
+    left = SK.salted_join(s, i.where("i_item_id < 500"), "s_item_id", "i_item_id", salts, ["row_id"], how="left")
     assert left.count() == s.count()
 
 
-def test_salt_spreads_hot_key(spark):
-    s = skewed_sales(spark, 40000, 1000, seed=9)
-    i = items(spark, 1000)
-    salted = SK.salted_join(s, i, "s_item_id", "i_item_id", [100], salts=8)
-    per_task = (salted.where("s_item_id = 100").repartition(64, "s_item_id", F.col("s_quantity"))
-                .groupBy(F.spark_partition_id()).count().collect())
-    assert len(per_task) > 8
+def _rows_per_join_task(spark, joined):
+    """Rows that each task of the shuffle join itself puts out."""
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold",
+                                             "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
+        return [r["count"] for r in joined.select(F.spark_partition_id().alias("t")).groupBy("t").count().collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
-def test_broadcast_only_with_proven_bound(spark):
-    small = spark.range(10)
-    big = spark.range(1000)
-    assert "ResolvedHint" in SK.broadcast_if_small(small, 100)._jdf.queryExecution() \
-        .analyzed().toString()
-    assert "ResolvedHint" not in SK.broadcast_if_small(big, 100)._jdf.queryExecution() \
-        .analyzed().toString()
+def test_identical_hot_rows_spread_over_the_join_tasks(spark):
+    n = 40_000
+    big = spark.range(n).select(F.when(F.col("id") % 5 > 0, 100).otherwise(F.col("id")).alias("k"), "id")
+    small = spark.range(n).select(F.col("id").alias("k2"))
+    salts = SK.hot_key_salts(big, "k", 0.05, rows_a_task=1000)
+    assert salts == {100: 33} or salts == {100: 32}
+    tasks = _rows_per_join_task(spark, SK.salted_join(big, small, "k", "k2", salts, ["id"]))
+    assert sum(tasks) == n and max(tasks) < 8_000 and len(tasks) > 20
+    one = _rows_per_join_task(spark, SK.salted_join(big, small, "k", "k2", {}, ["id"]))
+    assert max(one) >= 32_000
 
 
-def test_skew_join_paths_are_exact(spark):
-    s = skewed_sales(spark, 30000, 3000, seed=21)
-    i = items(spark, 3000)
-    cols = ["s_item_id", "s_quantity", "s_date", "i_item_id", "i_price"]
-    plain = sorted(map(tuple, s.join(i, s.s_item_id == i.i_item_id).select(cols).collect()))
-    bc = SK.skew_join(s, i, "s_item_id", "i_item_id", broadcast_rows=10_000)
-    assert "BroadcastHashJoin" in bc._jdf.queryExecution().executedPlan().toString()
-    salted = SK.skew_join(s, i, "s_item_id", "i_item_id", broadcast_rows=100,
-                          sample_fraction=0.2, salts=4)
-    assert "__salt" in salted._jdf.queryExecution().analyzed().toString()
-    assert sorted(map(tuple, bc.select(cols).collect())) == plain
-    assert sorted(map(tuple, salted.select(cols).collect())) == plain
+def test_null_keys_spread_in_a_left_join(spark):
+    n = 40_000
+    big = spark.range(n).select(F.when(F.col("id") % 5 == 0, F.col("id")).alias("k"), "id")
+    small = spark.range(n).select(F.col("id").alias("k2"))
+    salts = SK.hot_key_salts(big, "k", 0.05, rows_a_task=1000)
+    assert salts == {None: 32}
+    joined = SK.salted_join(big, small, "k", "k2", salts, ["id"], how="left")
+    tasks = _rows_per_join_task(spark, joined)
+    assert sum(tasks) == n and max(tasks) < 8_000
+    assert joined.where("k IS NULL AND k2 IS NULL").count() == 32_000
 
 
 def test_salted_join_with_map_column(spark):
-    big = spark.createDataFrame([(100, {"a": 1}), (100, {"b": 2}), (7, {"c": 3})],
-                                "k int, m map<string,int>")
+    big = spark.createDataFrame([(100, 1, {"a": 1}), (100, 2, {"b": 2}), (7, 3, {"c": 3})],
+                                "k int, id int, m map<string,int>")
     small = spark.createDataFrame([(100, "hot"), (7, "cold")], "k2 int, label string")
-    got = SK.salted_join(big, small, "k", "k2", [100], salts=4)
+    got = SK.salted_join(big, small, "k", "k2", {100: 4}, ["id"])
     assert sorted(r["label"] for r in got.collect()) == ["cold", "hot", "hot"]

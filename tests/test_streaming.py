@@ -1,7 +1,9 @@
 """Ingest and streaming tests in fresh folders with availableNow."""
 
 import json
+import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from tablekit.streaming import ingest
@@ -32,24 +34,35 @@ def test_copy_into_is_idempotent_by_path(spark, scratch):
     assert spark.read.parquet(target).count() == 6
 
 
+def test_row_count_covers_all_micro_batches(spark, scratch):
+    src, target = scratch + "/in_many", scratch + "/many"
+    for i in range(125):
+        drop_file(spark, src, f"f{i}.json", [{"device_id": i, "reading": 1.0}])
+    s = ingest.stream_files(spark, "json", src, IOT_SCHEMA, max_files_per_trigger=1)
+    assert ingest.run_once(s, target, scratch + "/ck_many") == 125
+    assert spark.read.parquet(target).count() == 125
+
+
 def test_run_once_remembers_schema_and_restarts(spark, scratch):
     src, target = scratch + "/in", scratch + "/t"
     loc, ck = scratch + "/schema", scratch + "/ck"
     drop_file(spark, src, "a.json", [{"device_id": 1, "reading": 2.0}])
     s = ingest.stream_files(spark, "json", src, schema_location=loc)
     assert ingest.run_once(s, target, ck) == 1
-    # a file with a new field: the remembered schema is used (field ignored)
+    assert ingest.remember_schema(spark, "json", src, loc).fieldNames() == ["device_id", "reading"]
+    # a file with a new field is never loaded without it
     drop_file(spark, src, "b.json", [{"device_id": 2, "reading": 3.0, "extra": "x"}])
+    with pytest.raises(ingest.NewFields, match="extra"):
+        ingest.stream_files(spark, "json", src, schema_location=loc)
+    # refreshed, the field is loaded
+    assert "extra" in ingest.remember_schema(spark, "json", src, loc, refresh=True).fieldNames()
     s = ingest.stream_files(spark, "json", src, schema_location=loc)
-    assert "extra" not in s.columns
     assert ingest.run_once(s, target, ck) == 1
-    # refresh evolves the schema
-    evolved = ingest.remember_schema(spark, "json", src, loc, refresh=True)
-    assert "extra" in evolved.fieldNames()
     # restart from the checkpoint: nothing new -> nothing loaded
     s = ingest.stream_files(spark, "json", src, schema_location=loc)
     assert ingest.run_once(s, target, ck) == 0
-    assert spark.read.parquet(target).count() == 2
+    got = spark.read.option("mergeSchema", "true").parquet(target)
+    assert sorted((r["device_id"], r["extra"]) for r in got.collect()) == [(1, None), (2, "x")]
 
 
 def test_window_counts_stream_equals_batch(spark, scratch):
@@ -66,36 +79,59 @@ def test_window_counts_stream_equals_batch(spark, scratch):
     assert sorted(map(tuple, ST.read_result(spark, out).collect()), key=str) == \
         sorted(map(tuple, batch.collect()), key=str)
     assert batch.count() == 8
-    # one file per trigger -> three batches; only the last two results are kept
-    assert [b for b, _ in ST._result_batches(spark, out)] == [1, 2]
+    # one file per trigger -> three results, dropped only on request
+    assert len(ST._committed(spark, out)) == 3
+    assert ST.drop_results(spark, out, keep=1) == 2
+    assert ST.read_result(spark, out).count() == 8
+
+
+def test_a_new_checkpoint_gives_the_newest_result(spark, scratch):
+    src, out = scratch + "/src_new", scratch + "/out_new"
+    spark.range(30).selectExpr("id % 3 AS type").repartition(3).write.parquet(src)
+
+    def run(checkpoint, **kw):
+        s = ingest.stream_files(spark, "parquet", src, "type long", **kw)
+        ST.write_result(ST.live_counts(s, "type"), out, checkpoint).awaitTermination()
+        return sorted(map(tuple, ST.read_result(spark, out).collect()))
+
+    assert run(scratch + "/ck1", max_files_per_trigger=1) == [(0, 10), (1, 10), (2, 10)]   # batches 0, 1, 2
+    spark.range(3).selectExpr("id AS type").write.mode("append").parquet(src)
+    assert run(scratch + "/ck2") == [(0, 11), (1, 11), (2, 11)]                            # batch 0 again
 
 
-def test_rate_loans_two_writers(spark, scratch):
-    def gen(kind):
-        s = (spark.readStream.format("rate-micro-batch").option("rowsPerBatch", 50)
-             .option("numPartitions", 2).load())
-        return ST.to_loans(s, kind)
+def test_readers_skip_half_written_batches(spark, scratch):
+    target = scratch + "/writers"
+    spark.range(5).write.parquet(f"{target}/writer=A/run=1/batch=0")
+    spark.range(7).write.parquet(f"{target}/writer=B/run=1/batch=0")
+    import os
+    os.remove(f"{target}/writer=B/run=1/batch=0/_SUCCESS".replace("file:", ""))
+    assert ST.read_writers(spark, target).count() == 5
+    assert ST.read_writers(spark, scratch + "/none", "id long").count() == 0
+
+
+def test_two_writers_on_a_timer_and_the_table_as_a_stream(spark, scratch):
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
 
-    target = scratch + "/loans"
-    qs = ST.multi_writer({"A": gen("stream A"), "B": gen("stream B")}, target, scratch + "/ck",
+    def arriving(name):
+        ev.where(F.col("event_id") % 2 == int(name == "B")).repartition(3).write.parquet(f"{scratch}/{name}")
+        s = ingest.stream_files(spark, "parquet", f"{scratch}/{name}", ev.schema, max_files_per_trigger=1)
+        return ST.rated_events(s, name)
+
+    target = scratch + "/rated"
+    qs = ST.multi_writer({k: arriving(k) for k in "AB"}, target, scratch + "/ck",
                          available_now=False, processing_time="1 second")
-    import time
     deadline = time.time() + 60
-    while time.time() < deadline and any(
-            (q.lastProgress or {}).get("batchId", -1) < 2 for q in qs):
+    while time.time() < deadline and ST.read_writers(spark, target, ST.rated_events(ev, "").schema).count() < ev.count():
         time.sleep(0.5)
-    for q in qs:
-        q.stop()
-    t = spark.read.parquet(target)
-    got = {r["type"]: r["n"] for r in t.groupBy("type").agg(F.count("*").alias("n")).collect()}
-    assert set(got) == {"stream A", "stream B"} and min(got.values()) >= 100
-    assert t.where("loan_id < 10000").count() == 0
-    assert {r[0] for r in t.select("addr_state").distinct().collect()} <= {"CA", "TX", "NY", "WA"}
-    # read the loans table as a stream (running counts by type)
-    counts = ST.live_counts(ST.read_table_stream(spark, target), "type")
-    ST.write_result(counts, scratch + "/live", scratch + "/ck_live").awaitTermination()
-    live = {r["type"]: r["n"] for r in ST.read_result(spark, scratch + "/live").collect()}
-    assert live == got
+    assert len(ST.end_streams(spark, "writer_")) == 2 and not any(q.isActive for q in qs)
+    got = ST.read_writers(spark, target)
+    want = ST.rated_events(ev, "x").drop("origin")
+    assert sorted(map(str, got.select(want.columns).collect())) == sorted(map(str, want.collect()))
+    paths = [p for _, _, p in ST._committed(spark, target) if "writer=A" in p]
+    stream = ST.read_table_stream(spark, f"{paths[0].rsplit('/', 1)[0]}/batch=*", got.schema)
+    ST.write_result(ST.live_counts(stream, "size"), scratch + "/live", scratch + "/ck_live").awaitTermination()
+    live = {r["size"]: r["n"] for r in ST.read_result(spark, scratch + "/live").collect()}
+    assert live == {r["size"]: r["count"] for r in got.where("origin = 'A'").groupBy("size").count().collect()}
 
 
 def test_stream_into_catalog_table(spark, scratch):
@@ -106,19 +142,3 @@ def test_stream_into_catalog_table(spark, scratch):
     q = ingest.start(s, None, scratch + "/ck", available_now=True, table="tk_stream.ks")
     q.awaitTermination()
     assert spark.table("tk_stream.ks").count() == 20
-
-
-def test_copy_into_versioned_table_keeps_history(spark, scratch):
-    from tablekit.operators.snapshots import SnapshotTable
-    src = scratch + "/in_v"
-    rows = [{"device_id": i, "reading": i * 1.0, "ts": "2021-01-01T00:00:00"} for i in range(4)]
-    drop_file(spark, src, "a.json", rows)
-    target = scratch + "/iot_versioned"
-    assert ingest.copy_into_table(spark, target, src, "json", schema=IOT_SCHEMA) == 4
-    assert ingest.copy_into_table(spark, target, src, "json", schema=IOT_SCHEMA) == 0
-    drop_file(spark, src, "b.json", rows[:2])
-    assert ingest.copy_into_table(spark, target, src, "json", schema=IOT_SCHEMA) == 2
-    t = SnapshotTable(spark, target)
-    assert t.read().count() == 6
-    ops = [r["operation"] for r in t.history().collect()]
-    assert ops[-1] == "CREATE TABLE AS SELECT" and ops.count("WRITE") == 2

@@ -1,13 +1,15 @@
-"""DML functions and snapshot tables: schema rules, merge semantics, and
+"""DML functions and versions kept as data: schema rules, merge semantics, and
 property tests (hypothesis) on generated rows."""
 
+import datetime as dt
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tablekit.operators import dml
-from tablekit.operators.snapshots import SnapshotTable, VersionNotFound
+from tablekit.operators import versions as V
 
 LOAN_SCHEMA = ("loan_id long, funded_amnt int, paid_amnt double, addr_state string, "
                "type string, timestamp timestamp")
@@ -51,8 +53,8 @@ def test_merge_update_insert_null_key_and_duplicates(spark):
     assert out[4420]["funded_amnt"] == 22000 and out[99999]["type"] == "insert"
     assert out[None]["type"] == "nullkey" and len(out) == 6
     dup = src.unionByName(src.where("loan_id = 4420"))
-    with pytest.raises(dml.DuplicateMergeKeys):
-        dml.merge_upsert(target, dup, ["loan_id"])
+    with pytest.raises(Exception, match="duplicate keys"):        # found while the merge runs
+        dml.merge_upsert(target, dup, ["loan_id"]).collect()
 
 
 keys = st.lists(st.integers(min_value=0, max_value=30), min_size=0, max_size=20, unique=True)
@@ -77,185 +79,63 @@ def test_merge_properties(spark, t_keys, s_keys, v):
     assert rows(t.exceptAll(dels).unionByName(ins)) == rows(once)
 
 
-def test_snapshot_versions_restore_and_history(spark, scratch):
-    t = SnapshotTable(spark, scratch + "/loans")
-    assert t.create(loans(spark)) == 0
+def loan_versions(spark):
+    v = V.first_version(loans(spark))
     extra = spark.createDataFrame([(99997, 1, 1.0, "CA", "batch", None, 700)],
                                   LOAN_SCHEMA + ", credit_score int")
+    v = V.append(v, 1, extra, evolve=True)
+    v = V.delete_where(v, 2, "loan_id = 4420")
+    return V.update_where(v, 3, "loan_id = 10", {"funded_amnt": 21000})
+
+
+def test_versions_are_filters_over_rows(spark, scratch):
+    v = loan_versions(spark)
+    v.write.parquet(scratch + "/loans")
+    v = spark.read.parquet(scratch + "/loans")
+    assert [V.as_of(v, n).count() for n in range(4)] == [4, 5, 4, 4]
+    assert rows(V.as_of(v, 0).drop("credit_score")) == rows(loans(spark))
+    assert V.as_of(v, 2).where("loan_id = 10").first()["funded_amnt"] == 5000
+    assert V.latest(v).where("loan_id = 10").first()["funded_amnt"] == 21000
+    back = V.restore(v, 4, to=0)
+    assert rows(V.latest(back)) == rows(V.as_of(v, 0)) and rows(V.as_of(back, 3)) == rows(V.as_of(v, 3))
+    counts = {r.version: r.num_output_rows for r in V.row_counts(back, range(5)).collect()}
+    assert counts == {0: 4, 1: 5, 2: 4, 3: 4, 4: 4}
+
+
+def test_version_append_refuses_unknown_columns(spark):
+    v = V.first_version(loans(spark))
+    extra = loans(spark).withColumn("credit_score", F.lit(1))
     with pytest.raises(dml.SchemaMismatch):
-        t.append(extra)
-    assert t.append(extra, evolve=True) == 1
-    assert t.delete_where("loan_id = 4420") == 2
-    assert t.update_where("loan_id = 10", {"funded_amnt": 21000}) == 3
-    assert t.read(version=0).count() == 4 and t.read(1).count() == 5
-    assert t.read().where("loan_id = 10").first()["funded_amnt"] == 21000
-    assert t.restore(0) == 4
-    assert rows(t.read()) == rows(t.read(0)) and t.read().schema == t.read(0).schema
-    h = t.history().collect()
-    assert [r["version"] for r in h] == [4, 3, 2, 1, 0]
-    assert [r["operation"] for r in h][0] == "RESTORE"
-    assert h[-1]["metrics"]["num_output_rows"] == 4
-    # time travel by timestamp: the newest commit at or before that time
-    ts = h[2]["timestamp"]
-    assert t.read(as_of=ts).count() == t.read(version=h[2]["version"]).count()
-    d = t.diff(0, 2).collect()
-    assert {(r["loan_id"], r["change"]) for r in d} >= {(4420, "delete"), (99997, "insert")}
-
-
-def test_snapshot_repair_merge_vacuum_compact(spark, scratch):
-    t = SnapshotTable(spark, scratch + "/loans2")
-    t.create(loans(spark))
-    t.delete_where("loan_id = 4420")
-    t.append(t.read(0).where("loan_id = 4420"))            # repair from v0
-    assert rows(t.read()) == rows(t.read(0))
-    src = spark.createDataFrame([(4420, 22000, 1.0, "CA", "x", None)], LOAN_SCHEMA)
-    t.merge(src, ["loan_id"])
-    # the merge rewrote only v=2 (the folder holding key 4420): latest = v=1 + v=3
-    assert list(t.history().first()["data_dirs"]) == ["v=1", "v=3"]
-    removed = t.expire(keep_last=1)
-    assert removed == [0, 2]
-    with pytest.raises(VersionNotFound):
-        t.read(0).count()
-    assert t.read().where("loan_id = 4420").first()["funded_amnt"] == 22000
-    v = t.compact(cluster_by="addr_state", target_file_bytes=1)
-    files = (t.read(v).select("addr_state", "_metadata.file_path").distinct()
-             .groupBy("file_path").agg(F.countDistinct("addr_state").alias("n")).collect())
-    assert all(r["n"] <= 2 for r in files)
-    det = t.detail().first()
-    assert det["version"] == v and det["num_files"] >= 1 and det["size_in_bytes"] > 0
-
-
-def test_snapshot_as_sql_view(spark, scratch):
-    t = SnapshotTable(spark, scratch + "/loans_sql")
-    t.create(loans(spark))
-    t.delete_where("loan_id = 4420")
-    t.as_view("loans_v0", version=0)
-    t.as_view("loans_now")
-    got = spark.sql("SELECT (SELECT COUNT(*) FROM loans_v0) AS a, (SELECT COUNT(*) FROM loans_now) AS b").first()
-    assert (got["a"], got["b"]) == (4, 3)
-
-
-def test_append_writes_only_new_rows_and_restore_copies_nothing(spark, scratch):
-    import os
-    t = SnapshotTable(spark, scratch + "/loans3")
-    base = scratch.replace("file:", "") + "/loans3"
-    t.create(loans(spark))                                   # v0: 4 rows
-    extra = spark.createDataFrame([(99997, 1, 1.0, "CA", "batch", None, 700)],
-                                  LOAN_SCHEMA + ", credit_score int")
-    t.append(extra, evolve=True)                             # v1: folder with 1 row
-    assert spark.read.parquet(t.version_path(1)).count() == 1
-    h1 = t.history().where("version = 1").first()
-    assert list(h1["data_dirs"]) == ["v=0", "v=1"] and h1["metrics"]["num_output_rows"] == 5
-    assert t.read().where("credit_score IS NULL").count() == 4
-    t.delete_where("loan_id = 10")                           # v2: copy-on-write
-    assert t.restore(0) == 3                                 # v3 -> v=0, no new folder
-    assert not os.path.exists(base + "/v=3")
-    assert rows(t.read()) == rows(t.read(0)) and t.read().schema == t.read(0).schema
-    assert t.expire(keep_last=1) == [1, 2]                   # v=0 still used by v3
-    assert rows(t.read()) == rows(loans(spark))
-
-
-def test_dml_rewrites_only_touched_folders(spark, scratch):
-    t = SnapshotTable(spark, scratch + "/loans4")
-    t.create(loans(spark))                                           # v=0
-    more = spark.createDataFrame([(20, 1, 1.0, "CA", "x", None), (21, 2, 2.0, "TX", "x", None)],
-                                 LOAN_SCHEMA)
-    t.append(more)                                                   # v=1
-    t.delete_where("loan_id = 21")                                   # touches v=1 only
-    h = t.history().first()
-    assert list(h["data_dirs"]) == ["v=0", "v=2"] and h["metrics"]["num_output_rows"] == 5
-    t.update_where("loan_id = 999", {"funded_amnt": 1})              # matches nothing
-    assert list(t.history().first()["data_dirs"]) == ["v=0", "v=2"]
-    t.merge(spark.createDataFrame([(30, 3, 3.0, "NY", "new", None)], LOAN_SCHEMA), ["loan_id"])
-    assert list(t.history().first()["data_dirs"]) == ["v=0", "v=2", "v=4"]   # pure insert
-    t.merge(spark.createDataFrame([(10, 9, 9.0, "NY", "upd", None)], LOAN_SCHEMA), ["loan_id"])
-    h = t.history().first()
-    assert list(h["data_dirs"]) == ["v=2", "v=4", "v=5"] and h["metrics"]["num_output_rows"] == 6
-    got = {r["loan_id"]: r["type"] for r in t.read().collect()}
-    assert got == {4420: "batch", 10: "upd", 11: "batch", 12: "batch", 20: "x", 30: "new"}
-
-
-def test_stream_into_snapshot_is_exactly_once(spark, scratch):
-    from tablekit.sources import empty_like
-    src = scratch + "/landing"
-    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
-    ev.repartition(3).write.parquet(src)
-    t = SnapshotTable(spark, scratch + "/events_tbl")
-    t.create(empty_like(ev))
-    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(src)
-    t.stream_into(stream, scratch + "/ck", app_id="ev", available_now=True).awaitTermination()
-    assert t.read().count() == ev.count()
-    assert t.committed_batch("ev") == 2                        # three batches, one file each
-    assert t.history().first()["metrics"]["num_output_rows"] == ev.count()
-    # a replayed batch (same app id, same batch id) is skipped
-    assert t.append(ev.limit(5), txn=("ev", 2)) is None
-    # restart from the checkpoint: nothing new
-    t.stream_into(stream, scratch + "/ck", app_id="ev", available_now=True).awaitTermination()
-    assert t.read().count() == ev.count()
-    assert t.read().select("event_id").distinct().count() == ev.count()
-
-
-def test_history_compaction_keeps_every_version(spark, scratch, monkeypatch):
-    import os
-    from tablekit.operators import snapshots as S
-    monkeypatch.setattr(S, "HISTORY_COMPACT_EVERY", 3)
-    t = SnapshotTable(spark, scratch + "/hist")
-    t.create(loans(spark))
-    for i in range(4):
-        t.append(loans(spark).withColumn("loan_id", F.col("loan_id") + 100 * (i + 1)))
-    files = [f for f in os.listdir(scratch.replace("file:", "") + "/hist/_history")
-             if f.endswith(".parquet")]
-    assert len(files) == 2                     # compacted at v3, plus the v4 commit
-    assert [r["version"] for r in t.history().collect()] == [4, 3, 2, 1, 0]
-    assert t.read().count() == 20 and t.read(2).count() == 12
-
-
-def test_compact_small_merges_only_small_folders(spark, scratch):
-    t = SnapshotTable(spark, scratch + "/small")
-    big = spark.range(200000).select(F.col("id").alias("loan_id"))
-    t.create(big)                                                    # v=0, large
-    for i in range(4):
-        t.append(spark.range(i * 10, i * 10 + 10).select(F.col("id").alias("loan_id")))
-    assert len(t.history().first()["data_dirs"]) == 5
-    v = t.compact_small(target_file_bytes=100_000, min_folders=3)
-    h = t.history().first()
-    assert h["version"] == v and list(h["data_dirs"]) == ["v=0", f"v={v}"]
-    assert h["metrics"]["num_output_rows"] == 200040
-    assert rows(t.read()) == rows(t.read(v - 1))
-    assert t.compact_small(target_file_bytes=100_000, min_folders=3) is None
-
-
-def test_stream_into_with_compaction(spark, scratch):
-    from tablekit.sources import empty_like
-    src = scratch + "/landing2"
-    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
-    ev.repartition(4).write.parquet(src)
-    t = SnapshotTable(spark, scratch + "/ev2")
-    t.create(empty_like(ev))
-    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(src)
-    t.stream_into(stream, scratch + "/ck2", app_id="ev", available_now=True,
-                  compact_every=2).awaitTermination()
-    assert t.read().count() == ev.count()
-    assert len(t.history().first()["data_dirs"]) <= 3
-
-
-def test_partitioned_snapshot_table(spark, scratch):
-    li = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet") \
-        .withColumn("ship_year", F.year("l_shipdate"))
-    t = SnapshotTable(spark, scratch + "/li_part")
-    t.create(li, partition_by=["ship_year"])
-    assert t.read().columns == li.columns and t.read().count() == li.count()
-    plan = t.read().where("ship_year = 1998")._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(ship_year" in plan
-    t.append(li.where("ship_year = 2000"))                   # v=1
-    t.delete_where("ship_year = 1998")                       # only v=0 holds 1998 rows
-    h = t.history().first()
-    assert list(h["data_dirs"]) == ["v=1", "v=2"] and h["params"]["partitionBy"] == "ship_year"
-    want = li.count() + li.where("ship_year = 2000").count() - li.where("ship_year = 1998").count()
-    assert t.read().count() == want == h["metrics"]["num_output_rows"]
-    assert rows(t.read(0)) == rows(li)
-    t.restore(0)
-    assert rows(t.read()) == rows(li)
-    with pytest.raises(ValueError):
-        SnapshotTable(spark, scratch + "/bad").create(li.withColumn("v", F.lit(1)),
-                                                      partition_by=["ship_year"])
+        V.append(v, 1, extra)
+
+
+def test_version_merge_and_repair(spark):
+    v = V.first_version(loans(spark))
+    src = spark.createDataFrame([(4420, 22000, 1.0, "CA", "x", None), (7, 1, 1.0, "CA", "new", None),
+                                 (None, 2, 2.0, "TX", "nullkey", None)], LOAN_SCHEMA)
+    m = V.merge(v, 1, src, ["loan_id"])
+    assert rows(V.as_of(m, 0)) == rows(loans(spark))
+    assert sorted(map(str, V.latest(m).collect())) == sorted(
+        map(str, dml.merge_upsert(loans(spark), src, ["loan_id"]).collect()))
+    gone = V.delete_where(v, 1, "addr_state = 'CA'")
+    repaired = V.append(gone, 2, V.as_of(gone, 0).where("addr_state = 'CA'"))
+    assert rows(V.latest(repaired)) == rows(loans(spark))
+    with pytest.raises(Exception, match="duplicate keys"):
+        V.merge(v, 1, src.unionByName(src.where("loan_id = 7")), ["loan_id"]).collect()
+
+
+def test_version_at_a_time_is_zone_safe(spark):
+    utc = dt.timezone.utc
+    commits = spark.createDataFrame([(n, dt.datetime(2024, 1, 1, n, tzinfo=utc)) for n in range(4)],
+                                    "version int, committed_at timestamp")
+    assert V.version_at(commits, dt.datetime(2024, 1, 1, 2, 30, tzinfo=utc)) == 2
+    east = dt.timezone(dt.timedelta(hours=5))
+    assert V.version_at(commits, dt.datetime(2024, 1, 1, 6, 30, tzinfo=east)) == 1
+    assert V.version_at(commits, dt.datetime(2023, 1, 1, tzinfo=utc)) is None
+
+
+def test_diff_keeps_copies_of_repeated_rows(spark):
+    a = spark.createDataFrame([(1, None)] * 3 + [(2, 5)], "k int, v int")
+    b = spark.createDataFrame([(1, None)] + [(2, 5)] * 4, "k int, v int")
+    got = sorted(map(str, dml.diff(a, b).collect()))
+    assert len(got) == 5 and sum("delete" in x for x in got) == 2
