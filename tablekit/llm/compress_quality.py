@@ -4,15 +4,16 @@ Two zstandard dictionaries are trained, one on good and one on bad labelled
 text. A text is cut into blocks of BLOCK bytes, every block is compressed with
 both, and the difference of the compressed sizes (bad minus good) per byte says
 whose kind of text it is: the dictionary that knows the text makes it smaller.
-A logistic curve, fitted on labelled texts that the dictionaries have not seen,
-turns the normalised difference, with the compressed share itself (text that
-repeats itself shrinks under either), into a probability of label 1. It is
-weighted to the class shares among all labelled rows that may be learned from.
+A logistic curve, fitted on whole labelled texts that the dictionaries have not
+seen, turns the normalised difference, with the compressed shares under the good
+dictionary and of the text by itself (text that repeats itself shrinks), into a
+probability of label 1. It is weighted to the class shares among all labelled
+rows that may be learned from.
 
 Fitted on a bounded sample: at most ``PER_CLASS`` labelled documents a class,
-the first by hash of doc_id, and of each at most ``SAMPLE_BLOCKS`` blocks spread
-over the whole text. Scoring covers every byte of every text, in one pass
-without a shuffle.
+the first by hash of doc_id; the dictionaries see at most ``SAMPLE_BLOCKS``
+blocks of each, spread over the whole text. Scoring covers every byte of every
+text, in one pass without a shuffle.
 
 Defined cases: null or empty text scores 0.0; null labels and labels of unknown
 documents are ignored; a document labelled both ways counts with neither;
@@ -38,7 +39,7 @@ LEVEL = 3
 DICT_BYTES = 112 << 10
 #: Bounds on what the classifier is fitted on.
 PER_CLASS, SAMPLE_BLOCKS, SAMPLE_BYTES = 2250, 4, 1024
-#: Of the sample, one in so many calibrates; the rest trains the dictionaries.
+#: Of the sample, one in so many (by hash) calibrates; the rest trains the dictionaries.
 CALIBRATE_ONE_IN = 3
 FOLDS, PREDICT_AT = 5, 0.3
 
@@ -54,9 +55,8 @@ def spread_blocks(data: bytes) -> list[bytes]:
     return [data[i:i + SAMPLE_BYTES] for i in starts]
 
 
-def train_dictionary(texts: list[bytes]) -> bytes:
+def train_dictionary(blocks: list[bytes]) -> bytes:
     """A trained dictionary, or the raw blocks where there are too few to train on."""
-    blocks = [b for t in texts for b in spread_blocks(t)]
     raw = b"".join(blocks)
     try:
         return zstandard.train_dictionary(min(DICT_BYTES, max(len(raw) // 8, 1024)), blocks).as_bytes()
@@ -67,7 +67,7 @@ def train_dictionary(texts: list[bytes]) -> bytes:
 class SizeModel:
     """Both dictionaries and the calibration; sent to the tasks as a whole (about 230 KB)."""
 
-    def __init__(self, good: bytes, bad: bytes, weights=(0.0, 0.0, 0.0)):
+    def __init__(self, good: bytes, bad: bytes, weights=(0.0, 0.0, 0.0, 0.0)):
         self.good, self.bad, self.weights = good, bad, tuple(weights)
 
     def __getstate__(self):
@@ -81,40 +81,43 @@ class SizeModel:
             d.precompute_compress(level=LEVEL)
             made.append(zstandard.ZstdCompressor(level=LEVEL, dict_data=d, write_content_size=False,
                                                  write_checksum=False, write_dict_id=False))
-        return made
+        return [*made, zstandard.ZstdCompressor(level=LEVEL, write_content_size=False)]
 
-    def features(self, data: bytes) -> tuple[float, float]:
-        """(bad size - good size) and good size, per byte."""
+    def features(self, data: bytes) -> tuple[float, float, float]:
+        """Per byte: bad size - good size, good size, and the size of the whole
+        text by itself."""
         good = bad = 0
-        by_good, by_bad = self._compressors
+        by_good, by_bad, alone = self._compressors
         for i in range(0, len(data), BLOCK):
             block = data[i:i + BLOCK]
             good += len(by_good.compress(block))
             bad += len(by_bad.compress(block))
-        return (bad - good) / len(data), good / len(data)
+        return (bad - good) / len(data), good / len(data), len(alone.compress(data)) / len(data)
 
     def score(self, text: str | None) -> float:
         if not text:
             return 0.0
-        x, y = self.features(text.encode("utf-8", "surrogatepass"))
-        z = self.weights[0] + self.weights[1] * x + self.weights[2] * y
+        z = self.weights[0]
+        for w, x in zip(self.weights[1:], self.features(text.encode("utf-8", "surrogatepass"))):
+            z += w * x
         return float(1.0 / (1.0 + np.exp(-np.clip(z, -30, 30))))
 
 
 def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
-    """Weighted logistic regression by Newton steps; a small ridge keeps
-    separable samples finite."""
-    x = np.column_stack([np.ones(len(y)), x])
-    ridge = np.diag([1e-6, 1e-4, 1e-4]) * weight.sum()
-    w = np.zeros(x.shape[1])
-    for _ in range(50):
-        p = 1.0 / (1.0 + np.exp(-np.clip(x @ w, -30, 30)))
-        grad = x.T @ (weight * (y - p)) - ridge @ w
-        step = np.linalg.solve((x * (weight * p * (1 - p))[:, None]).T @ x + ridge, grad)
+    """Weighted logistic regression by Newton steps on standardised features; a
+    small ridge keeps separable samples finite. Intercept first."""
+    mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-9
+    z = np.column_stack([np.ones(len(y)), (x - mean) / scale])
+    w, ridge = np.zeros(z.shape[1]), 1e-3
+    for _ in range(60):
+        p = 1.0 / (1.0 + np.exp(-np.clip(z @ w, -30, 30)))
+        grad = z.T @ (weight * (y - p)) - ridge * w
+        step = np.linalg.solve((z * (weight * p * (1 - p))[:, None]).T @ z + ridge * np.eye(len(w)), grad)
         w += step
         if np.abs(step).max() < 1e-8:
             break
-    return w
+    slopes = w[1:] / scale
+    return np.concatenate([[w[0] - slopes @ mean], slopes])
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> SizeModel:
@@ -129,31 +132,38 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> SizeM
                  .union(known.where("quality = 1").orderBy(*by_hash).limit(per_class)), "quality_sample")
     texts = join_few(docs.select("doc_id", "text").where("text is not null and text != ''"), few, ["doc_id"],
                      2 * per_class)
+    # one text an id, at most 2 x per_class
+    texts = stored(texts.groupBy("doc_id", "quality").agg(F.min("text").alias("text")), "quality_texts")
+    calibrates = F.pmod(F.xxhash64(F.lit(5), "doc_id"), F.lit(CALIBRATE_ONE_IN)) == 0
 
     def cut(batches):
         for batch in batches:
-            kept = [b"\n".join(spread_blocks(t.encode("utf-8", "surrogatepass")))
-                    for t in batch.column("text").to_pylist()]
+            kept = [spread_blocks(t.encode("utf-8", "surrogatepass")) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("quality"),
-                                              pa.array(kept, pa.binary())], names=["doc_id", "quality", "sample"])
-
-    # at most PER_CLASS ids x 2, each once, SAMPLE_BLOCKS x SAMPLE_BYTES bytes each
-    rows = (texts.select("doc_id", "quality", "text").mapInArrow(cut, "doc_id long, quality int, sample binary")
-            .groupBy("doc_id", "quality").agg(F.min("sample").alias("sample"))
-            .orderBy(F.xxhash64("doc_id"), "doc_id").collect())
-    classes = {q: [bytes(r.sample) for r in rows if r.quality == q] for q in (0, 1)}
-    if not classes[0] or not classes[1]:
+                                              pa.array(kept, pa.list_(pa.binary()))], names=["doc_id", "quality", "blocks"])
+
+    rows = (texts.where(~calibrates).select("doc_id", "quality", "text")
+            .mapInArrow(cut, "doc_id long, quality int, blocks array<binary>").orderBy("doc_id").collect())
+    train = {q: [bytes(b) for r in rows if r.quality == q for b in r.blocks] for q in (0, 1)}
+    model = SizeModel(train_dictionary(train[1]), train_dictionary(train[0]))
+
+    def measure(batches):
+        for batch in batches:
+            f = [model.features(t.encode("utf-8", "surrogatepass")) for t in batch.column("text").to_pylist()]
+            cols = list(zip(*f)) if f else [()] * 3
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("quality"),
+                                              *[pa.array(c, pa.float64()) for c in cols]],
+                                             names=["doc_id", "quality", "a", "b", "c"])
+
+    seen = (texts.where(calibrates).select("doc_id", "quality", "text")
+            .mapInArrow(measure, "doc_id long, quality int, a double, b double, c double").orderBy("doc_id").collect())
+    y = np.array([r.quality for r in seen], dtype=float)
+    if not train[0] or not train[1] or len(set(y.tolist())) < 2:
         share = sizes.get(1, 0) / max(1, sum(sizes.values())) if sizes else 0.5
         share = min(max(share, 1e-9), 1 - 1e-9)
-        return SizeModel(b".", b".", (float(np.log(share / (1 - share))), 0.0, 0.0))
-    train, check = {}, {}
-    for q, samples in classes.items():
-        check[q] = samples[::CALIBRATE_ONE_IN]
-        train[q] = [s for i, s in enumerate(samples) if i % CALIBRATE_ONE_IN] or samples
-    model = SizeModel(train_dictionary(train[1]), train_dictionary(train[0]))
-    x = np.array([model.features(s) for q in (0, 1) for s in check[q]])
-    y = np.concatenate([np.full(len(check[q]), q) for q in (0, 1)])
-    weight = np.concatenate([np.full(len(check[q]), sizes[q] / len(check[q])) for q in (0, 1)])
+        return SizeModel(b".", b".", (float(np.log(share / (1 - share))), 0.0, 0.0, 0.0))
+    weight = np.array([sizes[int(q)] / (y == q).sum() for q in y])
+    x = np.array([(r.a, r.b, r.c) for r in seen])
     model.weights = tuple(float(v) for v in logistic(x, y, weight / weight.mean()))
     return model
 

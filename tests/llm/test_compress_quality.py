@@ -12,7 +12,7 @@ def test_held_out_accuracy(spark):
     good = [r.predicted for r in held if r.quality == 1]
     bad = [r.predicted for r in held if r.quality == 0]
     assert len(good) > 300 and sum(good) / len(good) > 0.98
-    assert sum(bad) / len(bad) < 0.15
+    assert sum(bad) / len(bad) < 0.1
     # calibrated: the mean score is near the share of label 1
     assert abs(sum(r.score for r in held) / len(held) - len(good) / len(held)) < 0.05
 
@@ -20,7 +20,7 @@ def test_held_out_accuracy(spark):
 def test_every_byte_counts():
     """A long text's sizes are the sums over all its blocks."""
     m = C.SizeModel(C.train_dictionary([b"alpha beta gamma " * 50] * 50), C.train_dictionary([b"OMEGA!! PSI!! " * 50] * 50),
-                    (0.0, 10.0, 0.0))
+                    (0.0, 10.0, 0.0, 0.0))
     a, b = b"alpha beta gamma " * 2000, b"OMEGA!! PSI!! " * 2000
     blocks = [(a + b)[i:i + C.BLOCK] for i in range(0, len(a + b), C.BLOCK)]
     parts = [m.features(x)[0] * len(x) for x in blocks]
@@ -56,4 +56,4 @@ def test_held_out_labels_teach_nothing(spark, make_docs, make_labels):
     docs = make_docs(rows)
     held = [i for i in range(100) if zlib.crc32(str(i).encode()) % 5 == 0]
     m = C.fit(docs, make_labels([(i, i % 2, 0) for i in held]))
-    assert m.weights == (0.0, 0.0, 0.0)
+    assert m.weights == (0.0, 0.0, 0.0, 0.0)
