@@ -22,6 +22,8 @@ SQL_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # rows vary from bytes to megabytes: a batch for Python is bounded by size too
+    "spark.sql.execution.arrow.maxBytesPerBatch": "32m",
 }
 
 
