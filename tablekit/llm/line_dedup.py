@@ -18,9 +18,8 @@ all rows, and decide the lines in place. The sample only steers the layout.
 
 Defined cases: null or empty text is one empty line and stays; a null doc_id
 takes no part (its lines stay and are not counted); rows that share a doc_id
-count as documents of their own and none of them loses a line to the other;
-an empty table gives an empty result; other columns pass through untouched,
-whatever their names.
+are one document, none of them loses a line to the other; an empty table gives
+an empty result; other columns pass through untouched, whatever their names.
 """
 
 from __future__ import annotations
@@ -84,7 +83,7 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Dat
     hot = stored(_hot(lines), "hot_lines")
 
     per_doc = (lines.join(F.broadcast(hot), ["h1", "h2"])
-               .groupBy("h1", "h2", "doc_id", "th").agg(F.count("*").alias("c")))
+               .groupBy("h1", "h2", "doc_id").agg(F.count("*").alias("c")))
     keeper = (per_doc.groupBy("h1", "h2")
               .agg(F.max("doc_id").alias("keeper"), F.count("*").alias("n_docs"))
               .where(F.col("n_docs") >= min_docs))
@@ -92,16 +91,16 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Dat
                    .where("doc_id < keeper").select("doc_id", "th", "pos"))
 
     rest = lines.join(F.broadcast(hot), ["h1", "h2"], "left_anti")
-    stream = Window.partitionBy("h1", "h2").orderBy(F.desc("doc_id"), "th")
+    stream = Window.partitionBy("h1", "h2").orderBy(F.desc("doc_id"))
     first = stream.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     dropped_rest = (
         rest.repartitionByRange("h1", "h2")
-        .groupBy("h1", "h2", "doc_id", "th").agg(F.collect_list("pos").alias("at"))
+        .groupBy("h1", "h2", "doc_id").agg(F.collect_set(F.struct("th", "pos")).alias("places"))
         .withColumn("rank", F.row_number().over(stream))
         .withColumn("keeper", F.first("doc_id").over(first))
         .withColumn("enough", _at_least(min_docs, stream))
         .where("doc_id < keeper and enough")
-        .select("doc_id", "th", F.explode("at").alias("pos")))
+        .select("doc_id", F.explode("places").alias("place")).select("doc_id", "place.th", "place.pos"))
 
     bits = (dropped_hot.union(dropped_rest).repartition("doc_id", "th")
             .groupBy("doc_id", "th", F.expr("pos div 64").cast("int").alias("word"))

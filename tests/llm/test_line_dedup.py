@@ -14,19 +14,18 @@ def brute(rows, min_chars=20, min_docs=3):
         return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in line.strip(WS))
 
     holders = {}
-    for at, (i, t) in enumerate(rows):
+    for i, t in rows:
         if i is not None:
             for line in set(map(key, (t or "").split("\n"))):
-                holders.setdefault(line, {}).setdefault((i, t or ""), at)
+                holders.setdefault(line, set()).add(i)
     out = []
     for i, t in rows:
         lines = (t or "").split("\n")
         kept = []
         for line in lines:
             k = key(line)
-            docs = holders.get(k, {})
-            gone = (i is not None and len(k) >= min_chars and len(docs) >= min_docs
-                    and i < max(d for d, _ in docs))
+            docs = holders.get(k, set())
+            gone = i is not None and len(k) >= min_chars and len(docs) >= min_docs and i < max(docs)
             if not gone:
                 kept.append(line)
         out.append((i, len(lines), len(lines) - len(kept), "\n".join(kept)))
@@ -39,7 +38,7 @@ def result(df):
 
 def test_edge_rows(spark, make_docs):
     line = "A line that is long enough to count"
-    rows = [(1, line), (2, " " + line.upper() + "\t"), (3, f"x\n{line}\ny\n{line}\n"), (3, line), (4, None), (5, ""),
+    rows = [*[(30 + k % 2, "rows of one id are one document") for k in range(4)], (1, line), (2, " " + line.upper() + "\t"), (3, f"x\n{line}\ny\n{line}\n"), (3, line), (4, None), (5, ""),
             (6, "\n\n"), (7, "short line here 1234"), (8, "short line here 1234"), (9, "short line here 123"),
             (10, "short line here 123"), (11, "short line here 123"), (None, line), (12, "é" * 20), (13, "é" * 20),
             (14, "É" * 20), (15, "é" * 20 + "\x0b"), (16, "\n".join(f"row {i} of a very long text" for i in range(5000))),
@@ -48,7 +47,6 @@ def test_edge_rows(spark, make_docs):
     docs = make_docs(rows, extra=("lines", "words", "id", "th", "h1", "n_lines"))
     out = L.dedup_lines(docs)
     assert out.columns == [*docs.columns, "_n_lines", "_n_dropped"]
-    # rows of one id and text are one document's repeat: counted once a text
     assert result(out) == brute(rows)
     assert L.dedup_lines(docs.limit(0)).count() == 0
 
