@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from tablekit.llm.common import mix, packed, stored, table, text_hash, unpacked, words
 
-MIN_WORDS, LONE_WORDS = 20, 30
+MIN_WORDS, LONE_WORDS = 15, 20
 #: Layout only: the share of documents looked at for frequent hashes, the
 #: sampled runs that make one frequent, and the most handled apart.
 SAMPLE_ONE_IN, HOT_ROWS, MAX_HOT = 64, 16, 2048
