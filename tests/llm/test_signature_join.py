@@ -146,3 +146,19 @@ def test_tree_finds_what_all_pairs_find():
                 if comp[i] != comp[j] and 100 * both >= 90 * (len(sets[i]) + len(sets[j]) - both):
                     assert (i, j) in got
         assert len(got) < n * n / 8
+
+
+def test_overlaps_both_ways(monkeypatch):
+    rng = np.random.default_rng(8)
+    tokens = [np.unique(rng.integers(0, 90, rng.integers(1, 60)).astype(np.uint64)) for _ in range(40)]
+    pairs = np.array([(a, b) for a in range(40) for b in range(a)])
+    want = [len(set(tokens[a]) & set(tokens[b])) for a, b in pairs]
+    assert J.overlaps(pairs, tokens).tolist() == want
+    monkeypatch.setattr(J, "MATRIX_BYTES", 0)
+    assert J.overlaps(pairs, tokens).tolist() == want
+
+
+def test_joining_links_are_a_forest():
+    pairs = np.array([(0, 1), (1, 2), (2, 0), (3, 4), (0, 3), (4, 1)])
+    assert J.joining_links(pairs, [0, 1, 2, 3, 4]) == [0, 1, 3, 4]
+    assert J.joining_links(pairs, [7, 7, 7, 3, 3]) == [4]
