@@ -17,10 +17,9 @@ most a few partly filled bins per shard. The deal goes by id and text, so a
 repeated id does not pile up unless its text repeats as well.
 
 Defined cases: texts without words take no room and give no row; repeated rows
-are packed each (equal rows in excess of a shard are dealt on by their source
-partition's row number only through their hash, so they share a shard); a null
-doc_id is packed like any other; an empty table gives an empty result; other
-columns are ignored.
+are packed each, in one shard if they are equal in id and text; a null doc_id is
+packed like any other; an empty table gives an empty result; other columns are
+ignored.
 """
 
 from __future__ import annotations
