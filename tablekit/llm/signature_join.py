@@ -24,8 +24,11 @@ reaches ``percent``; the result is each document's component under links.
    block a tree is built whose nodes hold OR- and AND-combined bitmaps and a
    size range; a dual traversal drops node pairs whose maximum possible
    overlap misses the threshold or that lie in one component, and compares the
-   rest leaf by leaf. Pairs left over are verified on whole sets, so no link
-   between different components is lost.
+   rest leaf by leaf. Pairs left over travel as packed arrays to the pair of
+   homes of their classes (a home: classes with one smallest bucket mate, in
+   parts of about HOME), where the whole sets arrive once and decide; a task
+   returns links that join components, not all pairs. No link between different
+   components is lost.
 
 Defined cases: null text or text without words has an empty set and links with
 nothing; with fewer than ``size`` words the whole sequence is the one shingle;
@@ -63,8 +66,11 @@ RATIO = 1.4
 SPARE = 0.3
 #: Most classes in a block that one tree holds; classes in a leaf; children of a node.
 BLOCK, LEAF, FANOUT = 1024, 32, 8
-#: Bucket entries that one task of the exchange holds, about.
-ENTRIES_A_TASK = 2_000_000
+#: Classes in a part of a home; bytes of a bit matrix over a task's own tokens.
+HOME, MATRIX_BYTES = 512, 32 << 20
+#: Bucket entries that one task of the exchange holds, about, and that a task
+#: merges at a time before it.
+ENTRIES_A_TASK, ENTRIES_AT_ONCE = 1_000_000, 500_000
 ROWS_A_TASK = 100_000
 
 
@@ -182,20 +188,24 @@ def shared_buckets(sets: DataFrame, parts: int) -> DataFrame:
         cut = np.flatnonzero(np.r_[True, p[1:] != p[:-1]])
         return p[cut].tolist(), [x.tobytes() for x in np.split(both, cut[1:])]
 
+    def slices(batch):
+        """(keys, d) of runs of rows with about ENTRIES_AT_ONCE keys."""
+        blobs = batch.column("keys").to_pylist()
+        d1 = batch.column("d1").to_numpy(zero_copy_only=False).view(np.uint64) & _LOW48
+        sizes = np.array([len(b) // 6 for b in blobs], dtype=np.int64)
+        part = (np.cumsum(sizes) - sizes) // ENTRIES_AT_ONCE
+        for k in np.unique(part[sizes > 0]):
+            at = np.flatnonzero(part == k)
+            yield from_six(b"".join(blobs[i] for i in at)), np.repeat(d1[at], sizes[at])
+
     def deal(batches):
-        for batch in batches:
-            blobs = batch.column("keys").to_pylist()
-            key = from_six(b"".join(blobs))
-            if not len(key):
-                continue
-            d1 = batch.column("d1").to_numpy(zero_copy_only=False).view(np.uint64) & _LOW48
-            d = np.repeat(d1, [len(b) // 6 for b in blobs])
+        for key, d in (x for batch in batches for x in slices(batch)):
             order = np.lexsort((d, key))
             key, d = key[order], d[order]
-            new = np.r_[True, (key[1:] != key[:-1]) | (d[1:] != d[:-1])]    # copies in this batch
+            new = np.r_[True, (key[1:] != key[:-1]) | (d[1:] != d[:-1])]    # copies in this slice
             key, d = key[new], d[new]
             first = np.r_[True, key[1:] != key[:-1]]
-            inner = ~first | np.r_[~first[1:], False]                       # shared within this batch
+            inner = ~first | np.r_[~first[1:], False]                       # shared within this slice
             p1, b1 = pack((key[first] % np.uint64(parts)).view(np.int64), key[first], d[first])
             spread = np.uint64(int(d[0]) % parts)
             p2, b2 = pack(((np.arange(inner.sum(), dtype=np.uint64) // np.uint64(50_000) + spread)
@@ -246,11 +256,9 @@ def bitmap_pairs(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFram
             .select("a", "b", "n", "m", "bits", "other").mapInArrow(run, "a long, b long"))
 
 
-def verified(pairs: DataFrame, n_pairs: int, sets: DataFrame, docs: DataFrame, size: int,
-             percent: int) -> DataFrame:
-    """The pairs that link, by the whole sets of both texts."""
-    nodes = stored(pairs.select(F.explode(F.array("a", "b")).alias("rid")).distinct()
-                   .join(sets.select("rid", "k1", "k2"), "rid"), "pair_nodes")
+def class_tokens(nodes: DataFrame, n_nodes: int, sets: DataFrame, docs: DataFrame, size: int) -> DataFrame:
+    """(node, tokens) of the given classes: whole sets, from one pass over the texts."""
+    nodes = stored(nodes.withColumnRenamed("node", "rid").join(sets.select("rid", "k1", "k2"), "rid"), "set_nodes")
 
     def tokens(batches):
         memo = WordHashes()
@@ -260,11 +268,17 @@ def verified(pairs: DataFrame, n_pairs: int, sets: DataFrame, docs: DataFrame, s
                                                 for t in batch.column("text").to_pylist()], pa.binary())],
                 names=["node", "tokens"])
 
-    texts = join_few(row_key(docs.select("doc_id", "text")).select("k1", "k2", "text"), nodes,
-                     ["k1", "k2"], min(2 * n_pairs, nodes.count()))
+    texts = join_few(row_key(docs.select("doc_id", "text")).select("k1", "k2", "text"), nodes, ["k1", "k2"], n_nodes)
     # repeated rows of one id and text give the same set: any one will do
-    token_sets = stored(texts.select("rid", "text").mapInArrow(tokens, "node long, tokens binary"), "token_sets")
-    token_sets = token_sets.dropDuplicates(["node"])
+    return stored(texts.select("rid", "text").mapInArrow(tokens, "node long, tokens binary"),
+                  "token_sets").dropDuplicates(["node"])
+
+
+def verified(pairs: DataFrame, n_pairs: int, sets: DataFrame, docs: DataFrame, size: int,
+             percent: int) -> DataFrame:
+    """The pairs that link, by the whole sets of both texts."""
+    token_sets = class_tokens(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), 2 * n_pairs,
+                              sets, docs, size)
 
     def compare(batches):
         for batch in batches:
@@ -382,8 +396,19 @@ def block_pairs(side, node, n, bits, comp, percent: int) -> np.ndarray:
     return np.sort(np.stack([node[own][at[:, 0]], node[own2][at[:, 1]]], axis=1), axis=1)
 
 
-def tree_pairs(members: DataFrame, classes: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of different components that share a bucket and may link."""
+def homes(members: DataFrame, pivots: DataFrame) -> DataFrame:
+    """(node, home, part): classes with the same smallest bucket mate live
+    together, in parts of about HOME."""
+    home = (members.join(pivots.select("key", "a"), "key").groupBy("node").agg(F.min("a").alias("home")))
+    sizes = home.groupBy("home").agg(F.count("*").alias("size"))
+    return (home.join(sizes, "home")
+            .select("node", "home", F.pmod(F.xxhash64("node"), F.expr(f"size div {HOME} + 1")).alias("part")))
+
+
+def tree_pairs(members: DataFrame, classes: DataFrame, labels: DataFrame, lives: DataFrame,
+               percent: int) -> DataFrame:
+    """Pairs of different components that share a bucket and may link, as one
+    row per pair of homes: ``pairs`` (packed, distinct) and ``nodes`` in them."""
     now = (members.join(labels, "node", "left")
            .select("key", "node", F.coalesce("comp", "node").alias("comp")))
     mixed = (now.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"),
@@ -409,11 +434,88 @@ def tree_pairs(members: DataFrame, classes: DataFrame, labels: DataFrame, percen
             if j - i > 1 and (comp[i:j] != comp[i]).any():
                 found.append(block_pairs(side[i:j], node[i:j], n[i:j], bits[i:j], comp[i:j], percent))
         pairs = np.unique(np.concatenate(found), axis=0)
-        return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
-
-    return (rows.join(classes.select("node", "n", "bits"), "node")
+        place = dict(zip(node.tolist(), zip(pdf["home"].tolist(), pdf["part"].tolist())))
+        by = {}
+        for k, (a, b) in enumerate(pairs.tolist()):
+            by.setdefault(tuple(sorted((place[a], place[b]))), []).append(k)
+        return pd.DataFrame([(*p, *q, pairs[k].tobytes()) for (p, q), k in by.items()],
+                            columns=["h1", "p1", "h2", "p2", "pairs"])
+
+    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
+        pairs = np.unique(np.frombuffer(b"".join(pdf["pairs"]), np.int64).reshape(-1, 2), axis=0)
+        return pd.DataFrame({**{c: pdf[c].iloc[:1] for c in ("h1", "p1", "h2", "p2")},
+                             "pairs": [pairs.tobytes()], "nodes": [np.unique(pairs).tolist()]})
+
+    return (rows.join(classes.select("node", "n", "bits"), "node").join(lives, "node")
             .withColumn("p", F.pmod(F.xxhash64("key", "x", "y"), F.lit(parts)))
-            .groupBy("p").applyInPandas(run, "a long, b long").distinct())
+            .groupBy("p").applyInPandas(run, "h1 long, p1 long, h2 long, p2 long, pairs binary")
+            .groupBy("h1", "p1", "h2", "p2")
+            .applyInPandas(merge, "h1 long, p1 long, h2 long, p2 long, pairs binary, nodes array<long>"))
+
+
+def overlaps(pairs: np.ndarray, tokens: list[np.ndarray]) -> np.ndarray:
+    """Common tokens of each pair (places in ``tokens``): rows of a bit matrix over
+    the tokens at hand, or pair by pair where that would be too large."""
+    names, at = np.unique(np.concatenate(tokens), return_inverse=True)
+    width = -(-len(names) // 64) * 8
+    if width * len(tokens) > MATRIX_BYTES:
+        return np.array([len(np.intersect1d(tokens[a], tokens[b], assume_unique=True)) for a, b in pairs.tolist()])
+    matrix, start = np.zeros((len(tokens), width), dtype=np.uint8), 0
+    for k, t in enumerate(tokens):
+        own = np.zeros(width * 8, dtype=np.uint8)
+        own[at[start:start + len(t)]] = 1
+        matrix[k] = np.packbits(own)
+        start += len(t)
+    matrix = matrix.view(np.uint64)
+    step = max(1, (8 << 20) // width)
+    return np.concatenate([np.bitwise_count(matrix[p[:, 0]] & matrix[p[:, 1]]).sum(axis=1, dtype=np.int64)
+                           for p in (pairs[i:i + step] for i in range(0, len(pairs), step))])
+
+
+def joining_links(pairs: np.ndarray, comp: list[int]) -> list[int]:
+    """Which of the links (places) are needed to join their components."""
+    root = {}
+
+    def find(x):
+        while root.get(x, x) != x:
+            root[x] = root.get(root[x], root[x])
+            x = root[x]
+        return x
+
+    kept = []
+    for k, (a, b) in enumerate(pairs.tolist()):
+        x, y = find(comp[a]), find(comp[b])
+        if x != y:
+            root[x] = y
+            kept.append(k)
+    return kept
+
+
+def tree_links(found: DataFrame, labels: DataFrame, sets: DataFrame, docs: DataFrame, size: int,
+               percent: int) -> DataFrame:
+    """Links (a, b) among the pairs of :func:`tree_pairs` that join components."""
+    where = ["h1", "p1", "h2", "p2"]
+    needed = stored(found.select(*where, F.explode("nodes").alias("node")), "tree_nodes")
+    nodes = needed.select("node").distinct()
+    token_sets = class_tokens(nodes, needed.count(), sets, docs, size)
+    there = (needed.join(token_sets, "node").join(labels, "node", "left")
+             .select(*where, "node", F.coalesce("comp", "node").alias("comp"), "tokens"))
+
+    def decide(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if not len(left) or not len(right):
+            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
+        right = right.sort_values("node", kind="stable")
+        node = right["node"].to_numpy()
+        tokens = [np.frombuffer(t, np.uint64) for t in right["tokens"]]
+        pairs = np.searchsorted(node, np.frombuffer(left["pairs"].iloc[0], np.int64).reshape(-1, 2))
+        n = np.array([len(t) for t in tokens])
+        both, total = overlaps(pairs, tokens), n[pairs[:, 0]] + n[pairs[:, 1]]
+        links = pairs[100 * both >= percent * (total - both)]
+        links = node[links[joining_links(links, right["comp"].tolist())]].reshape(-1, 2)
+        return pd.DataFrame({"a": links[:, 0], "b": links[:, 1]})
+
+    return (found.select(*where, "pairs").groupBy(*where)
+            .cogroup(there.groupBy(*where)).applyInPandas(decide, "a long, b long"))
 
 
 def near_components(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFrame:
@@ -439,10 +541,9 @@ def near_components(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFr
     links = stored(verified(star, star.count(), sets, docs, size, percent), "star_links")
     labels = components(links)
 
-    more = stored(tree_pairs(members, classes, labels, percent).join(star, ["a", "b"], "left_anti"), "tree_pairs")
-    n_more = more.count()
-    if n_more:
-        new = stored(verified(more, n_more, sets, docs, size, percent), "tree_links")
+    found = stored(tree_pairs(members, classes, labels, homes(members, pivots), percent), "tree_pairs")
+    if not found.isEmpty():
+        new = stored(tree_links(found, labels, sets, docs, size, percent), "tree_links")
         if not new.isEmpty():
             labels = components(links.union(new))
 
