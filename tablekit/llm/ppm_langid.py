@@ -67,9 +67,13 @@ def sequence_counts(docs: DataFrame, per_lang: int = PER_LANG) -> DataFrame:
     may = (docs.where("doc_id is not null and lang is not null and text is not null")
            .where(fold(F.col("doc_id"), FOLDS) != HELD_OUT)
            .select("doc_id", "lang", text_hash(F.col("text")).alias("th")))
-    langs = may.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).select("lang")
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "th")
-    few = stored(may.join(F.broadcast(langs), "lang").withColumn("nth", F.row_number().over(first))
+    langs = may.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGS)
+    # the first by hash lie below a hash that four times as many documents reach,
+    # so the ranking sees about 4 x per_lang rows a language however many there are
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
+    low = may.join(F.broadcast(langs), "lang").where(place < F.lit(4.0 * per_lang * (1 << 30)) / F.col("n"))
+    first = Window.partitionBy("lang").orderBy(place, "doc_id", "th")
+    few = stored(low.withColumn("nth", F.row_number().over(first))
                  .where(F.col("nth") <= per_lang).select("doc_id", "th", F.col("lang").alias("its")).distinct(),
                  "lang_sample")
     texts = join_few(docs.select("doc_id", "lang", "text").withColumn("th", text_hash(F.col("text"))), few,
