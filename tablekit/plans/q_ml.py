@@ -184,14 +184,16 @@ TEST_SHARE = 0.1
 SIDE_SQL = f"CASE WHEN {M.SPLIT_SQL.format(key='c_custkey')} < {int(TEST_SHARE * M.SPLIT_PARTS)} THEN 'test' ELSE 'train' END"
 
 
-def _train_and_log(spark, data, version_tag, depth, runs_path, model_dir, max_iter=10):
+def _train_and_log(spark, data, version_tag, depth, runs_path, model_dir):
+    """Trains with ``fit_churn``'s default rounds, logs the run, returns the model's path."""
     labelled = M.with_label(data)
     train, test = M.split(labelled, "c_custkey", TEST_SHARE)
-    model = M.fit_churn(train, max_depth=depth, max_iter=max_iter)
+    model = M.fit_churn(train, max_depth=depth)
     path = M.save_model(model, f"{model_dir}/{version_tag}")
     m = M.metrics(M.score(M.load_model(path), test)).first()
     RU.log_run(spark, runs_path, f"gbt_{version_tag}",
-               {"data_version": version_tag, "max_depth": depth, "n_train": train.count(), "n_test": m["n"]},
+               {"data_version": version_tag, "max_depth": depth, "rounds": model.stages[-1].getNumTrees,
+                "n_train": train.count(), "n_test": m["n"]},
                {k: m[k] for k in ("accuracy", "false_positive_rate", "false_negative_rate")},
                artifact_uri=path)
     return path
@@ -204,7 +206,7 @@ def _train_and_log(spark, data, version_tag, depth, runs_path, model_dir, max_it
     FROM {CHURN_SQL} t""")
 def gbt_churn_scores(spark, d):
     base = shared_dir(spark, "ml", "churn", unique=True)
-    path = _train_and_log(spark, churn(spark, d), "v0", 5, f"{base}/runs", f"{base}/models", max_iter=5)
+    path = _train_and_log(spark, churn(spark, d), "v0", 5, f"{base}/runs", f"{base}/models")
     scored = M.score_with_lineage(M.load_model(path), M.with_label(churn(spark, d)),
                                   "churn_gbt", 1, path, RUN_EPOCH)
     saved = read_parquet(spark, write_parquet(scored.select(
@@ -224,20 +226,30 @@ def gbt_churn_scores(spark, d):
            COUNT(*) FILTER (WHERE {SIDE_SQL} = 'test') AS n_test,
            true AS accuracy_in_range, true AS started_before_now FROM v GROUP BY ALL""")
 def gbt_compare_versions(spark, d):
-    base = shared_dir(spark, "ml", "compare", unique=True)
-    v = V.delete_where(V.first_version(churn(spark, d)), 1, "c_acctbal > 9000")     # v1: outliers trimmed
-    v = read_parquet(spark, write_parquet(v, f"{base}/churn_table"))
-    runs_path, models = f"{base}/runs", f"{base}/models"
-    _train_and_log(spark, V.as_of(v, 0), "v0", 12, runs_path, models, max_iter=2)
-    _train_and_log(spark, V.as_of(v, 1), "v1", 5, runs_path, models, max_iter=5)
-    runs = RU.tidy_runs(RU.read_runs(spark, runs_path), ("accuracy",),
-                        ("data_version", "max_depth", "n_train", "n_test"))
+    runs, _ = compare_versions(spark, churn(spark, d), shared_dir(spark, "ml", "compare", unique=True))
     return runs.select("run_id", "data_version", F.col("max_depth").cast("int").alias("max_depth"),
                        F.col("n_train").cast("long").alias("n_train"), F.col("n_test").cast("long").alias("n_test"),
                        F.coalesce(F.col("metrics_accuracy").between(0, 1), F.lit(True)).alias("accuracy_in_range"),
                        (F.col("start_time") <= F.current_timestamp()).alias("started_before_now"))
 
 
+def compare_versions(spark, data, base):
+    """Trains on both versions of ``data`` (v1: outliers trimmed) under the
+    folder ``base`` and chooses between them: (tidy runs, the best of them).
+    The chosen run's model is registered as the staged one."""
+    v = V.delete_where(V.first_version(data), 1, "c_acctbal > 9000")
+    v = read_parquet(spark, write_parquet(v, f"{base}/churn_table"))
+    runs_path, models = f"{base}/runs", f"{base}/models"
+    _train_and_log(spark, V.as_of(v, 0), "v0", 12, runs_path, models)
+    _train_and_log(spark, V.as_of(v, 1), "v1", 5, runs_path, models)
+    runs = RU.tidy_runs(RU.read_runs(spark, runs_path), ("accuracy",),
+                        ("data_version", "max_depth", "rounds", "n_train", "n_test"))
+    best = RU.best_run(runs, "metrics_accuracy")
+    for chosen in best.collect():          # no row if no run has an accuracy
+        RU.register_model(spark, f"{base}/registry", "churn_gbt", 1, "Staging", chosen["artifact_uri"])
+    return runs, best
+
+
 @register("survival_model", ids=("ML10",), sql=f"""
     SELECT c_custkey, greatest(tenure_days, 0) + 1.0::DOUBLE AS tenure,
            CASE WHEN churn THEN 1.0 ELSE 0.0 END::DOUBLE AS censor, true AS expects_a_time

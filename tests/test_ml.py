@@ -83,6 +83,19 @@ def test_runs_best_and_latest(spark, scratch):
     assert (got["version"], got["source"]) == (2, "b")
 
 
+def test_versions_are_compared_with_models_of_full_length(spark, scratch):
+    """Both versions get the default 20 rounds, and the best of the two runs is staged."""
+    from tablekit.plans import q_ml
+    runs, best = q_ml.compare_versions(spark, q_ml.churn(spark, "/root/testdata/sf0.001"), scratch)
+    got = {r["data_version"]: r for r in runs.collect()}
+    assert {v: (r["max_depth"], r["rounds"]) for v, r in got.items()} == {"v0": ("12", "20"), "v1": ("5", "20")}
+    assert all(len(M.load_model(r["artifact_uri"]).stages[-1].trees) == 20 for r in got.values())
+    chosen = max(got.values(), key=lambda r: (r["metrics_accuracy"], r["start_time"], r["run_id"]))
+    assert best.collect() == [chosen]
+    staged = RU.latest_model(spark.read.parquet(scratch + "/registry"), "churn_gbt", "Staging").first()
+    assert (staged["version"], staged["source"]) == (1, chosen["artifact_uri"])
+
+
 def test_thresholds_of_five_digits_stay_apart(spark, tmp_path):
     """Customers with 12345 and 1234 orders give two runs with their own thresholds."""
     from tablekit.plans import q_ml
