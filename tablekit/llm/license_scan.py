@@ -1,7 +1,7 @@
 """License scan by canonical digests (operator 7), DataFrame functions only.
 
-A text is brought to canonical form: lines that state a copyright are left out,
-letters are lowered, everything but letters and digits becomes one blank, and
+A text is brought to canonical form: lines that state a copyright are left out
+(not wrapped licence wording that happens to begin with the word), letters are lowered, everything but letters and digits becomes one blank, and
 equivalent spellings are made one. Texts whose canonical forms have the same
 SHA-256 digest are the same licence. Every whole document, and every line of it
 taken as a text of its own, is hash-joined to the digests of the known licences.
@@ -93,7 +93,16 @@ SPELLINGS = {
     "non infringement": "noninfringement", "neighbouring": "neighboring", "non commercial": "noncommercial",
     "v": "version", "https": "http",
 }
-COPYRIGHT_LINE = r"(?im)^[ \t]*(?:copyright\b|\(c\)|©)[^\n]*$"
+#: What follows 'copyright' where a line of licence wording begins with it.
+_WORDING = (r"(?:and|are|disclaimers?|doctrines|holders?|if|interests?|laws?|licen[sc]es?|like|notices?|of|on|or|owners?"
+            r"|ownership|patent|permissions?|resulting|statements?|treaty|the(?=[ \t\r]*$|[ \t]+(?:software|library|program)))\b")
+#: A line that states a copyright: 'copyright' before (c), the sign, a year, a
+#: placeholder, 'by' or a name; the sign alone; (c) alone, if a year follows
+#: ('(c)' also numbers paragraphs).
+COPYRIGHT_LINE = (
+    r"(?im)^[ \t]*(?:©"
+    r"|copyright\b(?:[ \t,:]*(?:\(c\)|©|[\[{<]|(?:19|20)\d\d|by\b)|(?![ \t\r]*$|[ \t]*[.,;)\"”'/-]|[ \t]+" + _WORDING + r"))"
+    r"|\(c\)(?=[^\n]*(?:\b(?:19|20)\d\d\b|©|copyright)))[^\n]*$")
 NOT_LETTERS = r"[^\p{L}\p{N}]+"
 
 

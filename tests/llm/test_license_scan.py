@@ -37,3 +37,13 @@ def test_known_licences_may_be_given(spark, make_docs):
     got = scan(spark, make_docs([(1, "House  rules, apply."), (2, "x\nhouse rules apply")]),
                {"b": ["House rules apply"], "a": ["HOUSE RULES APPLY!"], "nothing": ["!!"]})
     assert got[1].license_id == "a" and got[2].line_licenses == "a"
+
+
+def test_only_lines_that_state_a_copyright_are_dropped(spark):
+    stated = ["Copyright (c) 2020 A", "  COPYRIGHT 1999-2001 B", "Copyright: © C", "copyright by D", "Copyright [yyyy] [name]",
+              "Copyright The Foo Authors", "Copyright Foo Inc.", "(C) Other 1999", "© B"]
+    kept = ["copyright notice and this permission notice appear in all copies.", "COPYRIGHT HOLDERS BE LIABLE FOR",
+            "copyright", "copyright law.", "copyright owner that is granting", "(c) You must retain, in the Source form",
+            "copyright the software, and", "copyrighted work"]
+    got = spark.createDataFrame([(x,) for x in stated + kept], "x string").select("x", L.canonical(L.F.col("x"))).collect()
+    assert [x for x, c in got if not c] == stated
