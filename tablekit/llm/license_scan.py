@@ -6,7 +6,9 @@ equivalent spellings are made one. Texts whose canonical forms have the same
 SHA-256 digest are the same licence. Every whole document, and every line of it
 taken as a text of its own, is hash-joined to the digests of the known licences.
 Only digests and ids are joined; documents without a match cost no shuffle of
-their text.
+their text. The known licences are the whole texts in ``licenses/``, with and
+without heading, 'All rights reserved' line and appendix, and the notices that
+``notices`` builds; a GPL or LGPL text alone counts as the '-only' id.
 
 Defined cases: null or empty text, or one with no letter or digit outside
 copyright lines, has the digest of the empty text and matches nothing; of known
@@ -17,6 +19,10 @@ table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import re
+from itertools import product
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,7 +30,7 @@ from tablekit.llm.common import table, text_hash
 
 # Short licence notices and texts in common use, and spellings
 # that matching guidelines treat as equal.
-KNOWN = {
+_KNOWN = {
     "Apache-2.0": [
         "Licensed under the Apache License, Version 2.0.",
         "This work is licensed under the Apache License, Version 2.0.",
@@ -106,6 +112,106 @@ COPYRIGHT_LINE = (
 NOT_LETTERS = r"[^\p{L}\p{N}]+"
 
 
+#: Names that notices use. Bare 'GPL-3.0', 'GPLv3' and 'GNU GPL v3' are left out:
+#: the canonical form has no '+', so they would also be found in 'GPLv3+'.
+_NAMES = {
+    "Apache-2.0": ["Apache License, Version 2.0", "Apache License 2.0", "Apache License v2.0", "Apache 2.0", "Apache-2.0"],
+    "MIT": ["MIT", "Expat"],
+    "ISC": ["ISC"],
+    "0BSD": ["0BSD", "Zero-Clause BSD", "BSD Zero Clause"],
+    "BSD-2-Clause": ["BSD 2-Clause", "2-Clause BSD", "Simplified BSD", "FreeBSD"],
+    "BSD-3-Clause": ["BSD 3-Clause", "3-Clause BSD", "New BSD", "Modified BSD", "Revised BSD"],
+    "Unlicense": ["Unlicense"],
+    "WTFPL": ["WTFPL", "Do What The Fuck You Want To Public"],
+    "MPL-2.0": ["Mozilla Public License, version 2.0", "Mozilla Public License 2.0", "Mozilla Public License v2.0",
+                "Mozilla Public License, v. 2.0", "MPL 2.0", "MPL-2.0"],
+    "CC0-1.0": ["CC0", "CC0 1.0", "CC0 1.0 Universal", "Creative Commons Zero v1.0 Universal", "Creative Commons CC0 1.0 Universal",
+                "CC0 1.0 Universal (CC0 1.0) Public Domain Dedication"],
+}
+for _id, _name, _short, _versions in (("GPL", "GNU General Public License", "GNU GPL", ("2.0", "3.0")),
+                                      ("LGPL", "GNU Lesser General Public License", "GNU LGPL", ("2.1", "3.0")),
+                                      ("AGPL", "GNU Affero General Public License", "GNU AGPL", ("3.0",))):
+    for _v in _versions:
+        _forms = [f"{n}{sep}{v}" for n, sep, v in product((_name, _short), (", version ", " v"),
+                                                          sorted({_v, _v.removesuffix(".0")}))]
+        _NAMES[f"{_id}-{_v}-only"] = [f"{_id}-{_v}-only", f"{_name} v{_v}", *(f for f in _forms if "version" in f),
+                                      *(f"{f} only" for f in _forms)]
+        _NAMES[f"{_id}-{_v}-or-later"] = [f"{_id}-{_v}-or-later", *(f"{f} or {end}" for f in _forms for end in
+                                          ("later", "any later version", "(at your option) any later version"))]
+for _id, _name in (("BY", "Attribution"), ("BY-SA", "Attribution-ShareAlike"), ("BY-NC", "Attribution-NonCommercial"),
+                   ("BY-ND", "Attribution-NoDerivatives"), ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"),
+                   ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives")):
+    _NAMES[f"CC-{_id}-4.0"] = [f"CC {_id} 4.0", f"CC {_id} 4.0 International", f"Creative Commons {_name} 4.0",
+                               f"Creative Commons {_name} 4.0 International",
+                               f"Creative Commons {_name} 4.0 International License (CC {_id} 4.0)",
+                               f"Creative Commons {_name} 4.0 International (CC {_id} 4.0)"]
+_SUBJECTS = ["", "This work is ", "This software is ", "This project is "]
+_VERBS = ["licensed under ", "released under ", "distributed under ", "licensed under the terms of "]
+
+
+def notices(license_id: str) -> list[str]:
+    """Notice lines of a licence: every template with every name, and its SPDX line."""
+    names = [f for n in _NAMES.get(license_id, []) for f in ((n,) if "License" in n or "GNU" in n else (n, f"{n} License"))]
+    lines = [f"SPDX-License-Identifier: {license_id}",
+             *("".join(part) for part in product(_SUBJECTS, _VERBS, ("", "the "), names))]
+    return list({re.sub(r"\W+", " ", x.lower()).strip(): x for x in lines}.values())
+
+
+def _text(license_id: str) -> str:
+    """A stored text without the lines that state a copyright."""
+    text = (Path(__file__).parent / "licenses" / f"{license_id}.txt").read_text(encoding="utf-8")
+    return re.sub(COPYRIGHT_LINE, "", text)
+
+
+def _cut(text: str, start: str, end: str) -> list[str]:
+    """The text with and without what comes before ``start``, and after ``end``."""
+    a, b = text.index(start), text.index(end) + len(end) if end else len(text)
+    return [text, text[a:], text[:b], text[a:b]]
+
+
+def whole_texts() -> dict[str, list[str]]:
+    """Whole licences, in the variants in common use."""
+    mit, bsd3, isc = _KNOWN["MIT"][-1], _text("BSD-3-Clause"), _text("ISC")
+    bsd2 = bsd3[:bsd3.index("3. Neither")] + bsd3[bsd3.index("THIS SOFTWARE"):]
+    # numbered or with bullets, which have no letters or digits
+    bsd = {name: [re.sub(r"(?m)^[123]\. ", mark, t).replace("COPYRIGHT HOLDER OR", f"COPYRIGHT {who} OR")
+                  for mark, who in product(("", "* "), ("HOLDER", "OWNER"))]
+           + [t, t.replace("COPYRIGHT HOLDER OR", "COPYRIGHT OWNER OR")]
+           for name, t in (("BSD-2-Clause", bsd2), ("BSD-3-Clause", bsd3))}
+    short = {
+        "MIT": (["MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)", "MIT", "Expat License"],
+                [mit, mit.replace("permission notice shall", "permission notice (including the next paragraph) shall")]),
+        "BSD-2-Clause": (["BSD 2-Clause License", "The BSD 2-Clause License", "Simplified BSD License", "BSD License",
+                          "BSD 2-Clause \"Simplified\" License"], bsd["BSD-2-Clause"]),
+        "BSD-3-Clause": (["BSD 3-Clause License", "The BSD 3-Clause License", "New BSD License", "Modified BSD License",
+                          "BSD License", "BSD 3-Clause \"New\" or \"Revised\" License"], bsd["BSD-3-Clause"]),
+        "ISC": (["ISC License", "The ISC License", "ISC License (ISC)", "ISC"],
+                [isc, isc.replace("and/or distribute", "and distribute")]),
+        "0BSD": (["BSD Zero Clause License", "Zero-Clause BSD", "Zero-Clause BSD License", "0BSD"], [_text("0BSD")]),
+        "Unlicense": (["The Unlicense", "Unlicense"],
+                      [t for u in [_text("Unlicense")] for t in (u, u.replace("http://unlicense.org/", "https://unlicense.org"))]),
+    }
+    found = {name: [f"{head}\n{rights}\n{body}" for head, rights, body in
+                    product(["", *heads], ("", "All rights reserved."), bodies)] for name, (heads, bodies) in short.items()}
+    over = "END OF TERMS AND CONDITIONS"
+    apache = _text("Apache-2.0")
+    found["Apache-2.0"] = [*_cut(apache, "TERMS AND CONDITIONS FOR USE", over),
+                           *_cut(apache[:apache.index(over)], "TERMS AND CONDITIONS FOR USE", "")[:2]]
+    for name in ("GPL-2.0-only", "GPL-3.0-only", "LGPL-2.1-only"):
+        found[name] = _cut(_text(name), "Everyone is permitted", over)
+    found["LGPL-3.0-only"] = _cut(_text("LGPL-3.0-only"), "Everyone is permitted", "choose that version for the\nLibrary.")
+    found["MPL-2.0"] = _cut(_text("MPL-2.0"), "1. Definitions", "") + [
+        t for x in [_text("MPL-2.0")] for t in (x[:x.index("Exhibit A - Source")], x[x.index("1. Definitions"):x.index("Exhibit A - Source")])]
+    cc0 = _text("CC0-1.0")
+    found["CC0-1.0"] = [cc0, cc0[cc0.index("CC0 1.0 Universal"):], cc0[cc0.index("Statement of Purpose"):],
+                        "CC0 1.0 Universal\n" + cc0[cc0.index("Statement of Purpose"):]]
+    return found
+
+
+WHOLE = whole_texts()
+KNOWN = {name: [*notices(name), *WHOLE.get(name, []), *_KNOWN.get(name, [])] for name in sorted({*_KNOWN, *_NAMES, *WHOLE})}
+
+
 def canonical(text: Column, copyright_line: str = COPYRIGHT_LINE) -> Column:
     c = F.regexp_replace(F.coalesce(text, F.lit("")), copyright_line, "")
     c = F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(c), NOT_LETTERS, " ")), F.lit(" "))

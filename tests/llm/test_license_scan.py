@@ -1,3 +1,5 @@
+import textwrap
+
 from tablekit.llm import license_scan as L
 
 
@@ -39,6 +41,44 @@ def test_known_licences_may_be_given(spark, make_docs):
     assert got[1].license_id == "a" and got[2].line_licenses == "a"
 
 
+def test_whole_licences_are_found_at_every_width(spark, make_docs):
+    """Each whole text, also in one line and wrapped before any of its words, is its licence."""
+    texts, rows = [], []
+    for name, variants in L.WHOLE.items():
+        ends = [v for v in variants if "How to Apply These" not in v]    # the appendix has a sample copyright line
+        for body in (min(ends, key=len), max(ends, key=len)):
+            for width in (1, 20, 30, 38, 47, 60, 66, 72, 75, 78, 80, 100, 10 ** 6):
+                wrapped = textwrap.fill(" ".join(body.split()), width, break_long_words=False, break_on_hyphens=False)
+                texts.append(name), rows.append((len(rows), "Copyright (c) 2020, Some Body\n\n" + wrapped))
+    got = scan(spark, make_docs(rows))
+    assert [(rows[i], got[i].license_id) for i, name in enumerate(texts) if got[i].license_id != name] == []
+    files = {n: L.Path(L.__file__).parent / "licenses" / f"{n}.txt" for n in L.WHOLE if n not in ("MIT", "BSD-2-Clause")}
+    got = scan(spark, make_docs([(i, f.read_text()) for i, f in enumerate(files.values())]))
+    assert [got[i].license_id for i in range(len(files))] == list(files)
+
+
+def test_usual_files_and_notices(spark, make_docs):
+    mit = L.KNOWN["MIT"][-1]
+    cases = [("MIT License\n\nCopyright (c) 2020 A\n\n" + mit, "MIT"),
+             ("The MIT License (MIT)\nCopyright The Foo Authors\nAll rights reserved.\n" + mit, "MIT"),
+             ("Licensed under the BSD 3-Clause License.", "BSD-3-Clause"),
+             ("Released under the GNU General Public License, version 3.", "GPL-3.0-only"),
+             ("Released under CC BY-NC 4.0.", "CC-BY-NC-4.0"), ("This work is licensed under CC BY 4.0.", "CC-BY-4.0"),
+             ("SPDX-License-Identifier: LGPL-2.1-or-later", "LGPL-2.1-or-later"),
+             ("SPDX-License-Identifier: ISC", "ISC"), ("SPDX-License-Identifier: MPL-2.0", "MPL-2.0"),
+             ("Licensed under the GNU GPL, version 2 or later", "GPL-2.0-or-later"), ("Released under the GPLv3+", None),
+             ("Released under the MIT License and more", None)]
+    got = scan(spark, make_docs([(i, t) for i, (t, _) in enumerate(cases)]))
+    assert [got[i].license_id for i in range(len(cases))] == [want for _, want in cases]
+
+
+def test_one_text_has_one_licence(spark):
+    """No two licences of the catalogue share a canonical form."""
+    rows = [(n, t) for n, ts in L.KNOWN.items() for t in ts]
+    forms = spark.createDataFrame(rows, "id string, text string").withColumn("form", L.canonical(L.F.col("text")))
+    assert forms.groupBy("form").agg(L.F.collect_set("id").alias("ids")).where("size(ids) > 1").collect() == []
+
+
 def test_only_lines_that_state_a_copyright_are_dropped(spark):
     stated = ["Copyright (c) 2020 A", "  COPYRIGHT 1999-2001 B", "Copyright: © C", "copyright by D", "Copyright [yyyy] [name]",
               "Copyright The Foo Authors", "Copyright Foo Inc.", "(C) Other 1999", "© B"]
