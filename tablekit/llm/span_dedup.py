@@ -5,9 +5,11 @@ ends). From every sentence on, and up to every sentence back, the shortest run
 of consecutive sentences with at least ``min_words`` words (``lone_words`` if it
 is a single sentence) is hashed to 96 bits over its words, A-Z lowered. Runs are
 joined globally on the hash. The first run of a hash, by doc_id and position,
-stays; every sentence covered by any other run is removed. A repeated passage of
-over 50 words thus goes in all documents but the first whatever surrounds it,
-while shared phrases and short boilerplate stay.
+stays; every sentence covered by any other run is removed. Of a repeated passage
+thus go, in all documents but the first, its whole sentences, if a run of them has
+``min_words`` words; a passage without such a run (glued to its neighbours without
+an end mark or line end, or of two sentences whose outer ends differ) stays.
+Shared phrases and short boilerplate stay.
 
 Only hashes and positions are shuffled, and one streaming window pass per hash
 finds its first run. Hashes that are frequent in a 1/64 hash sample of the
