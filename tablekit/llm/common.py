@@ -105,3 +105,18 @@ def join_few(big: DataFrame, few: DataFrame, on: list[str], rows: int) -> DataFr
     """Inner join of wide rows with ``rows`` narrow ones: without moving the
     wide ones if the narrow side is small, else a shuffled hash join."""
     return big.join(F.broadcast(few) if rows <= BROADCAST_ROWS else few.hint("shuffle_hash"), on)
+
+
+#: Table of CRC-32 (reflected polynomial EDB88320) for half bytes: fixed values.
+CRC_HALVES = [
+    0x00000000, 0x1DB71064, 0x3B6E20C8, 0x26D930AC, 0x76DC4190, 0x6B6B51F4, 0x4DB26158, 0x5005713C,
+    0xEDB88320, 0xF00F9344, 0xD6D6A3E8, 0xCB61B38C, 0x9B64C2B0, 0x86D3D2D4, 0xA00AE278, 0xBDBDF21C,
+]
+
+
+def crc32_sql(text: str) -> str:
+    """DuckDB expression: unsigned CRC-32 of the UTF-8 bytes of ``text``, by half bytes, low ones first."""
+    halves = f"string_split(regexp_replace(hex(encode({text})), '(.)(.)', '\\2\\1', 'g'), '')"
+    return (f"xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, [CAST('0x' || x AS BIGINT) FOR x IN {halves}"
+            f" IF x <> '']), lambda crc, x: xor(list_extract({CRC_HALVES}::BIGINT[], CAST(1 + (xor(crc, x) & 15) AS INTEGER)),"
+            " crc >> 4)))")

@@ -5,10 +5,13 @@ from __future__ import annotations
 from tablekit.llm import (
     bestfit_pack,
     compress_quality,
+    hash_tree_shards,
     kd_topk,
     license_scan,
     line_dedup,
+    pivot_kmeans,
     ppm_langid,
+    prefix_trie,
     quality_llr,
     signature_join,
     span_dedup,
@@ -26,6 +29,9 @@ QUERIES = {
     "op8_span_dedup": span_dedup.op8,
     "op9_line_dedup": line_dedup.op9,
     "op10_ppm_langid": ppm_langid.op10,
+    "op11_prefix_trie": prefix_trie.op11,
+    "op12_hash_tree_shards": hash_tree_shards.op12,
+    "op13_pivot_kmeans": pivot_kmeans.op13,
 }
 
 #: DuckDB SQL where it can express the operator.
@@ -33,4 +39,7 @@ ORACLE = {
     "op2_kd_topk": kd_topk.OP2_SQL,
     "op7_license_scan": license_scan.OP7_SQL,
     "op9_line_dedup": line_dedup.OP9_SQL,
+    "op11_prefix_trie": prefix_trie.OP11_SQL,
+    "op12_hash_tree_shards": hash_tree_shards.OP12_SQL,
+    "op13_pivot_kmeans": pivot_kmeans.OP13_SQL,
 }
