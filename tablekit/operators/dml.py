@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -72,13 +72,18 @@ def append(df: DataFrame, new_rows: DataFrame, evolve: bool = False) -> DataFram
 def unique_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``source``, failing at run time if a key without NULLs occurs twice. The
     check is part of the plan: no job runs while it is built, and the rows that
-    are checked are the rows that are used."""
+    are checked are the rows that are used. Keys are counted map-side first; one
+    repeated key (a row at most, so it is broadcast) is enough to fail."""
     keyed = source.where(all_not_null(keys))
-    twice = F.count(F.lit(1)).over(Window.partitionBy(*keys)) > 1
+    twice = (keyed.groupBy(*[F.col(k).alias(f"__{k}") for k in keys]).agg(F.count(F.lit(1)).alias("__n"))
+             .where("__n > 1").limit(1))
+    same = F.lit(True)
+    for k in keys:
+        same = same & (F.col(k) == F.col(f"__{k}"))
     message = f"merge source has duplicate keys on {list(keys)}"
-    checked = (keyed.withColumn("__twice", twice)
-               .where(F.when(F.col("__twice"), F.raise_error(F.lit(message)).cast("boolean")).otherwise(F.lit(True)))
-               .drop("__twice"))
+    checked = (keyed.join(F.broadcast(twice), same, "left")
+               .where(F.when(F.col("__n").isNotNull(), F.raise_error(F.lit(message)).cast("boolean")).otherwise(F.lit(True)))
+               .select(*source.columns))
     return checked.unionByName(source.where(~all_not_null(keys)))
 
 

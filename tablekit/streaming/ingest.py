@@ -8,76 +8,89 @@ under a new name is loaded again, and a re-run loads nothing twice.
 
 from __future__ import annotations
 
-import datetime as dt
-import json
 import time
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from tablekit.streaming import rescue
+
 
 class NewFields(ValueError):
     """Files that arrived since the schema was remembered have fields it lacks."""
 
 
-def _load(spark: SparkSession, loc: str):
-    jvm = spark.sparkContext._jvm
-    stored = jvm.org.apache.hadoop.fs.Path(loc)
-    if not stored.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(stored):
-        return None, None
-    row = json.loads(spark.read.text(loc, wholetext=True).first()[0])
-    return StructType.fromJson(row["schema"]), row["checked"]
-
-
-def _infer(spark: SparkSession, fmt: str, path: str, read_options, since: float | None) -> StructType | None:
-    """Schema of the files in ``path`` (those modified after ``since``); None
-    if there are none."""
-    r = spark.read.format(fmt).options(**read_options)
-    if since is not None:
-        at = dt.datetime.fromtimestamp(since - 2, dt.timezone.utc)     # file times have a second's grain
-        r = r.option("modifiedAfter", at.strftime("%Y-%m-%dT%H:%M:%S")).option("timeZone", "UTC")
-    try:
-        return r.load(path).schema
-    except AnalysisException as e:
-        if since is not None and "UNABLE_TO_INFER_SCHEMA" in str(e):
-            return None
-        raise
+def _infer(spark: SparkSession, fmt: str, path: str, read_options) -> StructType:
+    """Schema of all files in ``path`` (of Parquet and ORC the footers, of each file)."""
+    merge = {"mergeSchema": "true"} if fmt in ("parquet", "orc") else {}
+    return spark.read.format(fmt).options(**{**merge, **read_options}).load(path).schema
 
 
 def remember_schema(spark: SparkSession, fmt: str, path: str, schema_location: str,
                     refresh: bool = False, **read_options) -> StructType:
-    """The input's schema, inferred once and kept at ``schema_location`` (outside
-    the input directory). Later calls infer only from files that arrived since
-    the last one. A field that the remembered schema lacks is never dropped in
-    silence: the call fails with :class:`NewFields`, or, with ``refresh=True``,
-    adds the field."""
-    loc = schema_location.rstrip("/") + "/schema"
-    old, checked = _load(spark, loc)
-    now = time.time()
+    """The input's schema, inferred at first and kept at ``schema_location``
+    (outside the input directory). Later calls look at all files again, however
+    they are dated (JSON streams need no such call, see :func:`stream_json`). A
+    field that the remembered schema lacks, or another type of a known field,
+    fails with :class:`NewFields`; ``refresh=True`` adds new fields."""
+    old = rescue.load_schema(spark, schema_location)
+    inferred = _infer(spark, fmt, path, read_options)
     if old is None:
-        merged = _infer(spark, fmt, path, read_options, None)
+        merged = inferred
     else:
-        inferred = _infer(spark, fmt, path, read_options, checked)
-        have = {f.name for f in old.fields}
-        new = [f for f in (inferred.fields if inferred else []) if f.name not in have]
+        have = {f.name: f.dataType for f in old.fields}
+        new = [f for f in inferred.fields if f.name not in have]
+        other = [f.name for f in inferred.fields if f.name in have and f.dataType != have[f.name]]
+        if other:
+            raise NewFields(f"fields {other} in {path} have other types than the remembered schema; "
+                            "load them with stream_json, which keeps such values")
         if new and not refresh:
             raise NewFields(f"new fields {[f.name for f in new]} in {path}; refresh the schema to load them")
         merged = StructType(list(old.fields) + new)
-    (spark.createDataFrame([(json.dumps({"schema": merged.jsonValue(), "checked": now}),)], "s string").coalesce(1)
-     .write.mode("overwrite").text(loc))
+    rescue.store_schema(spark, schema_location, merged, checked=time.time())
     return merged
 
 
+def stream_json(spark: SparkSession, path: str, schema: StructType | None = None, schema_location: str | None = None,
+                on_new: str = "rescue", max_files_per_trigger: int | None = None, max_file_age: str = "3650d",
+                **options) -> DataFrame:
+    """A streaming DataFrame over the JSON lines that arrive in ``path``, without
+    losing what the schema does not hold (:mod:`tablekit.streaming.rescue`).
+    ``on_new``: "rescue" keeps it in a ``rescued`` column, "fail" ends the stream.
+    A schema that is not given is inferred once and remembered. Files dated
+    further back than ``max_file_age`` before the newest one would be passed over
+    by the file source; the price of a long age is that the paths of all files
+    of that time stay in the driver's memory."""
+    if on_new not in ("rescue", "fail"):
+        raise ValueError(f"on_new: rescue or fail, not {on_new}")
+    if schema is None:
+        if schema_location is None:
+            raise ValueError("stream_json needs a schema or a schema_location to remember one")
+        schema = rescue.load_schema(spark, schema_location)
+        if schema is None:
+            schema = spark.read.options(**options).json(path).schema
+            rescue.store_schema(spark, schema_location, schema, checked=time.time())
+    r = spark.readStream.option("maxFileAge", max_file_age)
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    rows = rescue.parse_rescuing(r.text(path), schema, **options)
+    return rescue.refusing(rows) if on_new == "fail" else rows
+
+
 def stream_files(spark: SparkSession, fmt: str, path: str, schema: StructType | str | None = None,
                  schema_location: str | None = None, max_files_per_trigger: int | None = None,
                  **options) -> DataFrame:
-    """A streaming DataFrame over the files arriving in ``path``."""
+    """A streaming DataFrame over the files arriving in ``path``. Under a
+    remembered schema nothing is dropped in silence: a row of JSON with a field
+    or type that the schema does not hold ends the stream, whenever its file
+    arrives; files of other formats are compared by their own schema at the start."""
     if schema is None:
         if schema_location is None:
             raise ValueError("stream_files needs a schema or a schema_location to remember one")
         schema = remember_schema(spark, fmt, path, schema_location)
+        if fmt == "json":
+            return stream_json(spark, path, schema, on_new="fail", max_files_per_trigger=max_files_per_trigger, **options)
     r = spark.readStream.format(fmt).schema(schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))

@@ -6,12 +6,18 @@ same code is checked in batch against SQL and run incrementally on streams.
 
 from __future__ import annotations
 
+import functools
 import zlib
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
+
+from tablekit.operators.partitioned import PartitionedTable
+
+
 
 def rated_events(events: DataFrame, origin: str) -> DataFrame:
     """Event rows -> event_id, origin, size (by value), weight (whole hundredths),
@@ -60,8 +66,8 @@ def _run_name(checkpoint: str) -> str:
 
 
 def _committed(spark: SparkSession, target: str) -> list[tuple[int, int, str]]:
-    """(time, batch id, path) of the batch folders under ``target`` (at any
-    depth below writer= and run= folders) whose write has committed, by time."""
+    """(time, batch id, path) of the batch folders under ``target`` whose write
+    has committed, by time: for the clearing of old results, never for reads."""
     fs, path = _fs(spark, target)
     out, todo = [], [path] if fs.exists(path) else []
     while todo:
@@ -74,7 +80,7 @@ def _committed(spark: SparkSession, target: str) -> list[tuple[int, int, str]]:
                 done = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")
                 if fs.exists(done):
                     out.append((fs.getFileStatus(done).getModificationTime(), int(name[6:]), p.toString()))
-            elif name.startswith(("run=", "writer=")):
+            elif name.startswith("run="):
                 todo.append(p)
     return sorted(out)
 
@@ -85,12 +91,15 @@ def write_result(agg: DataFrame, target: str, checkpoint: str, mode: str = "comp
 
     Each micro-batch writes its complete (key-bounded) result to its own
     ``run=<checkpoint>/batch=<id>`` folder; a replayed batch rewrites the same
-    folder. Readers (:func:`read_result`) take the newest folder whose write
-    committed, so they never see a half-written result. Nothing is deleted
-    under a reader; :func:`drop_results` clears old results when told to.
+    folder, and then becomes the result that the pointer file names. Readers
+    (:func:`read_result`) follow the pointer, so they never see a half-written
+    result and list nothing. Nothing is deleted under a reader;
+    :func:`drop_results` clears old results when told to.
     """
     def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{target}/run={_run_name(checkpoint)}/batch={batch_id}")
+        folder = f"run={_run_name(checkpoint)}/batch={batch_id}"
+        batch.write.mode("overwrite").parquet(f"{target}/{folder}")
+        _point(batch.sparkSession, target, folder)
 
     w = agg.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(sink)
     w = w.trigger(availableNow=True) if available_now else \
@@ -98,12 +107,28 @@ def write_result(agg: DataFrame, target: str, checkpoint: str, mode: str = "comp
     return w.start()
 
 
+def _point(spark: SparkSession, target: str, folder: str) -> None:
+    """Names ``folder`` as the newest result: a new file, moved over the old one."""
+    jvm = spark.sparkContext._jvm
+    fs, new = _fs(spark, f"{target}/_newest.{folder.replace('/', '_')}")
+    out = fs.create(new, True)
+    out.write(bytearray(folder.encode()))
+    out.close()
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(new.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    context.rename(new, jvm.org.apache.hadoop.fs.Path(f"{target}/_newest"), options)
+
+
 def read_result(spark: SparkSession, target: str) -> DataFrame:
     """The newest committed result written by :func:`write_result`."""
-    done = _committed(spark, target)
-    if not done:
+    fs, pointer = _fs(spark, f"{target}/_newest")
+    if not fs.exists(pointer):
         raise FileNotFoundError(f"no committed result under {target}")
-    return spark.read.parquet(done[-1][2])
+    stream = fs.open(pointer)
+    folder = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    stream.close()
+    return spark.read.parquet(f"{target}/{folder}")
 
 
 def drop_results(spark: SparkSession, target: str, keep: int = 2) -> int:
@@ -119,35 +144,105 @@ def multi_writer(streams: Mapping[str, DataFrame], target: str, checkpoint_base:
                  available_now: bool = True, processing_time: str | None = None
                  ) -> list[StreamingQuery]:
     """Several concurrent writers into one table. Two file sinks on one path
-    would share a commit log and drop batches, so each writer has its own
-    checkpoint and writes ``writer=<name>/run=<checkpoint>/batch=<id>`` with
-    overwrite: a retried batch rewrites its own folder, a writer that starts
-    over never touches older ones."""
+    would share a commit log and drop batches, so each writer is a file sink of
+    its own under ``writer=<name>``, whose log commits each batch once."""
     qs = []
     for name, df in streams.items():
         checkpoint = f"{checkpoint_base}/{name}"
-        folder = f"{target}/writer={name}/run={_run_name(checkpoint)}"
-
-        def sink(batch: DataFrame, batch_id: int, folder=folder) -> None:
-            batch.write.mode("overwrite").parquet(f"{folder}/batch={batch_id}")
-
-        w = (df.writeStream.option("checkpointLocation", checkpoint)
-             .foreachBatch(sink).queryName(f"writer_{name}_{_run_name(checkpoint)}"))
+        w = (df.writeStream.format("parquet").option("checkpointLocation", checkpoint)
+             .outputMode("append").queryName(f"writer_{name}_{_run_name(checkpoint)}"))
         w = w.trigger(availableNow=True) if available_now else \
             w.trigger(processingTime=processing_time or "5 seconds")
-        qs.append(w.start())
+        qs.append(w.start(f"{target}/writer={name}"))
     return qs
 
 
-def read_writers(spark: SparkSession, target: str, schema=None) -> DataFrame:
-    """A batch read of what all writers of :func:`multi_writer` have committed;
-    safe while they write."""
-    paths = [p for _, _, p in _committed(spark, target)]
-    if not paths:
-        if schema is None:
-            raise FileNotFoundError(f"no committed batch under {target}")
+def read_writers(spark: SparkSession, target: str, writers: Sequence[str], schema: StructType | None = None) -> DataFrame:
+    """A batch read of what the named writers of :func:`multi_writer` have
+    committed; safe while they write: Spark plans each part from the files in
+    its sink's log, so a batch is seen whole or not at all. Without ``schema``
+    every writer needs a committed batch."""
+    parts = []
+    for name in writers:
+        fs, log = _fs(spark, f"{target}/writer={name}/_spark_metadata")
+        if fs.exists(log):
+            parts.append(spark.read.parquet(f"{target}/writer={name}"))
+        elif schema is None:
+            raise FileNotFoundError(f"writer {name} has committed nothing under {target}")
+    if not parts:
         return spark.createDataFrame([], schema)
-    return spark.read.parquet(*paths)
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+def merge_window_counts(stream: DataFrame, target: str, checkpoint: str, key: str, ts: str, duration: str,
+                        available_now: bool = True, processing_time: str | None = None) -> StreamingQuery:
+    """Counts per (key, tumbling window), added up in the table at ``target``.
+
+    A micro-batch counts its own rows and adds them to the stored windows they
+    fall into; only the days of those windows are written again. Spark keeps no
+    window state, so nothing has to be evicted and a late row, however late, is
+    counted into its window like any other. Each row names the batch that last
+    changed it and its count before: a batch that is repeated after a failure
+    starts from there, so it is counted once.
+    """
+    spark, run = stream.sparkSession, _run_name(checkpoint)
+    table = PartitionedTable(spark, target, _merged_schema(stream, key), ("day",))
+    cells = [key, "window_start", "window_end", "day"]
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        name = f"{run}:{batch_id}"
+        counted = (window_counts(batch, key, ts, duration)
+                   .withColumn("day", F.col("window_start").cast("date")).persist())
+        try:
+            days = counted.select("day").distinct().collect()
+            if not days:
+                return
+            none = F.lit(None)
+            new = counted.select(*cells, F.col("n").alias("add"), none.cast("long").alias("n"),
+                                 none.cast("long").alias("before"), none.cast("string").alias("batch"))
+            fs, path = _fs(spark, target)
+            if fs.exists(path):
+                new = new.unionByName(table.read().where(table.within(days))
+                                      .select(*cells, none.cast("long").alias("add"), "n", "before", "batch"))
+            one = new.groupBy(*cells).agg(F.max("add").alias("add"), F.max("n").alias("n"),
+                                          F.max("before").alias("before"), F.max("batch").alias("batch"))
+            start = F.coalesce(F.when(F.col("batch") == name, F.col("before")).otherwise(F.col("n")), F.lit(0))
+            touched = F.col("add").isNotNull()
+            table.overwrite(one.select(
+                *cells, F.when(touched, start + F.col("add")).otherwise(F.col("n")).alias("n"),
+                F.when(touched, start).otherwise(F.col("before")).alias("before"),
+                F.when(touched, F.lit(name)).otherwise(F.col("batch")).alias("batch")))
+        finally:
+            counted.unpersist()
+
+    w = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(sink)
+    w = w.trigger(availableNow=True) if available_now else \
+        w.trigger(processingTime=processing_time or "5 seconds")
+    return w.start()
+
+
+def _merged_schema(stream: DataFrame, key: str) -> StructType:
+    return (StructType().add(key, stream.schema[key].dataType).add("window_start", "timestamp").add("window_end", "timestamp")
+            .add("n", "long").add("before", "long").add("batch", "string").add("day", "date"))
+
+
+def read_window_counts(stream: DataFrame, target: str, key: str) -> DataFrame:
+    """What :func:`merge_window_counts` has stored (an empty result before its first batch)."""
+    spark, schema = stream.sparkSession, _merged_schema(stream, key)
+    fs, path = _fs(spark, target)
+    df = spark.read.schema(schema).parquet(target) if fs.exists(path) else spark.createDataFrame([], schema)
+    return df.select(key, "window_start", "window_end", "n")
+
+
+def run_on_timer(start: Callable[[], StreamingQuery]) -> int:
+    """Runs a query that was started with a periodic trigger until its input is
+    drained, then stops it. Returns how many of its micro-batches had rows."""
+    q = start()
+    try:
+        q.processAllAvailable()
+        return sum(p["numInputRows"] > 0 for p in q.recentProgress)
+    finally:
+        q.stop()
 
 
 def read_table_stream(spark: SparkSession, path: str, schema=None) -> DataFrame:
