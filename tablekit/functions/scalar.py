@@ -31,3 +31,19 @@ def stamped(df, as_of: str | None = None):
     time ``as_of``."""
     at = F.lit(as_of).cast("timestamp_ntz") if as_of else F.current_timestamp().cast("timestamp_ntz")
     return df.withColumns({"loaded_at": at, "loaded_on": F.to_date(at) if as_of else F.current_date()})
+
+
+def exact_sum(whole: str):
+    """Sum of a whole-number SQL expression as a double, exact beyond a long:
+    millions and rest are summed as longs, so no row needs decimal arithmetic."""
+    millions, rest = F.expr(f"sum(({whole}) div 1000000)"), F.expr(f"sum(({whole}) % 1000000)")
+    return (millions.cast("decimal(20,0)") * 1_000_000 + rest).cast("double")
+
+
+def money_sum(c):
+    """Sum of a money column, in cents."""
+    return exact_sum(f"CAST(ROUND({c} * 100) AS BIGINT)") / 100
+
+
+def money_avg(c):
+    return money_sum(c) / F.count(c)

@@ -2,16 +2,20 @@
 
 The churn table is derived from customer + orders. Metrics of a fixed
 rule-based prediction and the rule's threshold "runs" are SQL-checked, as is all
-of the trained models' output (GBT, survival) but the predicted values.
+of the trained models' output but the predicted values; those are checked by
+scoring every row again from the trees as a table.
 """
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tablekit.operators import ml as M
 from tablekit.operators import runs as RU
+from tablekit.operators import survival as SV
+from tablekit.operators import tree_table as TT
 from tablekit.operators import versions as V
 from tablekit.operators.relational import class_balance
 from tablekit.plans.registry import register
@@ -206,8 +210,9 @@ def _train_and_log(spark, data, version_tag, depth, runs_path, model_dir):
     FROM {CHURN_SQL} t""")
 def gbt_churn_scores(spark, d):
     base = shared_dir(spark, "ml", "churn", unique=True)
-    path = _train_and_log(spark, churn(spark, d), "v0", 5, f"{base}/runs", f"{base}/models")
-    scored = M.score_with_lineage(M.load_model(path), M.with_label(churn(spark, d)),
+    data = read_parquet(spark, write_parquet(churn(spark, d), f"{base}/churn_table"))      # computed once
+    path = _train_and_log(spark, data, "v0", 5, f"{base}/runs", f"{base}/models")
+    scored = M.score_with_lineage(M.load_model(path), M.with_label(data),
                                   "churn_gbt", 1, path, RUN_EPOCH)
     saved = read_parquet(spark, write_parquet(scored.select(
         "c_custkey", "label", "prediction", "model_name", "model_version", "model_source",
@@ -224,13 +229,81 @@ def gbt_churn_scores(spark, d):
     SELECT 'gbt_' || data_version AS run_id, data_version, max_depth,
            COUNT(*) FILTER (WHERE {SIDE_SQL} = 'train') AS n_train,
            COUNT(*) FILTER (WHERE {SIDE_SQL} = 'test') AS n_test,
-           true AS accuracy_in_range, true AS started_before_now FROM v GROUP BY ALL""")
+           COUNT(*) FILTER (WHERE {SIDE_SQL} = 'test') > 0 AS has_accuracy, true AS started_before_now,
+           1 AS n_chosen, true AS chosen_is_best FROM v GROUP BY ALL""")
 def gbt_compare_versions(spark, d):
-    runs, _ = compare_versions(spark, churn(spark, d), shared_dir(spark, "ml", "compare", unique=True))
-    return runs.select("run_id", "data_version", F.col("max_depth").cast("int").alias("max_depth"),
+    runs, best = compare_versions(spark, churn(spark, d), shared_dir(spark, "ml", "compare", unique=True))
+    # the chosen run beside every run: no other may be more accurate
+    chosen = best.select(F.col("run_id").alias("chosen_id"), F.col("metrics_accuracy").alias("chosen_accuracy"),
+                         F.lit(1).alias("one"))
+    both = runs.withColumn("one", F.lit(1)).join(F.broadcast(chosen), "one", "left")       # one row at most
+    everything = Window.partitionBy()                                                      # a row a run
+    return both.select("run_id", "data_version", F.col("max_depth").cast("int").alias("max_depth"),
                        F.col("n_train").cast("long").alias("n_train"), F.col("n_test").cast("long").alias("n_test"),
-                       F.coalesce(F.col("metrics_accuracy").between(0, 1), F.lit(True)).alias("accuracy_in_range"),
-                       (F.col("start_time") <= F.current_timestamp()).alias("started_before_now"))
+                       F.coalesce(F.col("metrics_accuracy").between(0, 1), F.lit(False)).alias("has_accuracy"),
+                       (F.col("start_time") <= F.current_timestamp()).alias("started_before_now"),
+                       F.count_if(F.col("run_id") == F.col("chosen_id")).over(everything).cast("int").alias("n_chosen"),
+                       F.coalesce(F.col("metrics_accuracy") <= F.col("chosen_accuracy"), F.lit(False)).alias("chosen_is_best"))
+
+
+@register("gbt_tree_table", ids=("ML3", "ML4", "ML7"), sql=f"""
+    SELECT c_custkey, CASE WHEN churn THEN 1.0 ELSE 0.0 END::DOUBLE AS label, true AS same_margin, true AS same_prediction
+    FROM {CHURN_SQL} t""")
+def gbt_tree_table(spark, d):
+    # the saved model's trees, read as a table, must score every customer as the model does
+    base = shared_dir(spark, "ml", "trees", unique=True)
+    data = M.with_label(read_parquet(spark, write_parquet(churn(spark, d), f"{base}/churn_table")))
+    path = M.save_model(M.fit_churn(M.split(data, "c_custkey", TEST_SHARE)[0], max_depth=5), f"{base}/model")
+    own = vector_to_array(F.col("rawPrediction"))[1]
+    wanted = (M.score(M.load_model(path), data)
+              .select("c_custkey", "label", *M.FEATURES[1:5], "c_acctbal", "c_nationkey", own.alias("model_margin"),
+                      F.col("prediction").alias("model_prediction")))
+    got = TT.score_with_trees(wanted, TT.tree_nodes(spark, path), M.FEATURES, depth=5)
+    return got.select("c_custkey", "label", (F.abs(F.col("margin") - F.col("model_margin")) < 1e-9).alias("same_margin"),
+                      (F.col("prediction") == F.col("model_prediction")).alias("same_prediction"))
+
+
+TIMED_SQL = f"(SELECT c_custkey, c_mktsegment, n_orders, greatest(tenure_days, 0) + 1 AS days, churn FROM {CHURN_SQL} t)"
+
+
+def timed(spark, d):
+    return churn(spark, d).withColumn("days", F.greatest(F.col("tenure_days"), F.lit(0)) + 1)
+
+
+@register("survival_table", ids=("ML10",), sql=f"""
+    WITH per AS (
+      SELECT c_mktsegment, days AS time, COUNT(*) FILTER (WHERE churn) AS n_events, COUNT(*) FILTER (WHERE NOT churn) AS n_censored
+      FROM {TIMED_SQL} x GROUP BY ALL
+    ), risk AS (
+      SELECT *, CAST(SUM(n_events + n_censored) OVER (PARTITION BY c_mktsegment ORDER BY time DESC) AS BIGINT) AS n_risk FROM per
+    ), run AS (
+      SELECT *, MIN(n_risk - n_events) OVER w AS least_left,
+             SUM(CASE WHEN n_risk > n_events THEN ln((n_risk - n_events) / n_risk) END) OVER w AS logs,
+             SUM(CASE WHEN n_risk > n_events THEN n_events / (n_risk * (n_risk - n_events)) END) OVER w AS spread
+      FROM risk WINDOW w AS (PARTITION BY c_mktsegment ORDER BY time)
+    )
+    SELECT c_mktsegment, time, n_risk, n_events, n_censored,
+           ROUND(CASE WHEN least_left = 0 THEN 0.0 ELSE exp(logs) END, 9) AS survival,
+           ROUND(CASE WHEN least_left = 0 THEN 0.0 ELSE exp(logs) * sqrt(spread) END, 9) AS std_err
+    FROM run""")
+def survival_table(spark, d):
+    t = SV.kaplan_meier(timed(spark, d), "days", "churn", ["c_mktsegment"])
+    return t.withColumns({"survival": F.round("survival", 9), "std_err": F.round("std_err", 9)})
+
+
+@register("survival_concordance", ids=("ML10",), sql=f"""
+    WITH p AS (
+      SELECT COUNT(*) AS comparable, COUNT(*) FILTER (WHERE a.score > b.score) AS concordant,
+             COUNT(*) FILTER (WHERE a.score = b.score) AS tied
+      FROM (SELECT days, -n_orders AS score FROM {TIMED_SQL} x WHERE churn) a
+      JOIN (SELECT days, -n_orders AS score FROM {TIMED_SQL} y) b ON a.days < b.days)
+    SELECT comparable, concordant, tied,
+           ROUND(CASE WHEN comparable > 0 THEN (concordant + tied / 2) / comparable END, 9) AS c_index FROM p""")
+def survival_concordance(spark, d):
+    # few orders as the sign of early churn
+    risky = timed(spark, d).withColumn("score", -F.col("n_orders"))
+    return SV.concordance(risky, "days", "churn", "score").select(
+        *[F.col(c).cast("long").alias(c) for c in ("comparable", "concordant", "tied")], F.round("c_index", 9).alias("c_index"))
 
 
 def compare_versions(spark, data, base):

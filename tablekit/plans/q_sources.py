@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from tablekit.functions import scalar as S
 from tablekit.plans.registry import register
-from tablekit.session import shared_dir
+from tablekit.session import shared_dir, sized_for
 from tablekit.sources import (
     ctas,
     empty_like,
@@ -23,6 +23,7 @@ from tablekit.sources import (
     save_table,
     table,
     write_parquet,
+    write_sized,
 )
 
 ORDERS_CSV_SCHEMA = T.StructType([
@@ -64,7 +65,7 @@ def csv_infer_schema(spark, d):
     table(spark, d, "customer").write.option("header", "true").csv(path)
     df = read_csv(spark, path)                  # header + inferSchema, directory input
     return df.groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n_customers"),
-                                          F.round(F.sum("c_acctbal"), 2).alias("total_balance"))
+                                          F.round(S.money_sum("c_acctbal"), 2).alias("total_balance"))
 
 
 @register("tsv_infer_join", ids=("SRC3", "JN1"), sql="""
@@ -101,7 +102,7 @@ def json_path_query(spark, d):
     table(spark, d, "events").write.json(path)
     df = query_path(spark, "json", path)        # SELECT * FROM json.`path`
     return df.groupBy("event_type").agg(F.count(F.lit(1)).alias("n_events"),
-                                        F.round(F.sum("value"), 2).alias("total_value"))
+                                        F.round(S.money_sum("value"), 2).alias("total_value"))
 
 
 @register("empty_like", ids=("SRC7",), sql="SELECT * FROM events WHERE 2 = 1")
@@ -117,7 +118,7 @@ def parquet_roundtrip(spark, d):
     write_parquet(table(spark, d, "lineitem"), path, partition_by=["l_returnflag"])
     df = read_parquet(spark, path)
     return df.groupBy("l_returnflag", "l_linestatus").agg(
-        F.count(F.lit(1)).alias("n_lines"), F.sum("l_quantity").alias("total_qty"))
+        F.count(F.lit(1)).alias("n_lines"), S.money_sum("l_quantity").alias("total_qty"))
 
 
 @contextmanager
@@ -149,7 +150,7 @@ def ctas_table(spark, d):
         loc = shared_dir(spark, "tables", "orders_f", unique=True)
         t = ctas(spark, "orders_f", "SELECT * FROM tk_orders WHERE o_orderstatus = 'F'", location=loc)
         return _kept(spark, t.groupBy("o_orderpriority").agg(
-            F.count(F.lit(1)).alias("n_orders"), F.round(F.avg("o_totalprice"), 2).alias("avg_price")), "ctas")
+            F.count(F.lit(1)).alias("n_orders"), F.round(S.money_avg("o_totalprice"), 2).alias("avg_price")), "ctas")
 
 
 @register("ctas_default_topk", ids=("SNK5", "SNK6", "WIN1", "SRT4"), sql="""
@@ -196,4 +197,21 @@ def partition_pruned_scan(spark, d):
     write_parquet(li, path, partition_by=["ship_year"])
     df = read_parquet(spark, path).where(F.col("ship_year") == 1998)
     return df.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n_lines"),
-                                          F.sum("l_quantity").alias("total_qty"))
+                                          S.money_sum("l_quantity").alias("total_qty"))
+
+
+@register("sized_write", ids=("AQE1", "SNK1", "SRC5"), sql="""
+    SELECT l_returnflag, COUNT(*) AS n_lines, COUNT(DISTINCT l_orderkey) AS n_orders, true AS few_files
+    FROM lineitem GROUP BY l_returnflag""")
+def sized_write(spark, d):
+    # session sizes from the input's bytes, rows rebalanced by partition before the write
+    with sized_for(spark, f"{d}/lineitem.parquet"):
+        path = write_sized(table(spark, d, "lineitem"), shared_dir(spark, "parquet", "by_flag", unique=True),
+                           ["l_returnflag"])
+    back = read_parquet(spark, path)
+    files = F.count_distinct(F.col("_metadata.file_path"))
+    rows = F.max(F.col("_metadata.file_size"))
+    # a partition has one file, unless its files are as large as a partition may get
+    return back.groupBy("l_returnflag").agg(
+        F.count(F.lit(1)).alias("n_lines"), F.count_distinct("l_orderkey").alias("n_orders"),
+        ((files == 1) | (rows > 16 << 20)).alias("few_files"))

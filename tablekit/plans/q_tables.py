@@ -10,9 +10,12 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tablekit.operators import commits as CM
 from tablekit.operators import dml
+from tablekit.operators import partitioned as PT
 from tablekit.operators import versions as V
 from tablekit.plans.registry import register
 from tablekit.session import shared_dir
@@ -117,7 +120,7 @@ def time_travel(spark, d):
     return V.as_of(_saved(spark, v), 1)
 
 
-@register("time_travel_timestamp", ids=("VER3", "VER4"), sql=DELETED_SQL)
+@register("time_travel_timestamp", ids=("VER2",), sql=DELETED_SQL)
 def time_travel_timestamp(spark, d):
     v = V.first_version(customers(spark, d))
     v = V.delete_where(v, 1, DELETE_COND)
@@ -161,7 +164,7 @@ def append_refused(spark, d):
     return V.latest(v).withColumn("refused", F.lit(refused))
 
 
-@register("table_history", ids=("VER4",), sql=f"""
+@register("table_history", ids=("VER1",), sql=f"""
     SELECT * FROM (VALUES
       (0, 'CREATE TABLE AS SELECT'), (1, 'DELETE'), (2, 'UPDATE'), (3, 'MERGE')) v(version, operation)
     JOIN (
@@ -194,3 +197,134 @@ def partitioned_table_dml(spark, d):
                          partition_by=["c_mktsegment"])
     left = dml.delete_where(read_parquet(spark, path), "c_mktsegment = 'BUILDING'")
     return dml.update_where(left, UPDATE_COND, {"c_acctbal": 0.0})
+
+
+# --------------------------------------------------------------------------
+# Commits as data, the change feed, and changes that rewrite few partitions
+# --------------------------------------------------------------------------
+V1_SQL = DELETED_SQL
+V2_SQL = f"""SELECT c_custkey, c_name, c_nationkey, CASE WHEN coalesce({UPDATE_COND}, false) THEN 0.0 ELSE c_acctbal END AS c_acctbal,
+    c_mktsegment FROM ({V1_SQL}) u"""
+V3_SQL = f"""SELECT * FROM ({V2_SQL}) t WHERE NOT EXISTS (SELECT 1 FROM {MERGE_SOURCE_SQL} s WHERE s.c_custkey = t.c_custkey)
+    UNION ALL SELECT * FROM {MERGE_SOURCE_SQL} s2"""
+V4_SQL = "SELECT * FROM customer"
+
+
+def _committed_customers(spark, d):
+    """Five commits on customer, each written with its row of the commits table."""
+    base = shared_dir(spark, "versions", "commits", unique=True)
+    log = base + "/commits"
+    source = merge_source(spark, d)
+    v = CM.save(V.first_version(customers(spark, d)), base + "/v0", log, 0, "CREATE")
+    v = CM.save(V.delete_where(v, 1, DELETE_COND), base + "/v1", log, 1, "DELETE", DELETE_COND)
+    v = CM.save(V.update_where(v, 2, UPDATE_COND, {"c_acctbal": 0.0}), base + "/v2", log, 2, "UPDATE", UPDATE_COND)
+    v = CM.save(V.merge(v, 3, source, ["c_custkey"]), base + "/v3", log, 3, "MERGE", "c_custkey")
+    v = CM.save(V.restore(v, 4, to=0), base + "/v4", log, 4, "RESTORE")
+    return v, CM.read(spark, log)
+
+
+def _step_sql(n, before, after):
+    return f"""SELECT {n} AS version, (SELECT COUNT(*) FROM ({after} EXCEPT ALL {before}) x) AS rows_added,
+        (SELECT COUNT(*) FROM ({before} EXCEPT ALL {after}) y) AS rows_closed, (SELECT COUNT(*) FROM ({after}) z) AS rows_live"""
+
+
+#: What a commit did, told from the rows it changed.
+HISTORY_SQL = f"""
+    WITH steps AS (
+      SELECT 0 AS version, COUNT(*) AS rows_added, 0 AS rows_closed, COUNT(*) AS rows_live FROM customer
+      UNION ALL {_step_sql(1, "SELECT * FROM customer", V1_SQL)}
+      UNION ALL {_step_sql(2, f"SELECT * FROM ({V1_SQL}) a", f"SELECT * FROM ({V2_SQL}) b")}
+      UNION ALL {_step_sql(3, f"SELECT * FROM ({V2_SQL}) a", f"SELECT * FROM ({V3_SQL}) b")}
+      UNION ALL {_step_sql(4, f"SELECT * FROM ({V3_SQL}) a", V4_SQL)})
+    SELECT version, rows_added, rows_closed, rows_live,
+           CASE WHEN rows_added = rows_live AND rows_closed = 0 THEN 'CREATE' WHEN rows_added = 0 THEN 'DELETE'
+                WHEN rows_added = rows_closed THEN 'UPDATE' WHEN rows_added > rows_closed AND rows_live > (SELECT COUNT(*) FROM customer)
+                THEN 'MERGE' ELSE 'RESTORE' END AS operation,
+           CAST(row_number() OVER (ORDER BY version) AS INTEGER) AS nth_by_time
+    FROM steps"""
+
+
+@register("commit_history", ids=("VER4", "VER1", "VER6"), sql=HISTORY_SQL)
+def commit_history(spark, d):
+    _, commits = _committed_customers(spark, d)
+    by_time = Window.orderBy("committed_at")           # one row a commit
+    return commits.select("version", "rows_added", "rows_closed", "rows_live", "operation",
+                          F.row_number().over(by_time).alias("nth_by_time"))
+
+
+@register("change_feed", ids=("VER9",), sql=f"""
+    (SELECT *, 'delete' AS change FROM (SELECT * FROM customer EXCEPT ALL SELECT * FROM ({V3_SQL}) a) x)
+    UNION ALL
+    (SELECT *, 'insert' AS change FROM (SELECT * FROM ({V3_SQL}) b EXCEPT ALL SELECT * FROM customer) y)""")
+def change_feed(spark, d):
+    v, _ = _committed_customers(spark, d)
+    return V.net_changes(v, 0, 3)
+
+
+@register("change_feed_steps", ids=("VER9", "VER4"), sql=f"""
+    SELECT version, change, COUNT(*) AS n, SUM(CAST(ROUND(c_acctbal * 100) AS BIGINT)) AS cents FROM (
+      SELECT 2 AS version, 'delete' AS change, c_acctbal FROM (SELECT * FROM ({V1_SQL}) a EXCEPT ALL SELECT * FROM ({V2_SQL}) b) p
+      UNION ALL SELECT 2, 'insert', c_acctbal FROM (SELECT * FROM ({V2_SQL}) a EXCEPT ALL SELECT * FROM ({V1_SQL}) b) q
+      UNION ALL SELECT 3, 'delete', c_acctbal FROM (SELECT * FROM ({V2_SQL}) a EXCEPT ALL SELECT * FROM ({V3_SQL}) b) r
+      UNION ALL SELECT 3, 'insert', c_acctbal FROM (SELECT * FROM ({V3_SQL}) a EXCEPT ALL SELECT * FROM ({V2_SQL}) b) s) f
+    GROUP BY ALL""")
+def change_feed_steps(spark, d):
+    v, _ = _committed_customers(spark, d)
+    return V.changes(v, 1, 3).groupBy("version", "change").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.round(F.col("c_acctbal") * 100).cast("long")).alias("cents"))
+
+
+MIDDLE_SQL = "(SELECT min(o_orderdate) + (max(o_orderdate) - min(o_orderdate)) / 2 FROM orders)"
+
+
+@register("as_of_order_date", ids=("VER3", "VER2", "VER4"), sql=f"""
+    WITH batches AS (SELECT year(o_orderdate) AS y, max(o_orderdate) AS last_at FROM orders GROUP BY ALL)
+    SELECT o_orderpriority, COUNT(*) AS n, SUM(CAST(ROUND(o_totalprice * 100) AS BIGINT)) AS cents
+    FROM orders JOIN batches ON year(o_orderdate) = y WHERE last_at <= {MIDDLE_SQL} GROUP BY ALL""")
+def as_of_order_date(spark, d):
+    # each year's orders are a commit of their own, at the time of its last order;
+    # read back as of the middle of all orders
+    orders = table(spark, d, "orders")
+    base = shared_dir(spark, "versions", "orders", unique=True)
+    years = [r[0] for r in orders.select(F.year("o_orderdate").alias("y")).where("y is not null").distinct().orderBy("y").collect()]
+    for n, y in enumerate(years):
+        mine = (F.col("o_orderdate") >= F.lit(f"{y}-01-01").cast("timestamp_ntz")) & (
+            F.col("o_orderdate") < F.lit(f"{y + 1}-01-01").cast("timestamp_ntz"))
+        CM.add_rows(orders.where(mine), base + "/rows", base + "/commits", n, "o_orderdate")
+    span = orders.agg(F.min("o_orderdate").alias("a"), F.max("o_orderdate").alias("b"))
+    middle = span.select((F.col("a") + (F.col("b") - F.col("a")) / 2).cast("timestamp")).scalar()
+    rows = CM.as_of_time(read_parquet(spark, base + "/rows"), CM.read(spark, base + "/commits"), middle)
+    return rows.groupBy("o_orderpriority").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.round(F.col("o_totalprice") * 100).cast("long")).alias("cents"))
+
+
+def _by_segment(spark, d):
+    return PT.create(customers(spark, d), shared_dir(spark, "tables", "by_segment", unique=True), ["c_mktsegment"])
+
+
+IN_PLACE_DELETE = "c_mktsegment = 'BUILDING' OR (c_mktsegment = 'MACHINERY' AND c_acctbal < 0)"
+IN_PLACE_UPDATE = "c_mktsegment = 'HOUSEHOLD' AND c_nationkey = 3"
+
+
+@register("delete_in_place", ids=("DML1",), sql=f"SELECT * FROM customer WHERE NOT coalesce({IN_PLACE_DELETE}, false)")
+def delete_in_place(spark, d):
+    t = _by_segment(spark, d)
+    PT.delete_in_place(t, IN_PLACE_DELETE)         # one partition goes, one is written anew
+    return t.read()
+
+
+@register("update_in_place", ids=("DML2",), sql=f"""
+    SELECT c_custkey, c_name, c_nationkey, CASE WHEN coalesce({IN_PLACE_UPDATE}, false) THEN 0.0 ELSE c_acctbal END AS c_acctbal,
+           CASE WHEN coalesce({IN_PLACE_UPDATE}, false) THEN 'REVIEW' ELSE c_mktsegment END AS c_mktsegment FROM customer""")
+def update_in_place(spark, d):
+    t = _by_segment(spark, d)
+    PT.update_in_place(t, IN_PLACE_UPDATE, {"c_acctbal": 0.0, "c_mktsegment": "REVIEW"})
+    return t.read()
+
+
+@register("merge_in_place", ids=("DML3", "JN6"), sql=MERGED_SQL)
+def merge_in_place(spark, d):
+    t = _by_segment(spark, d)
+    source = read_parquet(spark, write_parquet(merge_source(spark, d), shared_dir(spark, "parquet", "changes", unique=True)))
+    PT.merge_in_place(t, source, ["c_custkey"])
+    return t.read()

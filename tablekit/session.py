@@ -7,11 +7,12 @@ the bench.
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime-settable SQL confs we rely on. AQE re-plans joins from real sizes
 # (sort-merge -> broadcast when a filtered side turns out small), coalesces
@@ -44,6 +45,8 @@ def scale_confs(input_bytes: int, total_cores: int, executor_mem_per_core: int =
       cores so every core has work. AQE then coalesces small ones and splits skewed ones at run time.
     * scan split: large files are read in splits that keep ~4 tasks per core
       per wave without going over ~1 GiB or below 128 MiB.
+    * coalescing goes to full partitions of the advisory size, but never below
+      a partition a core: few bytes may still be much work.
     * advisory size / skew threshold follow the partition target; the
       broadcast threshold stays a small slice of per-core memory, since every
       executor holds the whole broadcast side.
@@ -59,6 +62,8 @@ def scale_confs(input_bytes: int, total_cores: int, executor_mem_per_core: int =
         "spark.sql.shuffle.partitions": str(shuffle),
         "spark.sql.files.maxPartitionBytes": str(split),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(min(target_partition_bytes, 256 << 20)),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.coalescePartitions.minPartitionNum": str(cores),
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
         "spark.sql.adaptive.autoBroadcastJoinThreshold": str(broadcast),
         "spark.sql.autoBroadcastJoinThreshold": str(broadcast),
@@ -67,14 +72,42 @@ def scale_confs(input_bytes: int, total_cores: int, executor_mem_per_core: int =
     }
 
 
-def tune_for(spark: SparkSession, input_bytes: int, total_cores: int | None = None,
-             **kw) -> SparkSession:
-    """``tune`` plus :func:`scale_confs` for an expected input size."""
+def input_bytes(spark: SparkSession, *paths: str) -> int:
+    """Bytes of the files under ``paths``, from the file system's own summary."""
+    total = 0
+    for name in paths:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        total += fs.getContentSummary(path).getLength()
+    return total
+
+
+@contextlib.contextmanager
+def sized_for(spark: SparkSession, *paths: str, **kw):
+    """Within the block the session's sizes are those of :func:`scale_confs` for
+    the bytes under ``paths``; afterwards they are what they were."""
     tune(spark)
-    cores = total_cores or spark.sparkContext.defaultParallelism
-    for k, v in scale_confs(input_bytes, cores, **kw).items():
-        spark.conf.set(k, v)
-    return spark
+    confs = scale_confs(input_bytes(spark, *paths), spark.sparkContext.defaultParallelism, **kw)
+    before = {k: spark.conf.get(k, None) for k in confs}
+    try:
+        for k, v in confs.items():
+            spark.conf.set(k, v)
+        yield spark
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+@contextlib.contextmanager
+def cached(df: DataFrame):
+    """``df`` kept by the executors (memory first, then their disk) within the
+    block, for several reads of one result; let go at its end, also after an
+    error. Write what is to outlive the block inside it."""
+    held = df.persist()
+    try:
+        yield held
+    finally:
+        held.unpersist(blocking=True)
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,

@@ -8,4 +8,4 @@ from tablekit.sources.files import (  # noqa: F401
     table,
 )
 from tablekit.sources.generate import items, skewed_sales  # noqa: F401
-from tablekit.sources.sinks import ctas, save_table, write_jdbc, write_parquet  # noqa: F401
+from tablekit.sources.sinks import ctas, save_table, write_jdbc, write_parquet, write_sized  # noqa: F401

@@ -14,6 +14,17 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
     return path
 
 
+def write_sized(df: DataFrame, path: str, partition_by: list[str] | None = None, mode: str = "errorifexists") -> str:
+    """A Parquet write whose files come out near the advisory partition size:
+    rows are rebalanced first (by the partition columns, if any), small
+    shuffle partitions are put together and large ones split at run time. A value
+    with a third of the rows is written by as many tasks as its bytes need."""
+    parts = partition_by or []
+    w = df.hint("rebalance", *parts).write.mode(mode)
+    (w.partitionBy(*parts) if parts else w).parquet(path)
+    return path
+
+
 def save_table(df: DataFrame, name: str, mode: str = "errorifexists", fmt: str = "parquet",
                bucket_by: tuple[int, list[str]] | None = None) -> str:
     """``saveAsTable``; ``bucket_by=(n, cols)`` pre-partitions for later
