@@ -1,0 +1,76 @@
+import zlib
+from collections import Counter, defaultdict
+
+from tablekit.llm import hash_tree_shards as H
+
+
+def rows_of(df):
+    return [tuple(r) for r in df.collect()]
+
+
+def test_columns_slots_and_movement(spark, make_docs):
+    docs = make_docs([(i, f"text {i % 50}") for i in range(4000)], extra=("shard", "size", "slot", "salt", "part"))
+    tree = H.even_tree(40)
+    got = rows_of(H.assigned(docs, tree, H.grown(tree)))
+    assert len(got) == 4000 and {r[3] for r in got} == {"key"}
+    slots = defaultdict(list)
+    for i, size, crc, _, shard, slot, more in got:
+        text = f"text {i % 50}".encode()
+        assert (size, crc) == (len(text) + 16, zlib.crc32(text))
+        assert more in (shard, 40)
+        slots[shard].append((slot, i))
+    assert set(slots) == set(range(40))
+    for s in slots.values():
+        assert sorted(s) == [(n, i) for n, i in enumerate(sorted(i for _, i in s))]
+    assert 50 < sum(r[6] == 40 for r in got) < 150                      # 4000 / 41 = 98
+
+
+def test_movement_stays_in_subtrees_whose_weight_changed(spark):
+    ids = spark.range(6000).withColumnRenamed("id", "doc_id")
+    tree = H.even_tree(12, racks=2, rack_shards=2)                      # 3 regions
+    heavier = H.grown(H.grown(tree, weight=3.0), region="r0", rack="r0k1")
+    place = {b.shard: (b.region, b.rack) for b in heavier}
+    got = ids.select(H.shard_of(ids.doc_id, tree).alias("a"), H.shard_of(ids.doc_id, H.grown(tree, weight=3.0)).alias("b"),
+                     H.shard_of(ids.doc_id, heavier).alias("c")).collect()
+    assert all(r.b in (r.a, 12) and r.c in (r.b, 13) for r in got)
+    share = Counter(r.b for r in got)[12] / 6000
+    assert abs(share - 3 / 15) < 0.03                                   # in proportion to its weight
+    assert place[12] == ("r2", "r2k1") and place[13] == ("r0", "r0k1")
+    left = Counter(r.a for r in got if r.b == 12)
+    assert len(left) == 12                                              # rows come from everywhere, none go elsewhere
+
+
+def test_edge_rows(spark, make_docs):
+    rows = [(None, None), (None, "a"), (7, None), (7, ""), (8, "é" * 30000)] + [(9, "same")] * 300
+    tree = H.even_tree(3)
+    got = rows_of(H.assigned(make_docs(rows), tree))
+    assert len(got) == len(rows) and {r[6] for r in got} == {None}
+    assert sorted(r[1:3] for r in got if r[0] == 7) == [(16, 0), (16, 0)]
+    assert {r[1] for r in got if r[0] == 8} == {60016}
+    by = defaultdict(set)
+    for r in got:
+        by[r[4]].add(r[5])
+    assert all(s == set(range(len(s))) for s in by.values())
+    assert len({r[4] for r in got if r[0] == 9}) == 1
+    assert H.assigned(make_docs([]), tree).count() == 0
+
+
+def test_repeated_rows_are_dealt_over_tasks(spark, make_docs):
+    from pyspark.sql import functions as F
+
+    docs = make_docs([(1, "same")] * 20_000).repartition(8)
+    plan = H.assigned(docs, H.even_tree(2))
+    parts = {r[5] // 5000 for r in rows_of(plan)}
+    assert parts == {0, 1, 2, 3}
+    spread = (docs.withColumn("salt", F.xxhash64(F.monotonically_increasing_id()))
+              .repartitionByRange(8, "doc_id", "salt").groupBy(F.spark_partition_id()).count())
+    assert max(r["count"] for r in spread.collect()) < 5000
+
+
+def test_write_shards_keeps_all_columns(spark, make_docs, scratch):
+    docs = make_docs([(i, f"t{i}") for i in range(200)], extra=("shard",))
+    tree = H.even_tree(4)
+    back = spark.read.parquet(H.write_shards(docs, scratch + "/out", tree))
+    assert back.count() == 200 and set(back.columns) == {*docs.columns, "own_shard"}
+    want = {r.doc_id: r.s for r in docs.select("doc_id", H.shard_of(docs.doc_id, tree).alias("s")).collect()}
+    assert {r.doc_id: r.shard for r in back.collect()} == want
