@@ -165,8 +165,10 @@ def read_writers(spark: SparkSession, target: str, writers: Sequence[str], schem
     parts = []
     for name in writers:
         fs, log = _fs(spark, f"{target}/writer={name}/_spark_metadata")
-        if fs.exists(log):
-            parts.append(spark.read.parquet(f"{target}/writer={name}"))
+        # the log's folder is there before its first batch is
+        if fs.exists(log) and any(st.getPath().getName().split(".")[0].isdigit() for st in fs.listStatus(log)):
+            reader = spark.read if schema is None else spark.read.schema(schema)
+            parts.append(reader.parquet(f"{target}/writer={name}"))
         elif schema is None:
             raise FileNotFoundError(f"writer {name} has committed nothing under {target}")
     if not parts:
