@@ -112,3 +112,60 @@ def test_partition_filter_prunes_folders(spark):
 def test_year_filter_reaches_the_scan(spark, name):
     plan = Q[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(o_orderdate" in plan and "LessThan(o_orderdate" in plan
+
+
+def test_cached_result_is_scanned_twice_and_let_go(spark):
+    from tablekit.plans.q_relational import cached_counts
+    from tablekit.session import cached
+    from tablekit.sources import table
+
+    few = table(spark, SF, "lineitem").select("l_linenumber", "l_returnflag", "l_quantity")
+    with cached(few) as kept:
+        both = cached_counts(kept, "a", "l_linenumber").unionByName(cached_counts(kept, "b", "l_returnflag"))
+        plan = plan_after_run(both)
+        assert plan.count("InMemoryTableScan") >= 2
+        assert spark.sparkContext._jsc.getPersistentRDDs().size() == 1
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == 0
+    with pytest.raises(ZeroDivisionError):
+        with cached(few) as kept:
+            kept.count()
+            1 / 0
+    assert not few.storageLevel.useMemory and spark.sparkContext._jsc.getPersistentRDDs().size() == 0
+    Q["cached_reads"](spark, SF)
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == 0
+
+
+def test_sized_writes_rebalance_and_sizes_go_back(spark, scratch):
+    from tablekit.session import input_bytes, sized_for
+    from tablekit.sources import table, write_sized
+
+    df = table(spark, SF, "lineitem").repartition(16)
+    plan = df.hint("rebalance", "l_returnflag")._jdf.queryExecution().executedPlan().toString()
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan
+    write_sized(df, scratch + "/sized", ["l_returnflag"])
+    df.write.partitionBy("l_returnflag").parquet(scratch + "/plain")
+    count = {n: spark.read.parquet(f"{scratch}/{n}").select("_metadata.file_path").distinct().count() for n in ("sized", "plain")}
+    assert count == {"sized": 3, "plain": 48}
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    with sized_for(spark, f"{SF}/lineitem.parquet", target_partition_bytes=1 << 10):
+        assert int(spark.conf.get(key)) == -(-input_bytes(spark, f"{SF}/lineitem.parquet") // 1024)
+        assert spark.conf.get("spark.sql.adaptive.coalescePartitions.minPartitionNum") == str(spark.sparkContext.defaultParallelism)
+        assert plan_after_run(df.groupBy("l_orderkey").count()).count("AQEShuffleRead") >= 1
+    assert spark.conf.get(key) == before and spark.conf.get("spark.sql.adaptive.coalescePartitions.minPartitionNum", None) is None
+
+
+def test_merge_checks_keys_without_a_window(spark):
+    plan = Q["merge_upsert"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan
+
+
+def test_exact_sums_hold_beyond_a_long(spark):
+    from tablekit.functions.scalar import exact_sum, money_avg, money_sum
+
+    big = spark.range(40).selectExpr("4611686018427387904 AS x", "cast(id AS double) / 8 AS m")
+    assert big.agg(exact_sum("x")).first()[0] == float(40 * 2**62)
+    assert big.agg(exact_sum("-x")).first()[0] == -float(40 * 2**62)
+    r = big.agg(money_sum("m"), money_avg("m")).first()
+    assert abs(r[0] - sum(round(i / 8 * 100 + 1e-9) for i in range(40)) / 100) < 1e-9 and abs(r[1] - r[0] / 40) < 1e-12
+    assert tuple(big.where("m < 0").agg(money_sum("m"), money_avg("m")).first()) == (None, None)
