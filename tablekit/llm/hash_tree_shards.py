@@ -117,6 +117,8 @@ def assigned(docs: DataFrame, tree: Sequence[Branch], larger: Sequence[Branch] |
         "doc_id", (F.octet_length(text) + 16).cast("long").alias("size"), F.crc32(text).alias("text_crc32"),
         shard_of(F.col("doc_id"), tree).alias("shard"), after.alias("grown_shard"),
         F.xxhash64(F.monotonically_increasing_id()).alias("salt"))
+    # finding the ranges reads the rows once more: narrow ones, not the texts
+    rows = stored(rows, "shard_keys")
     order = ["doc_id", "text_crc32", "size", "salt"]
     # a range's number depends on the layout: written once, then read by all that follows
     ranged = stored(rows.repartitionByRange("shard", *order).withColumn("part", F.spark_partition_id()), "shard_rows")
