@@ -117,7 +117,8 @@ def ordered_turns(conversations: DataFrame) -> DataFrame:
         F.col("turn").isNotNull().cast("long").alias("has_turn"), F.coalesce(F.col("turn").cast("long"), F.lit(0)).alias("turn"),
         F.xxhash64(role, text).alias("e1"), F.xxhash64(F.lit(1), text, role).alias("e2"),
         F.regexp_count(text, F.lit(WORD)).cast("long").alias("words"), F.lit(1).cast("long").alias("one"))
-    done = running(rows, "conv_id", ["has_turn", "turn", "e1", "e2"], {"one": "place"}, {}, "ordered_turns")
+    # finding the ranges reads the rows once more: hashes, not the texts
+    done = running(stored(rows, "turn_hashes"), "conv_id", ["has_turn", "turn", "e1", "e2"], {"one": "place"}, {}, "ordered_turns")
     return done.select("conv_id", "place", "e1", "e2", "words")
 
 
