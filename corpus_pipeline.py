@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablekit.llm.bestfit_pack import pack_documents
-from tablekit.llm.common import stored, table
+from tablekit.llm.common import stored, table, unused
 from tablekit.llm.line_dedup import dedup_lines
 from tablekit.llm.quality_llr import filter_quality
 from tablekit.llm.signature_join import drop_near_copies
@@ -34,7 +34,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes lines that three documents or more share out of all but the last of them."""
     _ready(spark)
     out = dedup_lines(docs)
-    changed = F.col("_n_dropped") > 0
+    changed = F.col(unused("_n_dropped", docs.columns)) > 0
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(changed, F.char_length("text").cast("long")).otherwise(F.col("n_chars")))
     return out.select(docs.columns)
