@@ -52,6 +52,14 @@ def unpacked(done: DataFrame, columns: list[str], **more: Column) -> DataFrame:
     return done.select(*own, *[c.alias(name) for name, c in more.items()])
 
 
+def unused(name: str, columns: list[str]) -> str:
+    """``name``, with more underscores in front while the caller has such a column."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

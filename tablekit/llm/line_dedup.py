@@ -36,6 +36,7 @@ from tablekit.llm.common import (
     table,
     text_hash,
     unpacked,
+    unused,
 )
 
 #: Layout only: one document in so many is looked at for frequent keys, a key
@@ -69,7 +70,8 @@ def _hot(lines: DataFrame) -> DataFrame:
 
 def _at_least(n: int, stream):
     """Whether the key has n documents, seen from a row after the first: by its
-    rank, or by looking the missing rows ahead; the key is never buffered."""
+    rank, or by looking the missing rows ahead. Spark's window holds a key's rows
+    while it passes over them (and spills them); frequent keys do not come here."""
     enough = F.col("rank") >= n
     for ahead in range(1, n - 1):
         enough = enough | ((F.col("rank") == n - ahead) & F.lead("doc_id", ahead).over(stream).isNotNull())
@@ -112,7 +114,8 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Dat
 
 def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataFrame:
     """``docs`` (all columns, all rows) with the kept text in ``text``, plus
-    ``_n_lines`` (before) and ``_n_dropped``."""
+    ``_n_lines`` (before) and ``_n_dropped`` (by other names where the caller has
+    such columns, see ``common.unused``)."""
     bitmaps = (keep_bitmaps(docs.select("doc_id", "text"), min_chars, min_docs)
                .withColumnRenamed("doc_id", "id").hint("shuffle_hash"))
     d = packed(docs).withColumn("hash", text_hash(F.col("text")))
@@ -127,8 +130,9 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Data
             .withColumn("words", F.when(F.col("dropped").isNotNull(), dense))
             .withColumn("text", F.when(F.col("dropped").isNull(), F.col("text"))
                         .otherwise(F.array_join(kept, "\n"))))
-    return unpacked(done, docs.columns, _n_lines=F.col("n_lines"),
-                    _n_dropped=F.coalesce("n_dropped", F.lit(0).cast("long")))
+    return unpacked(done, docs.columns, **{
+        unused("_n_lines", docs.columns): F.col("n_lines"),
+        unused("_n_dropped", docs.columns): F.coalesce("n_dropped", F.lit(0).cast("long"))})
 
 
 def op9(spark, sf_dir: str) -> DataFrame:

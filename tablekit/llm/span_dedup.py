@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablekit.llm.common import mix, packed, stored, table, text_hash, unpacked, words
+from tablekit.llm.common import mix, packed, stored, table, text_hash, unpacked, unused, words
 
 MIN_WORDS, LONE_WORDS = 15, 20
 #: Layout only: the share of documents looked at for frequent hashes, the
@@ -191,7 +191,7 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 def removed_spans(rows: DataFrame) -> DataFrame:
     """(doc_id, th, a, b) covering every run that is not the first of its hash."""
-    hot = (rows.where(F.pmod(F.xxhash64("th"), F.lit(SAMPLE_ONE_IN)) == 0)
+    hot = (rows.where(F.pmod(F.xxhash64("doc_id", "th"), F.lit(SAMPLE_ONE_IN)) == 0)
            .groupBy("h1", "h2").agg(F.count("*").alias("c")).where(F.col("c") >= HOT_ROWS)
            .orderBy(F.desc("c"), "h1", "h2").limit(MAX_HOT).groupBy("h1").agg(F.min("h2").alias("h2")))
     hot = stored(hot, "hot_runs")
@@ -218,7 +218,8 @@ def cut_sentences(text: str, spans) -> tuple[str, int, list[int]]:
 
 def dedup_spans(docs: DataFrame, min_words: int = MIN_WORDS, lone_words: int = LONE_WORDS) -> DataFrame:
     """``docs`` with the kept sentences in ``text``, plus ``_n_sentences`` (before),
-    ``_n_removed`` and ``_removed`` (numbers of the removed sentences)."""
+    ``_n_removed`` and ``_removed`` (numbers of the removed sentences), by other
+    names where the caller has such columns (``common.unused``)."""
     rows = stored(run_rows(docs.select("doc_id", "text"), min_words, lone_words), "runs")
     spans = (removed_spans(rows).groupBy("doc_id", "th")
              .agg(F.collect_set(F.struct("a", "b")).alias("spans"))
@@ -242,8 +243,8 @@ def dedup_spans(docs: DataFrame, min_words: int = MIN_WORDS, lone_words: int = L
     rest = met.schema["rest"].dataType.simpleString()
     done = met.mapInArrow(run, f"doc_id long, text string, rest {rest}, n_sentences long, n_removed long,"
                                " removed array<int>")
-    return unpacked(done, docs.columns, _n_sentences=F.col("n_sentences"), _n_removed=F.col("n_removed"),
-                    _removed=F.col("removed"))
+    return unpacked(done, docs.columns, **{unused(f"_{c}", docs.columns): F.col(c)
+                                           for c in ("n_sentences", "n_removed", "removed")})
 
 
 def op8(spark, sf_dir: str) -> DataFrame:
