@@ -1,15 +1,16 @@
 """Substring dedup by sliding sentence spans (operator 8).
 
 Texts are split into sentences (after . ! ? followed by white space, and at line
-ends). From every sentence on, and up to every sentence back, the shortest run
-of consecutive sentences with at least ``min_words`` words (``lone_words`` if it
-is a single sentence) is hashed to 96 bits over its words, A-Z lowered. Runs are
-joined globally on the hash. The first run of a hash, by doc_id and position,
-stays; every sentence covered by any other run is removed. Of a repeated passage
-thus go, in all documents but the first, its whole sentences, if a run of them has
-``min_words`` words; a passage without such a run (glued to its neighbours without
-an end mark or line end, or of two sentences whose outer ends differ) stays.
-Shared phrases and short boilerplate stay.
+ends). A run is two or more consecutive sentences with words, of ``min_words``
+words or more. From every sentence on, and up to every sentence back, the
+shortest run is hashed to 96 bits over its words, A-Z lowered. Any longer run
+is covered by the shortest ones inside it, so a repeat of any run of several
+sentences is found by these. Runs are joined globally on the hash. The first
+run of a hash, by doc_id and position, stays; every sentence covered by any
+other run is removed. Of a repeated passage thus go, in all documents but the
+first, its whole sentences, if they are a run; a passage without one (a single
+sentence, glued to its neighbours without an end mark or line end, or of two
+sentences whose outer ends differ) stays. Shared phrases and short boilerplate stay.
 
 Only hashes and positions are shuffled, and one streaming window pass per hash
 finds its first run. Hashes that are frequent in a 1/64 hash sample of the
@@ -38,7 +39,7 @@ from pyspark.sql import functions as F
 
 from tablekit.llm.common import mix, packed, stored, table, text_hash, unpacked, unused, words
 
-MIN_WORDS, LONE_WORDS = 15, 20
+MIN_WORDS = 15
 #: Layout only: the share of documents looked at for frequent hashes, the
 #: sampled runs that make one frequent, and the most handled apart.
 SAMPLE_ONE_IN, HOT_ROWS, MAX_HOT = 64, 16, 2048
@@ -53,7 +54,7 @@ def sentence_starts(text: str) -> list[int]:
     return starts
 
 
-def runs(text: str, min_words: int, lone_words: int):
+def runs(text: str, min_words: int):
     """(first, end, h1, h2) arrays of the distinct runs; sentences first..end-1."""
     starts = sentence_starts(text)
     pieces = [words(text[a:b]) for a, b in zip(starts, [*starts[1:], len(text)])]
@@ -68,12 +69,12 @@ def runs(text: str, min_words: int, lone_words: int):
     i = np.arange(len(n))
     end = np.searchsorted(before, before[:-1] + min_words)            # before[end] - before[i] >= min_words
     ok = end <= len(n)
-    longer = ok & (end == i + 1) & (n < lone_words)                   # one sentence, but not a long one
+    longer = ok & (end == i + 1)                                      # one sentence is no run
     end = np.where(longer, np.searchsorted(before, np.minimum(before[:-1] + n + 1, before[-1] + 1)), end)
     ok = end <= len(n)
     first = np.searchsorted(before, before[1:] - min_words, side="right") - 1
     back = before[1:] >= min_words
-    longer = back & (first == i) & (n < lone_words)
+    longer = back & (first == i)
     first = np.where(longer, np.searchsorted(before, before[:-1] - 1, side="right") - 1, first)
     back &= first >= 0
     spans = np.concatenate([np.stack([i[ok], end[ok]], 1), np.stack([first[back], i[back] + 1], 1)])
@@ -93,13 +94,13 @@ def runs(text: str, min_words: int, lone_words: int):
     return filled[a], filled[b - 1] + 1, out[0], out[1]
 
 
-def run_rows(docs: DataFrame, min_words: int, lone_words: int) -> DataFrame:
+def run_rows(docs: DataFrame, min_words: int) -> DataFrame:
     """(doc_id, th, a, b, h1, h2) of every run of every text."""
     def run(batches):
         for batch in batches:
             held = []
             for k, text in enumerate(batch.column("text").to_pylist()):
-                found = runs(text, min_words, lone_words) if text else None
+                found = runs(text, min_words) if text else None
                 if found:
                     held.append((np.full(len(found[0]), k), *found))
             if held:
@@ -216,11 +217,11 @@ def cut_sentences(text: str, spans) -> tuple[str, int, list[int]]:
     return kept, int(gone.sum()), np.flatnonzero(gone).tolist()
 
 
-def dedup_spans(docs: DataFrame, min_words: int = MIN_WORDS, lone_words: int = LONE_WORDS) -> DataFrame:
+def dedup_spans(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with the kept sentences in ``text``, plus ``_n_sentences`` (before),
     ``_n_removed`` and ``_removed`` (numbers of the removed sentences), by other
     names where the caller has such columns (``common.unused``)."""
-    rows = stored(run_rows(docs.select("doc_id", "text"), min_words, lone_words), "runs")
+    rows = stored(run_rows(docs.select("doc_id", "text"), min_words), "runs")
     spans = (removed_spans(rows).groupBy("doc_id", "th")
              .agg(F.collect_set(F.struct("a", "b")).alias("spans"))
              .select(F.col("doc_id").alias("id"), "th", "spans").hint("shuffle_hash"))

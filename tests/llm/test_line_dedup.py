@@ -75,3 +75,16 @@ def test_other_bounds(spark, make_docs):
 def test_digest_of_kept_text(spark, make_docs):
     out = L.dedup_lines(make_docs([(1, None)])).select(F.sha2(F.coalesce("text", F.lit("")), 256).alias("h")).first()
     assert out.h == hashlib.sha256(b"").hexdigest()
+
+
+def test_own_columns_give_way_to_the_callers(spark, make_docs):
+    import corpus_pipeline
+
+    line = "a line that many documents share, long enough"
+    docs = make_docs([(i, f"{line}\nown {i}") for i in range(4)], extra=("_n_dropped", "_N_LINES"))
+    out = L.dedup_lines(docs)
+    assert out.columns == [*docs.columns, "__n_lines", "__n_dropped"]
+    assert {r.doc_id: (r._n_dropped, r["__n_dropped"]) for r in out.collect()} == {
+        0: ("x", 1), 1: ("x", 1), 2: ("x", 1), 3: ("x", 0)}
+    kept = corpus_pipeline.line_dedup(spark, docs, None)
+    assert kept.columns == docs.columns and {r.n_chars for r in kept.where("doc_id < 3").collect()} == {5}

@@ -4,7 +4,7 @@ import re
 from tablekit.llm import span_dedup as S
 
 
-def brute_runs(text, min_words, lone):
+def brute_runs(text, min_words):
     """Shortest runs from and up to each sentence, by trying all."""
     starts = S.sentence_starts(text)
     pieces = [text[a:b] for a, b in zip(starts, [*starts[1:], len(text)])]
@@ -14,7 +14,7 @@ def brute_runs(text, min_words, lone):
 
     def fits(a, b):
         total = sum(len(x) for x in w[a:b])
-        return total >= min_words and (sum(1 for x in w[a:b] if x) > 1 or total >= lone)
+        return total >= min_words and sum(1 for x in w[a:b] if x) > 1
 
     out = set()
     for i in (k for k in range(n) if w[k]):
@@ -27,10 +27,10 @@ def brute_runs(text, min_words, lone):
     return {(a, b): tuple(tuple(x) for x in w[a:b]) for a, b in out}, pieces
 
 
-def brute(rows, min_words=S.MIN_WORDS, lone=S.LONE_WORDS):
+def brute(rows, min_words=S.MIN_WORDS):
     first = {}
     for i, t in rows:
-        for (a, _), key in brute_runs(t, min_words, lone)[0].items() if t else ():
+        for (a, _), key in brute_runs(t, min_words)[0].items() if t else ():
             at = (i is None, i or 0, a)
             first[key] = min(first.get(key, at), at)
     out = []
@@ -38,7 +38,7 @@ def brute(rows, min_words=S.MIN_WORDS, lone=S.LONE_WORDS):
         if not t:
             out.append((i, 0, 0, t))
             continue
-        found, pieces = brute_runs(t, min_words, lone)
+        found, pieces = brute_runs(t, min_words)
         gone = set()
         for (a, b), key in found.items():
             if first[key] != (i is None, i or 0, a):
@@ -113,3 +113,31 @@ def test_sentences_keep_all_characters():
         starts = S.sentence_starts(text)
         assert "".join(text[a:b] for a, b in zip(starts, [*starts[1:], len(text)])) == text
         assert S.cut_sentences(text, [])[0] == text
+
+
+def test_every_run_of_several_sentences_counts():
+    """The sentences that all repeated runs cover, however long, are those that the shortest ones cover."""
+    rng = random.Random(8)
+    for _ in range(60):
+        w = [rng.choice([1, 3, 6, 9, 20]) for _ in range(rng.randrange(2, 9))]
+        text = " ".join(" ".join(f"v{i}x{j}" for j in range(n)) + "." for i, n in enumerate(w))
+        found = S.runs(text, S.MIN_WORDS)
+        short = set() if found is None else {k for a, b in zip(found[0].tolist(), found[1].tolist()) for k in range(a, b)}
+        every = {k for a in range(len(w)) for b in range(a + 2, len(w) + 1) if sum(w[a:b]) >= S.MIN_WORDS for k in range(a, b)}
+        assert short == every
+
+
+def test_own_columns_give_way_to_the_callers(spark, make_docs):
+    docs = make_docs([(1, "a b. c d."), (2, None)], extra=("_removed", "_N_SENTENCES", "_n_removed"))
+    out = S.dedup_spans(docs)
+    assert out.columns == [*docs.columns, "__n_sentences", "__n_removed", "__removed"] and out.count() == 2
+    assert out.select("_removed", "__n_sentences").where("doc_id = 1").first() == ("x", 2)
+
+
+def test_a_group_of_copies_is_spread_over_the_sample(spark, make_docs):
+    rows = S.run_rows(make_docs([(i, "One two three four five six seven eight. Nine ten and more words to come here now.")
+                                 for i in range(3000)]), S.MIN_WORDS)
+    from pyspark.sql import functions as F
+
+    sampled = rows.where(F.pmod(F.xxhash64("doc_id", "th"), F.lit(S.SAMPLE_ONE_IN)) == 0).count()
+    assert sampled >= S.HOT_ROWS                                   # the group's runs are seen to be frequent
