@@ -4,7 +4,8 @@ A text is brought to canonical form: lines that state a copyright are left out
 (not wrapped licence wording that happens to begin with the word), letters are lowered, everything but letters and digits becomes one blank, and
 equivalent spellings are made one. Texts whose canonical forms have the same
 SHA-256 digest are the same licence. Every whole document, and every line of it
-taken as a text of its own, is hash-joined to the digests of the known licences.
+taken as a text of its own, is hash-joined to the digests of the known licences,
+which every executor holds (a fixed list of some 10,000).
 Only digests and ids are joined; documents without a match cost no shuffle of
 their text. The known licences are the whole texts in ``licenses/``, with and
 without heading, 'All rights reserved' line and appendix, and the notices that
@@ -20,8 +21,9 @@ table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import re
+from functools import cache
+from importlib.resources import files
 from itertools import product
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -100,14 +102,17 @@ SPELLINGS = {
     "v": "version", "https": "http",
 }
 #: What follows 'copyright' where a line of licence wording begins with it.
-_WORDING = (r"(?:and|are|disclaimers?|doctrines|holders?|if|interests?|laws?|licen[sc]es?|like|notices?|of|on|or|owners?"
-            r"|ownership|patent|permissions?|resulting|statements?|treaty|the(?=[ \t\r]*$|[ \t]+(?:software|library|program)))\b")
+_WORDS = (r"and|are|disclaimers?|doctrines|holders?|if|interests?|laws?|licen[sc]es?|like|notices?|of|on|or|owners?"
+          r"|ownership|patent|permissions?|resulting|statements?|treaty")
+_WORDING = rf"(?:{_WORDS}|the(?=[ \t\r]*$|[ \t]+(?:software|library|program)))\b"
+#: What makes it a statement, and what else may follow it in wording.
+_STATED, _MARKS = r"[ \t,:]*(?:\(c\)|©|[\[{<]|(?:19|20)\d\d|by\b)", r"[ \t]*[.,;)\"”'/-]"
 #: A line that states a copyright: 'copyright' before (c), the sign, a year, a
 #: placeholder, 'by' or a name; the sign alone; (c) alone, if a year follows
 #: ('(c)' also numbers paragraphs).
 COPYRIGHT_LINE = (
     r"(?im)^[ \t]*(?:©"
-    r"|copyright\b(?:[ \t,:]*(?:\(c\)|©|[\[{<]|(?:19|20)\d\d|by\b)|(?![ \t\r]*$|[ \t]*[.,;)\"”'/-]|[ \t]+" + _WORDING + r"))"
+    r"|copyright\b(?:" + _STATED + r"|(?![ \t\r]*$|" + _MARKS + r"|[ \t]+" + _WORDING + r"))"
     r"|\(c\)(?=[^\n]*(?:\b(?:19|20)\d\d\b|©|copyright)))[^\n]*$")
 NOT_LETTERS = r"[^\p{L}\p{N}]+"
 
@@ -159,7 +164,7 @@ def notices(license_id: str) -> list[str]:
 
 def _text(license_id: str) -> str:
     """A stored text without the lines that state a copyright."""
-    text = (Path(__file__).parent / "licenses" / f"{license_id}.txt").read_text(encoding="utf-8")
+    text = (files(__package__) / "licenses" / f"{license_id}.txt").read_text(encoding="utf-8")
     return re.sub(COPYRIGHT_LINE, "", text)
 
 
@@ -169,6 +174,7 @@ def _cut(text: str, start: str, end: str) -> list[str]:
     return [text, text[a:], text[:b], text[a:b]]
 
 
+@cache
 def whole_texts() -> dict[str, list[str]]:
     """Whole licences, in the variants in common use."""
     mit, bsd3, isc = _KNOWN["MIT"][-1], _text("BSD-3-Clause"), _text("ISC")
@@ -208,8 +214,11 @@ def whole_texts() -> dict[str, list[str]]:
     return found
 
 
-WHOLE = whole_texts()
-KNOWN = {name: [*notices(name), *WHOLE.get(name, []), *_KNOWN.get(name, [])] for name in sorted({*_KNOWN, *_NAMES, *WHOLE})}
+@cache
+def known_texts() -> dict[str, list[str]]:
+    """All known texts by licence; the stored ones are read here, at first use."""
+    whole = whole_texts()
+    return {name: [*notices(name), *whole.get(name, []), *_KNOWN.get(name, [])] for name in sorted({*_KNOWN, *_NAMES, *whole})}
 
 
 def canonical(text: Column, copyright_line: str = COPYRIGHT_LINE) -> Column:
@@ -221,15 +230,18 @@ def canonical(text: Column, copyright_line: str = COPYRIGHT_LINE) -> Column:
 
 
 def known_digests(spark: SparkSession, known: dict[str, list[str]] | None = None) -> DataFrame:
-    """(digest, license_id), one row a digest."""
-    rows = [(name, text) for name, texts in (known or KNOWN).items() for text in texts]
+    """(digest, license_id), one row a digest: about 10,000, fixed by the lists above."""
+    rows = [(name, text) for name, texts in (known or known_texts()).items() for text in texts]
     return (spark.createDataFrame(rows, "license_id string, text string")
             .withColumn("form", canonical(F.col("text"))).where("form != ''")
             .groupBy(F.sha2("form", 256).alias("digest")).agg(F.min("license_id").alias("license_id")))
 
 
 def scan(docs: DataFrame, digests: DataFrame) -> DataFrame:
-    """(doc_id, text_digest, license_id, n_license_lines, line_licenses) of every row."""
+    """(doc_id, text_digest, license_id, n_license_lines, line_licenses) of every
+    row. The known digests are a fixed list, so they are broadcast: no line is
+    moved to meet them, however common it is."""
+    digests = F.broadcast(digests)
     d = docs.select("doc_id", text_hash(F.col("text")).alias("th"), "text")
     whole = (d.select("doc_id", "th", F.sha2(canonical(F.col("text")), 256).alias("text_digest"))
              .join(digests.withColumnRenamed("digest", "text_digest"), "text_digest", "left"))
@@ -260,12 +272,25 @@ def _sql_canonical(text: str) -> str:
 
 
 def _sql_rows() -> str:
-    quoted = [(n.replace("'", "''"), t.replace("'", "''")) for n, ts in KNOWN.items() for t in ts]
+    quoted = [(n.replace("'", "''"), t.replace("'", "''")) for n, ts in known_texts().items() for t in ts]
     return ", ".join(f"('{n}', '{t}')" for n, t in quoted)
 
 
-_SQL_STATES = r"'(?i)^[ \t]*(copyright\b|\(c\)|©)'"
-OP7_SQL = rf"""
+def _sql_states(line: str) -> str:
+    """Whether a line states a copyright, by the rule of COPYRIGHT_LINE without look-ahead."""
+    the = r"the(?:[ \t\r]*$|[ \t]+(?:software|library|program))"
+    sign, stated, word, wording, marked = (rf"(?i)^[ \t]*{p}".replace("'", "''") for p in (
+        "©", rf"copyright\b{_STATED}", r"copyright\b",
+        rf"copyright(?:[ \t\r]*$|{_MARKS}|[ \t]+(?:(?:{_WORDS})\b|{the}))",
+        r"\(c\).*(?:\b(?:19|20)\d\d\b|©|copyright)"))
+    return (f"(regexp_matches({line}, '{sign}') OR regexp_matches({line}, '{stated}') OR regexp_matches({line}, '{marked}')"
+            f" OR (regexp_matches({line}, '{word}') AND NOT regexp_matches({line}, '{wording}')))")
+
+
+@cache
+def op7_sql() -> str:
+    """DuckDB SQL; reads the stored texts at first use."""
+    return rf"""
 WITH known AS (
   SELECT sha256(form) AS digest, min(license_id) AS license_id
   FROM (SELECT license_id, {_sql_canonical("text")} AS form FROM (VALUES {_sql_rows()}) t(license_id, text))
@@ -273,10 +298,10 @@ WITH known AS (
 ), split AS (
   SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents
 ), whole AS (
-  SELECT doc_id, sha256({_sql_canonical(f"array_to_string([x FOR x IN ls IF NOT regexp_matches(x, {_SQL_STATES})], chr(10))")}) AS text_digest
+  SELECT doc_id, sha256({_sql_canonical(f"array_to_string([x FOR x IN ls IF NOT {_sql_states("x")}], chr(10))")}) AS text_digest
   FROM split
 ), lines AS (
-  SELECT doc_id, CASE WHEN regexp_matches(line, {_SQL_STATES}) THEN '' ELSE line END AS line
+  SELECT doc_id, CASE WHEN {_sql_states("line")} THEN '' ELSE line END AS line
   FROM (SELECT doc_id, unnest(ls) AS line FROM split)
 ), found AS (
   SELECT l.doc_id, count(*) AS n, string_agg(DISTINCT k.license_id, ',' ORDER BY k.license_id) AS names

@@ -1,4 +1,5 @@
 import textwrap
+from pathlib import Path
 
 from tablekit.llm import license_scan as L
 
@@ -8,7 +9,7 @@ def scan(spark, docs, known=None):
 
 
 def test_variants_have_one_digest(spark, make_docs):
-    mit = L.KNOWN["MIT"][-1]
+    mit = L.known_texts()["MIT"][-1]
     rows = [(1, mit), (2, "Copyright (c) 2020 Some Body\n\n" + mit.upper().replace(" ", " \t ")),
             (3, "(C) Other 1999\n" + mit.replace("sublicense", "sub-license").replace("\"", "“")),
             (4, mit + " And more."), (5, "Some prose.\nReleased under the MIT Licence!\nreleased under the mit license"),
@@ -44,7 +45,7 @@ def test_known_licences_may_be_given(spark, make_docs):
 def test_whole_licences_are_found_at_every_width(spark, make_docs):
     """Each whole text, also in one line and wrapped before any of its words, is its licence."""
     texts, rows = [], []
-    for name, variants in L.WHOLE.items():
+    for name, variants in L.whole_texts().items():
         ends = [v for v in variants if "How to Apply These" not in v]    # the appendix has a sample copyright line
         for body in (min(ends, key=len), max(ends, key=len)):
             for width in (1, 20, 30, 38, 47, 60, 66, 72, 75, 78, 80, 100, 10 ** 6):
@@ -52,13 +53,13 @@ def test_whole_licences_are_found_at_every_width(spark, make_docs):
                 texts.append(name), rows.append((len(rows), "Copyright (c) 2020, Some Body\n\n" + wrapped))
     got = scan(spark, make_docs(rows))
     assert [(rows[i], got[i].license_id) for i, name in enumerate(texts) if got[i].license_id != name] == []
-    files = {n: L.Path(L.__file__).parent / "licenses" / f"{n}.txt" for n in L.WHOLE if n not in ("MIT", "BSD-2-Clause")}
+    files = {n: Path(L.__file__).parent / "licenses" / f"{n}.txt" for n in L.whole_texts() if n not in ("MIT", "BSD-2-Clause")}
     got = scan(spark, make_docs([(i, f.read_text()) for i, f in enumerate(files.values())]))
     assert [got[i].license_id for i in range(len(files))] == list(files)
 
 
 def test_usual_files_and_notices(spark, make_docs):
-    mit = L.KNOWN["MIT"][-1]
+    mit = L.known_texts()["MIT"][-1]
     cases = [("MIT License\n\nCopyright (c) 2020 A\n\n" + mit, "MIT"),
              ("The MIT License (MIT)\nCopyright The Foo Authors\nAll rights reserved.\n" + mit, "MIT"),
              ("Licensed under the BSD 3-Clause License.", "BSD-3-Clause"),
@@ -74,7 +75,7 @@ def test_usual_files_and_notices(spark, make_docs):
 
 def test_one_text_has_one_licence(spark):
     """No two licences of the catalogue share a canonical form."""
-    rows = [(n, t) for n, ts in L.KNOWN.items() for t in ts]
+    rows = [(n, t) for n, ts in L.known_texts().items() for t in ts]
     forms = spark.createDataFrame(rows, "id string, text string").withColumn("form", L.canonical(L.F.col("text")))
     assert forms.groupBy("form").agg(L.F.collect_set("id").alias("ids")).where("size(ids) > 1").collect() == []
 
@@ -87,3 +88,30 @@ def test_only_lines_that_state_a_copyright_are_dropped(spark):
             "copyright the software, and", "copyrighted work"]
     got = spark.createDataFrame([(x,) for x in stated + kept], "x string").select("x", L.canonical(L.F.col("x"))).collect()
     assert [x for x, c in got if not c] == stated
+
+
+def test_sql_has_the_same_rule(spark, make_docs, scratch):
+    """Also on wrapped licences and lines that begin with 'copyright', which the driver's tables lack."""
+    import duckdb
+
+    rows = []
+    for name, variants in L.whole_texts().items():
+        for width in (20, 47, 66, 80):
+            body = textwrap.fill(" ".join(min(variants, key=len).split()), width, break_long_words=False)
+            rows.append((len(rows), f"Copyright (c) 2020, Some Body\n\n{body}"))
+    rows += [(len(rows) + i, line + "\nReleased under the MIT License.") for i, line in enumerate(
+        ["copyright", "Copyright notice here", "COPYRIGHT Acme", "copyright the software", "copyright the Acme", "(c) the first",
+         "(c) 1999 Acme", "(C) copyright", "© me", "Copyright by you", "copyright: 2001", "copyright, and", "copyrighted x",
+         " \tcopyright [name]", "copyright holders' x", "copyright - x", "no copyright 2020", ""])]
+    make_docs(rows).coalesce(1).write.parquet(scratch + "/documents")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{scratch}/documents/*.parquet')")
+    cur = con.execute(L.op7_sql())
+    names = [c[0] for c in cur.description]
+    got = L.scan(spark.read.parquet(scratch + "/documents"), L.known_digests(spark)).select(names)
+    assert sorted(map(tuple, got.collect())) == sorted(cur.fetchall())
+
+
+def test_common_lines_are_not_moved(spark, make_docs):
+    plan = L.scan(make_docs([(1, "x")]), L.known_digests(spark))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning(digest" not in plan.replace("digest#", "digest").split("BroadcastExchange")[0]
