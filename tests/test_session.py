@@ -115,3 +115,32 @@ def test_udfs_run_when_workers_cannot_import_the_package(tmp_path):
                          timeout=300, cwd=str(tmp_path), env=env)
     assert "SLOTS 6000" in out.stdout, out.stderr[-3000:]
     assert "SHIPPED 0.1.0" in out.stdout, out.stderr[-3000:]
+
+
+def test_entry_survives_what_the_optional_queries_lack():
+    """A missing module or data file of the optional part leaves all other queries."""
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    for hack in ("sys.modules['xxhash'] = None", "sys.modules['corpus_pipeline'] = None",
+                 "import importlib.resources as r; old = r.files; r.files = lambda *a: old('no.such.package' if a == ('tablekit.llm',) else a[0])"):
+        code = f"import sys; {hack}; import __spark_entry__ as E; q = E.queries(); print(len(q), any(k.startswith('op') for k in q))"
+        out = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, check=True).stdout.split()
+        from tablekit import plans
+
+        assert out == [str(len(plans.QUERIES)), "False"], hack
+
+
+def test_shipped_package_has_code_and_data_files(spark):
+    import glob
+    import zipfile
+
+    from tablekit import session
+
+    session._SHIPPED.discard(spark.sparkContext.applicationId)
+    session.ship_package(spark)
+    newest = max(glob.glob(f"{session.tempfile.gettempdir()}/tk-pyfiles-*/tablekit.zip"), key=session.os.path.getmtime)
+    names = zipfile.ZipFile(newest).namelist()
+    assert "tablekit/session.py" in names and all(n.endswith((".py", ".txt")) for n in names)
