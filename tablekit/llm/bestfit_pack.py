@@ -3,22 +3,21 @@
 Texts become token counts (words here); a text longer than the largest length
 is cut, its full pieces filling sequences of their own. What is left is packed
 by best fit, largest first: a piece goes to the open bin it fills best; if none
-takes it, a new bin is opened. Which size to open is decided jointly for all
-lengths: each permitted length in turn is the preferred size (or the least-cost
-length that holds the piece, if larger), every bin of such a packing is
-downsized to the least-cost length that holds its contents, and the packing
-with the least total cost wins. A bin costs its length plus a fixed overhead a
-sequence unless ``costs`` says otherwise.
+takes it, a new bin is opened. All permitted lengths that hold the piece compete
+for each opening: the one with the least cost a token is opened, counting as
+many tokens as it can hold or as are still to be placed, whichever is less. At
+the end every bin is downsized to the least-cost length that holds its contents.
+A bin costs its length plus a fixed overhead a sequence unless ``costs`` says
+otherwise.
 
 Spark deals the documents by hash to shards of about ``per_shard`` texts, and
 each shard is packed by itself: a shard holds only ids and counts, the number
 of shards grows with the table, and the loss against one global packing is at
-most a few partly filled bins per shard. The deal goes by id and text, so a
-repeated id does not pile up unless its text repeats as well.
+most a few partly filled bins per shard. Rows equal in id and text are counted
+before they move and dealt in lots of ``LOT``, so that copies do not pile up.
 
 Defined cases: texts without words take no room and give no row; repeated rows
-are packed each, in one shard if they are equal in id and text; a null doc_id is
-packed like any other; an empty table gives an empty result; other columns are
+are packed each; a null doc_id is packed like any other; an empty table gives an empty result; other columns are
 ignored.
 """
 
@@ -37,6 +36,8 @@ from tablekit.llm.temperature_mix import token_count
 SIZES = (512, 1024, 2048, 4096)
 OVERHEAD = 32
 PER_SHARD = 20_000
+#: Copies of one row that a shard gets at a time.
+LOT = 256
 SCHEMA = ("bin long, capacity long, used long, doc_id long, piece long, start long, n_tokens long, offset long")
 
 
@@ -45,10 +46,17 @@ def least_cost(room: int, sizes, costs) -> int:
     return min((c for c in sizes if c >= room), key=lambda c: (costs[c], c))
 
 
-def best_fit(lengths: list[int], preferred: int, sizes, costs) -> tuple[list[int], list[int]]:
-    """Bin of each length (given largest first) and the tokens in each bin."""
+def opened(n: int, left: int, sizes, costs) -> int:
+    """The length to open for a piece of n tokens with ``left`` still to be placed
+    (it included): the least cost a token (ties: shorter)."""
+    return min((c for c in sizes if c >= n), key=lambda c: (costs[c] / min(c, left), c))
+
+
+def best_fit(lengths: list[int], sizes, costs) -> tuple[list[int], list[int], list[int]]:
+    """Bin of each length (given largest first), tokens and final capacity of each bin."""
     rooms, stacks = [], {}                 # sorted distinct rooms; open bins by room
     where, used, size = [], [], []
+    left = sum(lengths)
     for n in lengths:
         at = bisect_left(rooms, n)
         if at < len(rooms):
@@ -59,8 +67,9 @@ def best_fit(lengths: list[int], preferred: int, sizes, costs) -> tuple[list[int
         else:
             b = len(used)
             used.append(0)
-            size.append(max(preferred, least_cost(n, sizes, costs)))
+            size.append(opened(n, left, sizes, costs))
         used[b] += n
+        left -= n
         where.append(b)
         room = size[b] - used[b]
         if room:
@@ -68,20 +77,7 @@ def best_fit(lengths: list[int], preferred: int, sizes, costs) -> tuple[list[int
                 stacks[room] = []
                 insort(rooms, room)
             stacks[room].append(b)
-    return where, used
-
-
-def pack_lengths(lengths: list[int], sizes, costs) -> tuple[list[int], list[int], list[int]]:
-    """The cheapest packing over all preferred lengths: bin of each length
-    (given largest first), tokens and final capacity of each bin."""
-    best = None
-    for preferred in sizes:
-        where, used = best_fit(lengths, preferred, sizes, costs)
-        capacity = [least_cost(u, sizes, costs) for u in used]
-        cost = sum(costs[c] for c in capacity)
-        if best is None or cost < best[0]:
-            best = (cost, where, used, capacity)
-    return best[1:]
+    return where, used, [least_cost(u, sizes, costs) for u in used]
 
 
 def pack(items: DataFrame, n_items: int, sizes=SIZES, costs: dict | None = None,
@@ -92,6 +88,7 @@ def pack(items: DataFrame, n_items: int, sizes=SIZES, costs: dict | None = None,
     top, shards = sizes[-1], max(1, -(-n_items // per_shard))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.loc[pdf.index.repeat(pdf["copies"])]
         pdf = pdf.sort_values(["n_tokens", "doc_id", "key"], kind="stable").reset_index(drop=True)
         n = pdf["n_tokens"].to_numpy()
         full = n // top
@@ -101,7 +98,7 @@ def pack(items: DataFrame, n_items: int, sizes=SIZES, costs: dict | None = None,
         rest = np.flatnonzero(n % top)
         rest = rest[np.argsort(-(n[rest] % top), kind="stable")]
         lengths = (n[rest] % top).tolist()
-        where, used, capacity = pack_lengths(lengths, sizes, costs) if lengths else ([], [], [])
+        where, used, capacity = best_fit(lengths, sizes, costs) if lengths else ([], [], [])
         offset, filled = [], [0] * len(used)
         for b, k in zip(where, lengths):
             offset.append(filled[b])
@@ -120,8 +117,11 @@ def pack(items: DataFrame, n_items: int, sizes=SIZES, costs: dict | None = None,
             "offset": np.concatenate([np.zeros(len(doc), dtype=np.int64), np.asarray(offset, dtype=np.int64)]),
         })
 
-    return (items.where("n_tokens > 0").withColumn("shard", F.pmod(F.col("key"), F.lit(shards)))
-            .groupBy("shard").applyInPandas(run, SCHEMA))
+    lots = (items.where("n_tokens > 0").groupBy("doc_id", "key", "n_tokens").agg(F.count("*").alias("n"))
+            .withColumn("lot", F.explode(F.expr(f"sequence(0L, (n - 1) div {LOT})")))
+            .withColumn("copies", F.least(F.col("n") - F.col("lot") * LOT, F.lit(LOT))))
+    return (lots.withColumn("shard", F.pmod(F.xxhash64("key", "lot"), F.lit(shards)))
+            .select("doc_id", "key", "n_tokens", "copies", "shard").groupBy("shard").applyInPandas(run, SCHEMA))
 
 
 def pack_documents(docs: DataFrame, sizes=SIZES, costs: dict | None = None) -> DataFrame:
