@@ -10,10 +10,11 @@ dictionary and of the text by itself (text that repeats itself shrinks), into a
 probability of label 1. It is weighted to the class shares among all labelled
 rows that may be learned from.
 
-Fitted on a bounded sample: at most ``PER_CLASS`` labelled documents a class,
-the first by hash of doc_id; the dictionaries see at most ``SAMPLE_BLOCKS``
-blocks of each, spread over the whole text. Scoring covers every byte of every
-text, in one pass without a shuffle.
+Fitted on a bounded sample of rows: per class the first ``PER_CLASS`` labelled
+documents by hash of doc_id, as far as they fit into ``CLASS_BYTES`` together
+(the larger ones come last; a document that does not fit is passed over, none is
+cut). The dictionaries see every byte of their texts. Scoring covers every byte
+of every text, in one pass without a shuffle.
 
 Defined cases: null or empty text scores 0.0; null labels and labels of unknown
 documents are ignored; a document labelled both ways counts with neither;
@@ -29,7 +30,7 @@ from functools import cached_property
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablekit.llm.common import join_few, stored, table
@@ -38,7 +39,9 @@ BLOCK = 2048
 LEVEL = 3
 DICT_BYTES = 112 << 10
 #: Bounds on what the classifier is fitted on.
-PER_CLASS, SAMPLE_BLOCKS, SAMPLE_BYTES = 2250, 4, 1024
+PER_CLASS, CLASS_BYTES = 2250, 16 << 20
+#: Pieces that a text is trained on in.
+PIECE = 1024
 #: Of the sample, one in so many (by hash) calibrates; the rest trains the dictionaries.
 CALIBRATE_ONE_IN = 3
 FOLDS, PREDICT_AT = 5, 0.3
@@ -48,11 +51,8 @@ def fold(doc_id: Column, folds: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % folds
 
 
-def spread_blocks(data: bytes) -> list[bytes]:
-    if len(data) <= SAMPLE_BLOCKS * SAMPLE_BYTES:
-        return [data[i:i + SAMPLE_BYTES] for i in range(0, len(data), SAMPLE_BYTES)]
-    starts = np.linspace(0, len(data) - SAMPLE_BYTES, SAMPLE_BLOCKS).astype(int)
-    return [data[i:i + SAMPLE_BYTES] for i in starts]
+def pieces(data: bytes) -> list[bytes]:
+    return [data[i:i + PIECE] for i in range(0, len(data), PIECE)]
 
 
 def train_dictionary(blocks: list[bytes]) -> bytes:
@@ -61,7 +61,7 @@ def train_dictionary(blocks: list[bytes]) -> bytes:
     try:
         return zstandard.train_dictionary(min(DICT_BYTES, max(len(raw) // 8, 1024)), blocks).as_bytes()
     except zstandard.ZstdError:
-        return raw[:DICT_BYTES] or b"."
+        return raw or b"."
 
 
 class SizeModel:
@@ -120,7 +120,7 @@ def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
     return np.concatenate([[w[0] - slopes @ mean], slopes])
 
 
-def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> SizeModel:
+def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, class_bytes: int = CLASS_BYTES) -> SizeModel:
     known = (labels.where("doc_id is not null and quality in (0, 1)")
              .where(fold(F.col("doc_id"), FOLDS) != 0)
              .groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("quality").alias("other"))
@@ -132,19 +132,17 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> SizeM
                  .union(known.where("quality = 1").orderBy(*by_hash).limit(per_class)), "quality_sample")
     texts = join_few(docs.select("doc_id", "text").where("text is not null and text != ''"), few, ["doc_id"],
                      2 * per_class)
-    # one text an id, at most 2 x per_class
+    # one text an id, at most 2 x per_class; whole ones, as far as the bytes go
     texts = stored(texts.groupBy("doc_id", "quality").agg(F.min("text").alias("text")), "quality_texts")
+    so_far = Window.partitionBy("quality").orderBy("large", *by_hash).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    fits = (texts.select("doc_id", "quality", F.octet_length("text").cast("long").alias("size"))
+            .withColumn("large", F.col("size") > class_bytes // 16)
+            .withColumn("sum", F.sum("size").over(so_far)).where(F.col("sum") <= class_bytes).select("doc_id"))
+    texts = texts.join(F.broadcast(fits), "doc_id")                            # at most 2 x per_class ids
     calibrates = F.pmod(F.xxhash64(F.lit(5), "doc_id"), F.lit(CALIBRATE_ONE_IN)) == 0
 
-    def cut(batches):
-        for batch in batches:
-            kept = [spread_blocks(t.encode("utf-8", "surrogatepass")) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("quality"),
-                                              pa.array(kept, pa.list_(pa.binary()))], names=["doc_id", "quality", "blocks"])
-
-    rows = (texts.where(~calibrates).select("doc_id", "quality", "text")
-            .mapInArrow(cut, "doc_id long, quality int, blocks array<binary>").orderBy("doc_id").collect())
-    train = {q: [bytes(b) for r in rows if r.quality == q for b in r.blocks] for q in (0, 1)}
+    rows = texts.where(~calibrates).select("doc_id", "quality", "text").orderBy("doc_id").collect()
+    train = {q: [b for r in rows if r.quality == q for b in pieces(r.text.encode("utf-8", "surrogatepass"))] for q in (0, 1)}
     model = SizeModel(train_dictionary(train[1]), train_dictionary(train[0]))
 
     def measure(batches):

@@ -36,6 +36,8 @@ from tablekit.llm.common import packed, stored, table, unpacked
 #: Exponents tried per round, and rounds: the exponent is exact to 65**-4.
 SECTIONS, ROUNDS = 64, 4
 BLOCK_TOKENS, BLOCK_DOCS = 1_000_000, 4096
+#: Copies of a row that one array numbers.
+AT_ONCE = 1_000_000
 
 
 def token_count(text: Column) -> Column:
@@ -106,13 +108,20 @@ def quotas(shares: DataFrame, exponent: float, budget_ratio: float | None = None
             .drop("raw", "share"))
 
 
+def numbered(rows: DataFrame, count: str, name: str) -> DataFrame:
+    """Each row ``count`` times (a long), numbered from 0 in ``name``: in steps of
+    AT_ONCE, so that no array grows with the count."""
+    outer = F.explode(F.expr(f"sequence(0L, ({count} - 1) div {AT_ONCE})"))
+    inner = F.explode(F.expr(f"sequence(_outer * {AT_ONCE}, least({count}, (_outer + 1) * {AT_ONCE}) - 1)"))
+    return rows.where(f"{count} > 0").withColumn("_outer", outer).withColumn(name, inner).drop("_outer")
+
+
 def placed(items: DataFrame, plan: DataFrame) -> DataFrame:
     """One row per taken copy of an item: its columns, epoch, block (its place in
     the epoch's permutation) and start (first token within the epoch)."""
     plan = plan.select("source", "sid", F.col("tokens").alias("all_tokens"), "docs", "quota", "epochs")
     s = plan.withColumnRenamed("source", "its")
-    dealt = (items.join(s, items["source"].eqNullSafe(s["its"])).where("epochs > 0")
-             .withColumn("epoch", F.explode(F.expr("sequence(0L, epochs - 1)")))
+    dealt = (numbered(items.join(s, items["source"].eqNullSafe(s["its"])), "epochs", "epoch")
              .withColumn("blocks", F.expr(f"greatest(all_tokens div {BLOCK_TOKENS}, docs div {BLOCK_DOCS}) + 1"))
              .withColumn("deal", F.pmod(F.xxhash64(F.lit(1), "epoch", "k1", "k2"), F.col("blocks")))
              .drop("its", "blocks", "docs", "epochs"))
@@ -149,13 +158,12 @@ def mix_plan(docs: DataFrame, entropy=None, max_repetition=None, budget_ratio=No
 def mix_documents(docs: DataFrame, entropy=None, max_repetition=2.0, budget_ratio=None) -> DataFrame:
     """``docs`` with each row as often as its source's weight asks for."""
     copies = (mix_plan(docs, entropy, max_repetition, budget_ratio)
-              .groupBy("k1", "k2", "source").agg(F.count("*").cast("int").alias("copies"))
+              .groupBy("k1", "k2", "source").agg(F.count("*").alias("copies"))
               .withColumnRenamed("source", "its").hint("shuffle_hash"))
     d = (packed(docs).withColumn("from", F.col("rest.source"))
          .withColumn("k1", F.xxhash64("doc_id", "text")).withColumn("k2", F.xxhash64(F.lit(1), "doc_id", "text")))
-    done = (d.join(copies, ["k1", "k2"]).where(F.col("from").eqNullSafe(F.col("its")))
-            .withColumn("copy", F.explode(F.expr("sequence(1, copies)"))))
-    return unpacked(done, docs.columns)
+    done = d.join(copies, ["k1", "k2"]).where(F.col("from").eqNullSafe(F.col("its")))
+    return unpacked(numbered(done, "copies", "copy"), docs.columns)
 
 
 def op5(spark, sf_dir: str) -> DataFrame:

@@ -115,3 +115,27 @@ def test_token_count_is_of_ascii_white_space(spark, make_docs):
     assert df_col is not None
     for r in df.collect():
         assert r.n == len(re.findall(r"[^\x20\x09-\x0D]+", r.text))
+
+
+def test_very_many_copies_need_no_long_array(spark, make_docs, monkeypatch):
+    """Numbers come in steps: a count far beyond the longest array is only read as far as asked."""
+    from pyspark.sql import functions as F
+
+    rows = spark.createDataFrame([("a", 73_825_566_222), ("b", 0), ("c", 3), ("d", 1)], "k string, n long")
+    small = rows.where("k <> 'a'")
+    assert [(r.k, r.i) for r in M.numbered(small, "n", "i").where("k = 'c'").collect()] == [("c", 0), ("c", 1), ("c", 2)]
+    assert M.numbered(small, "n", "i").where("k = 'b'").count() == 0
+    # the arrays of the huge count: as many steps as it has, each of one size
+    steps = rows.where("k = 'a'").select(F.expr(f"size(sequence(0L, (n - 1) div {M.AT_ONCE}))").alias("s")).first().s
+    assert steps == -(-73_825_566_222 // M.AT_ONCE)
+    monkeypatch.setattr(M, "AT_ONCE", 4)
+    got = [r.i for r in M.numbered(small.withColumn("n", F.lit(11).cast("long")), "n", "i").where("k = 'c'").collect()]
+    assert sorted(got) == list(range(11))
+
+
+def test_a_small_source_beside_a_huge_one(spark, make_docs):
+    """The weights of a source of 10**13 tokens beside one of 50: quotas and epochs stay whole numbers."""
+    shares = spark.createDataFrame([("big", 0, 10**13, 10**6, 10**13 / (10**13 + 50)), ("tiny", 1, 50, 1, 50 / (10**13 + 50))],
+                                   "source string, sid long, tokens long, docs long, share double")
+    plan = {r.source: r for r in M.quotas(shares, M.find_exponent(shares, entropy=0.95), 1.0).collect()}
+    assert plan["tiny"].epochs > 2**31 and plan["tiny"].epochs * 50 >= plan["tiny"].quota > (plan["tiny"].epochs - 1) * 50
