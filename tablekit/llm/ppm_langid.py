@@ -9,12 +9,16 @@ text's code length under a language is a sum of table entries and independent
 of batch or order. The language with the least code length wins (ties: the
 lesser name); the score is the posterior of the winner under equal priors.
 
-Training counts ORDER + 1 byte sequences per language in Spark, on at most
-``per_lang`` whole documents a language (the first by hash of doc_id) and the
-``MAX_LANGS`` most frequent languages; only sequences of the MAX_CONTEXTS most
-frequent contexts of a language go to the driver, where the costs are frozen
-into one array over (context, byte, language). Scoring is one pass over all
-whole texts, vectorised over batches, without a shuffle.
+Training counts ORDER + 1 byte sequences per language in Spark, on a bounded
+sample of rows: of each language the first ``PER_LANG`` documents by hash of
+doc_id, as far as they fit into ``LANG_BYTES`` together (the larger ones come
+last; a document that does not fit is passed over, none is cut). All languages
+are learned, with every context seen ``MIN_CONTEXT`` times. The costs of one
+group of languages are frozen into one array over (context, byte, language);
+groups are formed so that this array stays below ``MODEL_BYTES``, unless a
+single language is larger. Scoring is one pass over all whole texts for each
+group, vectorised over batches, without a shuffle; with several groups the
+winners of the groups are compared by row.
 
 Texts are lower-cased; digits count as 0 and white space as a blank.
 
@@ -35,8 +39,11 @@ from tablekit.llm.common import join_few, stored, table, text_hash
 from tablekit.llm.compress_quality import fold
 
 ORDER = 3
-#: Bounds on what the model is fitted on and on its size.
-PER_LANG, MAX_LANGS, MAX_CONTEXTS, MIN_CONTEXT = 400, 200, 20_000, 4
+#: Bounds on the labelled rows that a language is learned from.
+PER_LANG, LANG_BYTES = 400, 4 << 20
+MIN_CONTEXT = 4
+#: Size of the cost array that one pass over the texts works with.
+MODEL_BYTES = 128 << 20
 FOLDS, HELD_OUT = 4, 2
 #: Code lengths are whole multiples of a bit over this.
 UNITS = 1024
@@ -62,22 +69,26 @@ def sequence_codes(data: bytes) -> np.ndarray:
     return code
 
 
-def sequence_counts(docs: DataFrame, per_lang: int = PER_LANG) -> DataFrame:
+def sequence_counts(docs: DataFrame, per_lang: int = PER_LANG, lang_bytes: int = LANG_BYTES) -> DataFrame:
     """(lang, context, byte, c) over the training sample."""
     may = (docs.where("doc_id is not null and lang is not null and text is not null")
            .where(fold(F.col("doc_id"), FOLDS) != HELD_OUT)
-           .select("doc_id", "lang", text_hash(F.col("text")).alias("th")))
-    langs = may.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGS)
+           .select("doc_id", "lang", text_hash(F.col("text")).alias("th"), F.octet_length("text").cast("long").alias("size")))
+    langs = may.groupBy("lang").agg(F.count("*").alias("n"))
     # the first by hash lie below a hash that four times as many documents reach,
     # so the ranking sees about 4 x per_lang rows a language however many there are
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
-    low = may.join(F.broadcast(langs), "lang").where(place < F.lit(4.0 * per_lang * (1 << 30)) / F.col("n"))
+    low = may.join(langs, "lang").where(place < F.lit(4.0 * per_lang * (1 << 30)) / F.col("n"))
     first = Window.partitionBy("lang").orderBy(place, "doc_id", "th")
-    few = stored(low.withColumn("nth", F.row_number().over(first))
-                 .where(F.col("nth") <= per_lang).select("doc_id", "th", F.col("lang").alias("its")).distinct(),
-                 "lang_sample")
+    fits = Window.partitionBy("lang").orderBy("large", "nth").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    few = (low.select("doc_id", "th", "lang", "size").distinct()              # rows equal in id and text are one
+           .withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= per_lang)
+           .withColumn("large", F.col("size") > lang_bytes // 16)
+           .withColumn("sum", F.sum("size").over(fits)).where(F.col("sum") <= lang_bytes)
+           .select("doc_id", "th", F.col("lang").alias("its")))
+    few = stored(few, "lang_sample")
     texts = join_few(docs.select("doc_id", "lang", "text").withColumn("th", text_hash(F.col("text"))), few,
-                     ["doc_id", "th"], per_lang * MAX_LANGS).where("lang = its")
+                     ["doc_id", "th"], few.count()).where("lang = its")
 
     def count(batches):
         for batch in batches:
@@ -208,8 +219,6 @@ def _followers(code, byte, c, a: int, least: int):
     contexts, at = np.unique(code, return_inverse=True)
     totals = np.bincount(at, weights=c).astype(np.int64)
     often = totals >= least
-    if often.sum() > MAX_CONTEXTS:
-        often &= totals > np.partition(totals, -MAX_CONTEXTS)[-MAX_CONTEXTS]
     place = np.cumsum(often) - 1
     counts = np.zeros((int(often.sum()), a), dtype=np.int64)
     use = often[at]
@@ -224,38 +233,90 @@ def _cost(counts: np.ndarray, shorter: np.ndarray) -> np.ndarray:
     return np.where(counts > 0, np.log2((total + distinct) / np.maximum(counts, 1)), escape + shorter)
 
 
-def fit(docs: DataFrame, per_lang: int = PER_LANG) -> CodeLengths:
-    counts = stored(sequence_counts(docs, per_lang), "sequence_counts")
-    # the most frequent contexts of each language bound what the driver gets
-    best = Window.partitionBy("lang").orderBy(F.desc("n"), "context")
-    often = (counts.groupBy("lang", "context").agg(F.sum("c").alias("n"))
-             .withColumn("nth", F.row_number().over(best)).where(F.col("nth") <= 2 * MAX_CONTEXTS)
-             .select("lang", "context"))
-    rows = counts.join(often, ["lang", "context"]).select("lang", "context", "byte", "c")
-    return freeze([tuple(r) for r in rows.orderBy("lang", "context", "byte").collect()])
-
-
-def identify(docs: DataFrame, model: CodeLengths) -> DataFrame:
-    """(doc_id, lang_pred, score) of every row."""
+def groups_of(sizes: list[tuple[str, int]], most: int) -> list[list[str]]:
+    """Languages (name, contexts) in groups whose cost array has ``most`` bytes at
+    most, at 256 symbols; a larger language is a group by itself."""
+    out: list[list[str]] = []
+    states = 0
+    for lang, n in sizes:
+        if out and (states + n) * 256 * 4 * (len(out[-1]) + 1) <= most:
+            out[-1].append(lang)
+            states += n
+        else:
+            out.append([lang])
+            states = n
+    return out
+
+
+def fit(docs: DataFrame, per_lang: int = PER_LANG, lang_bytes: int = LANG_BYTES, model_bytes: int = MODEL_BYTES
+        ) -> list[CodeLengths]:
+    """The models of all languages, a group each."""
+    counts = stored(sequence_counts(docs, per_lang, lang_bytes), "sequence_counts")
+    # contexts of every order up to ORDER are suffixes: at most ORDER times those seen
+    sizes = (counts.groupBy("lang", "context").agg(F.sum("c").alias("c")).where(F.col("c") >= MIN_CONTEXT)
+             .groupBy("lang").agg((F.count("*") * ORDER).alias("n")))
+    every = counts.select("lang").distinct().join(sizes, "lang", "left").orderBy("lang").collect()       # a row a language
+    models = []
+    for group in groups_of([(r.lang, r.n or 0) for r in every], model_bytes):
+        rows = counts.where(F.col("lang").isin(group)).orderBy("lang", "context", "byte").toPandas()
+        models.append(freeze(list(zip(*(rows[c].tolist() for c in ("lang", "context", "byte", "c"))))))
+    return models
+
+
+FOUND = "doc_id long, k1 long, k2 long, lang_pred string, bits double, others double"
+
+
+def _winners(docs: DataFrame, model: CodeLengths) -> DataFrame:
+    """Each row's best language of one group, its code length in bits, and the sum
+    over the group of 2 ** -(bits beyond it)."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         m = sent.value
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            pred, score = ["und"] * len(texts), [0.0] * len(texts)
+            pred, bits, others = [None] * len(texts), [0.0] * len(texts), [0.0] * len(texts)
             at = [i for i, t in enumerate(texts) if m.langs and has_letter(t)]
             if at:
-                bits = m.lengths([normal_bytes(texts[i]) for i in at]) / UNITS
-                win = bits.argmin(axis=1)
-                over = bits - bits[np.arange(len(at)), win][:, None]
-                sure = 1.0 / np.exp2(-np.minimum(over, 1000.0)).sum(axis=1)
-                for i, w, p in zip(at, win.tolist(), sure.tolist()):
-                    pred[i], score[i] = m.langs[w], p
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(pred, pa.string()),
-                                              pa.array(score, pa.float64())], names=["doc_id", "lang_pred", "score"])
-
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, lang_pred string, score double")
+                all_bits = m.lengths([normal_bytes(texts[i]) for i in at]) / UNITS
+                win = all_bits.argmin(axis=1)
+                best = all_bits[np.arange(len(at)), win]
+                sums = np.exp2(-np.minimum(all_bits - best[:, None], 1000.0)).sum(axis=1)
+                for i, w, b, s in zip(at, win.tolist(), best.tolist(), sums.tolist()):
+                    pred[i], bits[i], others[i] = m.langs[w], b, s
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("k1"), batch.column("k2"), pa.array(pred, pa.string()),
+                 pa.array(bits, pa.float64()), pa.array(others, pa.float64())],
+                names=["doc_id", "k1", "k2", "lang_pred", "bits", "others"])
+
+    return (docs.select("doc_id", F.xxhash64("doc_id", "text").alias("k1"), F.xxhash64(F.lit(1), "doc_id", "text").alias("k2"), "text")
+            .mapInArrow(run, FOUND))
+
+
+def _better(rows: DataFrame, more: DataFrame) -> DataFrame:
+    """The winners of two groups compared by row; rows equal in id and text are
+    scored alike, so the second side has one row of each."""
+    new = more.dropDuplicates(["k1", "k2"]).select("k1", "k2", F.col("lang_pred").alias("its"), F.col("bits").alias("its_bits"),
+                                                   F.col("others").alias("its_others"))
+    ahead = (F.col("its_bits") < F.col("bits")) | ((F.col("its_bits") == F.col("bits")) & (F.col("its") < F.col("lang_pred")))
+    gap = F.least(F.abs(F.col("its_bits") - F.col("bits")), F.lit(1000.0))
+    sums = F.when(ahead, F.col("its_others") + F.col("others") * F.pow(F.lit(2.0), -gap)) \
+        .otherwise(F.col("others") + F.col("its_others") * F.pow(F.lit(2.0), -gap))
+    return (rows.join(new, ["k1", "k2"])
+            .select("doc_id", "k1", "k2", F.when(ahead, F.col("its")).otherwise(F.col("lang_pred")).alias("lang_pred"),
+                    F.when(ahead, F.col("its_bits")).otherwise(F.col("bits")).alias("bits"), sums.alias("others")))
+
+
+def identify(docs: DataFrame, models: list[CodeLengths]) -> DataFrame:
+    """(doc_id, lang_pred, score) of every row."""
+    if not models:
+        return docs.select("doc_id", F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
+    found = _winners(docs, models[0])
+    for model in models[1:]:
+        found = stored(_better(found, stored(_winners(docs, model), "group_winners")), "winners")
+    known = F.col("lang_pred").isNotNull()
+    return found.select("doc_id", F.coalesce("lang_pred", F.lit("und")).alias("lang_pred"),
+                        F.when(known, 1.0 / F.col("others")).otherwise(0.0).alias("score"))
 
 
 def op10(spark, sf_dir: str) -> DataFrame:

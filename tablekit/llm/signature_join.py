@@ -11,8 +11,9 @@ reaches ``percent``; the result is each document's component under links.
    range. Tokens are dealt by hash to D + 1 + e parts, so at least e + 1 parts
    are equal in both; each side leaves out its e lightest parts (fewest
    tokens), and the heaviest equal part is left out by neither. Each remaining
-   part is a bucket key: linked classes always share one, whatever the data,
-   and classes in no common bucket cannot reach the overlap. Keys are counted
+   part is a bucket key, in the set's own size class and in every larger one in
+   which a partner may lie: linked classes always share one, whatever the data
+   and the threshold, and classes in no common bucket cannot reach the overlap. Keys are counted
    by a two-step radix exchange of packed arrays: a task first merges its own,
    so a key held by a third of the rows sends one entry per task.
 3. Star links. In each bucket every class is compared with the smallest one;
@@ -125,16 +126,17 @@ def part_keys(s: np.ndarray, index: int, high: int, percent: int) -> np.ndarray:
 
 
 def bucket_keys(s: np.ndarray, percent: int) -> np.ndarray:
-    """Keys in the set's own size class, and in the next one if a larger partner
-    may lie there."""
+    """Keys in the set's own size class and in every larger one in which a
+    partner may lie."""
     n = len(s)
     if n == 0:
         return s
     index, high = size_class(n)
-    keys = part_keys(s, index, high, percent)
-    if 100 * n >= percent * (high + 1):
-        keys = np.concatenate([keys, part_keys(s, index + 1, size_class(high + 1)[1], percent)])
-    return keys
+    keys = [part_keys(s, index, high, percent)]
+    while 100 * n >= percent * (high + 1):
+        index, high = size_class(high + 1)
+        keys.append(part_keys(s, index, high, percent))
+    return np.concatenate(keys)
 
 
 def six_bytes(x: np.ndarray) -> np.ndarray:

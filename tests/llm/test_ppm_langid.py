@@ -75,7 +75,7 @@ def test_edge_rows(spark, make_docs):
              (105, "你好", None, "s")]
     docs = make_docs(rows, extra=("lang_pred", "score", "th", "its"))
     m = P.fit(docs)
-    assert m.langs == ["aa", "bb"]
+    assert [x.langs for x in m] == [["aa", "bb"]]
     got = P.identify(docs, m).collect()
     assert len(got) == len(rows)
     by = {r.doc_id: (r.lang_pred, r.score) for r in got}
@@ -85,3 +85,33 @@ def test_edge_rows(spark, make_docs):
     assert P.identify(docs.limit(0), m).count() == 0
     nothing = P.fit(docs.where("lang = 'zz'"))
     assert {r.lang_pred for r in P.identify(docs, nothing).collect()} == {"und"}
+
+
+def test_groups_of_languages_change_nothing(spark, make_docs):
+    rows = [(i, t, lang, "s") for i, (lang, t) in enumerate((lang, t) for lang in TRAIN for t in TRAIN[lang] * 3)]
+    rows += [(90 + i, "le chat et le chien sont sur le tapis " * (i + 1), "cc", "s") for i in range(6)]
+    rows += [(200, "the cat und die katze", None, "s"), (200, "the cat und die katze", None, "s"), (201, None, None, "s"),
+             (202, "le chat", None, "s"), (None, "der hund", None, "s")]
+    docs = make_docs(rows)
+    one, many = P.fit(docs), P.fit(docs, model_bytes=1)
+    assert [m.langs for m in one] == [["aa", "bb", "cc"]] and [m.langs for m in many] == [["aa"], ["bb"], ["cc"]]
+    a, b = (sorted(((r.doc_id or -1, r.lang_pred, round(r.score, 9)) for r in P.identify(docs, m).collect())) for m in (one, many))
+    assert a == b and len(a) == len(rows)
+
+
+def test_every_language_is_learned(spark, make_docs):
+    """Also the rarest of hundreds; contexts are kept by how often they are seen, not by number."""
+    rows = [(k, " ".join(f"{chr(97 + k % 26)}{chr(97 + k // 26)}{c}" for c in "xyzuvw") * 3, f"l{k:03}", "s") for k in range(230)]
+    rows = [(4 * i + j, t, lang, "s") for i, (_, t, lang, _) in enumerate(rows) for j in range(4)]
+    docs = make_docs(rows)
+    learned = [lang for m in P.fit(docs) for lang in m.langs]
+    assert learned == sorted({r[2] for r in rows})
+    assert P.groups_of([("a", 10), ("b", 10), ("c", 10**9), ("d", 1)], 21 * 1024 * 2) == [["a", "b"], ["c"], ["d"]]
+
+
+def test_sample_is_of_whole_documents_within_its_bytes(spark, make_docs):
+    rows = [(i, "abc def " * (10 if i < 50 else 10_000), "aa", "s") for i in range(60)]
+    counts = P.sequence_counts(make_docs(rows), lang_bytes=20_000).where("lang = 'aa'")
+    used = sum(r.c for r in counts.collect())
+    kept = sum(len(t) for i, t, *_ in rows if i < 50 and zlib.crc32(str(i).encode()) % 4 != 2)
+    assert used == kept                                            # whole short ones, no part of a long one
