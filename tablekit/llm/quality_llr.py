@@ -35,9 +35,11 @@ SYMBOLS = "#*$%&|<>"
 #: Log-likelihood ratio per n-gram below which a text is rejected.
 THRESHOLD = -0.2
 BUCKETS = 1 << 16
-#: Pseudo-counts a bucket: with few trusted texts the ratio shrinks to 0, so
-#: clean texts that happen not to be labelled are not held against chance.
-PRIOR = 10.0
+#: Pseudo-counts of a bucket, as a share of the mean trusted count of a bucket, so
+#: that the verdict does not change with the table's size; and the least, so that
+#: with few trusted texts the ratio shrinks to 0 and clean texts that happen not
+#: to be labelled are not held against chance.
+PRIOR_SHARE, PRIOR = 0.25, 10.0
 #: Bound on the labelled documents the target model is fitted on.
 MAX_TRUSTED = 20_000
 WINDOW = 5
@@ -84,7 +86,8 @@ def _add(found: list[list[np.ndarray]], total: np.ndarray) -> None:
 def fit(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS,
         max_trusted: int = MAX_TRUSTED, prior: float = PRIOR) -> np.ndarray:
     """log p_target - log p_raw of each bucket; the target multinomial is
-    smoothed by ``prior`` counts a bucket at the raw corpus's rate."""
+    smoothed by pseudo-counts at the raw corpus's rate: PRIOR_SHARE of a bucket's
+    mean trusted count, at least ``prior``."""
     good = labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct()
     good = good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_trusted)
     texts = (docs.select("doc_id", "text").where("text is not null")
@@ -112,6 +115,7 @@ def fit(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS,
     if not counts[1].any():
         return np.zeros(buckets)
     expected = counts[0] * (counts[1].sum() / counts[0].sum())
+    prior = max(prior, PRIOR_SHARE * counts[1].sum() / buckets)
     return np.log((counts[1] + prior) / (expected + prior))
 
 

@@ -37,6 +37,7 @@ def brute_scores(rows, good, buckets, prior):
         if i in good:
             target += grams(t)
     n_raw, n_target = sum(raw.values()), sum(target.values())
+    prior = max(prior, Q.PRIOR_SHARE * n_target / buckets)
     out = []
     for _, t in rows:
         g = grams(t)
@@ -94,3 +95,14 @@ def test_repeated_words_by_brute_force():
         for v in (2, 3, 50):
             w = [str(x) for x in rng.integers(0, v, n)]
             assert Q.repeated_words(WordHashes().of([x.encode() for x in w])) == brute_base(" ".join(w))[4]
+
+
+def test_the_verdict_does_not_change_with_the_tables_size(spark, make_docs, make_labels):
+    """The same texts a hundred times over: the prior grows with the trusted counts, so the ratios stay."""
+    texts = [f"alpha beta gamma delta {i % 7} epsilon zeta" if i % 3 else f"BUY now {i % 5} cheap cheap pills" for i in range(30)]
+    few = make_docs(list(enumerate(texts)))
+    many = make_docs([(k * 30 + i, t) for k in range(40) for i, t in enumerate(texts)])
+    good = [i for i in range(30) if i % 3]
+    a = Q.fit(few, make_labels([(i, 1, 0) for i in good]), buckets=64, prior=0.0)
+    b = Q.fit(many, make_labels([(k * 30 + i, 1, 0) for k in range(40) for i in good]), buckets=64, prior=0.0)
+    assert abs(a - b).max() < 1e-12 and abs(a).max() > 0.1

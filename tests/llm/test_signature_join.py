@@ -72,7 +72,7 @@ def result(df):
     return sorted(((r.doc_id, r.n_shingles, r.component_id) for r in df.collect()), key=repr)
 
 
-@pytest.mark.parametrize("seed,size,percent", [(1, 3, 90), (2, 5, 80), (3, 2, 70)])
+@pytest.mark.parametrize("seed,size,percent", [(1, 3, 90), (2, 5, 80), (3, 2, 70), (4, 2, 60), (5, 1, 50)])
 def test_equals_brute_force_on_families(spark, make_docs, seed, size, percent):
     texts = families(seed)
     ids = list(range(100, 100 + len(texts)))
@@ -80,6 +80,17 @@ def test_equals_brute_force_on_families(spark, make_docs, seed, size, percent):
     assert result(got) == sorted(brute_components(ids, texts, size, percent), key=repr)
 
 
+@pytest.mark.parametrize("percent", [50, 60, 65, 70, 72, 80, 90])
+def test_nested_sets_share_a_key(percent):
+    """The extreme partners: a set and its smallest part that still links."""
+    rng = np.random.default_rng(percent)
+    for n in [*range(3, 60), 100, 333, 1000, 4321]:
+        big = np.unique(rng.integers(1, 2**62, size=n).astype(np.uint64))
+        small = np.sort(rng.permutation(big)[:-(-len(big) * percent // 100)])
+        shared = np.intersect1d(J.bucket_keys(big, percent), J.bucket_keys(small, percent))
+        assert len(small) == len(big) or len(shared), (n, len(small))
+
+
 def test_equals_brute_force_on_the_documents(spark):
     docs = table(spark, SF_ORACLE, "documents")
     rows = docs.select("doc_id", "text").collect()
