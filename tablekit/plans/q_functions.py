@@ -226,13 +226,13 @@ def safe_casts(spark, d):
 
 
 @register("substring_month", ids=("FN6", "AGG2"), sql="""
-    SELECT CAST(substring(strftime(o_orderdate, '%m%d%H%M'), 1, 2) AS INTEGER) AS month, COUNT(*) AS n_orders
-    FROM orders GROUP BY month""")
+    SELECT event_type, substring(strftime(ts, '%H%M%S'), 1, 2) AS hour_text, COUNT(*) AS n_events
+    FROM events GROUP BY ALL""")
 def substring_month(spark, d):
-    # 'MMddHHmm' strings as in the delays data; SUBSTRING(s, 0, 2) is the month
-    o = table(spark, d, "orders").select(F.date_format("o_orderdate", "MMddHHmm").alias("date"))
-    return (o.groupBy(F.expr("CAST(SUBSTRING(date, 0, 2) AS INT)").alias("month"))
-            .agg(F.count(F.lit(1)).alias("n_orders")))
+    # a position of 0 counts like 1: the first two characters are the hour
+    clock = table(spark, d, "events").select("event_type", F.date_format("ts", "HHmmss").alias("clock"))
+    return (clock.groupBy("event_type", F.expr("SUBSTRING(clock, 0, 2)").alias("hour_text"))
+            .agg(F.count(F.lit(1)).alias("n_events")))
 
 
 @register("date_shift", ids=("FN5", "FN8"), sql="""
