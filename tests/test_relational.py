@@ -5,6 +5,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tablekit.operators import relational as R
+from tablekit.plans import QUERIES
 from tablekit.sources import save_table
 
 
@@ -43,3 +44,15 @@ def test_save_table_modes(spark, scratch):
         save_table(df, "tk_rel.t")                       # error if exists (default)
     save_table(spark.range(5), "tk_rel.t", mode="overwrite")
     assert spark.table("tk_rel.t").count() == 5
+
+
+def test_union_all_keeps_whole_rows_and_repeats(spark, scratch):
+    rows = [(1, 7, "F", 500000.0, "2024-01-01", "1-URGENT"), (1, 7, "F", 500000.0, "2024-01-01", "1-URGENT"),
+            (2, None, "F", 400000.5, None, "1-URGENT"), (3, 8, "O", 500000.0, "2024-01-01", "1-URGENT"),
+            (4, 8, "F", 500000.0, "2024-01-01", "2-HIGH"), (5, 8, "F", 400000.0, "2024-01-01", "1-URGENT")]
+    orders = spark.createDataFrame(rows, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+                                         "o_orderdate string, o_orderpriority string")
+    orders.write.parquet(scratch + "/orders.parquet")
+    got = QUERIES["union_all_filter"](spark, scratch)
+    assert got.columns == orders.columns
+    assert sorted(map(str, got.collect())) == sorted(map(str, orders.where("o_orderkey <= 2").collect() * 2))
