@@ -53,14 +53,20 @@ def _lost(field: T.StructField, typed: Column, raw: Column) -> Column:
     return gone
 
 
+def _once(df: DataFrame, **columns: Column) -> DataFrame:
+    """``df`` with ``columns``, each worked out once a row. A plain projection
+    would be copied into every later use, filters and lambdas included: dozens
+    of parses of one line."""
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
 def parse_rescuing(lines: DataFrame, schema: T.StructType, column: str = "value", **options) -> DataFrame:
     """``lines`` of JSON text as the columns of ``schema`` plus ``rescued``
     (map of strings, NULL when everything fits)."""
     text = F.col(column)
     opts = {k: str(v) for k, v in options.items()}
-    rows = (lines.where(F.length(F.trim(text)) > 0)
-            .select(text.alias("line"), F.from_json(text, schema, opts).alias("typed"),
-                    F.from_json(text, RAW).alias("raw")))
+    rows = _once(lines.where(F.length(F.trim(text)) > 0).select(text.alias("line")),
+                 typed=F.from_json("line", schema, opts), raw=F.from_json("line", RAW))
     lost = F.array_compact(F.array(*[
         F.when(_lost(f, F.col("typed").getField(f.name), F.col("raw")[f.name]), F.lit(f.name)) for f in schema.fields]))
     known = F.array(*[F.lit(f.name) for f in schema.fields])
@@ -71,7 +77,7 @@ def parse_rescuing(lines: DataFrame, schema: T.StructType, column: str = "value"
     more = ~F.col("line").rlike(r"\}\s*$") | F.col("line").rlike(r"\}\s*\{")
     rest = F.when(F.col("raw").isNull(), whole).when(more, F.map_concat(whole, kept)).when(F.size(kept) > 0, kept)
     columns = [F.when(F.col("raw").isNotNull(), F.col("typed").getField(f.name)).alias(f.name) for f in schema.fields]
-    return rows.withColumn("lost", lost).select(*columns, rest.alias(RESCUED))
+    return _once(rows, lost=lost).select(*columns, rest.alias(RESCUED))
 
 
 def refusing(df: DataFrame) -> DataFrame:

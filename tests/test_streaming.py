@@ -206,6 +206,15 @@ def test_run_on_timer_drains_and_stops(spark, scratch):
     assert not [q for q in spark.streams.active if q.isActive]
 
 
+def test_a_line_is_parsed_twice_however_many_fields(spark):
+    """Once for the typed columns, once for all its fields; filters and lambdas repeat neither."""
+    lines = spark.createDataFrame([('{"a":1,"b":"x","c":2.5}',)], "value string")
+    rows = rescue.parse_rescuing(lines, T.StructType().add("a", "long").add("b", "string").add("c", "double"))
+    for df in (rows, rescue.refusing(rows), rows.where("rescued IS NULL AND a > 0").select("b")):
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("from_json") <= 2
+    assert [tuple(r) for r in rescue.refusing(rows).collect()] == [(1, "x", 2.5)]
+
+
 def test_rescue_keeps_what_the_schema_does_not_hold(spark):
     schema = T.StructType().add("a", "long").add("b", "string").add("c", "double").add(
         "n", T.StructType().add("p", "long").add("q", "string"))
