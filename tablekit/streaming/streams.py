@@ -193,12 +193,13 @@ def merge_window_counts(stream: DataFrame, target: str, checkpoint: str, key: st
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         name = f"{run}:{batch_id}"
-        counted = (window_counts(batch, key, ts, duration)
-                   .withColumn("day", F.col("window_start").cast("date")).persist())
+        # kept before its shuffle: what is kept after one stays in all shuffle partitions, however few the rows
+        rows = batch.select(key, ts).persist()
         try:
-            days = counted.select("day").distinct().collect()
+            days = rows.select(F.window(ts, duration)["start"].cast("date").alias("day")).distinct().collect()
             if not days:
                 return
+            counted = window_counts(rows, key, ts, duration).withColumn("day", F.col("window_start").cast("date"))
             none = F.lit(None)
             new = counted.select(*cells, F.col("n").alias("add"), none.cast("long").alias("n"),
                                  none.cast("long").alias("before"), none.cast("string").alias("batch"))
@@ -215,7 +216,7 @@ def merge_window_counts(stream: DataFrame, target: str, checkpoint: str, key: st
                 F.when(touched, start).otherwise(F.col("before")).alias("before"),
                 F.when(touched, F.lit(name)).otherwise(F.col("batch")).alias("batch")))
         finally:
-            counted.unpersist()
+            rows.unpersist()
 
     w = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(sink)
     w = w.trigger(availableNow=True) if available_now else \

@@ -186,6 +186,24 @@ def test_a_repeated_batch_is_merged_once(spark, scratch):
     assert sorted((r.type, r.n) for r in ST.read_window_counts(s, out, "type").collect()) == [("a", 2), ("b", 1)]
 
 
+def test_a_small_batch_is_merged_by_few_tasks(spark, scratch):
+    """Whatever the number of shuffle partitions: what a batch keeps is not spread over all of them."""
+    src, out = scratch + "/src_f", scratch + "/merged_f"
+    timed_rows(spark, [("a", "2024-01-01 00:00:01"), ("b", "2024-01-02 00:00:01")]).coalesce(1).write.parquet(src)
+    s = ingest.stream_files(spark, "parquet", src, "type string, ts timestamp")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        q = ST.merge_window_counts(s, out, scratch + "/ck_f", "type", "ts", "10 seconds")
+        q.awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    tracker = spark.sparkContext.statusTracker()
+    stages = [tracker.getStageInfo(i) for j in tracker.getJobIdsForGroup(str(q.runId)) for i in tracker.getJobInfo(j).stageIds]
+    assert 0 < max(x.numCompletedTasks for x in stages if x) < 40
+    assert sorted((r.type, r.n) for r in ST.read_window_counts(s, out, "type").collect()) == [("a", 1), ("b", 1)]
+
+
 def test_results_are_found_by_their_pointer(spark, scratch):
     out = scratch + "/pointed"
     with pytest.raises(FileNotFoundError):
